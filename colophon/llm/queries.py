@@ -7,9 +7,20 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colophon.llm import cascade
+from colophon.llm import bpe, cascade
 from colophon.llm.common import table
 
+#: Folder of the public vocabularies on every machine.
+TOKENIZERS = "/opt/tokenizers"
+#: Splits text before byte-level merges; a fixed value of the vocabulary.
+BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+
+def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    wanted = ("n_tokens", "ids_sha256", "decoded_sha256")
+    return bpe.encode(docs, f"{TOKENIZERS}/byte_bpe_50k.tiktoken", BYTE_PATTERN, wanted)
+
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
@@ -30,6 +41,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op3_byte_bpe": op3_byte_bpe,
     "op10_quality_rules": op10_quality_rules,
 }
 
