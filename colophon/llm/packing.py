@@ -17,6 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Iterator
 from functools import lru_cache
+from unicodedata import is_normalized
 from zlib import crc32
 
 from pyspark.sql import DataFrame
@@ -25,44 +26,63 @@ from pyspark.sql import functions as F
 PIECE = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id long, offset long"
 
 
+#: Splits a lower-cased word before the merges; a fixed value of the tokenizer file.
+PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
+
+
+def byte_letters() -> list[str]:
+    """The letter that stands for each byte in byte-level vocabularies: printable bytes stand for
+    themselves, the others for the letters from U+0100 on, in order."""
+    shown = {*range(33, 127), *range(161, 173), *range(174, 256)}
+    rest = iter(range(256, 512))
+    return [chr(b if b in shown else next(rest)) for b in range(256)]
+
+
 class WordIds(dict):
-    """Token ids of words as little-endian 32-bit bytes; emptied when full.
+    """Token ids of words as little-endian 32-bit bytes.
 
     The tokenizer drops white space and never merges across it, so words can be encoded apart.
+    Words of Latin letters in composed form go straight to the merges, any other word to the whole
+    tokenizer. Memory is bounded: when full, it becomes the older half, whose entries come back on use.
     """
 
-    def __init__(self, path: str, most: int = 1 << 19):
+    def __init__(self, path: str, most: int = 1 << 18):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
+        import regex
         from tokenizers import Tokenizer
 
-        super().__init__({"": b""})
-        self.tokenizer, self.most = Tokenizer.from_file(path), most
-
-    def learn(self, words: set[str]) -> None:
-        import numpy as np
-
-        new = [w for w in words if w not in self]
-        if len(self) + len(new) > self.most:
+        super().__init__()
+        self.tokenizer, self.most, self.older = Tokenizer.from_file(path), most, {}
+        self.merged, self.letters = self.tokenizer.model.tokenize, byte_letters()
+        self.pieces, self.of_piece = regex.compile(PIECES).findall, {}
+
+    def piece(self, piece: str) -> bytes:
+        if (found := self.of_piece.get(piece)) is None:
+            if len(self.of_piece) >= self.most:
+                self.of_piece.clear()
+            text = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+            found = b"".join([t.id.to_bytes(4, "little") for t in self.merged(text)])
+            self.of_piece[piece] = found
+        return found
+
+    def __missing__(self, word: str) -> bytes:
+        if len(self) >= self.most:
+            self.older = dict(self)
             self.clear()
-            self[""] = b""
-            new = [w for w in words if w]
-        for k in range(0, len(new), 4096):
-            part = new[k : k + 4096]
-            for word, found in zip(part, self.tokenizer.encode_batch_fast(part, add_special_tokens=False)):
-                self[word] = np.array(found.ids, "<u4").tobytes()
-
-    def encode(self, texts: list[str]) -> list[bytes]:
-        split = [t.replace("\n", " ").replace("\t", " ").split(" ") for t in texts]
-        out = []
-        for words in split:
-            try:
-                out.append(b"".join(map(self.__getitem__, words)))
-            except KeyError:
-                self.learn(set(words))
-                out.append(b"".join(map(self.__getitem__, words)))
-        return out
+        if (found := self.older.get(word)) is None:
+            if "<|" not in word and (word.isascii() or (max(word) < "\u0250" and is_normalized("NFC", word))):
+                found = b"".join(map(self.piece, self.pieces(word.lower())))
+            else:
+                ids = self.tokenizer.encode(word, add_special_tokens=False).ids
+                found = b"".join([i.to_bytes(4, "little") for i in ids])
+        if len(word) <= 64:
+            self[word] = found
+        return found
+
+    def encode(self, text: str) -> bytes:
+        return b"".join(map(self.__getitem__, text.replace("\n", " ").replace("\t", " ").split(" ")))
 
 
 @lru_cache(maxsize=2)
@@ -153,7 +173,7 @@ def pack(
         for batch in batches:
             for k in range(0, batch.num_rows, 256):
                 part = batch.slice(k, 256)
-                found = [b + end for b in words.encode(part.column(1).to_pylist())]
+                found = [words.encode(t) + end for t in part.column(1).to_pylist()]
                 keys.append(part.column(0))
                 blobs += found
                 held += sum(map(len, found)) // 4

@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colophon.llm import bpe, cascade
+from colophon.llm import bpe, cascade, packing
 from colophon.llm.common import table
 
 #: Folder of the public vocabularies on every machine.
@@ -22,6 +22,11 @@ def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     return bpe.encode(docs, f"{TOKENIZERS}/byte_bpe_50k.tiktoken", BYTE_PATTERN, wanted)
 
 
+def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return packing.pack(docs, f"{TOKENIZERS}/word_bpe_49k.json")
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = cascade.measured_verdicts(docs)
@@ -42,6 +47,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
+    "op4_packing": op4_packing,
     "op10_quality_rules": op10_quality_rules,
 }
 
