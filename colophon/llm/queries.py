@@ -4,10 +4,10 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colophon.llm import bpe, cascade, chat, packing
+from colophon.llm import bpe, cascade, chat, packing, secrets
 from colophon.llm.common import table
 
 #: Folder of the public vocabularies on every machine.
@@ -35,6 +35,22 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_conversations(rows))
 
 
+def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    spans = F.col("secrets")
+
+    def count(kind: str) -> Column:
+        return F.size(F.filter(spans, lambda s: s["kind"] == kind)).cast("long").alias(f"n_{kind}")
+
+    base = F.filter(spans, lambda s: s["kind"].isin(*secrets.BASE_KINDS))
+    return found.select(
+        "doc_id",
+        *map(count, secrets.BASE_KINDS),
+        F.sha2(secrets.joined(base), 256).alias("base_sha256"),
+        secrets.joined(spans).alias("spans"),
+    )
+
+
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     judged = cascade.measured_verdicts(docs)
@@ -57,6 +73,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_packing": op4_packing,
     "op6_chat_formatting": op6_chat_formatting,
+    "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,
 }
 
