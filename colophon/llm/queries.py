@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colophon.llm import bpe, cascade, chat, packing, secrets
+from colophon.llm import bpe, cascade, chat, packing, pii, secrets
 from colophon.llm.common import table
 
 #: Folder of the public vocabularies on every machine.
@@ -35,6 +35,10 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     return chat.digests(chat.format_conversations(rows))
 
 
+def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
     spans = F.col("secrets")
@@ -73,6 +77,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_packing": op4_packing,
     "op6_chat_formatting": op6_chat_formatting,
+    "op7_pii": op7_pii,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,
 }
