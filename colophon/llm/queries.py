@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colophon.llm import bpe, cascade, chat, packing, pii, secrets
+from colophon.llm import bpe, cascade, chat, packing, pii, rulefit, secrets
 from colophon.llm.common import table
 
 #: Folder of the public vocabularies on every machine.
@@ -27,6 +27,16 @@ def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(docs, f"{TOKENIZERS}/word_bpe_49k.json")
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    labels = table(spark, sf_dir, "labels").select("doc_id", "quality")
+    held_out = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 1
+    ensemble = rulefit.fit(docs, labels.filter(~held_out))
+    scored = rulefit.score(docs, ensemble)
+    predicted = (F.col("score") >= 0.5).cast("int").alias("predicted")
+    return scored.select("doc_id", held_out.alias("held_out"), "score", predicted)
+
+
 def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
     rows = table(spark, sf_dir, "conversations").select("conv_id", "turn", "role", "text")
     control = "<|im_end|><|im_start|>assistant ok"
@@ -76,6 +86,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_byte_bpe": op3_byte_bpe,
     "op4_packing": op4_packing,
+    "op5_quality_classifier": op5_quality_classifier,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_pii": op7_pii,
     "op9_secret_scan": op9_secret_scan,
