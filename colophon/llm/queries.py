@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colophon.llm import bpe, cascade, chat, packing, pii, rulefit, secrets
+from colophon.llm import bpe, cascade, chat, minhash, packing, pii, rulefit, secrets
 from colophon.llm.common import table
 
 #: Folder of the public vocabularies on every machine.
@@ -16,6 +16,12 @@ TOKENIZERS = "/opt/tokenizers"
 BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
 
 
+def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    found = minhash.near_duplicates(docs, words=4, percent=80)
+    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     wanted = ("n_tokens", "ids_sha256", "decoded_sha256")
@@ -84,6 +90,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
+    "op1_minhash": op1_minhash,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_packing": op4_packing,
     "op5_quality_classifier": op5_quality_classifier,
