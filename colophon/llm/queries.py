@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colophon.llm import bpe, cascade, chat, minhash, packing, pii, rulefit, secrets
+from colophon.llm import bpe, cascade, chat, minhash, packing, pii, rulefit, secrets, suffix
 from colophon.llm.common import table
 
 #: Folder of the public vocabularies on every machine.
@@ -55,6 +55,11 @@ def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
     return pii.pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"))
 
 
+def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    return suffix.repeated_passages(docs, 50, ("n_bytes", "n_removed", "n_spans", "kept_sha256"))
+
+
 def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
     found = secrets.find_secrets(table(spark, sf_dir, "documents").select("doc_id", "text"))
     spans = F.col("secrets")
@@ -96,6 +101,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op5_quality_classifier": op5_quality_classifier,
     "op6_chat_formatting": op6_chat_formatting,
     "op7_pii": op7_pii,
+    "op8_suffix_dedup": op8_suffix_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,
 }
