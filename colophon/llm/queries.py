@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colophon.llm import bpe, cascade, chat, minhash, packing, pii, rulefit, secrets, suffix
+from colophon.llm import bpe, cascade, chat, minhash, packing, pii, pivots, rulefit, secrets, suffix
 from colophon.llm.common import table
 
 #: Folder of the public vocabularies on every machine.
@@ -22,6 +22,12 @@ def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
 
 
+def op2_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    found = pivots.near_duplicates(vectors, 0.95)
+    return found.withColumn("kept", F.col("vec_id") == F.col("component_id"))
+
+
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
     wanted = ("n_tokens", "ids_sha256", "decoded_sha256")
@@ -96,6 +102,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
+    "op2_pivot_index": op2_pivot_index,
     "op3_byte_bpe": op3_byte_bpe,
     "op4_packing": op4_packing,
     "op5_quality_classifier": op5_quality_classifier,
