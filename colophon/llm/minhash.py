@@ -14,8 +14,8 @@ to compare them all. Every pair that shares a band thus is linked, or compared,
 already. Pairs are compared on the full sets.
 
 Defined results: null and empty texts and texts without words have an empty set, which is linked
-with nothing; repeated rows (of one id) and equal texts are copies of each other; ids must not be
-null; the smallest id stands for a component; an empty table gives an empty result.
+with nothing; equal texts are copies of each other, and so are repeated rows (an id names
+one document); ids must not be null; the smallest id stands for a component; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -256,7 +256,10 @@ def near_duplicates(
 
 
 def deduplicate(docs: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
-    """One document of each component, that of the smallest id, with the columns of ``docs``."""
+    """One document of each component, that of the smallest id, with the columns of ``docs``.
+
+    Of rows with that id one stays.
+    """
     found = near_duplicates(docs, id_column=id_column, **options)
     kept = found.filter(F.col(id_column) == F.col("component_id")).select(id_column)
-    return docs.join(kept, id_column, "left_semi")
+    return docs.join(kept, id_column, "left_semi").dropDuplicates([id_column]).select(*[F.col(f"`{c}`") for c in docs.columns])

@@ -23,8 +23,8 @@ passages don't pile up in one task. There are no checkpoints; a lost executor's
 from the input or from shuffle files.
 
 Defined results: a null text counts as empty and returns as it was; texts shorter than ``length``
-are kept; rows with equal ids don't remove each other's bytes; ids must not be null; all columns
-stay but that of the text, which changes; an empty table gives an empty result.
+are kept; rows with equal ids don't remove each other's bytes; ids must not be null; only the
+id, the columns asked for and the outputs return; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -144,8 +144,10 @@ class Block:
     def __init__(self, rows, length: int):
         self.length = length
         ids = rows.column("id").to_numpy()
-        texts = [t or b"" for t in rows.column("data").to_pylist()]
+        found = rows.column("data").to_pylist()
+        texts = [t or b"" for t in found]
         self.order = sorted(range(len(texts)), key=lambda k: (ids[k], texts[k]))
+        self.null = [found[k] is None for k in self.order]
         self.ids = np.array([ids[k] for k in self.order], np.int64)
         self.texts = [texts[k] for k in self.order]
         sizes = np.fromiter(map(len, self.texts), np.int64, len(self.texts))
@@ -363,6 +365,7 @@ OUTPUTS = {
     "n_spans": "long",
     "kept_sha256": "string",
     "kept": "binary",
+    "kept_text": "string",
     "spans": "array<struct<start: long, end: long>>",
 }
 
@@ -377,6 +380,8 @@ def repeated_passages(
 ) -> DataFrame:
     """The id of every document, columns to ``carry`` along and any of ``OUTPUTS``.
 
+    ``kept_text`` leaves out characters of which only some bytes stay, and is null for a null text.
+
     ``length`` is at least 24. Blocks hold about ``BLOCK_BYTES``, so their number follows the input.
     """
     blocks = max(LEAST_BLOCKS, text_bytes(docs, f"`{text}`") // BLOCK_BYTES + 1)
@@ -399,7 +404,8 @@ def repeated_passages(
     sent = dealt.groupBy("block").cogroup(notes.groupBy("block")).applyInArrow(strings, STRINGS)
     spans = sent.groupBy("share").applyInArrow(lambda rows: order_share(blocks, rows, length), SPANS)
 
-    carried = [f"{k} {placed.schema[k].dataType.simpleString()}" for k in renamed]
+    extra = tuple(renamed)
+    carried = [f"{k} {placed.schema[k].dataType.simpleString()}" for k in extra]
     schema = ", ".join(["id long", *carried, *(f"{c} {OUTPUTS[c]}" for c in outputs)])
 
     def cut(rows, found):
@@ -410,7 +416,8 @@ def repeated_passages(
         for k, data in enumerate(held.texts):
             mine = gone.get(k, [])
             inner = [0, *(x for span in mine for x in span), len(data)]
-            kept = b"".join([data[a:b] for a, b in zip(inner[::2], inner[1::2])]) if mine else data
+            parts = [data[a:b] for a, b in zip(inner[::2], inner[1::2])] if mine else [data]
+            kept = b"".join(parts)
             for c in outputs:
                 made[c].append(
                     len(data)
@@ -423,12 +430,14 @@ def repeated_passages(
                     if c == "kept_sha256"
                     else kept
                     if c == "kept"
+                    else (None if held.null[k] else "".join([x.decode("utf-8", "ignore") for x in parts]))
+                    if c == "kept_text"
                     else [{"start": a, "end": b} for a, b in mine]
                 )
-        kinds = {"kept_sha256": pa.string(), "kept": pa.binary()}
+        kinds = {"kept_sha256": pa.string(), "kept": pa.binary(), "kept_text": pa.string()}
         kinds["spans"] = pa.list_(pa.struct([("start", pa.int64()), ("end", pa.int64())]))
         order = pa.array(held.order, pa.int64())
-        columns = {c: rows.column(c).take(order) for c in ("id", *renamed)}
+        columns = {c: rows.column(c).take(order) for c in ("id", *extra)}
         return pa.table(columns | {c: pa.array(made[c], kinds.get(c, pa.int64())) for c in outputs})
 
     out = dealt.groupBy("block").cogroup(spans.groupBy("block")).applyInArrow(cut, schema)
