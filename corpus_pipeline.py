@@ -1,19 +1,57 @@
-"""Corpus preparation: documents to packed training sequences."""
+"""Corpus preparation: documents to packed training sequences, in five stages."""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from colophon.llm import cascade
+from colophon.llm import cascade, minhash, packing, pii, suffix
+
+#: Tokenizer of the packing stage, at this path on every machine.
+TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
+COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
+
+
+def _documents(docs: DataFrame) -> DataFrame:
+    """``docs`` with ``n_chars`` of the text as it now is, in the columns of documents."""
+    return docs.withColumn("n_chars", F.char_length("text").cast("long")).select(*COLUMNS)
 
 
 def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents that no quality rule rejects."""
-    return cascade.quality_filter(docs)
+    return cascade.quality_filter(docs).select(*COLUMNS)
+
+
+def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The document of smallest id of each group of near-duplicates (five-word shingles, 0.8)."""
+    return minhash.deduplicate(docs).select(*COLUMNS)
+
+
+def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document without the passages of 50 bytes or more that a smaller id has."""
+    found = suffix.repeated_passages(docs, 50, ("kept_text",), carry=("lang", "source"))
+    return _documents(found.withColumnRenamed("kept_text", "text"))
+
+
+def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Every document with personal data replaced."""
+    return _documents(pii.pseudonymize(docs, counts=False))
+
+
+def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Pieces of documents in sequences of 2048 tokens."""
+    return packing.pack(docs, TOKENIZER)
 
 
-STAGES = [("quality rules", quality_rules)]
+STAGES = [
+    ("quality rules", quality_rules),
+    ("MinHash near-dedup", near_dedup),
+    ("suffix-array dedup", passage_dedup),
+    ("PII", pseudonyms),
+    ("packing", packed),
+]
 
+#: Links between documents and repeated bytes can't be put as SQL that ends; see tests/llm.
 ORACLE_SQL = None
 
 
