@@ -64,13 +64,21 @@ def match(rows: DataFrame, papers: DataFrame, threshold: float = 0.95, fuzzy: bo
     ).drop("query_id", "base_id", "score")
 
 
-def stubs(rows: DataFrame) -> DataFrame:
-    """Papers for records without a match: one for each DOI, else title, else accession number."""
-    new = rows.filter("match_id is null")
+def with_paper(found: DataFrame) -> DataFrame:
+    """Matched records with ``paper_id``; new ones share the stub of the first with their DOI, else title, else number."""
     key = F.coalesce(F.concat(F.lit("d:"), "doi"), F.concat(F.lit("t:"), "title_key"), F.concat(F.lit("a:"), "accession_number"))
-    new = first_of(new.withColumn("_key", key), ["_key"], ["ordinal"])
+    keyed = found.withColumn("_key", F.when(F.col("match_id").isNull(), key))
+    first = first_of(keyed.filter("_key is not null"), ["_key"], ["ordinal"])
+    first = first.select(F.col("_key").alias("_new"), stub_id(F.col("accession_number"), F.col("title")).alias("_stub"))
+    out = keyed.join(first, F.col("_key") == F.col("_new"), "left")
+    return out.withColumn("paper_id", F.coalesce("match_id", "_stub")).drop("_key", "_new", "_stub")
+
+
+def stubs(named: DataFrame) -> DataFrame:
+    """Papers for records without a match, from ``with_paper``."""
+    new = first_of(named.filter("match_id is null and paper_id is not null"), ["paper_id"], ["ordinal"])
     return new.select(
-        stub_id(F.col("accession_number"), F.col("title")).alias("id"),
+        F.col("paper_id").alias("id"),
         "doi",
         F.coalesce("title", F.lit("Untitled")).alias("title"),
         F.col("year").alias("publication_year"),
@@ -86,9 +94,9 @@ def stubs(rows: DataFrame) -> DataFrame:
 
 def overlay(papers: DataFrame, contributions: DataFrame, rows: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
     """Papers and contributions with a sheet's records: flags, stubs, and a marker for each country."""
-    found = match(rows, papers, **options)
+    found = with_paper(match(rows, papers, **options))
     hits = found.filter("match_id is not null").select(
-        "match_id",
+        F.col("match_id").alias("id"),
         F.col("top_1").alias("is_top_1_percent"),
         F.col("top_10").alias("is_top_10_percent"),
         F.lit(True).alias("from_wos"),
@@ -96,10 +104,9 @@ def overlay(papers: DataFrame, contributions: DataFrame, rows: DataFrame, **opti
         "ordinal",
     )
     flags = ["is_top_1_percent", "is_top_10_percent", "from_wos"]
-    marked = merge_flags(papers, hits, "match_id", flags, ["wos_accession_number"], "ordinal")
-    out = insert_absent(marked, stubs(found).dropDuplicates(["id"]), ["id"])
-    paper = F.coalesce("match_id", stub_id(F.col("accession_number"), F.col("title")))
-    wanted = found.filter("country_code is not null").select(paper.alias("paper_id"), "country_code").distinct()
+    marked = merge_flags(papers, hits, "id", flags, ["wos_accession_number"], "ordinal")
+    out = insert_absent(marked, stubs(found), ["id"])
+    wanted = found.filter("country_code is not null and paper_id is not null").select("paper_id", "country_code").distinct()
     there = contributions.filter("source = 'wos'").select("paper_id", "country_code")
     new = wanted.join(there, ["paper_id", "country_code"], "left_anti").withColumn("source", F.lit("wos"))
     return out, contributions.unionByName(new, allowMissingColumns=True)

@@ -43,7 +43,8 @@ def sql_values(values: list[tuple]) -> str:
     return ", ".join("(" + ", ".join(map(one, v)) + ")" for v in values)
 
 
-RETURNED = F.coalesce(F.col("l_returnflag") == "R", F.lit(False))
+def returned() -> Column:
+    return F.coalesce(F.col("l_returnflag") == "R", F.lit(False))
 
 
 @query("""
@@ -54,7 +55,7 @@ SELECT bucket, count(*) AS papers FROM (
     FROM lineitem GROUP BY l_orderkey) WHERE missing > 0 AND filled > 0)
 GROUP BY bucket""")
 def coverage_buckets(spark, sf_dir):
-    return coverage.partial_buckets(table(spark, sf_dir, "lineitem"), "l_orderkey", RETURNED)
+    return coverage.partial_buckets(table(spark, sf_dir, "lineitem"), "l_orderkey", returned())
 
 
 @query("""
@@ -304,7 +305,7 @@ LEFT JOIN (SELECT l_orderkey, bool_or(l_returnflag = 'R') AS r, arg_min(l_linest
 def flag_or_merge(spark, sf_dir):
     at = F.struct("l_linenumber", "l_partkey", "l_suppkey", "l_linestatus").alias("at")
     seen = table(spark, sf_dir, "lineitem").select(
-        "l_orderkey", RETURNED.alias("returned"), F.col("l_linestatus").alias("first_mode"), at
+        "l_orderkey", returned().alias("returned"), F.col("l_linestatus").alias("first_mode"), at
     )
     orders = table(spark, sf_dir, "orders").select(
         "o_orderkey", "o_orderpriority", F.lit(False).alias("returned"), F.lit(None).cast("string").alias("first_mode")

@@ -4,10 +4,8 @@ from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
-from pyspark.sql.types import StructType
 
-_NAMED = "struct<id: string, display_name: string>"
-WORK = StructType.fromDDL(
+WORK = (
     "id string, doi string, title string, type string, publication_year int, publication_date string,"
     " updated_date string, primary_location struct<source: struct<display_name: string, issn_l: string,"
     " is_core: boolean, host_organization_name: string>, pdf_url: string>,"

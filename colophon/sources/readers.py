@@ -15,6 +15,7 @@ from colophon.schemas import WORK
 ENCODINGS = ("utf-8", "utf-8-sig", "windows-1252", "iso8859-1")
 ZIP_MAGIC, OLE_MAGIC = b"PK\x03\x04", b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1"
 BYTES_PER_RECORD = 8700
+SAMPLE = 4096
 
 
 def works(spark: SparkSession, path: str) -> DataFrame:
@@ -53,7 +54,7 @@ def setting_lines(text: str) -> list[str]:
     return [line.strip() for line in text.splitlines() if line.strip() and not line.strip().startswith("#")]
 
 
-def head(spark: SparkSession, path: str, size: int = 4096) -> bytes:
+def head(spark: SparkSession, path: str, size: int = SAMPLE) -> bytes:
     """First bytes of a file, wherever Spark can read it."""
     row = spark.read.format("binaryFile").load(path).select(F.substring("content", 1, size).alias("c")).first()
     return bytes(row["c"]) if row else b""
@@ -65,7 +66,7 @@ def encoding_of(sample: bytes) -> str:
             sample.decode(name)
             return name
         except UnicodeDecodeError as error:
-            if name.startswith("utf-8") and error.start >= len(sample) - 3:
+            if name.startswith("utf-8") and len(sample) >= SAMPLE and error.start >= len(sample) - 3:
                 return name  # a character cut off by the sample's end
     return ENCODINGS[-1]
 
