@@ -30,26 +30,32 @@ def _count(pattern: str) -> Column:
     return F.char_length(F.regexp_replace("_scored", f"[^{pattern}]+", ""))
 
 
-#: Statistics by name, over the text and the measures of the rule cascade.
-STATISTICS: dict[str, Column] = {
-    "words": F.log1p(F.col("n_words").cast("double")),
-    "word_length": F.col("word_chars") / F.greatest(F.col("n_words"), F.lit(1)),
-    "symbols": F.col("n_symbols") / F.greatest(F.col("word_chars"), F.lit(1)),
-    "upper": _count(r"\p{Lu}") / F.greatest(F.col("word_chars"), F.lit(1)),
-    "digits": _count("0-9") / F.greatest(F.col("word_chars"), F.lit(1)),
-    "marks": _count("!?") / F.greatest(F.col("n_words"), F.lit(1)),
-    "stops": _count(".,;:") / F.greatest(F.col("n_words"), F.lit(1)),
-    "line_words": F.col("n_words") / F.greatest(F.col("n_lines"), F.lit(1)),
-    "dup_lines": F.col("n_dup_lines") / F.greatest(F.col("n_lines"), F.lit(1)),
-    "repeats": F.col("n_repeat_words") / F.greatest(F.col("n_words"), F.lit(1)),
-}
-NAMES = tuple(STATISTICS)
+def statistics() -> dict[str, Column]:
+    """Statistics by name, over the text and the measures of the rule cascade."""
+    chars, words = F.greatest(F.col("word_chars"), F.lit(1)), F.greatest(F.col("n_words"), F.lit(1))
+    lines = F.greatest(F.col("n_lines"), F.lit(1))
+    return {
+        "words": F.log1p(F.col("n_words").cast("double")),
+        "word_length": F.col("word_chars") / words,
+        "symbols": F.col("n_symbols") / chars,
+        "upper": _count(r"\p{Lu}") / chars,
+        "digits": _count("0-9") / chars,
+        "marks": _count("!?") / words,
+        "stops": _count(".,;:") / words,
+        "line_words": F.col("n_words") / lines,
+        "dup_lines": F.col("n_dup_lines") / lines,
+        "repeats": F.col("n_repeat_words") / words,
+    }
+
+
+NAMES = ("words", "word_length", "symbols", "upper", "digits", "marks", "stops", "line_words", "dup_lines", "repeats")
 
 
 def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with the statistics in a struct ``_stats``."""
     measured = cascade.with_measures(docs.withColumn("_scored", F.coalesce(F.col(f"`{text}`"), F.lit(""))), "_scored")
-    stats = F.struct(*[STATISTICS[k].cast("double").alias(k) for k in NAMES])
+    found = statistics()
+    stats = F.struct(*[found[k].cast("double").alias(k) for k in NAMES])
     return measured.withColumn("_stats", stats).drop("_scored", *(set(cascade.MEASURES) - set(docs.columns)))
 
 
