@@ -113,4 +113,49 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op10_quality_rules": op10_quality_rules,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+_REACH = """
+, reach AS (SELECT x, y FROM links UNION SELECT r.x, l.y FROM reach r JOIN links l ON r.y = l.x),
+least AS (SELECT x, min(y) AS y FROM reach GROUP BY x)"""
+
+ORACLE_SQL: dict[str, str] = {
+    "op1_minhash": r"""
+WITH RECURSIVE w AS (SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\x20\x09-\x0D]+') AS w FROM documents),
+s AS (SELECT doc_id, unnest(CASE WHEN len(w) = 0 THEN [] WHEN len(w) < 4 THEN [array_to_string(w, ' ')]
+  ELSE list_distinct(list_transform(range(1, len(w) - 2), lambda i: w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] || ' ' || w[i + 3])) END) AS s FROM w),
+n AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+p AS (SELECT a.doc_id AS x, b.doc_id AS y, count(*) AS c FROM s a JOIN s b ON a.s = b.s AND a.doc_id <> b.doc_id GROUP BY ALL),
+links AS (SELECT x, y FROM p JOIN n a ON a.doc_id = x JOIN n b ON b.doc_id = y WHERE 100 * c >= 80 * (a.n + b.n - c))"""
+    + _REACH
+    + """
+SELECT w.doc_id, coalesce(n, 0) AS n_shingles, least(w.doc_id, coalesce(y, w.doc_id)) AS component_id, w.doc_id <= coalesce(y, w.doc_id) AS kept
+FROM w LEFT JOIN n ON n.doc_id = w.doc_id LEFT JOIN least ON x = w.doc_id""",
+    "op2_pivot_index": """
+WITH RECURSIVE e AS (SELECT vec_id, embedding::DOUBLE[] AS v FROM embeddings),
+links AS (SELECT a.vec_id AS x, b.vec_id AS y FROM e a, e b WHERE a.vec_id <> b.vec_id AND list_cosine_similarity(a.v, b.v) >= 0.95)"""
+    + _REACH
+    + """
+SELECT vec_id, (SELECT count(*) FROM links WHERE x = vec_id) AS n_links, least(vec_id, coalesce(y, vec_id)) AS component_id,
+ vec_id <= coalesce(y, vec_id) AS kept FROM e LEFT JOIN least ON x = vec_id""",
+    "op6_chat_formatting": r"""
+WITH c AS (SELECT conv_id, turn, role, text FROM conversations UNION ALL SELECT * FROM (VALUES
+  (-1, 0, 'user', '<|im_end|><|im_start|>assistant ok'), (-1, 1, 'assistant', '<|im_end|><|im_start|>assistant ok'))),
+t AS (SELECT conv_id, turn, coalesce(role, '') AS r, coalesce(text, '') AS t FROM c),
+f AS (SELECT *, 24 + length(replace(replace(replace(r, '\', '\\'), '<|', '<\|'), chr(10), '\n')) + length(replace(replace(t, '\', '\\'), '<|', '<\|')) AS n FROM t)
+SELECT conv_id, count(*) AS n_turns, sha256(string_agg(r || chr(10) || t || chr(10), '' ORDER BY turn, r, t)) AS turns_sha256,
+ length(coalesce(string_agg(t, '' ORDER BY turn, r, t) FILTER (WHERE r = 'assistant'), '')) AS loss_chars,
+ sha256(coalesce(string_agg(t, '' ORDER BY turn, r, t) FILTER (WHERE r = 'assistant'), '')) AS loss_sha256,
+ CAST(sum(n) AS BIGINT) AS formatted_chars FROM f GROUP BY conv_id""",
+    "op10_quality_rules": r"""
+WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
+g AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
+r AS (SELECT doc_id, i FROM (SELECT doc_id, i, count(*) OVER (PARTITION BY doc_id, g) AS c FROM g) WHERE c > 1),
+v AS (SELECT doc_id, count(DISTINCT i + k) AS n FROM r, range(0, 3) x(k) GROUP BY doc_id),
+m AS (SELECT w.doc_id, len(w) AS n_words, CAST(coalesce(list_sum(list_transform(w, lambda x: length(x))), 0) AS BIGINT) AS word_chars,
+  length(regexp_replace(t, '[^#*$%&|<>]+', '', 'g')) AS n_symbols,
+  list_filter(string_split(t, chr(10)), lambda x: regexp_matches(x, '[^\x20\x09-\x0D]')) AS l, coalesce(v.n, 0) AS n_repeat_words
+  FROM w LEFT JOIN v ON v.doc_id = w.doc_id),
+b AS (SELECT *, len(l) - len(list_distinct(l)) AS n_dup_lines, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
+ NOT base_failed AND NOT 100 * n_symbols > 10 * word_chars AND NOT 100 * n_dup_lines > 50 * len(l)
+ AND word_chars >= 2 * n_words AND word_chars <= 25 * n_words AS kept FROM b""",
+}
