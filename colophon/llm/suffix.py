@@ -11,6 +11,7 @@ Repetitive text costs as much as its dictionary.
 The corpus is spread over blocks of documents, and strings are dealt out by content: of the
 rolling hashes inside a string the least one is its anchor, so equal strings have equal anchors.
 
+0. A document with the text of a smaller id goes whole, and takes no part in what follows.
 1. Every block reports its anchors; those of one document only need no further look.
 2. Every block orders the strings at the other anchors and keeps the first document of each. What
    later documents of the block repeat is removed; the first one's strings go, by anchor, on.
@@ -29,7 +30,7 @@ id, the columns asked for and the outputs return; an empty table gives an empty
 
 from __future__ import annotations
 
-from hashlib import sha256
+from hashlib import md5, sha256
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -139,9 +140,12 @@ def corpus_ranks(data: np.ndarray, begins: np.ndarray, counts: np.ndarray, lengt
 
 
 class Block:
-    """The documents of a block in order of id, then text, as one run of bytes."""
+    """The documents of a block in order of id, then text, as one run of bytes.
 
-    def __init__(self, rows, length: int):
+    ``notes`` names documents that are copies, as rows with ``id`` and ``digest``; their bytes are left out.
+    """
+
+    def __init__(self, rows, length: int, notes=None):
         self.length = length
         ids = rows.column("id").to_numpy()
         found = rows.column("data").to_pylist()
@@ -150,6 +154,14 @@ class Block:
         self.null = [found[k] is None for k in self.order]
         self.ids = np.array([ids[k] for k in self.order], np.int64)
         self.texts = [texts[k] for k in self.order]
+        self.copies: list[tuple[int, int]] = []
+        if notes is not None:
+            named = {(i, d) for i, d in zip(notes.column("id").to_pylist(), notes.column("digest").to_pylist()) if d}
+            known = {i for i, _ in named}
+            for k, (i, text) in enumerate(zip(self.ids.tolist(), self.texts)):
+                if i in known and (i, md5(text).hexdigest()) in named:
+                    self.copies.append((k, len(text)))
+                    self.texts[k] = b""
         sizes = np.fromiter(map(len, self.texts), np.int64, len(self.texts))
         self.ends = np.cumsum(sizes)
         self.starts = self.ends - sizes
@@ -187,7 +199,7 @@ def _blob(values: np.ndarray) -> bytes:
 
 
 ANCHORS = "share long, block long, anchors binary"
-NOTES = "block long, shared binary"
+NOTES = "block long, shared binary, id long, digest string"
 STRINGS = "share long, block long, ids binary, rows binary, starts binary, counts binary, data binary"
 SPANS = "block long, rows binary, starts binary, ends binary"
 
@@ -196,7 +208,7 @@ def _table(schema: str, rows: list[tuple]):
     import pyarrow as pa
 
     fields = [f.split() for f in schema.split(", ")]
-    kinds = {"long": pa.int64(), "binary": pa.binary()}
+    kinds = {"long": pa.int64(), "binary": pa.binary(), "string": pa.string()}
     columns = list(zip(*rows)) if rows else [()] * len(fields)
     return pa.table({name: pa.array(list(c), kinds[kind]) for (name, kind), c in zip(fields, columns)})
 
@@ -210,9 +222,9 @@ def _dealt(keys: np.ndarray, shares: int):
         yield int(share[order[a]]), order[a:b]
 
 
-def report_anchors(block: int, rows, length: int, shares: int):
+def report_anchors(block: int, rows, notes, length: int, shares: int):
     """Stage 1: distinct anchors; the lowest bit says whether two documents of the block have it."""
-    held = Block(rows, length)
+    held = Block(rows, length, notes)
     _, _, anchors, at = held.all_runs()
     ids = held.ids[at] if len(at) else at
     order = np.lexsort((ids, anchors))
@@ -244,7 +256,7 @@ def match_anchors(rows):
     marked, owner = (plain | far.astype(np.uint64))[take], owner[take]
     order = np.argsort(owner, kind="stable")
     marked, edges = marked[order], np.searchsorted(owner[order], np.arange(len(parts) + 1))
-    made = [(blocks[k], _blob(marked[edges[k] : edges[k + 1]])) for k in range(len(parts)) if edges[k] < edges[k + 1]]
+    made = [(blocks[k], _blob(marked[edges[k] : edges[k + 1]]), None, None) for k in range(len(parts)) if edges[k] < edges[k + 1]]
     return _table(NOTES, made)
 
 
@@ -260,20 +272,30 @@ def _removed(places: np.ndarray, rows: np.ndarray, gone: np.ndarray, length: int
     return rows[at], places[at], places[last] + length
 
 
+def _spans_row(share: int, block: int, row: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple:
+    return (share, block, b"", *(_blob(x.astype(np.int32)) for x in (row, start, end)), b"")
+
+
 def order_block(block: int, rows, notes, length: int, shares: int):
     """Stage 2: spans to remove inside the block, and the first document's strings by anchor."""
-    marks = [np.frombuffer(b, np.uint64) for b in notes.column("shared").to_pylist()]
-    if not rows.num_rows or not marks:
+    if not rows.num_rows:
         return _table(STRINGS, [])
+    held = Block(rows, length, notes)
+    out = []
+    if whole := [(k, n) for k, n in held.copies if n >= length]:
+        row, end = np.array(whole, np.int64).T
+        out.append(_spans_row(shares + block, block, row, np.zeros_like(row), end))
+    marks = [np.frombuffer(b, np.uint64) for b in notes.column("shared").to_pylist() if b is not None]
+    if not marks:
+        return _table(STRINGS, out)
     shared = np.sort(np.concatenate(marks))
-    held = Block(rows, length)
     places, counts, anchors, at = held.all_runs()
     where = np.minimum(np.searchsorted(shared, anchors), len(shared) - 1)
     hit = (shared[where] & ~np.uint64(1)) == anchors
     places, counts, anchors, at = places[hit], counts[hit], anchors[hit], at[hit]
     far = (shared[where[hit]] & np.uint64(1)) > 0
     if not len(places):
-        return _table(STRINGS, [])
+        return _table(STRINGS, out)
     # neighbouring runs of a document form a segment
     new = np.ones(len(places), bool)
     new[1:] = (places[1:] != places[:-1] + counts[:-1]) | (at[1:] != at[:-1])
@@ -289,9 +311,8 @@ def order_block(block: int, rows, notes, length: int, shares: int):
     gone = held.ids[string_row] > least[ranks]
     local = string_at - held.starts[string_row]
     row, start, end = _removed(local, string_row, gone, length)
-    out = []
     if len(row):
-        out.append((shares + block, block, b"", _blob(row), _blob(start), _blob(end), b""))
+        out.append(_spans_row(shares + block, block, row, start, end))
     send = np.flatnonzero(~gone & np.repeat(far, counts))
     if len(send):
         key = np.repeat(anchors, counts)[send]
@@ -305,7 +326,8 @@ def order_block(block: int, rows, notes, length: int, shares: int):
             h = head[k]
             data = whole[_ranges(string_at[h], n[k] + length - 1)]
             row = string_row[h]
-            out.append((share, block, _blob(held.ids[row]), _blob(row), _blob(local[h]), _blob(n[k]), _blob(data)))
+            small = (_blob(x.astype(np.int32)) for x in (row, local[h], n[k]))
+            out.append((share, block, _blob(held.ids[row]), *small, _blob(data)))
     return _table(STRINGS, out)
 
 
@@ -314,8 +336,9 @@ def order_share(shares: int, rows, length: int):
     lists = {c: rows.column(c).to_pylist() for c in ("share", "block", "ids", "rows", "starts", "counts", "data")}
     if lists["share"][0] >= shares:  # a block's own spans pass
         return _table(SPANS, list(zip(lists["block"], lists["rows"], lists["starts"], lists["counts"])))
-    ids, row, start, n = (
-        np.concatenate([np.frombuffer(b, np.int64) for b in lists[c]]) for c in ("ids", "rows", "starts", "counts")
+    ids = np.concatenate([np.frombuffer(b, np.int64) for b in lists["ids"]])
+    row, start, n = (
+        np.concatenate([np.frombuffer(b, np.int32) for b in lists[c]]).astype(np.int64) for c in ("rows", "starts", "counts")
     )
     block = np.repeat(lists["block"], [len(b) // 8 for b in lists["ids"]])
     text = np.frombuffer(b"".join(lists["data"]), np.uint8)
@@ -329,7 +352,7 @@ def order_share(shares: int, rows, length: int):
     piece, first, end = piece[order], first[order], end[order]
     edges = np.flatnonzero(np.diff(block[piece], prepend=-1, append=-1)) if len(piece) else np.zeros(0, np.int64)
     made = [
-        (int(block[piece[a]]), _blob(row[piece[a:b]]), _blob(first[a:b]), _blob(end[a:b]))
+        (int(block[piece[a]]), *(_blob(x[a:b].astype(np.int32)) for x in (row[piece], first, end)))
         for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())
     ]
     return _table(SPANS, made)
@@ -351,7 +374,8 @@ def spans_of(rows, spans, length: int):
     if not spans.num_rows:
         return held, {}
     row, start, end = (
-        np.concatenate([np.frombuffer(b, np.int64) for b in spans.column(c).to_pylist()]) for c in ("rows", "starts", "ends")
+        np.concatenate([np.frombuffer(b, np.int32) for b in spans.column(c).to_pylist()]).astype(np.int64)
+        for c in ("rows", "starts", "ends")
     )
     order = np.argsort(row, kind="stable")
     row, start, end = row[order], start[order], end[order]
@@ -387,20 +411,27 @@ def repeated_passages(
     blocks = max(LEAST_BLOCKS, text_bytes(docs, f"`{text}`") // BLOCK_BYTES + 1)
     renamed = {f"x{k}": F.col(f"`{c}`") for k, c in enumerate(carry)}
     placed = docs.select(
-        F.pmod(F.xxhash64(F.col(f"`{id_column}`")), F.lit(blocks)).alias("block"),
+        F.pmod(F.xxhash64(F.col(f"`{id_column}`").cast("long")), F.lit(blocks)).alias("block"),
         F.col(f"`{id_column}`").cast("long").alias("id"),
         F.encode(F.col(f"`{text}`"), "UTF-8").alias("data"),
         *[c.alias(k) for k, c in renamed.items()],
     )
     dealt = placed.repartition(blocks, "block")  # one exchange, read three times
 
-    def anchors(key, rows):
-        return report_anchors(key[0].as_py(), rows, length, blocks)
+    marked = placed.filter(F.octet_length("data") >= length).select("id", F.md5("data").alias("digest"))
+    firsts = marked.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    copies = marked.join(firsts, "digest").filter("id > first").select(
+        F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"), F.lit(None).cast("binary").alias("shared"), F.col("id").alias("id"), "digest"
+    )
+
+    def anchors(key, rows, notes):
+        return report_anchors(key[0].as_py(), rows, notes, length, blocks)
 
     def strings(key, rows, notes):
         return order_block(key[0].as_py(), rows, notes, length, blocks)
 
-    notes = dealt.groupBy("block").applyInArrow(anchors, ANCHORS).groupBy("share").applyInArrow(match_anchors, NOTES)
+    found = dealt.groupBy("block").cogroup(copies.groupBy("block")).applyInArrow(anchors, ANCHORS)
+    notes = found.groupBy("share").applyInArrow(match_anchors, NOTES).unionByName(copies)
     sent = dealt.groupBy("block").cogroup(notes.groupBy("block")).applyInArrow(strings, STRINGS)
     spans = sent.groupBy("share").applyInArrow(lambda rows: order_share(blocks, rows, length), SPANS)
 
