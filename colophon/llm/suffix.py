@@ -24,8 +24,8 @@ passages don't pile up in one task. There are no checkpoints; a lost executor's
 from the input or from shuffle files.
 
 Defined results: a null text counts as empty and returns as it was; texts shorter than ``length``
-are kept; rows with equal ids don't remove each other's bytes; ids must not be null; only the
-id, the columns asked for and the outputs return; an empty table gives an empty result.
+are kept; rows with equal ids don't remove each other's bytes; a null id comes before all
+others; only the id, the columns asked for and the outputs return; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -45,6 +45,7 @@ _BASE = 0xD6E8FEB86659FD93
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
 BLOCK_BYTES = 4 << 20
 LEAST_BLOCKS = 64
+NULL_ID = -(1 << 63)
 
 
 def _mixed(x: np.ndarray) -> np.ndarray:
@@ -147,7 +148,7 @@ class Block:
 
     def __init__(self, rows, length: int, notes=None):
         self.length = length
-        ids = rows.column("id").to_numpy()
+        ids = rows.column("id").fill_null(NULL_ID).to_numpy()
         found = rows.column("data").to_pylist()
         texts = [t or b"" for t in found]
         self.order = sorted(range(len(texts)), key=lambda k: (ids[k], texts[k]))

@@ -83,6 +83,12 @@ def test_parsing_gives_the_same_classes():
     assert len(classes) == len(set(strings))
 
 
+def test_null_ids_come_first(spark):
+    docs = spark.createDataFrame([(None, "q" * 90), (None, "q" * 70), (3, "q" * 80)], "doc_id long, text string")
+    found = suffix.repeated_passages(docs, 50, ("n_bytes", "n_removed")).collect()
+    assert sorted(map(tuple, found), key=str) == [(3, 80, 80), (None, 70, 0), (None, 90, 0)]
+
+
 def test_merged_spans():
     assert suffix.merged(np.array([5, 0, 9]), np.array([9, 3, 12])) == [(0, 3), (5, 12)]
 
