@@ -11,7 +11,7 @@ from colophon.operators.matching import align_authors, align_positions
 
 CROSSREF = "struct<message: struct<author: array<struct<ORCID: string, given: string, family: string, affiliation: array<struct<name: string>>>>>>"
 SCHOLAR = "struct<authors: array<struct<name: string, affiliations: array<string>>>>"
-PDF_SOURCES = ("unpaywall", "openalex", "arxiv")
+PDF_SOURCES = ("unpaywall", "catalog", "arxiv")
 
 
 def orcid_key(x: Column) -> Column:
@@ -60,7 +60,7 @@ def from_scholar(contributions: DataFrame, payloads: DataFrame) -> tuple[DataFra
 
 
 def pdf_url(sources: tuple[str, ...] = PDF_SOURCES) -> Column:
-    """First URL, in the order of sources, over columns doi, unpaywall and openalex (payload structs)."""
+    """First URL, in the order of sources, over columns doi, unpaywall and catalog (payload structs)."""
     if not sources or not set(sources) <= set(PDF_SOURCES):
         raise ValueError(f"sources are {', '.join(PDF_SOURCES)}")
 
@@ -69,8 +69,8 @@ def pdf_url(sources: tuple[str, ...] = PDF_SOURCES) -> Column:
 
     of = {
         "unpaywall": F.coalesce("unpaywall.best_oa_location.url_for_pdf", first("unpaywall.oa_locations", "url_for_pdf")),
-        "openalex": F.coalesce(
-            "openalex.best_oa_location.pdf_url", "openalex.primary_location.pdf_url", first("openalex.locations", "pdf_url")
+        "catalog": F.coalesce(
+            "catalog.best_oa_location.pdf_url", "catalog.primary_location.pdf_url", first("catalog.locations", "pdf_url")
         ),
         "arxiv": arxiv_pdf_url(F.col("doi")),
     }

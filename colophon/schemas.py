@@ -39,8 +39,8 @@ TABLES = {
     " matched_terms string, raw_affiliation_string string, source string, confidence double, stage string",
 }
 LATER_COLUMNS = {
-    "papers": {"from_wos": "false", "wos_accession_number": "cast(null as string)", "source": "'openalex'"},
-    "contributions": {"source": "'openalex'"},
+    "papers": {"from_wos": "false", "wos_accession_number": "cast(null as string)", "source": "'catalog'"},
+    "contributions": {"source": "'catalog'"},
     "institutions": {"is_synthetic": "false"},
 }
 
