@@ -7,11 +7,12 @@ the rounds picks random bins, the second half sends every shingle to the round's
 bins are filled. Two documents agree in a bin with the probability of their Jaccard similarity.
 With 24 bands of 4 rows a pair at 0.8 shares a band but for 3 in a million.
 
-Documents of one shingle set are one class, so exact copies meet once. Within a band's bucket all
-members are held against the smallest one; then, as components form, only members of different
-components are still compared, in rounds that choose new leaders, until few enough pairs are left
-to compare them all. Every pair that shares a band thus is linked, or compared, or connected
-already. Pairs are compared on the full sets.
+Documents of one shingle set are one class, so exact copies meet once, and buckets of the same
+members are one. Within a bucket all members are held against a central one; then, as
+components form, only members of different components are still compared, in rounds that choose
+new leaders, until few enough pairs are left to compare them all. Every pair that shares a band
+thus is linked, or compared, or connected already. A pair whose sketches agree in less than 56 of the
+96 bins is over five standard deviations from 0.8 and goes; all others are compared on the full sets.
 
 Defined results: null and empty texts and texts without words have an empty set, which is linked
 with nothing; equal texts are copies of each other, and so are repeated rows (an id names
@@ -137,21 +138,27 @@ def band_keys(values: np.ndarray, bands: int) -> np.ndarray:
 
 
 def signatures(docs: DataFrame, words: int, bands: int, rows: int) -> DataFrame:
-    """``(id, n, class, keys)``; the class names the shingle set and is null for the empty one."""
+    """``(id, n, class, keys, bins)``; the class names the shingle set and is null for the empty one.
+
+    ``bins`` has 16 bits of each bin's value.
+    """
 
     def run(batches: Iterator) -> Iterator:
         import pyarrow as pa
 
         for batch in batches:
-            sizes, classes, keys = [], [], []
+            sizes, classes, keys, bins = [], [], [], []
             for shingles in shingle_sets(batch.column(1), words):
                 sizes.append(len(shingles))
                 classes.append(blake2b(shingles.tobytes(), digest_size=16).digest() if len(shingles) else None)
-                keys.append(band_keys(sketch(shingles, bands * rows), bands) if len(shingles) else None)
-            columns = [pa.array(sizes, pa.int64()), pa.array(classes, pa.binary()), pa.array(keys, pa.list_(pa.int64()))]
-            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", "n", "class", "keys"])
+                values = sketch(shingles, bands * rows) if len(shingles) else None
+                keys.append(None if values is None else band_keys(values, bands))
+                bins.append(None if values is None else mixed(values).astype(np.uint16).view(np.int16))
+            columns = [pa.array(sizes, pa.int64()), pa.array(classes, pa.binary())]
+            columns += [pa.array(keys, pa.list_(pa.int64())), pa.array(bins, pa.list_(pa.int16()))]
+            yield pa.RecordBatch.from_arrays([batch.column(0), *columns], ["id", "n", "class", "keys", "bins"])
 
-    return docs.mapInArrow(run, "id long, n long, class binary, keys array<long>")
+    return docs.mapInArrow(run, "id long, n long, class binary, keys array<long>, bins array<smallint>")
 
 
 def sets_of(docs: DataFrame, words: int) -> DataFrame:
@@ -167,14 +174,53 @@ def sets_of(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, shingles array<long>")
 
 
-def verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+#: Share of bins in which the sketches of a pair at 0.8 agree but for less than one in a million.
+SKETCH_PERCENT = 58
+#: Up to so many ids (eight bytes each) are broadcast; more are joined by shuffling the texts.
+BROADCAST_IDS = 1 << 20
+
+
+def only_ids(texts: DataFrame, ids: DataFrame) -> DataFrame:
+    """Texts of the ``ids``, which are distinct and checkpointed."""
+    small = ids.count() <= BROADCAST_IDS
+    return texts.join(F.broadcast(ids) if small else ids, "id", "left_semi")
+
+
+def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
     """``(a, b, linked)``: whether the Jaccard similarity of the full sets is ``percent`` or more."""
-    right = sets.select(F.col("id").alias("b"), F.col("shingles").alias("of_b"))
-    left = sets.select(F.col("id").alias("a"), F.col("shingles").alias("of_a"))
-    both = pairs.join(right, "b").join(left, "a")
+    for end in "ab":
+        pairs = pairs.join(nodes.select(F.col("rep").alias(end), F.col("n").alias(f"n_{end}"), F.col("bins").alias(f"of_{end}")), end)
+    agree = F.size(F.filter(F.zip_with("of_a", "of_b", lambda x, y: x == y), lambda same: same))
+    bound = SKETCH_PERCENT * percent / 80
+    likely = (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (100 * agree >= bound * F.size("of_a"))
+    judged = pairs.select("a", "b", likely.alias("likely")).checkpoint()
+    near = judged.filter("likely").select("a", "b")
+    ids = near.select(F.explode(F.array("a", "b")).alias("id")).distinct().checkpoint()
+    sets = sets_of(only_ids(texts, ids), words).checkpoint()
+    both = near.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("of_b")), "b")
+    both = both.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("of_a")), "a")
     common = F.size(F.array_intersect("of_a", "of_b"))
     union = F.size("of_a") + F.size("of_b") - common
-    return both.select("a", "b", (100 * common >= percent * union).alias("linked"))
+    linked = both.select("a", "b", (100 * common >= percent * union).alias("linked"))
+    return linked.unionByName(judged.filter("not likely").select("a", "b", F.lit(False).alias("linked"))).checkpoint()
+
+
+def shared_buckets(entries: DataFrame) -> DataFrame:
+    """``(key, rep, size, times)`` of buckets with two members or more, once for each set of members."""
+    buckets = entries.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("rep")).alias("set"))
+    buckets = buckets.filter("size > 1").groupBy("size", "set").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("times"))
+    return entries.join(buckets.select("key", "size", "times"), "key")
+
+
+def leaders(members: DataFrame) -> DataFrame:
+    """``(key, lead)``: of a bucket the member that meets most others in all its buckets; ties by id.
+
+    The text that near copies come from is like each of them, as they are not among each other, so
+    it is met most; with it as leader they are linked at once.
+    """
+    scores = members.groupBy("rep").agg(F.sum(F.col("times") * (F.col("size") - 1)).alias("score"))
+    first = F.struct(F.col("score"), -F.col("rep"))
+    return members.select("key", "rep").join(scores, "rep").groupBy("key").agg(F.max_by("rep", first).alias("lead"))
 
 
 def near_duplicates(
@@ -183,8 +229,8 @@ def near_duplicates(
     percent: int = 80,
     bands: int = 24,
     rows: int = 4,
-    pairs_per_member: int = 8,
-    leader_rounds: int = 4,
+    pairs_per_member: int = 16,
+    leader_rounds: int = 2,
     id_column: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
@@ -196,60 +242,46 @@ def near_duplicates(
     ensure_checkpoint_dir(docs.sparkSession)
     texts = docs.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     known = signatures(texts, words, bands, rows).checkpoint()
-    classes = (
-        known.filter("class is not null")
-        .groupBy("class")
-        .agg(F.min("id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"))
+    classes = known.filter("class is not null").groupBy("class").agg(
+        F.min("id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("bins").alias("bins")
     )
-    entries = classes.select("rep", "n", F.explode("keys").alias("key"))
-    shared = entries.groupBy("key").agg(F.count(F.lit(1)).alias("members")).filter("members > 1").select("key")
-    members = entries.join(shared, "key").checkpoint()
-    nodes = members.select("rep", "n").distinct()
-    bodies = texts.join(nodes.select(F.col("rep").alias("id")), "id", "left_semi")
-    sets = sets_of(bodies.select("id", "text"), words).checkpoint()
-
-    links = tried = None
-    labelled = members.withColumn("component", F.col("rep"))
-    for turn in range(leader_rounds + 1):
-        split = labelled.groupBy("key").agg(
-            F.min("component").alias("least"), F.max("component").alias("most"), F.count(F.lit(1)).alias("members")
-        )
-        split = split.filter("least <> most").select("key", "members")
-        left = labelled.join(split, "key").checkpoint()
-        size = left.agg(F.sum(F.col("members") - 1).alias("pairs"), F.count(F.lit(1)).alias("rows")).first()
-        if not size["rows"]:
+    members = shared_buckets(classes.select("rep", F.explode("keys").alias("key"))).checkpoint()
+    led = members.join(leaders(members), "key").filter("rep <> lead")
+    nodes = classes.select("rep", "n", "bins").join(members.select("rep").distinct(), "rep", "left_semi").checkpoint()
+
+    # the leader of each bucket first; buckets of two are done then
+    pairs = led.select(F.least("lead", "rep").alias("a"), F.greatest("lead", "rep").alias("b")).distinct()
+    tried = verified(pairs, nodes, texts, words, percent)
+    labels = components(tried.filter("linked"))
+    open_ = members.filter("size > 2").select("key", "rep")
+    for turn in range(1, leader_rounds + 1):
+        marked = open_.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+        marked = marked.select("key", "rep", F.coalesce("component", "rep").alias("component"))
+        parts = marked.groupBy("key", "component").agg(F.count(F.lit(1)).alias("part"))
+        size = F.sum("part").alias("size")
+        buckets = parts.groupBy("key").agg(size, F.sum(F.col("part") * F.col("part")).alias("inside")).filter("inside < size * size")
+        marked = marked.join(buckets.select("key"), "key", "left_semi").checkpoint()
+        left = buckets.agg(F.sum((F.col("size") * F.col("size") - F.col("inside")) / 2).alias("pairs"), F.sum("size").alias("rows")).first()
+        if not left["rows"]:
             break
-        every = turn == leader_rounds or size["pairs"] <= 2 * pairs_per_member * size["rows"]
+        every = turn == leader_rounds or left["pairs"] <= pairs_per_member * left["rows"]
         if every:
-            met = left.select("key", *[F.col(c).alias(f"{c}_2") for c in ("rep", "n", "component")])
+            other = marked.select("key", F.col("rep").alias("rep_2"), F.col("component").alias("component_2"))
         else:
-            first = F.struct(F.lit(0) if turn == 0 else F.xxhash64("rep", F.lit(turn)), "rep")
-            met = left.groupBy("key").agg(F.min_by(F.struct("rep", "n", "component"), first).alias("leader"))
-            met = met.select("key", *[F.col(f"leader.{c}").alias(f"{c}_2") for c in ("rep", "n", "component")])
-        ordered = F.col("rep") < F.col("rep_2") if every else F.lit(True)
-        pairs = left.join(met, "key").filter(ordered & (F.col("component") != F.col("component_2")))
-        pairs = pairs.select(
-            F.least("rep", "rep_2").alias("a"), F.greatest("rep", "rep_2").alias("b"), F.col("n").alias("n_a"), F.col("n_2").alias("n_b")
-        )
-        pairs = pairs.filter(100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")).select("a", "b").distinct()
-        if tried is not None:
-            pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        judged = verified(pairs, sets, percent).checkpoint()
-        tried = judged if tried is None else tried.unionByName(judged)
-        links = tried.filter("linked")
-        labels = components(links)
-        labelled = members.join(labels, members["rep"] == labels["node"], "left").select(
-            "key", "rep", "n", F.coalesce("component", "rep").alias("component")
-        )
+            pick = F.struct(F.xxhash64("rep", F.lit(turn)), "rep")
+            lead = marked.groupBy("key").agg(F.min_by(F.struct("rep", "component"), pick).alias("lead"))
+            other = lead.select("key", F.col("lead.rep").alias("rep_2"), F.col("lead.component").alias("component_2"))
+        met = marked.join(other, "key").filter("component <> component_2" + (" and rep < rep_2" if every else ""))
+        pairs = met.select(F.least("rep", "rep_2").alias("a"), F.greatest("rep", "rep_2").alias("b")).distinct()
+        pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
+        tried = tried.unionByName(verified(pairs, nodes, texts, words, percent))
+        labels = components(tried.filter("linked"))
+        open_ = marked.select("key", "rep")
         if every:
             break
-    if links is None:
-        named = classes.select("class", F.col("rep").alias("component_id"))
-    else:
-        named = classes.join(labels, classes["rep"] == labels["node"], "left").select(
-            "class", F.coalesce("component", "rep").alias("component_id")
-        )
-    out = known.join(named, "class", "left")
+    named = classes.select("class", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+    named = named.select("class", F.coalesce("component", "rep").alias("component_id"))
+    out = known.select("id", "n", "class").join(named, "class", "left")
     return out.select(
         F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")
     )
