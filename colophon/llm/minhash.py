@@ -16,7 +16,9 @@ thus is linked, or compared, or connected already. A pair whose sketches agree i
 
 Defined results: null and empty texts and texts without words have an empty set, which is linked
 with nothing; equal texts are copies of each other, and so are repeated rows (an id names
-one document); ids must not be null; the smallest id stands for a component; an empty table gives an empty result.
+one document); every row without an id is a document of its own, numbered after the largest id in the
+order of the texts, and is compared like any other; the smallest number stands for a component, so one
+with an id goes before those without; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -30,6 +32,7 @@ from pyspark.sql import functions as F
 
 from colophon.llm.common import ensure_checkpoint_dir
 from colophon.llm.graph import components
+from colophon.operators.ingest import number_rows
 
 _SPACE = np.zeros(256, bool)
 _SPACE[[0x20, 0x09, 0x0A, 0x0B, 0x0C, 0x0D]] = True
@@ -223,6 +226,24 @@ def leaders(members: DataFrame) -> DataFrame:
     return members.select("key", "rep").join(scores, "rep").groupBy("key").agg(F.max_by("rep", first).alias("lead"))
 
 
+def numbered(docs: DataFrame, id_column: str, text: str) -> tuple[DataFrame, int | None]:
+    """``docs`` with ``_row``: the id, or a number of its own for a row without one; the first such number.
+
+    Rows without an id are written to the shared folder once, so that their numbers stay the same.
+    """
+    key = F.col(f"`{id_column}`").cast("long")
+    found = docs.agg(F.max(key).alias("top"), F.count_if(key.isNull()).alias("lacking")).first()
+    if not found["lacking"]:
+        return docs.withColumn("_row", key), None
+    first = 0 if found["top"] is None else found["top"] + 1
+    if first + found["lacking"] > 1 << 63:
+        raise ValueError("no numbers are left above the largest id for rows without one")
+    order = [F.xxhash64(F.col(f"`{text}`")), F.col(f"`{text}`"), F.col("_place")]
+    lacking = docs.filter(key.isNull()).withColumn("_place", F.monotonically_increasing_id())
+    lacking = number_rows(lacking, order, first, "_row").drop("_place")
+    return docs.filter(key.isNotNull()).withColumn("_row", key).unionByName(lacking), first
+
+
 def near_duplicates(
     docs: DataFrame,
     words: int = 5,
@@ -234,13 +255,25 @@ def near_duplicates(
     id_column: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
-    """``(id, n_shingles, component_id)`` for every document.
+    """``(id, n_shingles, component_id, kept)`` for every document; ``kept``: it stands for its component.
+
+    The ``component_id`` of a component without any id is above the largest id.
 
     ``pairs_per_member``: when at most so many pairs for each member of a bucket are left to
     compare, or after ``leader_rounds``, they are all listed; before, leaders thin them out.
     """
     ensure_checkpoint_dir(docs.sparkSession)
-    texts = docs.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
+    numbers, first = numbered(docs.select(f"`{id_column}`", f"`{text}`"), id_column, text)
+    found = near_rows(numbers, words, percent, bands, rows, pairs_per_member, leader_rounds, text)
+    own = F.col("_row") if first is None else F.when(F.col("_row") < first, F.col("_row"))
+    return found.select(own.alias(id_column), "n_shingles", "component_id", (F.col("_row") == F.col("component_id")).alias("kept"))
+
+
+def near_rows(
+    docs: DataFrame, words: int = 5, percent: int = 80, bands: int = 24, rows: int = 4, pairs_per_member: int = 16, leader_rounds: int = 2, text: str = "text"
+) -> DataFrame:
+    """``(_row, n_shingles, component_id)`` for the ``_row`` of every document."""
+    texts = docs.select(F.col("_row").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
     known = signatures(texts, words, bands, rows).checkpoint()
     classes = known.filter("class is not null").groupBy("class").agg(
         F.min("id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("bins").alias("bins")
@@ -282,16 +315,15 @@ def near_duplicates(
     named = classes.select("class", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("class", F.coalesce("component", "rep").alias("component_id"))
     out = known.select("id", "n", "class").join(named, "class", "left")
-    return out.select(
-        F.col("id").alias(id_column), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id")
-    )
+    return out.select(F.col("id").alias("_row"), F.col("n").alias("n_shingles"), F.coalesce("component_id", "id").alias("component_id"))
 
 
-def deduplicate(docs: DataFrame, id_column: str = "doc_id", **options) -> DataFrame:
+def deduplicate(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One document of each component, that of the smallest id, with the columns of ``docs``.
 
-    Of rows with that id one stays.
+    Of rows with that id one stays. Of a component without any id one row stays, its id null.
     """
-    found = near_duplicates(docs, id_column=id_column, **options)
-    kept = found.filter(F.col(id_column) == F.col("component_id")).select(id_column)
-    return docs.join(kept, id_column, "left_semi").dropDuplicates([id_column]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    ensure_checkpoint_dir(docs.sparkSession)
+    rows, _ = numbered(docs, id_column, text)
+    kept = near_rows(rows, text=text, **options).filter("_row = component_id").select("_row")
+    return rows.join(kept, "_row", "left_semi").dropDuplicates(["_row"]).select(*[F.col(f"`{c}`") for c in docs.columns])

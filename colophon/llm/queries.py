@@ -18,8 +18,7 @@ BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    found = minhash.near_duplicates(docs, words=4, percent=80)
-    return found.withColumn("kept", F.col("doc_id") == F.col("component_id"))
+    return minhash.near_duplicates(docs, words=4, percent=80)
 
 
 def op2_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:

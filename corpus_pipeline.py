@@ -23,7 +23,7 @@ def quality_rules(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 
 def near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The document of smallest id of each group of near-duplicates (five-word shingles, 0.8)."""
+    """The document of smallest id of each group of near-duplicates (five-word shingles, 0.8); one without an id if none has one."""
     return minhash.deduplicate(docs).select(*COLUMNS)
 
 

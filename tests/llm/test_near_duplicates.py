@@ -72,6 +72,25 @@ def test_deduplicate_keeps_columns_and_one_row(spark):
     assert minhash.near_duplicates(docs.limit(0)).count() == 0
 
 
+def test_rows_without_id_are_documents(spark):
+    rng = random.Random(9)
+    a, b, c = (text_of(rng, 60) for _ in range(3))
+    rows = [(None, a), (7, a + " end"), (None, b), (None, b), (None, b + " end"), (None, c), (None, None), (None, ""), (2, text_of(rng, 60))]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(3)
+    found = minhash.near_duplicates(docs).collect()
+    assert sorted(str(r["doc_id"]) for r in found) == ["2", "7"] + ["None"] * 7
+    assert sum(r["kept"] for r in found) == len({r["component_id"] for r in found}) == 6
+    assert sum(r["component_id"] == 7 for r in found) == 2
+    kept = [tuple(r) for r in minhash.deduplicate(docs).collect()]
+    assert sorted((str(i), str(t)) for i, t in kept if t not in (b, b + " end")) == sorted((str(i), str(t)) for i, t in [(7, a + " end"), (None, c), (None, None), (None, ""), rows[-1]])
+    assert sum(t in (b, b + " end") for _, t in kept) == 1
+    bare = docs.filter("doc_id is null")
+    assert minhash.deduplicate(bare).count() == 5
+    full = docs.limit(1).selectExpr(f"{(1 << 63) - 1}L as doc_id", "text").union(bare)
+    with pytest.raises(ValueError):
+        minhash.deduplicate(full)
+
+
 def test_sketch_fills_all_bins_and_estimates():
     rng = np.random.default_rng(1)
     for n in (1, 3, 40, 5000):

@@ -74,3 +74,21 @@ def test_stages_against_brute_force(spark, tmp_path):
         assert r["doc_tokens"] >= r["start"] + r["length"]
     assert set(pieces) == set(after) and all(r["doc_tokens"] == pieces[r["doc_id"]] for r in made[4])
     assert corpus_pipeline.run(spark, str(tmp_path)).count() >= len(after)
+
+
+def test_documents_without_id_reach_the_end(spark, tmp_path):
+    rng = random.Random(4)
+    one, two, three = (" ".join(f"{rng.choice('bcdf')}{rng.choice('aeiou')}rk{rng.randrange(99)}" for _ in range(80)) for _ in range(3))
+    rows = [(1, one), (None, one), (None, two), (None, two + " end"), (None, three)]
+    docs = spark.createDataFrame([(i, t, "en", "s", len(t)) for i, t in rows], "doc_id long, text string, lang string, source string, n_chars long")
+    docs.write.parquet(str(tmp_path / "documents.parquet"))
+    made = []
+    for _, stage in corpus_pipeline.STAGES:
+        docs = stage(spark, docs, str(tmp_path))
+        made.append(docs.collect())
+    near, passages, clean = ([(r["doc_id"], r["text"]) for r in rows] for rows in made[1:4])
+    assert len(near) == 3 and {(1, one), (None, three)} <= set(near) and {(None, two), (None, two + " end")} & set(near)
+    assert sorted(t for _, t in near) == sorted(t for _, t in passages) and len(clean) == 3
+    starts = [r["doc_id"] for r in made[4] if r["start"] == 0]
+    assert sorted(map(str, starts)) == ["1", "None", "None"]
+    assert sum(r["length"] for r in made[4]) == sum(r["doc_tokens"] for r in made[4] if r["start"] == 0)
