@@ -292,10 +292,10 @@ def wos_cascade(spark, sf_dir):
 
 @query()
 def fuzzy_title(spark, sf_dir):
-    title = normalize.title_key(F.substring("text", 1, 80))
+    title = normalize.title_key(F.col("text"))
     docs = table(spark, sf_dir, "documents").filter("text is not null")
-    titles = docs.select(F.col("doc_id").alias("id"), title.alias("title"), F.lit(None).cast("int").alias("year"))
-    pairs = matching.fuzzy_candidates(titles.filter("id % 50 = 0"), titles, 0.9)
+    titles = docs.select(F.col("doc_id").alias("id"), title.alias("title"))
+    pairs = matching.fuzzy_texts(titles.filter("id % 50 = 0"), titles, 0.9)
     return pairs.filter("query_id <> base_id").select("query_id", "base_id", F.round("score", 6).alias("score"))
 
 

@@ -92,6 +92,42 @@ def test_fuzzy_candidates_lose_nothing(spark):
     assert found == want
 
 
+def test_fuzzy_texts_equal_brute_force(spark):
+    import random
+
+    rng = random.Random(11)
+    words = ["alpha", "beta", "gämma", "delta", "sensor", "laser", "of", "the", "x1"]
+    rows = []
+    for k in range(12):
+        text = [rng.choice(words) + rng.choice(["", "s", "ed"]) for _ in range(rng.choice([1, 6, 30, 300]))]
+        for _ in range(4):
+            rows.append((len(rows), " ".join(text)))
+            text = [w if rng.random() < 0.9 else w[1:] + rng.choice("xyz") for w in text]
+            rng.shuffle(text)
+    rows.append((len(rows), None))
+    frame = spark.createDataFrame(rows, "id long, title string")
+    for block in (1 << 22, 100):
+        found = {(r["query_id"], r["base_id"]): r["score"] for r in matching.fuzzy_texts(frame.filter("id % 2 = 0"), frame, 0.9, block_chars=block).collect()}
+        want = {
+            (i, j): matching.token_sort_ratio(a, b)
+            for i, a in rows
+            for j, b in rows
+            if i % 2 == 0 and a and b and len(a) >= 30 and matching.token_sort_ratio(a, b) >= 90 and min(len(a), len(b)) >= 0.6 * max(len(a), len(b))
+        }
+        assert found == want and any(i != j for i, j in want)
+
+
+def test_fuzzy_title_compares_whole_texts(spark, tmp_path):
+    from colophon import queries
+
+    opening = "licensed under the terms that the first line of this file states in full and at length "
+    one, two = ("".join(f"{a}{k}{b} " for k in range(60)) for a, b in (("red", "fox"), ("blue", "hen")))
+    rows = [(0, opening + one), (1, opening + two), (2, one + "and more"), (3, one), (50, None), (4, None), (100, "")]
+    spark.createDataFrame(rows, "doc_id long, text string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = queries.QUERIES["fuzzy_title"](spark, str(tmp_path)).collect()
+    assert {(r["query_id"], r["base_id"]) for r in found} == {(0, 2), (0, 3)}
+
+
 def test_author_alignment(spark):
     targets = spark.createDataFrame([("p", 1, "o1"), ("p", 2, None), ("p", 3, None), ("q", 4, None), ("r", 5, None)], "paper_id string, row_id int, orcid string")
     others = spark.createDataFrame([("p", 0, None), ("p", 1, "o1"), ("p", 2, ""), ("q", 0, None), ("q", 1, None)], "paper_id string, pos int, orcid string")
