@@ -398,6 +398,14 @@ def tfidf_keywords(spark, sf_dir):
     return found.select("term", F.round("score", 6).alias("score"))
 
 
+@query()
+def tfidf_keywords_all(spark, sf_dir):
+    """All documents of all languages, with the operator's defaults; ``tfidf_keywords`` is the part that DuckDB can follow."""
+    docs = table(spark, sf_dir, "documents").filter(F.char_length("text") >= 20).select(F.col("doc_id").alias("id"), "text")
+    found = keywords.top(keywords.mean_tfidf(docs), "score", 200)
+    return found.select("term", F.round("score", 6).alias("score"))
+
+
 @query("""
 WITH s AS (SELECT p_brand AS term, avg(p_retailprice) AS a, avg(p_size) AS b FROM part GROUP BY p_brand),
 e AS (SELECT min(a) AS la, max(a) AS ha, min(b) AS lb, max(b) AS hb FROM s)

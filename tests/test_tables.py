@@ -196,6 +196,40 @@ def test_tfidf_by_hand(spark):
     assert {r["term"]: r["combined_score"] for r in flat.collect()} == {"a": 0.5, "b": 1.0}
 
 
+def test_tfidf_of_all_documents_equals_brute_force(spark, tmp_path):
+    import math
+    import random
+    import re
+    from collections import Counter
+
+    from colophon import queries
+
+    rng = random.Random(6)
+    words = ["red", "fox", "état", "naïve", "straße", "don't", "x-ray", "co-é", "mid-", "a1", "b_c", "m²", "dog", "Ünder", "e\u0301a", "the"]
+    texts = [" ".join(rng.choice(words) for _ in range(rng.randint(8, 60))) for _ in range(40)] + ["short", None]
+    rows = [(i, t, rng.choice(["en", "fr", "de", "es"])) for i, t in enumerate(texts)]
+    spark.createDataFrame(rows, "doc_id long, text string, lang string").write.parquet(str(tmp_path / "documents.parquet"))
+    found = {r["term"]: r["score"] for r in queries.QUERIES["tfidf_keywords_all"](spark, str(tmp_path)).collect()}
+
+    held = []
+    for text in texts:
+        if text and len(text) >= 20:
+            w = re.findall(r"\b[a-zA-Z][a-zA-Z\-]+\b", text.lower())
+            held.append(Counter(" ".join(w[k : k + n]) for n in (2, 3) for k in range(len(w) - n + 1)))
+    df = Counter(t for d in held for t in d)
+    idf = {t: math.log((1 + len(held)) / (1 + n)) + 1 for t, n in df.items() if 2 <= n <= 0.85 * len(held)}
+    score = Counter()
+    for d in held:
+        x = {t: n * idf[t] for t, n in d.items() if t in idf}
+        norm = math.sqrt(sum(v * v for v in x.values()))
+        for t, v in x.items():
+            score[t] += v / norm / len(held)
+    want = sorted(score, key=lambda t: (-score[t], t))[:200]
+    assert len(want) == 200 and len({t.count(" ") for t in found}) == 2
+    assert sorted(found.values(), reverse=True) == pytest.approx([score[t] for t in want], abs=2e-6)
+    assert all(found[t] == pytest.approx(score[t], abs=2e-6) for t in found)
+
+
 def test_samples_and_topics(spark):
     frame = spark.range(1000).withColumn("s", F.when(F.col("id") < 700, "a").when(F.col("id") < 701, "b").otherwise("c"))
     assert {r["s"]: r["quota"] for r in sampling.quotas(frame, "s", 33).collect()} == {"a": 23, "b": 0, "c": 10}
