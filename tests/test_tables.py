@@ -92,6 +92,14 @@ def test_fuzzy_candidates_lose_nothing(spark):
     assert found == want
 
 
+def test_fuzzy_candidates_at_the_threshold(spark):
+    asked = "abcdefghijklmnopqrstuvwxyz0123456789"
+    base = "".join(asked[k : k + 2] + "_" + asked[k + 2 : k + 4] for k in range(0, 32, 4)) + asked[32:]
+    q, b = (spark.createDataFrame([(k, t, None)], "id long, title string, year int") for k, t in ((1, asked), (2, base)))
+    assert [tuple(r)[-1] for r in matching.fuzzy_candidates(q, b, 0.9).select("score").collect()] == [90.0]
+    assert [tuple(r) for r in matching.fuzzy_texts(q, b, 0.9).collect()] == [(1, 2, 90.0)]
+
+
 def test_fuzzy_texts_equal_brute_force(spark):
     import random
 
