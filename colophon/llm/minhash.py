@@ -8,30 +8,42 @@ bins are filled. Two documents agree in a bin with the probability of their Jacc
 With 24 bands of 4 rows a pair at 0.8 shares a band but for 3 in a million.
 
 Documents of one shingle set are one class, so exact copies meet once, and buckets of the same
-members are one. Within a bucket all members are held against a central one; then, as
-components form, only members of different components are still compared, in rounds that choose
-new leaders, until few enough pairs are left to compare them all. Every pair that shares a band
-thus is linked, or compared, or connected already. A pair whose sketches agree in less than 56 of the
-96 bins is over five standard deviations from 0.8 and goes; all others are compared on the full sets.
+members are one. No pair leaves a task: tasks hold some members of a bucket, compare all of them
+and send on the least member that each is connected to. This is done twice. Sketches first: two
+members are likely if their sketches agree in so many bins that a true pair has fewer with a
+probability under one in a million. What is connected by likely pairs is a family. Then each family
+is compared on the full sets.
+
+A large bucket or family is split into blocks, each with the same few leaders. Blocks are compared
+by themselves first, so what is alike is connected at a cost in proportion to its size. Only the
+members outside the largest component then meet all the others, in pairs of blocks. Every pair that
+shares a band thus is compared, or connected already. That last step costs the number of such
+members times the size of their family: documents that are alike, but not quite enough.
+
+A full set is a set of 64-bit hashes of shingles of 64-bit hashes of words: of a corpus with ``n``
+distinct shingles a share of ``n / 2 ** 64`` has the hash of another one.
 
 Defined results: null and empty texts and texts without words have an empty set, which is linked
-with nothing; equal texts are copies of each other, and so are repeated rows (an id names
-one document); every row without an id is a document of its own, numbered after the largest id in the
-order of the texts, and is compared like any other; the smallest number stands for a component, so one
-with an id goes before those without; an empty table gives an empty result.
+with nothing; equal texts are copies of each other, and so are repeated rows; every row without an
+id is a document of its own, numbered after the largest id in the order of the texts, and is
+compared like any other; so is every row whose id already names another text (the text of the
+least hash keeps the id); the smallest number stands for a component, so one with an id goes before
+those without; very long texts are hashed a mebibyte at a time; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 from hashlib import blake2b
+from itertools import combinations
+from math import comb, log
 
 import numpy as np
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colophon.llm.common import ensure_checkpoint_dir
-from colophon.llm.graph import components
+from colophon.llm.graph import components, least_reached
 from colophon.operators.ingest import number_rows
 
 _SPACE = np.zeros(256, bool)
@@ -177,10 +189,13 @@ def sets_of(docs: DataFrame, words: int) -> DataFrame:
     return docs.mapInArrow(run, "id long, shingles array<long>")
 
 
-#: Share of bins in which the sketches of a pair at 0.8 agree but for less than one in a million.
-SKETCH_PERCENT = 58
 #: Up to so many ids (eight bytes each) are broadcast; more are joined by shuffling the texts.
 BROADCAST_IDS = 1 << 20
+#: Members of a block and shingles that a block's members have together.
+BLOCK_ROWS, BLOCK_SHINGLES = 1024, 1 << 21
+LEADERS = 4
+#: Columns of shingles that at most so many sets hold are counted pair by pair, others by products.
+SPARSE = 8
 
 
 def only_ids(texts: DataFrame, ids: DataFrame) -> DataFrame:
@@ -189,129 +204,224 @@ def only_ids(texts: DataFrame, ids: DataFrame) -> DataFrame:
     return texts.join(F.broadcast(ids) if small else ids, "id", "left_semi")
 
 
-def verified(pairs: DataFrame, nodes: DataFrame, texts: DataFrame, words: int, percent: int) -> DataFrame:
-    """``(a, b, linked)``: whether the Jaccard similarity of the full sets is ``percent`` or more."""
-    for end in "ab":
-        pairs = pairs.join(nodes.select(F.col("rep").alias(end), F.col("n").alias(f"n_{end}"), F.col("bins").alias(f"of_{end}")), end)
-    agree = F.size(F.filter(F.zip_with("of_a", "of_b", lambda x, y: x == y), lambda same: same))
-    bound = SKETCH_PERCENT * percent / 80
-    likely = (100 * F.least("n_a", "n_b") >= percent * F.greatest("n_a", "n_b")) & (100 * agree >= bound * F.size("of_a"))
-    judged = pairs.select("a", "b", likely.alias("likely")).checkpoint()
-    near = judged.filter("likely").select("a", "b")
-    ids = near.select(F.explode(F.array("a", "b")).alias("id")).distinct().checkpoint()
-    sets = sets_of(only_ids(texts, ids), words).checkpoint()
-    both = near.join(sets.select(F.col("id").alias("b"), F.col("shingles").alias("of_b")), "b")
-    both = both.join(sets.select(F.col("id").alias("a"), F.col("shingles").alias("of_a")), "a")
-    common = F.size(F.array_intersect("of_a", "of_b"))
-    union = F.size("of_a") + F.size("of_b") - common
-    linked = both.select("a", "b", (100 * common >= percent * union).alias("linked"))
-    return linked.unionByName(judged.filter("not likely").select("a", "b", F.lit(False).alias("linked"))).checkpoint()
-
-
 def shared_buckets(entries: DataFrame) -> DataFrame:
-    """``(key, rep, size, times)`` of buckets with two members or more, once for each set of members."""
+    """``(group, rep)`` of buckets with two members or more, once for each set of members."""
     buckets = entries.groupBy("key").agg(F.count(F.lit(1)).alias("size"), F.bit_xor(F.xxhash64("rep")).alias("set"))
-    buckets = buckets.filter("size > 1").groupBy("size", "set").agg(F.min("key").alias("key"), F.count(F.lit(1)).alias("times"))
-    return entries.join(buckets.select("key", "size", "times"), "key")
+    buckets = buckets.filter("size > 1").groupBy("size", "set").agg(F.min("key").alias("key"))
+    return entries.join(buckets.select("key"), "key").select(F.col("key").alias("group"), "rep")
+
+
+def fewest_agreeing(bins: int, percent: int, miss: float = 1e-6) -> int:
+    """So many bins agree for a pair at ``percent``, but for a share of at most ``miss``."""
+    p, below, k = percent / 100, 0.0, 0
+    while below + (now := comb(bins, k) * p**k * (1 - p) ** (bins - k)) <= miss:
+        below, k = below + now, k + 1
+    return k
+
+
+def bands_for(percent: int, rows: int, miss: float = 4e-6) -> int:
+    """Bands of ``rows`` of which a pair at ``percent`` shares none but for a share of ``miss``."""
+    return max(1, round(log(miss) / log(1 - (percent / 100) ** rows)))
+
+
+def likely_pairs(rows, percent: int) -> np.ndarray:
+    """Which of the members may be ``percent`` alike, by sizes and sketches."""
+    n = rows.column("n").to_numpy()
+    bins = np.stack(rows.column("bins").to_numpy(zero_copy_only=False))
+    agree = np.zeros((len(n), len(n)), np.uint16)
+    for column in bins.T:
+        agree += column[:, None] == column
+    sizes = 100 * np.minimum(n[:, None], n) >= percent * np.maximum(n[:, None], n)
+    return sizes & (agree >= fewest_agreeing(bins.shape[1], percent))
+
+
+def linked_pairs(rows, percent: int) -> np.ndarray:
+    """Which of the members are ``percent`` alike or more, by their full sets."""
+    sets = rows.column("shingles").to_numpy(zero_copy_only=False)
+    n = np.array([len(s) for s in sets], np.int64)
+    m = len(sets)
+    if m == 2:
+        common = len(np.intersect1d(sets[0], sets[1], assume_unique=True))
+        return np.full((2, 2), 100 * common >= percent * (n.sum() - common))
+    common = np.zeros((m, m), np.float32 if n.max() < 1 << 24 else np.float64)
+    _, column, held = np.unique(np.concatenate(sets), return_inverse=True, return_counts=True)
+    order = np.argsort(column, kind="stable")  # owners ascend within a column
+    owner, held_by = np.repeat(np.arange(m), n)[order], held[column[order]]
+    for k in range(2, SPARSE + 1):
+        of = owner[held_by == k].reshape(-1, k)
+        if len(of):
+            pairs = np.concatenate([of[:, i] * m + of[:, j] for i, j in combinations(range(k), 2)])
+            common += np.bincount(pairs, minlength=m * m).reshape(m, m)
+    common += common.T.copy()
+    owner, sizes = owner[held_by > SPARSE], held[held > SPARSE]
+    ends = np.append(0, np.cumsum(sizes))
+    for a in range(0, len(sizes), 2048):
+        b = min(a + 2048, len(sizes))
+        part = np.zeros((m, b - a), common.dtype)
+        part[owner[ends[a] : ends[b]], np.repeat(np.arange(b - a), sizes[a:b])] = 1
+        common += part @ part.T
+    out = np.zeros((m, m), bool)
+    for a in range(0, m, 256):
+        here = common[a : a + 256].astype(float)
+        out[a : a + 256] = 100 * here >= percent * (n[a : a + 256, None] + n - here)
+    return out
+
+
+def connected(units: DataFrame, alike: Callable, most: int) -> DataFrame:
+    """``(rep, least)``: the least member of its unit that each is connected to, if it is another one.
+
+    ``units`` has ``unit``, ``rep``, ``weight`` and what ``alike`` reads. Tasks get whole units of
+    together about ``most`` of weight.
+    """
+
+    def run(table):
+        import pyarrow as pa
+
+        table = table.sort_by([("unit", "ascending"), ("rep", "ascending")]).combine_chunks()
+        unit, reps = table.column("unit").to_numpy(), table.column("rep").to_numpy()
+        new = np.ones(len(unit), bool)  # a member may stand on both sides
+        new[1:] = (unit[1:] != unit[:-1]) | (reps[1:] != reps[:-1])
+        if not new.all():
+            table, unit, reps = table.filter(pa.array(new)).combine_chunks(), unit[new], reps[new]
+        edges = np.flatnonzero(np.append(np.append(True, unit[1:] != unit[:-1]), True))
+        ends = [(np.zeros(0, np.int64), np.zeros(0, np.int64))]
+        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
+            if b - a > 1:
+                least = least_reached(alike(table.slice(a, b - a)))
+                some = np.flatnonzero(least != np.arange(b - a))
+                ends.append((reps[a:b][some], reps[a:b][least[some]]))
+        reps, least = (np.concatenate(x) for x in zip(*ends))
+        return pa.table({"rep": reps, "least": least})
+
+    units = units.checkpoint()
+    total = units.agg(F.sum("weight").alias("n")).first()["n"] or 0
+    parts = units.withColumn("part", F.pmod(F.xxhash64("unit"), F.lit(total // most + 1)))
+    return parts.groupBy("part").applyInArrow(run, "rep long, least long").checkpoint()
 
 
-def leaders(members: DataFrame) -> DataFrame:
-    """``(key, lead)``: of a bucket the member that meets most others in all its buckets; ties by id.
+def family_labels(members: DataFrame, data: DataFrame, alike: Callable, most: int, block_rows: int) -> DataFrame:
+    """``(node, component)`` of all members that ``alike`` pairs of a group connect.
 
-    The text that near copies come from is like each of them, as they are not among each other, so
-    it is met most; with it as leader they are linked at once.
+    ``members`` has ``group`` and ``rep``; ``data`` a row for each ``rep``, with its ``weight``.
     """
-    scores = members.groupBy("rep").agg(F.sum(F.col("times") * (F.col("size") - 1)).alias("score"))
-    first = F.struct(F.col("score"), -F.col("rep"))
-    return members.select("key", "rep").join(scores, "rep").groupBy("key").agg(F.max_by("rep", first).alias("lead"))
+
+    def blocks(rows: DataFrame, name: str, *more: Column) -> DataFrame:
+        count = F.greatest(F.ceil(F.count(F.lit(1)) / block_rows), F.ceil(F.sum("weight") / most)).cast("int")
+        return rows.groupBy("group").agg(count.alias(name), *more)
+
+    def block(count: str) -> Column:
+        return F.pmod(F.xxhash64("rep", F.lit(count)), F.col(count)).cast("int")
+
+    def every(count: str) -> Column:
+        return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
+
+    weighed = members.join(data.select("rep", "weight"), "rep")
+    heads = F.array(*[F.min_by("rep", F.xxhash64("rep", F.lit(k))) for k in range(LEADERS)])
+    placed = weighed.join(blocks(weighed, "all", heads.alias("heads")), "group").checkpoint()
+    split = placed.filter("all > 1")
+    led = split.dropDuplicates(["group"]).select("group", F.explode("heads").alias("rep"), "all")
+    led = led.select("rep", "group", every("all").alias("at"))
+    first = placed.select("rep", "group", block("all").alias("at")).unionByName(led)
+    first = first.select("rep", F.xxhash64("group", "at").alias("unit"))
+    found = connected(first.join(data, "rep"), alike, most)
+    labels = components(found, "rep", "least")
+    if split.isEmpty():
+        return labels
+    named = split.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
+    named = named.withColumn("label", F.coalesce("component", "rep")).select("group", "rep", "weight", "all", "label").checkpoint()
+    parts = named.groupBy("group", "label").agg(F.count(F.lit(1)).alias("part"))
+    largest = parts.groupBy("group").agg(F.max_by("label", F.struct("part", "label")).alias("largest"))
+    outside = named.join(largest, "group").filter("label <> largest").drop("largest")
+    outside = outside.join(blocks(outside, "out"), "group").checkpoint()
+    if outside.isEmpty():
+        return labels
+    against = named.join(outside.select("group", "out").distinct(), "group")
+    left = outside.select("rep", "group", block("out").alias("o"), every("all").alias("a"))
+    right = against.select("rep", "group", every("out").alias("o"), block("all").alias("a"))
+    second = left.unionByName(right).select("rep", F.xxhash64("group", "o", "a").alias("unit"))
+    found = found.unionByName(connected(second.join(data, "rep"), alike, most))
+    return components(found, "rep", "least")
 
 
 def numbered(docs: DataFrame, id_column: str, text: str) -> tuple[DataFrame, int | None]:
-    """``docs`` with ``_row``: the id, or a number of its own for a row without one; the first such number.
+    """``docs`` with ``_row``: the id, or a number of its own for a row without one or whose id names
+    another text; the first such number.
 
-    Rows without an id are written to the shared folder once, so that their numbers stay the same.
+    Such rows are written to the shared folder once, so that their numbers stay the same.
     """
-    key = F.col(f"`{id_column}`").cast("long")
-    found = docs.agg(F.max(key).alias("top"), F.count_if(key.isNull()).alias("lacking")).first()
-    if not found["lacking"]:
+    key, digest = F.col(f"`{id_column}`").cast("long"), F.xxhash64(F.col(f"`{text}`"))
+    texts = docs.groupBy(key.alias("_key")).agg(F.count(F.lit(1)).alias("n"), F.min(digest).alias("_own"), F.max(digest).alias("other"))
+    several = F.col("_key").isNotNull() & (F.col("_own") != F.col("other"))
+    taken = texts.filter(several).select("_key", "_own")
+    lacking = F.sum(F.when(F.col("_key").isNull(), F.col("n")))
+    found = texts.agg(F.max("_key").alias("top"), lacking.alias("lacking"), F.count_if(several).alias("taken")).first()
+    if not (found["lacking"] or found["taken"]):
         return docs.withColumn("_row", key), None
+    docs = docs.withColumn("_key", key)
+    if found["taken"]:
+        docs = docs.join(taken, "_key", "left")
+    else:
+        docs = docs.withColumn("_own", F.lit(None).cast("long"))
+    strange = F.col("_key").isNull() | F.coalesce(F.col("_own") != digest, F.lit(False))
+    order = [digest, F.col(f"`{text}`"), F.col("_place")]
     first = 0 if found["top"] is None else found["top"] + 1
-    if first + found["lacking"] > 1 << 63:
+    if first + (found["lacking"] or 0) + found["taken"] > 1 << 63:
         raise ValueError("no numbers are left above the largest id for rows without one")
-    order = [F.xxhash64(F.col(f"`{text}`")), F.col(f"`{text}`"), F.col("_place")]
-    lacking = docs.filter(key.isNull()).withColumn("_place", F.monotonically_increasing_id())
+    lacking = docs.filter(strange).withColumn("_place", F.monotonically_increasing_id())
     lacking = number_rows(lacking, order, first, "_row").drop("_place")
-    return docs.filter(key.isNotNull()).withColumn("_row", key).unionByName(lacking), first
+    return docs.filter(~strange).withColumn("_row", F.col("_key")).unionByName(lacking).drop("_key", "_own"), first
 
 
 def near_duplicates(
     docs: DataFrame,
     words: int = 5,
     percent: int = 80,
-    bands: int = 24,
+    bands: int | None = None,
     rows: int = 4,
-    pairs_per_member: int = 16,
-    leader_rounds: int = 2,
+    block_rows: int = BLOCK_ROWS,
     id_column: str = "doc_id",
     text: str = "text",
 ) -> DataFrame:
     """``(id, n_shingles, component_id, kept)`` for every document; ``kept``: it stands for its component.
 
-    The ``component_id`` of a component without any id is above the largest id.
-
-    ``pairs_per_member``: when at most so many pairs for each member of a bucket are left to
-    compare, or after ``leader_rounds``, they are all listed; before, leaders thin them out.
+    The ``component_id`` of a component without any id is above the largest id. ``bands`` of
+    ``rows`` bins each; by default so many that a pair at ``percent`` shares none 4 times in a million.
     """
     ensure_checkpoint_dir(docs.sparkSession)
     numbers, first = numbered(docs.select(f"`{id_column}`", f"`{text}`"), id_column, text)
-    found = near_rows(numbers, words, percent, bands, rows, pairs_per_member, leader_rounds, text)
-    own = F.col("_row") if first is None else F.when(F.col("_row") < first, F.col("_row"))
+    found = near_rows(numbers, words, percent, bands, rows, block_rows, text)
+    if first is None:
+        own = F.col("_row")
+    else:
+        named = numbers.select("_row", F.col(f"`{id_column}`").alias("_id")).filter(F.col("_row") >= first)
+        found, own = found.join(named, "_row", "left"), F.when(F.col("_row") < first, F.col("_row")).otherwise(F.col("_id"))
     return found.select(own.alias(id_column), "n_shingles", "component_id", (F.col("_row") == F.col("component_id")).alias("kept"))
 
 
 def near_rows(
-    docs: DataFrame, words: int = 5, percent: int = 80, bands: int = 24, rows: int = 4, pairs_per_member: int = 16, leader_rounds: int = 2, text: str = "text"
+    docs: DataFrame,
+    words: int = 5,
+    percent: int = 80,
+    bands: int | None = None,
+    rows: int = 4,
+    block_rows: int = BLOCK_ROWS,
+    text: str = "text",
 ) -> DataFrame:
     """``(_row, n_shingles, component_id)`` for the ``_row`` of every document."""
     texts = docs.select(F.col("_row").alias("id"), F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("text"))
-    known = signatures(texts, words, bands, rows).checkpoint()
+    known = signatures(texts, words, bands or bands_for(percent, rows), rows).checkpoint()
     classes = known.filter("class is not null").groupBy("class").agg(
         F.min("id").alias("rep"), F.first("n").alias("n"), F.first("keys").alias("keys"), F.first("bins").alias("bins")
     )
     members = shared_buckets(classes.select("rep", F.explode("keys").alias("key"))).checkpoint()
-    led = members.join(leaders(members), "key").filter("rep <> lead")
-    nodes = classes.select("rep", "n", "bins").join(members.select("rep").distinct(), "rep", "left_semi").checkpoint()
-
-    # the leader of each bucket first; buckets of two are done then
-    pairs = led.select(F.least("lead", "rep").alias("a"), F.greatest("lead", "rep").alias("b")).distinct()
-    tried = verified(pairs, nodes, texts, words, percent)
-    labels = components(tried.filter("linked"))
-    open_ = members.filter("size > 2").select("key", "rep")
-    for turn in range(1, leader_rounds + 1):
-        marked = open_.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-        marked = marked.select("key", "rep", F.coalesce("component", "rep").alias("component"))
-        parts = marked.groupBy("key", "component").agg(F.count(F.lit(1)).alias("part"))
-        size = F.sum("part").alias("size")
-        buckets = parts.groupBy("key").agg(size, F.sum(F.col("part") * F.col("part")).alias("inside")).filter("inside < size * size")
-        marked = marked.join(buckets.select("key"), "key", "left_semi").checkpoint()
-        left = buckets.agg(F.sum((F.col("size") * F.col("size") - F.col("inside")) / 2).alias("pairs"), F.sum("size").alias("rows")).first()
-        if not left["rows"]:
-            break
-        every = turn == leader_rounds or left["pairs"] <= pairs_per_member * left["rows"]
-        if every:
-            other = marked.select("key", F.col("rep").alias("rep_2"), F.col("component").alias("component_2"))
-        else:
-            pick = F.struct(F.xxhash64("rep", F.lit(turn)), "rep")
-            lead = marked.groupBy("key").agg(F.min_by(F.struct("rep", "component"), pick).alias("lead"))
-            other = lead.select("key", F.col("lead.rep").alias("rep_2"), F.col("lead.component").alias("component_2"))
-        met = marked.join(other, "key").filter("component <> component_2" + (" and rep < rep_2" if every else ""))
-        pairs = met.select(F.least("rep", "rep_2").alias("a"), F.greatest("rep", "rep_2").alias("b")).distinct()
-        pairs = pairs.join(tried.select("a", "b"), ["a", "b"], "left_anti")
-        tried = tried.unionByName(verified(pairs, nodes, texts, words, percent))
-        labels = components(tried.filter("linked"))
-        open_ = marked.select("key", "rep")
-        if every:
-            break
+    nodes = classes.select("rep", "n", "bins", F.lit(1).alias("weight"))
+    nodes = nodes.join(members.select("rep").distinct(), "rep", "left_semi").checkpoint()
+    families = family_labels(members, nodes, lambda rows: likely_pairs(rows, percent), 8 * block_rows, block_rows)
+    families = families.select(F.col("component").alias("group"), F.col("node").alias("rep")).checkpoint()
+    ids = families.select(F.col("rep").alias("id"))
+    sets = sets_of(only_ids(texts, ids), words).dropDuplicates(["id"])
+    sets = sets.select(F.col("id").alias("rep"), "shingles", F.size("shingles").alias("weight")).checkpoint()
+    labels = family_labels(families, sets, lambda rows: linked_pairs(rows, percent), BLOCK_SHINGLES, block_rows)
     named = classes.select("class", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("class", F.coalesce("component", "rep").alias("component_id"))
     out = known.select("id", "n", "class").join(named, "class", "left")
@@ -321,9 +431,15 @@ def near_rows(
 def deduplicate(docs: DataFrame, id_column: str = "doc_id", text: str = "text", **options) -> DataFrame:
     """One document of each component, that of the smallest id, with the columns of ``docs``.
 
-    Of rows with that id one stays. Of a component without any id one row stays, its id null.
+    Of equal rows one stays, and of rows of one id and text that of the least hash of all columns.
+    Of a component without any id one row stays, its id null.
     """
     ensure_checkpoint_dir(docs.sparkSession)
-    rows, _ = numbered(docs, id_column, text)
-    kept = near_rows(rows, text=text, **options).filter("_row = component_id").select("_row")
-    return rows.join(kept, "_row", "left_semi").dropDuplicates(["_row"]).select(*[F.col(f"`{c}`") for c in docs.columns])
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns])
+    packed = docs.select(whole.alias("_all"), F.col(f"`{id_column}`").alias("_id"), F.col(f"`{text}`").alias("_text"))
+    rows, _ = numbered(packed, "_id", "_text")
+    found = near_rows(rows, text="_text", **options).filter("_row = component_id")
+    rows = rows.join(found.groupBy("_row").agg(F.count(F.lit(1)).alias("_n")), "_row")
+    least = F.min_by("_all", F.xxhash64(F.to_json("_all"))).alias("_all")
+    again = rows.filter("_n > 1").groupBy("_row").agg(least).select("_all.*")
+    return rows.filter("_n = 1").select("_all.*").unionByName(again)

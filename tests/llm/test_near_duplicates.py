@@ -55,11 +55,11 @@ def brute_components(rows, k, percent):
     return {i: (len(sets[i]), find(i)) for i in ids}
 
 
-@pytest.mark.parametrize("pairs_per_member", [16, 0])
-def test_components_equal_brute_force(spark, pairs_per_member):
+@pytest.mark.parametrize("block_rows", [1024, 5])
+def test_components_equal_brute_force(spark, block_rows):
     rows = corpus()
     docs = spark.createDataFrame(rows, "doc_id long, text string")
-    found = minhash.near_duplicates(docs, words=4, pairs_per_member=pairs_per_member, leader_rounds=2).collect()
+    found = minhash.near_duplicates(docs, words=4, block_rows=block_rows).collect()
     assert {r[0]: (r[1], r[2]) for r in found} == brute_components(rows, 4, 80)
 
 
@@ -91,6 +91,35 @@ def test_rows_without_id_are_documents(spark):
         minhash.deduplicate(full)
 
 
+def test_id_with_two_texts_and_clashing_columns(spark):
+    rng = random.Random(4)
+    a, b = text_of(rng, 60), text_of(rng, 60)
+    rows = [(1, a, 1, "x"), (1, b, 2, "y"), (1, b, 2, "y"), (2, a + " end", 3, "z"), (3, b + " end", 4, None)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, _row int, component_id string").repartition(3)
+    kept = minhash.deduplicate(docs)
+    assert kept.columns == docs.columns
+    texts = sorted((r["doc_id"], r["text"]) for r in kept.collect())
+    assert len(texts) == 2 and texts[0] == (1, a) or texts == [(1, b), (2, a + " end")]
+    found = minhash.near_duplicates(docs)
+    assert sorted(r["doc_id"] for r in found.collect()) == [1, 1, 1, 2, 3]
+    assert len({r["component_id"] for r in found.collect()}) == 2
+
+
+def test_very_long_text(spark):
+    rng = random.Random(8)
+    long = " ".join(rng.choice(WORDS) for _ in range(400_000))
+    docs = spark.createDataFrame([(1, long), (2, long + " end"), (3, "x")], "doc_id long, text string")
+    assert sorted(r["doc_id"] for r in minhash.deduplicate(docs).collect()) == [1, 3]
+
+
+def test_fewest_agreeing_bins_is_safe():
+    rng = np.random.default_rng(2)
+    for percent in (50, 80, 95):
+        bound = minhash.fewest_agreeing(96, percent)
+        assert rng.binomial(96, percent / 100, 100_000).min() >= bound - 1
+    assert minhash.bands_for(80, 4) == 24
+
+
 def test_sketch_fills_all_bins_and_estimates():
     rng = np.random.default_rng(1)
     for n in (1, 3, 40, 5000):
@@ -154,6 +183,32 @@ def test_vector_links_equal_brute_force(spark):
         assert sum(n for n, _ in got.values()) >= 0.9 * total > 0
 
 
+@pytest.mark.parametrize("common", [0.0, 2.0])
+def test_recall_at_the_threshold(spark, common):
+    rng = np.random.default_rng(11)
+    x = rng.normal(size=(1500, 48)) / 48**0.5
+    x[:, 0] += common  # two vectors have a cosine of 0.8 then
+    x = pivots.unit(x)
+    to = rng.normal(size=x.shape)
+    to = pivots.unit(to - (to * x).sum(axis=1, keepdims=True) * x)
+    cosine = rng.uniform(0.951, 0.96, size=(len(x), 1))
+    y = cosine * x + np.sqrt(1 - cosine**2) * to
+    rows = [(k, v.tolist()) for k, v in enumerate(np.concatenate([x, y]))]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    both = np.concatenate([x, y])
+    want = ((both @ both.T >= 0.95).sum(axis=1) - 1).tolist()
+    got = {r[0]: r[1] for r in pivots.near_duplicates(vectors).collect()}
+    assert all(got[k] <= n for k, n in enumerate(want))
+    assert sum(got.values()) >= 0.95 * sum(want)
+
+
+def test_lengths_and_clashing_columns(spark):
+    rows = [(1, [1.0, 0.0], 1), (2, [1.0, 0.0, 0.0], 2), (3, [1.0, 0.01, 0.0], 3), (4, [2.0, 0.0], 4), (5, [0.0, 1.0], 5), (5, [0.0, 1.0], 5)]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<float>, n_links int")
+    found = sorted(map(tuple, pivots.near_duplicates(vectors).collect()))
+    assert found == [(1, 1, 1), (2, 1, 2), (3, 1, 2), (4, 1, 1), (5, 1, 5), (5, 1, 5)]
+
+
 def test_no_usable_vectors(spark):
     vectors = spark.createDataFrame([(1, None), (2, [0.0, 0.0])], "vec_id long, embedding array<double>")
     assert sorted(map(tuple, pivots.near_duplicates(vectors).collect())) == [(1, 0, 1), (2, 0, 2)]
@@ -162,5 +217,5 @@ def test_no_usable_vectors(spark):
 
 def test_bucket_sets_once(spark):
     entries = spark.createDataFrame([(1, 10), (2, 10), (1, 11), (2, 11), (3, 12), (1, 13), (3, 13)], "rep long, key long")
-    found = minhash.shared_buckets(entries).groupBy("key").agg(F.sort_array(F.collect_list("rep")).alias("m")).collect()
+    found = minhash.shared_buckets(entries).groupBy("group").agg(F.sort_array(F.collect_list("rep")).alias("m")).collect()
     assert Counter(tuple(r["m"]) for r in found) == {(1, 2): 1, (1, 3): 1}
