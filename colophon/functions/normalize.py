@@ -6,6 +6,7 @@ import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
 
+# Forms of DOIs.
 DOI_PREFIX = r"^(https://doi\.org/|http://doi\.org/|doi:)"
 DOI_PREFIX_ANY = r"(?i)^(https?://(dx\.)?doi\.org/|doi:)"
 DOI_FORM = r"^10\.\d{4,9}/\S+$"
@@ -162,12 +163,14 @@ def text_metrics(text: Column) -> Column:
 
 def top_flag(x: Column) -> Column:
     """A spreadsheet's flag: 1 is true, other numbers are false, other text is true unless empty."""
-    number = x.try_cast("double").cast("int")
-    return F.coalesce(F.when(number.isNotNull(), number == 1).otherwise(strip_space(x) != ""), F.lit(False))
+    number = x.try_cast("double")
+    return F.coalesce(F.when(number.isNotNull(), (number >= 1) & (number < 2)).otherwise(strip_space(x) != ""), F.lit(False))
 
 
 def whole_number(x: Column) -> Column:
-    return x.try_cast("double").cast("int")
+    """Null where it is no number or too large for an integer."""
+    number = x.try_cast("double")
+    return F.when((number > -(1 << 31)) & (number < 1 << 31), number.try_cast("int"))
 
 
 def context_text(name: Column, affiliation: Column) -> Column:

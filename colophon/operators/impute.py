@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 
 from colophon.functions.country import infer_country
 from colophon.functions.normalize import blank_to_null, context_text, country_code, not_blank, strip_space, synthetic_institution_id
-from colophon.operators.ingest import fill_nulls, insert_absent
+from colophon.operators.ingest import fill_nulls, first_of, insert_absent
 from colophon.operators.matching import nearest_vectors
 
 STAGES = (1, 2, 3)
@@ -54,7 +54,7 @@ def papers_lacking(papers: DataFrame, contributions: DataFrame, raw_too: bool =
 
 
 def clean_predictions(found: DataFrame, key: str = "row_id", least: float = 0.8) -> DataFrame:
-    """One prediction for each key: the first; without key, or under the confidence, they go."""
+    """One prediction for each key: the first by ``ordinal`` or as they come; without key, or under the confidence, they go."""
     out = found.withColumns(
         {
             "country_code": country_code(F.col("country_code")),
@@ -63,7 +63,10 @@ def clean_predictions(found: DataFrame, key: str = "row_id", least: float = 0.8)
     )
     if "institution_name" in found.columns:
         out = out.withColumn("institution_name", blank_to_null(strip_space(F.col("institution_name"))))
-    return out.filter(F.col(key).isNotNull() & (F.col("confidence") >= least)).dropDuplicates([key])
+    if "ordinal" not in found.columns:
+        out = out.withColumn("_place", F.monotonically_increasing_id())
+    sure = out.filter(F.col(key).isNotNull() & (F.col("confidence") >= least))
+    return first_of(sure, [key], ["ordinal" if "ordinal" in found.columns else "_place"]).drop("_place")
 
 
 def predict(rows: DataFrame, predictor: Callable, schema: str, batch_rows: int = 20) -> DataFrame:
@@ -132,9 +135,9 @@ def stage_1(contributions: DataFrame, institutions: DataFrame, predicted: DataFr
     found = rows.join(clean_predictions(predicted), "row_id")
     if names is not None:
         asked = names.filter("kind = 'prediction'").select(F.col("id").cast("long").alias("id"), "vector")
-        known = names.filter("kind = 'institution'").select(F.xxhash64("id").alias("id"), "vector", F.col("id").alias("name_id"))
-        near = nearest_vectors(asked, known, 1, threshold).join(known.select(F.col("id").alias("base_id"), "name_id"), "base_id")
-        found = found.join(near.select(F.col("query_id").alias("row_id"), F.col("name_id").alias("matched_id")), "row_id", "left")
+        known = names.filter("kind = 'institution'").select("id", "vector")
+        near = nearest_vectors(asked, known, 1, threshold)
+        found = found.join(near.select(F.col("query_id").alias("row_id"), F.col("base_id").alias("matched_id")), "row_id", "left")
     else:
         found = found.withColumn("matched_id", F.lit(None).cast("string"))
     found = found.withColumn("institution_id", F.coalesce("matched_id", synthetic_institution_id(F.col("institution_name"))))
@@ -183,6 +186,19 @@ def hong_kong_as_china(df: DataFrame, column: str = "country_code") -> DataFrame
     return df.withColumn(column, F.when(code == "HK", "CN").otherwise(F.col(column)))
 
 
+def hong_kong_repair(tables: dict[str, DataFrame]) -> dict[str, DataFrame]:
+    """The tables with China for Hong Kong: in contributions and institutions, and as the country's own row."""
+    out = tables | {n: hong_kong_as_china(tables[n]) for n in ("contributions", "institutions")}
+    countries = tables["countries"]
+    code = F.upper(F.trim("country_code"))
+    kept = countries.filter(F.coalesce(code != "HK", F.lit(True)))
+    marked = countries.agg(F.max("id").alias("top"), F.count_if(code == "CN").alias("n"))
+    new = marked.filter("n = 0").select(
+        (F.coalesce("top", F.lit(0)) + 1).cast("int").alias("id"), F.lit("[CN]").alias("country_name"), F.lit("CN").alias("country_code"), F.lit(1).alias("status")
+    )
+    return out | {"countries": kept.unionByName(new, allowMissingColumns=True)}
+
+
 def outcomes(found: DataFrame, column: str = "status") -> DataFrame:
     """Counts by outcome."""
     return found.groupBy(column).agg(F.count(F.lit(1)).alias("n"))

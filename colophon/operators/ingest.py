@@ -40,10 +40,23 @@ def insert_absent(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataF
     return existing.unionByName(new.join(existing.select(*keys).distinct(), keys, "left_anti"), allowMissingColumns=True)
 
 
+#: Rows with a null key are dealt to so many parts of a left join, in place of one.
+NULL_PARTS = 1024
+
+
+def left_join(rows: DataFrame, other: DataFrame, key: str | Column, other_key: str) -> DataFrame:
+    """``rows`` with the columns of ``other`` whose key equals; rows without a key don't all meet in one task."""
+    key = F.col(key) if isinstance(key, str) else key
+    spread = F.when(key.isNull(), F.pmod(F.monotonically_increasing_id(), F.lit(NULL_PARTS))).otherwise(-1)
+    left, right = rows.withColumns({"_at": key, "_spread": spread}), other.withColumn("_other", F.lit(-1).cast("long"))
+    joined = left.join(right, (F.col("_at") == F.col(other_key)) & (F.col("_spread") == F.col("_other")), "left")
+    return joined.drop("_at", "_spread", "_other")
+
+
 def fill_nulls(existing: DataFrame, updates: DataFrame, key: str, columns: list[str]) -> DataFrame:
     """``existing`` with null ``columns`` taken from ``updates``, which has a row for each key at most."""
     renamed = updates.select(F.col(key).alias("_key"), *[F.col(c).alias(f"_{c}") for c in columns])
-    out = existing.join(renamed, F.col(key) == F.col("_key"), "left")
+    out = left_join(existing, renamed, key, "_key")
     return out.withColumns({c: F.coalesce(c, f"_{c}") for c in columns}).select(*existing.columns)
 
 

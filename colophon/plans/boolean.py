@@ -23,6 +23,11 @@ def normalize(query: str) -> str:
     return text.replace("( ", "(").replace(" )", ")")
 
 
+# What the linter takes for operators out of place.
+LOWER_OPERATOR = r"\b(and|or|not)\b"
+ADJACENT_OPERATORS = r"\b(AND|OR)\s+(AND|OR)\b|\bNOT\s+NOT\b"
+
+
 def lint(query: str) -> list[str]:
     """What is wrong with a query; empty if nothing."""
     if not query.strip():
@@ -31,9 +36,9 @@ def lint(query: str) -> list[str]:
     checks = [
         (query.count("(") != query.count(")"), "unbalanced parentheses"),
         (query.count('"') % 2 == 1, "odd number of quotes"),
-        (re.search(r"\b(and|or|not)\b", bare), "lower-case operator"),
-        (re.search(r"\b(AND|OR)\s+(AND|OR)\b|\bNOT\s+NOT\b", query), "adjacent operators"),
-        (re.search(r"\(\s*\)", query), "empty parentheses"),
+        (re.search(LOWER_OPERATOR, bare), "lower-case operator"),
+        (re.search(ADJACENT_OPERATORS, query), "adjacent operators"),
+        ("()" in query, "empty parentheses"),
     ]
     return [message for bad, message in checks if bad]
 
@@ -44,9 +49,9 @@ def lint_count(query: Column) -> Column:
     rules = [
         F.regexp_count(query, F.lit(r"\(")) != F.regexp_count(query, F.lit(r"\)")),
         F.regexp_count(query, F.lit('"')) % 2 == 1,
-        bare.rlike(r"\b(and|or|not)\b"),
-        query.rlike(r"\b(AND|OR)\s+(AND|OR)\b|\bNOT\s+NOT\b"),
-        query.rlike(r"\(\s*\)"),
+        bare.rlike(LOWER_OPERATOR),
+        query.rlike(ADJACENT_OPERATORS),
+        query.contains("()"),
     ]
     total = sum((r.cast("int") for r in rules), F.lit(0))
     return F.when(query.rlike(r"^\s*$"), F.lit(1)).otherwise(total)
@@ -169,21 +174,38 @@ def filter_works(
     return out.filter(predicate(parse(query), F.concat_ws(" ", *text)))
 
 
-def grouped_terms(terms: list[str]) -> str:
-    quoted = [f'"{t}"' if " " in t or "-" in t else t for t in (x.strip() for x in terms) if t]
-    return f"({' OR '.join(quoted)})" if quoted else ""
+#: Buckets of terms that each widen a query, and buckets that only count with one another.
+ALONE, TOGETHER = ("1_core_technology", "2_methods_tools"), ("3_mechanisms", "4_applications")
+
+
+def any_of(terms: list[str]) -> str:
+    """The terms joined by OR, phrases and hyphenated words in quotes; empty without terms."""
+    words = [f'"{w}"' if {" ", "-"} & set(w) else w for w in map(str.strip, terms) if w]
+    return f"({' OR '.join(words)})" if words else ""
 
 
 def bounded_query(buckets: dict[str, list[str]]) -> str:
-    """``(core OR methods) OR (mechanisms AND applications)``; one alone of the last two is left out."""
-    names = ("1_core_technology", "2_methods_tools", "3_mechanisms", "4_applications")
-    core, methods, mechanisms, applications = (grouped_terms(buckets.get(n, [])) for n in names)
-    wide = " OR ".join(p for p in (core, methods) if p)
-    both = f"({mechanisms} AND {applications})" if mechanisms and applications else ""
-    parts = [p for p in (f"({wide})" if wide else "", both) if p]
-    if not parts:
+    """``((core OR methods) OR (mechanisms AND applications))``; one alone of the last two is left out."""
+    wide, narrow = ([any_of(buckets.get(name) or []) for name in names] for names in (ALONE, TOGETHER))
+    groups = [" OR ".join(filter(None, wide)), " AND ".join(narrow) if all(narrow) else ""]
+    if not any(groups):
         raise ValueError("no terms to search for")
-    return " OR ".join(parts)
+    return f"({' OR '.join(f'({g})' for g in groups if g)})"
+
+
+#: Characters with a meaning in a service's filters, and how they are written in a DOI.
+ESCAPED_COMMA = "%252C"
+TITLE_WORDS = 10
+
+
+def doi_predicate(dois: list[str]) -> str:
+    """A service's filter for any of the DOIs; commas, which mean AND there, are escaped twice."""
+    return "doi:" + "|".join(d.replace(",", ESCAPED_COMMA) for d in dois)
+
+
+def title_predicate(title: str, exact: bool = False) -> str:
+    """A service's filter for a title: its first ten words, or the title as a phrase."""
+    return f'display_name.search:"{title}"' if exact else "title.search:" + " ".join(title.split()[:TITLE_WORDS])
 
 
 def topic_id_ok(x: Column) -> Column:

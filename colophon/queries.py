@@ -2,14 +2,16 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Callable
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colophon.functions import country, normalize
-from colophon.operators import coverage, enrich, impute, ingest, keywords, matching, overlap, sampling, topics
+from colophon.operators import coverage, enrich, impute, ingest, keywords, matching, overlap, sampling, topics, wos
 from colophon.plans import boolean
+from colophon.sources import readers
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -98,17 +100,81 @@ def imputable_rows(spark, sf_dir):
     )
 
 
-@query("""
-SELECT count(*) AS orders, min(year(o_orderdate)) AS first_year, max(year(o_orderdate)) AS last_year,
-count(*) FILTER (WHERE o_orderstatus = 'F') AS finished, count(DISTINCT o_custkey) AS customers FROM orders""")
-def health_totals(spark, sf_dir):
-    return table(spark, sf_dir, "orders").agg(
-        F.count(F.lit(1)).alias("orders"),
-        F.min(F.year("o_orderdate")).cast("long").alias("first_year"),
-        F.max(F.year("o_orderdate")).cast("long").alias("last_year"),
-        F.count_if(F.col("o_orderstatus") == "F").alias("finished"),
-        F.countDistinct("o_custkey").alias("customers"),
+def works_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Orders as work records in JSON, their lines as authorships with none, one or two institutions."""
+    place = ("l_linenumber", "l_partkey", "l_suppkey", "l_returnflag", "l_linestatus", "l_tax")
+    lines = table(spark, sf_dir, "lineitem").select("l_orderkey", F.struct(*place).alias("l"))
+    lines = lines.groupBy("l_orderkey").agg(F.array_sort(F.collect_list("l")).alias("ls"))
+
+    def named(prefix: str, x: Column) -> Column:
+        return F.concat(F.lit(prefix), x.cast("string"))
+
+    def authorship(x: Column) -> Column:
+        one = F.struct(named("https://x/I", x["l_suppkey"]).alias("id"), named("Supplier ", x["l_suppkey"]).alias("display_name"), F.lit("HK").alias("country_code"))
+        two = F.struct(named("https://x/J", x["l_suppkey"]).alias("id"), F.lit("J").alias("display_name"), F.lit(None).cast("string").alias("country_code"))
+        nameless = F.struct(F.lit(None).cast("string").alias("id"), F.lit("K").alias("display_name"), F.lit("DE").alias("country_code"))
+        listed = F.when(x["l_returnflag"] == "R", F.array()).otherwise(F.array(one, nameless, two))
+        return F.struct(
+            F.struct(named("https://x/A", x["l_partkey"]).alias("id"), named("Author ", x["l_partkey"]).alias("display_name")).alias("author"),
+            F.when((x["l_tax"] > 0.04) | (x["l_returnflag"] == "R"), listed).otherwise(F.slice(listed, 1, 1)).alias("institutions"),
+            F.array(F.lit("FR"), F.lit("IT")).alias("countries"),
+            F.array(F.lit(" "), F.lit("Laboratory"), named("Department ", x["l_linenumber"])).alias("raw_affiliation_strings"),
+        )
+
+    key = F.col("o_orderkey")
+    orders = table(spark, sf_dir, "orders").join(lines, F.col("o_orderkey") == F.col("l_orderkey"), "left")
+    record = F.struct(
+        named("https://x/W", key).alias("id"),
+        F.when(key % 3 != 0, named("10.1/", key)).alias("doi"),
+        F.when(key % 7 != 0, named("Order ", key)).alias("title"),
+        F.year("o_orderdate").alias("publication_year"),
+        (key % 4).cast("int").alias("countries_distinct_count"),
+        F.when(key % 5 != 0, F.create_map(F.col("o_orderpriority"), F.array(F.lit(1), F.lit(2)), F.lit("order"), F.array(F.lit(0), F.lit(2)))).alias("abstract_inverted_index"),
+        F.transform("ls", authorship).alias("authorships"),
     )
+    return readers.parsed_works(orders.select(F.to_json(record).alias("value"), F.lit("").alias("_file"), key.alias("_line")))
+
+
+#: Rows of contributions of these works, as the loader makes them.
+_CONTRIBUTIONS = """
+l AS (SELECT *, row_number() OVER (PARTITION BY l_orderkey ORDER BY l_linenumber, l_partkey, l_suppkey, l_returnflag, l_linestatus, l_tax) AS a FROM lineitem),
+c AS (SELECT l_orderkey, a, 0 AS i, l_partkey, CASE WHEN l_returnflag <> 'R' THEN 'I' || l_suppkey END AS institution_id,
+  CASE WHEN l_returnflag <> 'R' THEN 'HK' ELSE 'FR' END AS country_code, CASE WHEN l_returnflag <> 'R' THEN ' ' ELSE 'Laboratory' END AS raw FROM l
+  UNION ALL SELECT l_orderkey, a, 2, l_partkey, 'J' || l_suppkey, NULL, 'Department ' || l_linenumber FROM l WHERE l_returnflag <> 'R' AND l_tax > 0.04)"""
+
+
+@query("WITH" + _CONTRIBUTIONS + """
+SELECT row_number() OVER (ORDER BY l_orderkey, a, i) AS row_id, 'W' || l_orderkey AS paper_id, 'A' || l_partkey AS author_id, institution_id,
+ country_code, 'Author ' || l_partkey AS author_name, raw AS raw_affiliation_string FROM c WHERE l_orderkey IN (SELECT o_orderkey FROM orders)""")
+def load_works(spark, sf_dir):
+    return ingest.load(works_of(spark, sf_dir))["contributions"].drop("author_position", "is_corresponding")
+
+
+@query("""
+SELECT 'W' || o_orderkey AS id, CASE WHEN o_orderkey % 3 <> 0 THEN '10.1/' || o_orderkey END AS doi,
+ CASE WHEN o_orderkey % 7 <> 0 THEN 'Order ' || o_orderkey ELSE 'Untitled' END AS title, CAST(year(o_orderdate) AS INTEGER) AS publication_year,
+ o_orderkey % 4 > 1 AS is_international, CASE WHEN o_orderkey % 5 <> 0 THEN 'order ' || o_orderpriority || ' order' END AS abstract_text FROM orders""")
+def load_papers(spark, sf_dir):
+    papers = ingest.load(works_of(spark, sf_dir))["papers"]
+    return papers.select("id", "doi", "title", "publication_year", "is_international", "abstract_text")
+
+
+@query("WITH" + _CONTRIBUTIONS + """,
+p AS (SELECT o.o_orderkey AS k, year(o_orderdate) AS y, count(c.a) AS n, count(institution_id) AS f, count(country_code) AS cc,
+  count(*) FILTER (WHERE trim(raw) <> '') AS raw FROM orders o LEFT JOIN c ON c.l_orderkey = o.o_orderkey GROUP BY ALL)
+SELECT count(*) AS papers, min(y) AS first_year, max(y) AS last_year, count(*) FILTER (WHERE k % 5 <> 0) AS abstracts, count(*) FILTER (WHERE cc > 0) AS with_country,
+ count(*) FILTER (WHERE n = 0) AS orphans, count(*) FILTER (WHERE n > 0 AND f = 0) AS all_null, count(*) FILTER (WHERE f = 0) AS zero_total,
+ CAST(coalesce(sum(n) FILTER (WHERE n > 0 AND f = 0), 0) AS BIGINT) AS rows_dead, CAST(coalesce(sum(raw) FILTER (WHERE n > 0 AND f = 0), 0) AS BIGINT) AS rows_imputable,
+ count(*) FILTER (WHERE n > 0 AND f = 0 AND raw > 0) AS papers_imputable, count(*) FILTER (WHERE f = 0 AND k % 3 <> 0) AS zero_with_doi,
+ (SELECT count(DISTINCT l_partkey) FROM c WHERE l_orderkey IN (SELECT o_orderkey FROM orders)) AS authors,
+ (SELECT count(DISTINCT institution_id) FROM c WHERE l_orderkey IN (SELECT o_orderkey FROM orders)) AS institutions,
+ (SELECT count(DISTINCT country_code) FROM c WHERE l_orderkey IN (SELECT o_orderkey FROM orders)) AS countries,
+ (SELECT count(*) FROM c WHERE l_orderkey IN (SELECT o_orderkey FROM orders)) AS contributions,
+ printf('%.1f%%', 100.0 * count(*) FILTER (WHERE k % 5 <> 0) / count(*)) AS abstracts_share,
+ printf('%.1f%%', 100.0 * count(*) FILTER (WHERE cc > 0) / count(*)) AS with_country_share, printf('%.1f%%', 100.0 * count(*) FILTER (WHERE f = 0) / count(*)) AS zero_total_share FROM p""")
+def health_report(spark, sf_dir):
+    found = coverage.health_report(ingest.load(works_of(spark, sf_dir)))
+    return found.withColumns({c: F.col(c).cast("long") for c in ("first_year", "last_year")})
 
 
 @query("SELECT p_type, count(*) AS n FROM part WHERE p_type IS NOT NULL GROUP BY p_type ORDER BY n DESC, p_type LIMIT 5")
@@ -203,19 +269,21 @@ def abstract_rebuild(spark, sf_dir):
 WORD_COUNTRIES = {"GB": ["the", "that"], "DE": ["und", "ein"], "FR": ["les", "la"], "HK": ["los", "ento"]}
 
 
-def _country_sql() -> str:
+def _country_sql(terms: dict[str, list[str]], key: str, rows: str) -> str:
+    def pattern(name: str) -> str:
+        return re.escape(name).replace("'", "''")
+
     hit = {
-        code: " OR ".join(f"regexp_matches(t, '(^|[^A-Za-z0-9]){w}($|[^A-Za-z0-9])')" for w in words)
-        for code, words in WORD_COUNTRIES.items()
+        code: " OR ".join(f"regexp_matches(t, '(^|[^A-Za-z0-9]){pattern(w)}($|[^A-Za-z0-9])')" for w in words)
+        for code, words in terms.items()
     }
     count = " + ".join(f"CAST(({h}) AS INTEGER)" for h in hit.values())
     code = " ".join(f"WHEN {h} THEN '{'CN' if c == 'HK' else c}'" for c, h in hit.items())
-    return f"""SELECT doc_id, CASE WHEN n = 1 THEN 'unambiguous' WHEN n > 1 THEN 'ambiguous' ELSE 'none' END AS status,
-    CASE WHEN n = 1 THEN c END AS country_code FROM (SELECT doc_id, {count} AS n, CASE {code} END AS c
-    FROM (SELECT doc_id, lower(text) AS t FROM documents))"""
+    return f"""SELECT {key}, CASE WHEN n = 1 THEN 'unambiguous' WHEN n > 1 THEN 'ambiguous' ELSE 'none' END AS status,
+    CASE WHEN n = 1 THEN c END AS country_code FROM (SELECT {key}, {count} AS n, CASE {code} END AS c FROM ({rows}))"""
 
 
-@query(_country_sql())
+@query(_country_sql(WORD_COUNTRIES, "doc_id", "SELECT doc_id, lower(text) AS t FROM documents"))
 def country_infer(spark, sf_dir):
     found = country.infer_country(F.col("text"), WORD_COUNTRIES)
     docs = table(spark, sf_dir, "documents").select("doc_id", found.alias("c"))
@@ -231,6 +299,25 @@ def boolean_search(spark, sf_dir):
     return boolean.filter_works(works, '# comment\n( "of the" OR und )\nAND NOT was', types=["en", "de"], date_to=None, text=("text",)).select("doc_id")
 
 
+#: Affiliations of customers: the country's name, another one at times, and words that only look like one.
+_AFFILIATION_SQL = """SELECT c_custkey, lower('Dept. ' || c_custkey || ', ' || CASE c_custkey % 4 WHEN 0 THEN n_name WHEN 1 THEN n_name || ' and Hong Kong' WHEN 2 THEN 'x' || n_name || '9' ELSE n_name || ', U.K.' END) AS t
+ FROM customer JOIN nation ON c_nationkey = n_nationkey"""
+
+
+def affiliations_of(spark: SparkSession, sf_dir: str) -> DataFrame:
+    k, name = F.col("c_custkey") % 4, F.col("n_name")
+    tail = F.when(k == 0, name).when(k == 1, F.concat(name, F.lit(" and Hong Kong"))).when(k == 2, F.concat(F.lit("x"), name, F.lit("9"))).otherwise(F.concat(name, F.lit(", U.K.")))
+    customers = table(spark, sf_dir, "customer").join(table(spark, sf_dir, "nation"), F.col("c_nationkey") == F.col("n_nationkey"))
+    return customers.select("c_custkey", "c_nationkey", "n_name", F.concat(F.lit("Dept. "), F.col("c_custkey").cast("string"), F.lit(", "), tail).alias("text"))
+
+
+@query(_country_sql(country.COUNTRY_TERMS, "c_custkey", _AFFILIATION_SQL))
+def country_of_affiliation(spark, sf_dir):
+    """The operator's own table of countries."""
+    found = affiliations_of(spark, sf_dir).select("c_custkey", country.infer_country(F.col("text")).alias("c"))
+    return found.select("c_custkey", "c.status", "c.country_code")
+
+
 LINTED = [
     ("",), ("  ",), ('"a" AND "b"',), ('("a" OR "b"',), ('"a OR b',), ("a or b",), ("a OR OR b",), ("a AND OR b",), ("NOT NOT a",),
     ("()",), ('"x and y" AND z',), ('"a" AND NOT "b"',), ("(a OR (b AND c))",), ("not a OR OR (b",),
@@ -243,20 +330,22 @@ SELECT q, CASE WHEN regexp_matches(q, '^\s*$') THEN 1 ELSE
  + CAST((length(q) - length(replace(q, '"', ''))) % 2 = 1 AS INTEGER)
  + CAST(regexp_matches(regexp_replace(q, '"[^"]*"', '""', 'g'), '\b(and|or|not)\b') AS INTEGER)
  + CAST(regexp_matches(q, '\b(AND|OR)\s+(AND|OR)\b|\bNOT\s+NOT\b') AS INTEGER)
- + CAST(regexp_matches(q, '\(\s*\)') AS INTEGER) END AS errors FROM (VALUES {sql_values(LINTED)}) t(q)""")
+ + CAST(contains(q, '()') AS INTEGER) END AS errors FROM (VALUES {sql_values(LINTED)}) t(q)""")
 def keyword_lint(spark, sf_dir):
     return rows(spark, "q string", LINTED).select("q", boolean.lint_count(F.col("q")).alias("errors"))
 
 
-@query("SELECT '((laser OR \"quantum dot\") OR (\"x-ray\")) OR ((spin) AND (sensor))' AS query")
+@query("""
+WITH t AS (SELECT DISTINCT p_size % 4 AS bucket, CASE WHEN p_type LIKE '% %' OR p_type LIKE '%-%' THEN '"' || p_type || '"' ELSE p_type END AS term FROM part WHERE p_size % 4 <> 2),
+g AS (SELECT bucket, '(' || string_agg(term, ' OR ' ORDER BY term) || ')' AS g FROM t GROUP BY bucket),
+w AS (SELECT string_agg(g, ' OR ' ORDER BY bucket) AS w FROM g WHERE bucket < 2)
+SELECT '((' || w || '))' AS query FROM w""")
 def bounded_query(spark, sf_dir):
-    buckets = {
-        "1_core_technology": ["laser", "quantum dot"],
-        "2_methods_tools": ["x-ray"],
-        "3_mechanisms": ["spin"],
-        "4_applications": ["sensor"],
-    }
-    return rows(spark, "query string", [(boolean.bounded_query(buckets),)])
+    """Two full buckets and one of the pair, which is left out alone."""
+    names = [*boolean.ALONE, *boolean.TOGETHER]
+    part = table(spark, sf_dir, "part").filter("p_size % 4 <> 2").select((F.col("p_size") % 4).alias("bucket"), "p_type").distinct()
+    found = part.groupBy("bucket").agg(F.array_sort(F.collect_list(F.concat_ws("", "p_type"))).alias("terms")).collect()
+    return rows(spark, "query string", [(boolean.bounded_query({names[r["bucket"]]: r["terms"] for r in found}),)])
 
 
 @query("""
@@ -290,6 +379,114 @@ def wos_cascade(spark, sf_dir):
     return found.select("p_partkey", "match_id", "match_method")
 
 
+@query(r"""
+WITH p AS (SELECT 'W' || p_partkey AS id, '10.9/' || p_partkey AS doi, p_type || '-' || p_partkey % 50 AS title FROM part WHERE p_size > 25),
+r AS (SELECT p_partkey AS n, CASE WHEN p_partkey % 3 = 0 THEN '10.9/' || p_partkey % 400 END AS d, p_type || ': ' || p_partkey % 50 AS title,
+  coalesce(p_partkey % 5 IN (0, 2), false) AS top1 FROM part WHERE p_size <= 25),
+k AS (SELECT *, trim(regexp_replace(lower(title), '[^a-z0-9]+', ' ', 'g')) AS t FROM r),
+b AS (SELECT min(id) AS id, trim(regexp_replace(lower(title), '[^a-z0-9]+', ' ', 'g')) AS t FROM p GROUP BY ALL),
+m AS (SELECT k.*, coalesce(p.id, b.id) AS hit FROM k LEFT JOIN p ON p.doi = k.d LEFT JOIN b ON b.t = k.t),
+h AS (SELECT hit, bool_or(top1) AS top1, arg_min('WOS:' || n, n) AS acc FROM m WHERE hit IS NOT NULL GROUP BY hit),
+s AS (SELECT arg_min(n, n) AS n, arg_min(title, n) AS title, arg_min(top1, n) AS top1 FROM m WHERE hit IS NULL GROUP BY coalesce('d:' || d, 't:' || t))
+SELECT p.id, title, coalesce(top1, false) AS is_top_1_percent, hit IS NOT NULL AS from_wos, acc AS wos_accession_number FROM p LEFT JOIN h ON h.hit = p.id
+UNION ALL SELECT 'WOS_' || n, title, top1, true, 'WOS:' || n FROM s""")
+def wos_overlay(spark, sf_dir):
+    """Papers with a spreadsheet's records: flags of those matched by DOI or title, stubs of the others."""
+    part, key = table(spark, sf_dir, "part"), F.col("p_partkey")
+    name, null = key.cast("string"), F.lit(None).cast("string")
+    papers = part.filter("p_size > 25").select(
+        F.concat(F.lit("W"), name).alias("id"),
+        F.concat(F.lit("10.9/"), name).alias("doi"),
+        F.concat("p_type", F.lit("-"), (key % 50).cast("string")).alias("title"),
+        F.lit(2000).alias("publication_year"),
+        *[F.lit(False).alias(c) for c in ("is_top_1_percent", "is_top_10_percent", "from_wos")],
+        null.alias("wos_accession_number"),
+    )
+    flag = F.get(F.array(F.lit("1"), F.lit("0"), F.lit("yes"), F.lit(""), null), (key % 5).cast("int"))
+    sheet = part.filter("p_size <= 25").select(
+        F.concat(F.lit("WOS:"), name).alias("Accession Number"),
+        F.when(key % 3 == 0, F.concat(F.lit(" HTTPS://doi.org/10.9/"), (key % 400).cast("string"))).alias("DOI"),
+        F.concat("p_type", F.lit(": "), (key % 50).cast("string")).alias("Article Title"),
+        flag.alias("Top 1%"),
+        key.alias("ordinal"),
+    )
+    contributions = rows(spark, "paper_id string, country_code string, source string", [])
+    merged, _ = wos.overlay(papers, contributions, wos.records(sheet).withColumn("country_code", null), fuzzy=False)
+    return merged.select("id", "title", "is_top_1_percent", "from_wos", "wos_accession_number")
+
+
+_STAGES_SQL = f"""
+WITH a AS (SELECT c_custkey AS k, c_nationkey AS nk, n_name, n_regionkey AS region, 'Dept. ' || c_custkey || ', ' || CASE c_custkey % 4 WHEN 0 THEN n_name
+  WHEN 1 THEN n_name || ' and Hong Kong' WHEN 2 THEN 'x' || n_name || '9' ELSE n_name || ', U.K.' END AS raw FROM customer JOIN nation ON c_nationkey = n_nationkey),
+c1 AS (SELECT *, CASE WHEN k % 3 = 0 THEN 'I' || nk WHEN k % 12 = 1 THEN 'IMP_' || substr(sha1('inst ' || nk), 1, 10) END AS inst,
+  CASE WHEN k % 10 = 0 THEN 'XX' WHEN k % 12 = 1 THEN 'CN' END AS cc FROM a),
+s AS (SELECT inst, min(raw) AS raw FROM c1 GROUP BY inst),
+i AS (SELECT 'I' || n_nationkey AS id, lower(concat_ws(' | ', n_name, s.raw)) AS t FROM nation LEFT JOIN s ON s.inst = 'I' || n_nationkey WHERE n_regionkey <> 2),
+i2 AS ({_country_sql(country.COUNTRY_TERMS, "id", "SELECT id, t FROM i")}),
+r3 AS ({_country_sql(country.COUNTRY_TERMS, "k", "SELECT k, lower(raw) AS t FROM c1")})
+SELECT c1.k AS row_id, inst AS institution_id, coalesce(cc, i2.country_code, r3.country_code) AS country_code
+FROM c1 LEFT JOIN i2 ON i2.id = inst AND i2.status = 'unambiguous' LEFT JOIN r3 ON r3.k = c1.k AND r3.status = 'unambiguous'"""
+
+
+@query(_STAGES_SQL)
+def impute_stages(spark, sf_dir):
+    """Institutions from predictions, then countries of institutions and of rows by rule."""
+    k, null = F.col("c_custkey"), F.lit(None).cast("string")
+    named = affiliations_of(spark, sf_dir)
+    contributions = named.select(
+        k.alias("row_id"),
+        F.concat(F.lit("P"), k.cast("string")).alias("paper_id"),
+        F.when(k % 3 == 0, F.concat(F.lit("I"), F.col("c_nationkey").cast("string"))).alias("institution_id"),
+        F.when(k % 10 == 0, "XX").alias("country_code"),
+        F.col("text").alias("raw_affiliation_string"),
+    )
+    institutions = table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("I"), F.col("n_nationkey").cast("string")).alias("id"),
+        F.col("n_name").alias("display_name"),
+        F.when(F.col("n_regionkey") == 2, "ZZ").alias("country_code"),
+        F.lit(False).alias("is_synthetic"),
+    )
+    said = named.filter(k % 6 == 1).select(
+        k.alias("row_id"), F.concat(F.lit(" Inst  "), F.col("c_nationkey").cast("string")).alias("institution_name"), F.when(k % 12 == 1, 0.9).otherwise(0.5).alias("confidence")
+    )
+    first, again = said.withColumns({"country_code": F.lit("hk"), "ordinal": F.lit(1)}), said.withColumns({"country_code": F.lit("DE"), "ordinal": F.lit(2)})
+    contributions, institutions, _ = impute.stage_1(contributions, institutions, again.unionByName(first))
+    contributions, institutions, _ = impute.stage_2(contributions, institutions)
+    contributions, _ = impute.stage_3(contributions)
+    return contributions.select("row_id", "institution_id", "country_code")
+
+
+@query(r"""
+SELECT page_id, raw, CASE page_id % 3 WHEN 0 THEN 'doi' WHEN 1 THEN 'invalid' ELSE 'title' END AS kind,
+ CASE page_id % 3 WHEN 0 THEN '10.1234/a' || page_id WHEN 2 THEN 'order ' || page_id END AS normalized,
+ page_id % 3 <> 1 AND coalesce(page_id IN (SELECT o_orderkey FROM orders WHERE o_orderkey % 2 = 0), false) AS found
+FROM (SELECT page_id, CASE page_id % 3 WHEN 0 THEN ' doi:10.1234/A' || page_id WHEN 1 THEN '10.12/' || page_id ELSE 'ORDER: (' || page_id || ')!' END AS raw FROM pages)""")
+def anchors(spark, sf_dir):
+    k, page = F.col("page_id") % 3, F.col("page_id").cast("string")
+    raw = F.when(k == 0, F.concat(F.lit(" doi:10.1234/A"), page)).when(k == 1, F.concat(F.lit("10.12/"), page)).otherwise(F.concat(F.lit("ORDER: ("), page, F.lit(")!")))
+    entries = table(spark, sf_dir, "pages").select("page_id", normalize.anchor_entry(raw).alias("e")).select("page_id", "e.*")
+    key = F.col("o_orderkey").cast("string")
+    works = table(spark, sf_dir, "orders").filter("o_orderkey % 2 = 0").select(
+        normalize.doi_checked(F.concat(F.lit("https://doi.org/10.1234/A"), key)).alias("doi"), normalize.title_loose(F.concat(F.lit("Order, "), key)).alias("title")
+    )
+    return matching.anchor_coverage(entries, works)
+
+
+POOL = ["the", "und", "ent", "zzzz"]
+
+
+@query(f"""
+WITH p AS (SELECT term, embedding::DOUBLE[] AS v FROM (VALUES {sql_values([(t, k) for k, t in enumerate(POOL, 1)])}) t(term, k) JOIN embeddings ON vec_id = k),
+d AS (SELECT lower(text) AS t, embedding::DOUBLE[] AS v FROM documents JOIN embeddings ON vec_id = doc_id WHERE text IS NOT NULL)
+SELECT term, round(coalesce(avg(list_cosine_similarity(d.v, p.v)), 0), 6) AS score FROM p LEFT JOIN d ON contains(d.t, term) GROUP BY term""")
+def mean_similarity(spark, sf_dir):
+    vectors = table(spark, sf_dir, "embeddings").select("vec_id", F.col("embedding").alias("vector"))
+    pool = rows(spark, "term string, k long", [(t, k) for k, t in enumerate(POOL, 1)]).join(vectors, F.col("k") == F.col("vec_id")).select("term", "vector")
+    docs = table(spark, sf_dir, "documents").filter("text is not null").join(vectors, F.col("doc_id") == F.col("vec_id"))
+    found = keywords.mean_similarity(pool, docs.select(F.col("doc_id").alias("id"), "text", "vector"))
+    return found.select("term", F.round("score", 6).alias("score"))
+
+
 @query()
 def fuzzy_title(spark, sf_dir):
     title = normalize.title_key(F.col("text"))
@@ -390,20 +587,18 @@ i AS (SELECT term, ln((1.0 + n) / (1.0 + df)) + 1.0 AS idf FROM df, n WHERE df >
 x AS (SELECT doc_id, tf.term, tf * idf AS v FROM tf JOIN i ON tf.term = i.term),
 m AS (SELECT doc_id, sqrt(sum(v * v)) AS norm FROM x GROUP BY doc_id),
 s AS (SELECT term, sum(v / norm) / any_value(n) AS score FROM x JOIN m ON x.doc_id = m.doc_id, n GROUP BY term)
-SELECT term, round(score, 6) AS score FROM s ORDER BY s.score DESC, term LIMIT 200""")
+SELECT term, round(score, 6) AS score FROM s ORDER BY round(s.score, 6) DESC, term LIMIT 200""")
 def tfidf_keywords(spark, sf_dir):
     docs = table(spark, sf_dir, "documents").filter((F.col("lang") == "en") & F.col("text").rlike(r"^[\x00-\x7F]*$"))
     docs = docs.filter(F.char_length("text") >= 20).select(F.col("doc_id").alias("id"), "text")
-    found = keywords.top(keywords.mean_tfidf(docs, 2, 2), "score", 200)
-    return found.select("term", F.round("score", 6).alias("score"))
+    return keywords.top(keywords.mean_tfidf(docs, 2, 2).withColumn("score", F.round("score", 6)), "score", 200)
 
 
 @query()
 def tfidf_keywords_all(spark, sf_dir):
     """All documents of all languages, with the operator's defaults; ``tfidf_keywords`` is the part that DuckDB can follow."""
     docs = table(spark, sf_dir, "documents").filter(F.char_length("text") >= 20).select(F.col("doc_id").alias("id"), "text")
-    found = keywords.top(keywords.mean_tfidf(docs), "score", 200)
-    return found.select("term", F.round("score", 6).alias("score"))
+    return keywords.top(keywords.mean_tfidf(docs).withColumn("score", F.round("score", 6)), "score", 200)
 
 
 @query("""
@@ -418,13 +613,30 @@ def blend_scores(spark, sf_dir):
     return out.select("term", F.round("combined_score", 6).alias("combined_score"), F.round("keybert_score", 6).alias("keybert_score"))
 
 
-@query("""
-SELECT relevance, count(*) AS n FROM (SELECT CASE
- WHEN (contains(t, 'the') OR contains(t, 'ung')) AND NOT (contains(t, '###') OR contains(t, '!!')) THEN 'Relevant'
- ELSE 'Noise' END AS relevance FROM (SELECT lower(coalesce(text, '')) AS t FROM documents)) GROUP BY relevance""")
+#: Put into texts, so that every outcome occurs.
+MENTIONS = [*sampling.INCLUDE, *sampling.NOISE, *sampling.STRONG, "Energy Storage in a microgrid", "energy storage", "renewable", "BMS and 5G", "Fuel Cells, batteries", "plain words"]
+
+
+def _relevance_sql() -> str:
+    def has(words: list[str]) -> str:
+        return "(" + " OR ".join(f"contains(t, '{w}')" for w in words) + ")"
+
+    wanted, noisy = has(sampling.INCLUDE), has(sampling.NOISE)
+    texts = ", ".join(f"'{m}'" for m in MENTIONS)
+    cases = [(f"{wanted} AND NOT {noisy}", "Relevant", 0), (f"{noisy} AND NOT {wanted}", "Noise", 1), (f"{noisy} AND {wanted} AND {has(sampling.STRONG)}", "Relevant", 2)]
+    cases += [(f"{noisy} AND {wanted}", "Noise", 3), (f"contains(t, '{sampling.STORAGE}') AND {has(sampling.STORAGE_CONTEXT)}", "Relevant", 4), ("true", "Noise", 5)]
+    outcome = " ".join(f"WHEN {when} THEN {sql_values([(name, sampling.RATIONALES[k])])}" for when, name, k in cases).replace("THEN (", "THEN row(")
+    return f"""SELECT o[1] AS relevance, o[2] AS rationale, count(*) AS n FROM (SELECT CASE {outcome} END AS o FROM (
+    SELECT lower(concat_ws(' ', text, [{texts}][doc_id % {len(MENTIONS)} + 1], [{texts}][doc_id // 7 % {len(MENTIONS)} + 1])) AS t FROM documents)) GROUP BY ALL"""
+
+
+@query(_relevance_sql())
 def relevance(spark, sf_dir):
-    found = sampling.relevance(F.col("text"), ["the", "ung"], ["###", "!!"])["relevance"]
-    return impute.outcomes(table(spark, sf_dir, "documents").select(found.alias("relevance")), "relevance")
+    mentions = F.array(*map(F.lit, MENTIONS))
+    n = len(MENTIONS)
+    text = F.concat_ws(" ", "text", F.get(mentions, (F.col("doc_id") % n).cast("int")), F.get(mentions, (F.floor(F.col("doc_id") / 7) % n).cast("int")))
+    found = table(spark, sf_dir, "documents").select(sampling.relevance(text).alias("r")).select("r.*")
+    return found.groupBy("relevance", "rationale").agg(F.count(F.lit(1)).alias("n"))
 
 
 @query("""

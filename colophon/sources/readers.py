@@ -20,10 +20,14 @@ SAMPLE = 4096
 
 def works(spark: SparkSession, path: str) -> DataFrame:
     """Work records of JSON lines, with file and place for their order; bad lines have ``_corrupt_record``."""
-    lines = spark.read.text(path).select("value", "_metadata.file_path", "_metadata.file_block_start")
-    lines = lines.filter(F.trim("value") != "").withColumn("_line", F.monotonically_increasing_id())
+    lines = spark.read.text(path).select("value", F.col("_metadata.file_path").alias("_file"))
+    return parsed_works(lines.withColumn("_line", F.monotonically_increasing_id()))
+
+
+def parsed_works(lines: DataFrame) -> DataFrame:
+    """Work records from ``value, _file, _line``; blank lines go."""
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-    parsed = lines.select(F.from_json("value", WORK, options).alias("w"), F.col("file_path").alias("_file"), "_line")
+    parsed = lines.filter(F.trim("value") != "").select(F.from_json("value", WORK, options).alias("w"), "_file", "_line")
     return parsed.select("w.*", "_file", "_line")
 
 

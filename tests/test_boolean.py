@@ -36,6 +36,6 @@ def test_search(spark):
 
 
 def test_bounded():
-    assert boolean.bounded_query({"1_core_technology": ["laser"], "3_mechanisms": ["x"]}) == "((laser))"
+    assert boolean.bounded_query({"1_core_technology": ["laser"], "3_mechanisms": ["x"]}) == "(((laser)))"
     with pytest.raises(ValueError):
         boolean.bounded_query({"3_mechanisms": ["x"]})
