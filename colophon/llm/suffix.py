@@ -20,17 +20,19 @@ rolling hashes inside a string the least one is its anchor, so equal strings hav
 4. Every block removes the bytes.
 
 A string reaches stage 3 once for each block however often the block holds it, so frequent
-passages don't pile up in one task. There are no checkpoints; a lost executor's work is redone
-from the input or from shuffle files.
+passages don't pile up in one task. What goes between blocks and shares are plain rows, one for an
+anchor, a run of strings or a span, so their number follows the input however many blocks there
+are. There are no checkpoints; a lost executor's work is redone from the input or from shuffle files.
 
 Defined results: a null text counts as empty and returns as it was; texts shorter than ``length``
 are kept; rows with equal ids don't remove each other's bytes; a null id comes before all
-others; only the id, the columns asked for and the outputs return; an empty table gives an empty result.
+others; a text longer than a block makes a block that is longer; only the id, the columns asked for
+and the outputs return, so other columns can't clash; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from hashlib import md5, sha256
+from hashlib import sha256
 
 import numpy as np
 from pyspark.sql import DataFrame
@@ -146,8 +148,8 @@ class Block:
     ``notes`` names documents that are copies, as rows with ``id`` and ``digest``; their bytes are left out.
     """
 
-    def __init__(self, rows, length: int, notes=None):
-        self.length = length
+    def __init__(self, rows, length: int, shares: int = 1, notes=None):
+        self.length, self.shares = length, shares
         ids = rows.column("id").fill_null(NULL_ID).to_numpy()
         found = rows.column("data").to_pylist()
         texts = [t or b"" for t in found]
@@ -160,7 +162,7 @@ class Block:
             named = {(i, d) for i, d in zip(notes.column("id").to_pylist(), notes.column("digest").to_pylist()) if d}
             known = {i for i, _ in named}
             for k, (i, text) in enumerate(zip(self.ids.tolist(), self.texts)):
-                if i in known and (i, md5(text).hexdigest()) in named:
+                if i in known and (i, sha256(text).hexdigest()) in named:
                     self.copies.append((k, len(text)))
                     self.texts[k] = b""
         sizes = np.fromiter(map(len, self.texts), np.int64, len(self.texts))
@@ -185,7 +187,7 @@ class Block:
                     new = np.ones(len(places), bool)
                     new[1:] = (found[1:] != found[:-1]) | (rows[1:] != rows[:-1])
                     at = np.flatnonzero(new)
-                    yield places[at] + base, np.diff(np.append(at, len(places))), found[at] & ~np.uint64(1), rows[at]
+                    yield places[at] + base, np.diff(np.append(at, len(places))), codes(found[at], self.shares), rows[at]
             k = to
 
     def all_runs(self):
@@ -195,37 +197,51 @@ class Block:
         return tuple(np.concatenate(p) for p in zip(*parts))
 
 
-def _blob(values: np.ndarray) -> bytes:
-    return np.ascontiguousarray(values).tobytes()
+def codes(anchors: np.ndarray, shares: int) -> np.ndarray:
+    """Anchors as the number of their share and 31 bits more, the lowest bit 0.
+
+    Anchors of one code look shared where they aren't, which costs a comparison and changes nothing.
+    """
+    return (_mixed(anchors) % np.uint64(shares)) << np.uint64(32) | (anchors & np.uint64(0xFFFFFFFE))
 
 
-ANCHORS = "share long, block long, anchors binary"
-NOTES = "block long, shared binary, id long, digest string"
-STRINGS = "share long, block long, ids binary, rows binary, starts binary, counts binary, data binary"
-SPANS = "block long, rows binary, starts binary, ends binary"
+ANCHORS = "share int, block int, anchor int"
+NOTES = "block int, code long, id long, digest string"
+STRINGS = "share int, block int, id long, row int, start int, count int, data binary"
+SPANS = "block int, row int, start int, end int"
 
 
-def _table(schema: str, rows: list[tuple]):
+def _table(schema: str, columns: list):
     import pyarrow as pa
 
+    kinds = {"long": pa.int64(), "int": pa.int32(), "binary": pa.binary(), "string": pa.string()}
     fields = [f.split() for f in schema.split(", ")]
-    kinds = {"long": pa.int64(), "binary": pa.binary(), "string": pa.string()}
-    columns = list(zip(*rows)) if rows else [()] * len(fields)
-    return pa.table({name: pa.array(list(c), kinds[kind]) for (name, kind), c in zip(fields, columns)})
+    n = max((len(c) for c in columns if hasattr(c, "__len__")), default=0)
+    full = [c if hasattr(c, "__len__") else pa.nulls(n, kinds[k]) if c is None else np.full(n, c) for c, (_, k) in zip(columns, fields)]
+    return pa.table({name: c if isinstance(c, pa.Array) else pa.array(c, kinds[k]) for c, (name, k) in zip(full, fields)})
 
 
-def _dealt(keys: np.ndarray, shares: int):
-    """Which items go to which share of the anchors."""
-    share = (_mixed(keys) % np.uint64(shares)).astype(np.int64)
-    order = np.argsort(share, kind="stable")
-    edges = np.flatnonzero(np.diff(share[order], prepend=-1, append=shares))
-    for a, b in zip(edges[:-1].tolist(), edges[1:].tolist()):
-        yield int(share[order[a]]), order[a:b]
+def _slices(data: np.ndarray, sizes: np.ndarray):
+    """An Arrow array of the consecutive slices of ``data``."""
+    import pyarrow as pa
+
+    ends = np.append(0, np.cumsum(sizes)).astype(np.int32)
+    return pa.Array.from_buffers(pa.binary(), len(sizes), [None, pa.py_buffer(ends), pa.py_buffer(np.ascontiguousarray(data))])
+
+
+def _joined(column) -> np.ndarray:
+    """The bytes of a binary column without nulls, one value after the other."""
+    import pyarrow as pa
+
+    array = column.combine_chunks().cast(pa.large_binary())
+    _, offsets, data = array.buffers()
+    ends = np.frombuffer(offsets, np.int64)[array.offset : array.offset + len(array) + 1]
+    return np.frombuffer(data, np.uint8)[ends[0] : ends[-1]]
 
 
 def report_anchors(block: int, rows, notes, length: int, shares: int):
     """Stage 1: distinct anchors; the lowest bit says whether two documents of the block have it."""
-    held = Block(rows, length, notes)
+    held = Block(rows, length, shares, notes)
     _, _, anchors, at = held.all_runs()
     ids = held.ids[at] if len(at) else at
     order = np.lexsort((ids, anchors))
@@ -236,16 +252,15 @@ def report_anchors(block: int, rows, notes, length: int, shares: int):
     several[1:] = ~first[1:] & (ids[1:] != ids[:-1])
     group = np.cumsum(first) - 1
     flag = np.bincount(group, several, first.sum() if len(first) else 0) > 0
-    keys = anchors[first]
-    return _table(ANCHORS, [(s, block, _blob(keys[k] | flag[k].astype(np.uint64))) for s, k in _dealt(keys, shares)])
+    keys = anchors[first] | flag.astype(np.uint64)
+    return _table(ANCHORS, [(keys >> np.uint64(32)).astype(np.int32), block, keys.astype(np.uint32).view(np.int32)])
 
 
-def match_anchors(rows):
+def match_anchors(share: int, rows):
     """Anchors that two documents have, for each block; the lowest bit says whether two blocks do."""
-    blocks = rows.column("block").to_pylist()
-    parts = [np.frombuffer(b, np.uint64) for b in rows.column("anchors").to_pylist()]
-    keys = np.concatenate(parts)
-    owner = np.repeat(np.arange(len(parts)), [len(p) for p in parts])
+    rows = rows.combine_chunks()
+    keys = rows.column("anchor").to_numpy().view(np.uint32).astype(np.uint64)
+    owner = rows.column("block").to_numpy()
     plain = keys & ~np.uint64(1)
     order = np.argsort(plain, kind="stable")
     plain, owner, flag = plain[order], owner[order], (keys[order] & np.uint64(1)) > 0
@@ -254,11 +269,8 @@ def match_anchors(rows):
     group = np.cumsum(first) - 1
     far = (np.bincount(group) > 1)[group]
     take = far | flag
-    marked, owner = (plain | far.astype(np.uint64))[take], owner[take]
-    order = np.argsort(owner, kind="stable")
-    marked, edges = marked[order], np.searchsorted(owner[order], np.arange(len(parts) + 1))
-    made = [(blocks[k], _blob(marked[edges[k] : edges[k + 1]]), None, None) for k in range(len(parts)) if edges[k] < edges[k + 1]]
-    return _table(NOTES, made)
+    code = np.uint64(share) << np.uint64(32) | plain[take] | far[take].astype(np.uint64)
+    return _table(NOTES, [owner[take], code.view(np.int64), None, None])
 
 
 def _removed(places: np.ndarray, rows: np.ndarray, gone: np.ndarray, length: int):
@@ -273,30 +285,33 @@ def _removed(places: np.ndarray, rows: np.ndarray, gone: np.ndarray, length: int
     return rows[at], places[at], places[last] + length
 
 
-def _spans_row(share: int, block: int, row: np.ndarray, start: np.ndarray, end: np.ndarray) -> tuple:
-    return (share, block, b"", *(_blob(x.astype(np.int32)) for x in (row, start, end)), b"")
+def order_block(block: int, rows, notes, length: int, shares: int):
+    """Stage 2: spans to remove inside the block, and the first document's strings by anchor.
 
+    Spans pass stage 3 in a share of the block's own, as rows without data whose count is the end.
+    """
+    import pyarrow as pa
 
-def order_block(block: int, rows, notes, length: int, shares: int):
-    """Stage 2: spans to remove inside the block, and the first document's strings by anchor."""
     if not rows.num_rows:
-        return _table(STRINGS, [])
-    held = Block(rows, length, notes)
+        return _table(STRINGS, [[]] * 7)
+    held = Block(rows, length, shares, notes)
     out = []
+
+    def own(row: np.ndarray, start: np.ndarray, end: np.ndarray) -> None:
+        out.append(_table(STRINGS, [np.full(len(row), shares + block), block, 0, row, start, end, None]))
+
     if whole := [(k, n) for k, n in held.copies if n >= length]:
         row, end = np.array(whole, np.int64).T
-        out.append(_spans_row(shares + block, block, row, np.zeros_like(row), end))
-    marks = [np.frombuffer(b, np.uint64) for b in notes.column("shared").to_pylist() if b is not None]
-    if not marks:
-        return _table(STRINGS, out)
-    shared = np.sort(np.concatenate(marks))
+        own(row, np.zeros_like(row), end)
+    shared = np.sort(notes.column("code").drop_null().to_numpy().view(np.uint64))
     places, counts, anchors, at = held.all_runs()
-    where = np.minimum(np.searchsorted(shared, anchors), len(shared) - 1)
-    hit = (shared[where] & ~np.uint64(1)) == anchors
-    places, counts, anchors, at = places[hit], counts[hit], anchors[hit], at[hit]
-    far = (shared[where[hit]] & np.uint64(1)) > 0
-    if not len(places):
-        return _table(STRINGS, out)
+    if len(shared):
+        where = np.minimum(np.searchsorted(shared, anchors), len(shared) - 1)
+        hit = (shared[where] & ~np.uint64(1)) == anchors
+        places, counts, anchors, at = places[hit], counts[hit], anchors[hit], at[hit]
+        far = (shared[where[hit]] & np.uint64(1)) > 0
+    if not len(shared) or not len(places):
+        return pa.concat_tables(out) if out else _table(STRINGS, [[]] * 7)
     # neighbouring runs of a document form a segment
     new = np.ones(len(places), bool)
     new[1:] = (places[1:] != places[:-1] + counts[:-1]) | (at[1:] != at[:-1])
@@ -313,7 +328,7 @@ def order_block(block: int, rows, notes, length: int, shares: int):
     local = string_at - held.starts[string_row]
     row, start, end = _removed(local, string_row, gone, length)
     if len(row):
-        out.append(_spans_row(shares + block, block, row, start, end))
+        own(row, start, end)
     send = np.flatnonzero(~gone & np.repeat(far, counts))
     if len(send):
         key = np.repeat(anchors, counts)[send]
@@ -323,40 +338,28 @@ def order_block(block: int, rows, notes, length: int, shares: int):
         piece = np.flatnonzero(new)
         n = np.diff(np.append(piece, len(send)))
         head = send[piece]
-        for share, k in _dealt(key[piece], shares):
-            h = head[k]
-            data = whole[_ranges(string_at[h], n[k] + length - 1)]
-            row = string_row[h]
-            small = (_blob(x.astype(np.int32)) for x in (row, local[h], n[k]))
-            out.append((share, block, _blob(held.ids[row]), *small, _blob(data)))
-    return _table(STRINGS, out)
+        data = _slices(whole[_ranges(string_at[head], n + length - 1)], n + length - 1)
+        share = (key[piece] >> np.uint64(32)).astype(np.int32)
+        row = string_row[head]
+        out.append(_table(STRINGS, [share, block, held.ids[row], row, local[head], n, data]))
+    return pa.concat_tables(out) if out else _table(STRINGS, [[]] * 7)
 
 
-def order_share(shares: int, rows, length: int):
+def order_share(share: int, shares: int, rows, length: int):
     """Stage 3: spans to remove, for each block, among the strings of a share of the anchors."""
-    lists = {c: rows.column(c).to_pylist() for c in ("share", "block", "ids", "rows", "starts", "counts", "data")}
-    if lists["share"][0] >= shares:  # a block's own spans pass
-        return _table(SPANS, list(zip(lists["block"], lists["rows"], lists["starts"], lists["counts"])))
-    ids = np.concatenate([np.frombuffer(b, np.int64) for b in lists["ids"]])
-    row, start, n = (
-        np.concatenate([np.frombuffer(b, np.int32) for b in lists[c]]).astype(np.int64) for c in ("rows", "starts", "counts")
-    )
-    block = np.repeat(lists["block"], [len(b) // 8 for b in lists["ids"]])
-    text = np.frombuffer(b"".join(lists["data"]), np.uint8)
+    rows = rows.combine_chunks()
+    block, ids, row, start, n = (rows.column(c).to_numpy() for c in ("block", "id", "row", "start", "count"))
+    if share >= shares:  # a block's own spans pass
+        return _table(SPANS, [block, row, start, n])
+    start, n = start.astype(np.int64), n.astype(np.int64)
+    text = _joined(rows.column("data"))
     ranks = corpus_ranks(text, np.cumsum(n + length - 1) - (n + length - 1), n, length).astype(np.int64)
     least = np.full(int(ranks.max()) + 1, np.iinfo(np.int64).max)
     owner = np.repeat(np.arange(len(n)), n)
     np.minimum.at(least, ranks, ids[owner])
     gone = ids[owner] > least[ranks]
     piece, first, end = _removed(_ranges(start, n), owner, gone, length)
-    order = np.argsort(block[piece], kind="stable")
-    piece, first, end = piece[order], first[order], end[order]
-    edges = np.flatnonzero(np.diff(block[piece], prepend=-1, append=-1)) if len(piece) else np.zeros(0, np.int64)
-    made = [
-        (int(block[piece[a]]), *(_blob(x[a:b].astype(np.int32)) for x in (row[piece], first, end)))
-        for a, b in zip(edges[:-1].tolist(), edges[1:].tolist())
-    ]
-    return _table(SPANS, made)
+    return _table(SPANS, [block[piece], row[piece], first, end])
 
 
 def merged(starts: np.ndarray, ends: np.ndarray) -> list[tuple[int, int]]:
@@ -374,10 +377,7 @@ def spans_of(rows, spans, length: int):
     held = Block(rows, length)
     if not spans.num_rows:
         return held, {}
-    row, start, end = (
-        np.concatenate([np.frombuffer(b, np.int32) for b in spans.column(c).to_pylist()]).astype(np.int64)
-        for c in ("rows", "starts", "ends")
-    )
+    row, start, end = (spans.column(c).to_numpy().astype(np.int64) for c in ("row", "start", "end"))
     order = np.argsort(row, kind="stable")
     row, start, end = row[order], start[order], end[order]
     edges = np.flatnonzero(np.diff(row, prepend=-1, append=-1))
@@ -412,18 +412,18 @@ def repeated_passages(
     blocks = max(LEAST_BLOCKS, text_bytes(docs, f"`{text}`") // BLOCK_BYTES + 1)
     renamed = {f"x{k}": F.col(f"`{c}`") for k, c in enumerate(carry)}
     placed = docs.select(
-        F.pmod(F.xxhash64(F.col(f"`{id_column}`").cast("long")), F.lit(blocks)).alias("block"),
         F.col(f"`{id_column}`").cast("long").alias("id"),
         F.encode(F.col(f"`{text}`"), "UTF-8").alias("data"),
         *[c.alias(k) for k, c in renamed.items()],
     )
+    block = F.pmod(F.xxhash64("id", "data"), F.lit(blocks)).cast("int")  # rows of one id go to many
+    placed = placed.select(block.alias("block"), *placed.columns)
     dealt = placed.repartition(blocks, "block")  # one exchange, read three times
 
-    marked = placed.filter(F.octet_length("data") >= length).select("id", F.md5("data").alias("digest"))
+    marked = placed.filter(F.octet_length("data") >= length).select("block", "id", F.sha2("data", 256).alias("digest"))
     firsts = marked.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
-    copies = marked.join(firsts, "digest").filter("id > first").select(
-        F.pmod(F.xxhash64("id"), F.lit(blocks)).alias("block"), F.lit(None).cast("binary").alias("shared"), F.col("id").alias("id"), "digest"
-    )
+    copies = marked.join(firsts, "digest").filter("id > first")
+    copies = copies.select(F.col("block").alias("block"), F.lit(None).cast("long").alias("code"), F.col("id").alias("id"), "digest")
 
     def anchors(key, rows, notes):
         return report_anchors(key[0].as_py(), rows, notes, length, blocks)
@@ -432,9 +432,9 @@ def repeated_passages(
         return order_block(key[0].as_py(), rows, notes, length, blocks)
 
     found = dealt.groupBy("block").cogroup(copies.groupBy("block")).applyInArrow(anchors, ANCHORS)
-    notes = found.groupBy("share").applyInArrow(match_anchors, NOTES).unionByName(copies)
+    notes = found.groupBy("share").applyInArrow(lambda key, rows: match_anchors(key[0].as_py(), rows), NOTES).unionByName(copies)
     sent = dealt.groupBy("block").cogroup(notes.groupBy("block")).applyInArrow(strings, STRINGS)
-    spans = sent.groupBy("share").applyInArrow(lambda rows: order_share(blocks, rows, length), SPANS)
+    spans = sent.groupBy("share").applyInArrow(lambda key, rows: order_share(key[0].as_py(), blocks, rows, length), SPANS)
 
     extra = tuple(renamed)
     carried = [f"{k} {placed.schema[k].dataType.simpleString()}" for k in extra]

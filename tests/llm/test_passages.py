@@ -106,3 +106,24 @@ def test_extra_columns_with_clashing_names(spark):
     found = suffix.repeated_passages(docs, 50, ("n_removed",), carry=("block", "id")).orderBy("doc_id")
     assert [tuple(r) for r in found.collect()] == [(1, 1, 2, 0), (2, 3, 4, 80)]
     assert found.select(F.sum("n_removed")).first()[0] == 80
+
+
+def test_very_long_text_and_repeated_rows(spark):
+    rng = random.Random(2)
+    long = "".join(rng.choice("abcdefghij ") for _ in range(6_000_000))
+    rows = [(1, long[:100]), (2, long), (2, long), (3, long[5_000_000:]), (None, "x" * 60), (None, "x" * 60), (4, "x" * 70)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string").repartition(4)
+    found = sorted((str(r[0]), r[1], r[2]) for r in suffix.repeated_passages(docs, 50, ("n_bytes", "n_removed")).collect())
+    assert found == [("1", 100, 0), ("2", 6_000_000, 100), ("2", 6_000_000, 100), ("3", 1_000_000, 1_000_000), ("4", 70, 70), ("None", 60, 0), ("None", 60, 0)]
+
+
+def test_rows_between_stages_follow_the_input():
+    import pyarrow as pa
+
+    rng = random.Random(7)
+    texts = [bytes(rng.choice(b"abcdefgh") for _ in range(400)) for _ in range(40)]
+    rows = pa.table({"id": list(range(40)), "data": texts})
+    notes = pa.table({"id": pa.nulls(0, pa.int64()), "digest": pa.nulls(0, pa.string()), "code": pa.nulls(0, pa.int64())})
+    few, many = (suffix.report_anchors(0, rows, notes, 50, shares) for shares in (4, 4000))
+    assert few.num_rows == many.num_rows < 40 * 400 / 5
+    assert len(set(many.column("share").to_pylist())) > 100
