@@ -5,45 +5,56 @@ network over two numbers ``(a, b)`` with moduli of the format: rounds add a keye
 the other. So equal values get equal pseudonyms in all documents, and different ones different.
 
 * cards: 13 to 19 digits that pass the Luhn test; the check digit is made anew, separators stay
-* phones: the last ten digits at most; country code and separators stay
+* phones of 7 to 15 digits: separators and a country code that is set apart stay, and of the other
+  digits the last ten at most are permuted
 * IPv4 addresses: 2 x 16 bits
 * social security numbers with valid area, group and serial
-* dates ``yyyy-mm-dd``, ``dd/mm/yyyy`` and ``dd.mm.yyyy`` that exist, from 1900-01-01 for 73,000 days
+* dates ``yyyy-mm-dd``, ``dd/mm/yyyy``, ``dd.mm.yyyy`` that exist, and ``mm/dd/yyyy`` with a day
+  over 12, which stay such; from the year 1000 on, permuted within ``RANGES``
 * e-mail addresses are no numbers: a keyed hash names the mailbox, equal up to letter case
 
+Repeated groups of the patterns are possessive or bounded, so the regex engine works in a loop and
+long strings don't fill its stack.
+
 Defined results: a null text stays null, an empty one empty; values that fail their test stay as
-they are; rows are treated one by one, so repeated rows and ties change nothing; all columns of
-the input stay, and the counts replace input columns of their names.
+they are; rows are treated one by one, so repeated rows and ties change nothing; very long texts
+are treated whole; all columns of the input stay, and the counts replace input columns of their
+names; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colophon.llm.common import let
 
 KINDS = ("email", "date", "ssn", "ip", "card", "phone")
 PATTERNS = {
-    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]+(?:\.[A-Za-z0-9-]+)+",
+    "email": r"(?<![A-Za-z0-9._%+-])[A-Za-z0-9._%+-]++@[A-Za-z0-9-]++(?:\.[A-Za-z0-9-]++)++",
     "date": r"(?<![\d./-])(?:\d{4}-\d{2}-\d{2}|\d{2}/\d{2}/\d{4}|\d{2}\.\d{2}\.\d{4})(?![/-]?\d|\.\d)",
     "ssn": r"(?<![\d-])\d{3}-\d{2}-\d{4}(?![\d-])",
     "ip": r"(?<![\d.])\d{1,3}\.\d{1,3}\.\d{1,3}\.\d{1,3}(?!\d|\.\d)",
     "card": r"(?<!\d)(?:\d{13,19}|\d{4}([ -])\d{4}\1\d{4}\1\d{1,7}|\d{4}[ -]\d{6}[ -]\d{5})(?!\d)",
     "phone": r"(?<![\w+])(?:(?:\+?\d{1,3}[ .-]?)?\(\d{3}\)[ .-]?\d{3}[ .-]?\d{4}"
-    r"|\+\d{1,3}(?:[ -]\d{2,4}){2,4}|\+\d{8,15}|\d{3}[.-]\d{3}[.-]\d{4})(?!\d|\.\d)",
+    r"|\+\d{1,3}(?:[ -]\d{1,4}){2,4}|\+\d{1,3}[ -]\d{2,5}[ -]\d{4,8}|\+\d{8,15}|\d{3}[.-]\d{3}[.-]\d{4})(?!\d|\.\d)",
 }
 ANY = "|".join(f"(?:{PATTERNS[k]})" for k in KINDS)
 ROUNDS = 8
-FIRST_DAY, DAYS_A, DAYS_B = "1900-01-01", 200, 365
+#: First days, years and days a year of the ranges within which dates are permuted.
+RANGES = {"past": ("1000-08-07", 900, 365), "present": ("1900-01-01", 200, 365), "future": ("2099-11-13", 7900, 365)}
+#: Steps to find a day over 12; each ends with a probability of 0.6.
+WALK = 64
+#: The setting that holds the key, and what the registered queries use where it is unset.
+KEY_SETTING, TEST_KEY = "spark.colophon.pii.key", "public test key"
 
 
-def feistel(a: Column, b: Column, a_size: Column | int, b_size: Column | int, tweak: str, key: str) -> Column:
+def feistel(a: Column, b: Column, a_size: Column | int, b_size: Column | int, tweak: Column | str, key: str) -> Column:
     """Struct ``(a, b)``: a keyed permutation of the pairs with ``a < a_size`` and ``b < b_size``."""
     size_a, size_b = (x if isinstance(x, Column) else F.lit(x).cast("long") for x in (a_size, b_size))
 
     def noise(i: Column, x: Column) -> Column:
-        digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit(tweak), i.cast("string"), x.cast("string")), 256)
+        digest = F.sha2(F.concat_ws("|", F.lit(key), F.lit(tweak) if isinstance(tweak, str) else tweak, i.cast("string"), x.cast("string")), 256)
         return F.conv(F.substring(digest, 1, 15), 16, 10).cast("long")
 
     def step(s: Column, i: Column) -> Column:
@@ -116,24 +127,36 @@ def email_pseudonym(value: Column, key: str) -> Column:
 
 
 def date_pseudonym(value: Column, key: str) -> Column:
-    """Null unless the date exists and lies in the range."""
+    """Null unless the date exists and lies in a range."""
+
+    def permuted(day: Column) -> Column:
+        found = None
+        for name, (first, years, days) in RANGES.items():
+            start = F.lit(first).cast("date")
+            place = F.datediff(day, start)
+            chosen = F.struct(F.lit(name).alias("name"), start.alias("start"), place.alias("place"), F.lit(years).alias("years"), F.lit(days).alias("days"))
+            found = (F if found is None else found).when((place >= 0) & (place < years * days), chosen)
+
+        def moved(r: Column) -> Column:
+            pair = feistel(F.floor(r["place"] / r["days"]), r["place"] % r["days"], r["years"], r["days"], F.concat(F.lit("date "), r["name"]), key)
+            return let(pair, lambda s: F.date_add(r["start"], (s["a"] * r["days"] + s["b"]).cast("int")))
+
+        return let(found, moved)
 
     def of(form: str) -> Column:
-        day = F.datediff(F.try_to_date(value, form), F.lit(FIRST_DAY).cast("date"))
-        moved = let(
-            day,
-            lambda d: F.when(
-                (d >= 0) & (d < DAYS_A * DAYS_B),
-                let(
-                    feistel(F.floor(d / DAYS_B), d % DAYS_B, DAYS_A, DAYS_B, "date", key),
-                    lambda s: F.date_add(F.lit(FIRST_DAY).cast("date"), (s["a"] * DAYS_B + s["b"]).cast("int")),
-                ),
-            ),
-        )
-        return F.date_format(moved, form)
+        return F.date_format(let(F.try_to_date(value, form), permuted), form)
 
+    def walked(day: Column) -> Column:
+        def step(d: Column, i: Column) -> Column:
+            return F.when((i > 0) & (F.dayofmonth(d) > 12), d).otherwise(permuted(d))
+
+        return F.date_format(F.aggregate(F.sequence(F.lit(0), F.lit(WALK)), day, step), "MM/dd/yyyy")
+
+    american = F.when(F.substring(value, 4, 2).cast("int") > 12, let(F.try_to_date(value, "MM/dd/yyyy"), walked))
     return (
-        F.when(value.contains("-"), of("yyyy-MM-dd")).when(value.contains("/"), of("dd/MM/yyyy")).otherwise(of("dd.MM.yyyy"))
+        F.when(value.contains("-"), of("yyyy-MM-dd"))
+        .when(value.contains("/"), F.coalesce(of("dd/MM/yyyy"), american))
+        .otherwise(of("dd.MM.yyyy"))
     )
 
 
@@ -184,15 +207,15 @@ def card_pseudonym(value: Column, key: str) -> Column:
 
 
 def phone_pseudonym(value: Column, key: str) -> Column:
-    """Null for fewer than seven or more than fifteen digits."""
+    """Null for fewer than seven or more than fifteen digits, or fewer than two after the country code."""
 
     def of(d: Column) -> Column:
         n = F.char_length(d)
-        keep = F.greatest(n - 10, F.lit(0))
-        moved = F.concat(
-            F.substring(d, F.lit(1), keep), permuted_digits(F.substring(d, keep + 1, n), "phone", key)
-        )
-        return F.when((n >= 7) & (n <= 15), put_back(value, moved))
+        code = F.char_length(F.regexp_extract(value, r"^\+?(\d{1,3})[ .-]?\(|^\+(\d{1,3})[ -]", 0))
+        code = F.when(code > 0, F.char_length(digits_of(F.substring(value, F.lit(1), code)))).otherwise(0)
+        keep = F.greatest(n - 10, code)
+        moved = F.concat(F.substring(d, F.lit(1), keep), permuted_digits(F.substring(d, keep + 1, n), "phone", key))
+        return F.when((n >= 7) & (n <= 15) & (n >= keep + 2), put_back(value, moved))
 
     return let(digits_of(value), of)
 
@@ -234,10 +257,15 @@ def _replaced(text: Column, key: str) -> Column:
     return F.transform(parts, part)
 
 
-def pseudonymize(docs: DataFrame, key: str = "colophon", text: str = "text", counts: bool = True) -> DataFrame:
+def session_key(spark: SparkSession) -> str:
+    """The key in the session's setting ``KEY_SETTING``; a public one for tests where it is unset."""
+    return spark.conf.get(KEY_SETTING, TEST_KEY)
+
+
+def pseudonymize(docs: DataFrame, key: str, text: str = "text", counts: bool = True) -> DataFrame:
     """``docs`` with personal data in ``text`` replaced; ``counts`` adds ``n_email`` and so on.
 
-    ``key`` decides the permutations: keep it secret and fixed for a corpus.
+    ``key`` decides the permutations, which it also undoes: keep it secret and fixed for a corpus.
     """
     column = F.col(f"`{text}`")
     out = docs.withColumn("_pii_parts", _replaced(column, key))
