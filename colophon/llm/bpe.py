@@ -49,8 +49,8 @@ class ByteBpe:
         for token, i in ranks.items():
             self.automaton.add_word(token.decode("latin-1"), i)
         self.automaton.make_automaton()
-        self.compatible = cache(self._compatible)
-        self.shorter = cache(self._shorter)
+        self.compatible = lru_cache(maxsize=1 << 20)(self._compatible)
+        self.shorter = cache(self._shorter)  # this and what follows: a value a token at most
         self.parts = cache(self._parts)
         self.edges = cache(self._edges)
 

@@ -1,15 +1,17 @@
 """Cost-balanced packing of documents into training sequences.
 
 Documents are tokenized and packed where they are read, so no text is shuffled. Each task works in
-windows of a bounded number of tokens. A document is cut into full sequences and a rest; the rests
-are assigned in descending length to the sequence of lowest estimated cost (linear plus quadratic
-in the lengths of its pieces, as attention costs) with remaining capacity for them. A rest that
-fits nowhere whole is cut over the cheapest open sequences. A window's last tokens get sequences
-of power-of-two lengths, which need no padding, so every sequence is filled.
+windows of a bounded number of tokens. A document is cut into pieces of at most half a sequence, so
+that no single piece makes a sequence dear; pieces are assigned in descending length to the
+sequence of lowest estimated cost (linear plus quadratic in the lengths of its pieces, as attention
+costs) with remaining capacity for them. A piece that fits nowhere whole is cut over the cheapest
+open sequences. A window's last tokens get sequences of power-of-two lengths, which need no
+padding, so every sequence is filled.
 
 Defined results: a null or empty text is the end token alone; equal documents are packed one by
-one; ties go by order of input; an empty table gives no pieces; only the id column and the piece's
-columns return. Sequence ids hold the task's number, so they are unique and don't change when a
+one; a very long text is encoded whole and fills a window of its own; ties go by order of input; an
+empty table gives no pieces; only the id column and the piece's columns return, so other columns
+can't clash. Sequence ids hold the task's number, so they are unique and don't change when a
 task runs again on the same input.
 """
 
@@ -42,8 +44,8 @@ class WordIds(dict):
     """Token ids of words as little-endian 32-bit bytes.
 
     The tokenizer drops white space and never merges across it, so words can be encoded apart.
-    Words of Latin letters in composed form go straight to the merges, any other word to the whole
-    tokenizer. Memory is bounded: when full, it becomes the older half, whose entries come back on use.
+    Words of printable ASCII characters and Latin letters in composed form go straight to the merges,
+    any other word (control characters too) to the whole tokenizer. Memory is bounded: when full, it becomes the older half, whose entries come back on use.
     """
 
     def __init__(self, path: str, most: int = 1 << 18):
@@ -72,7 +74,8 @@ class WordIds(dict):
             self.older = dict(self)
             self.clear()
         if (found := self.older.get(word)) is None:
-            if "<|" not in word and (word.isascii() or (max(word) < "\u0250" and is_normalized("NFC", word))):
+            latin = word.isprintable() and (word.isascii() or (max(word) < "\u0250" and is_normalized("NFC", word)))
+            if latin and "<|" not in word:
                 found = b"".join(map(self.piece, self.pieces(word.lower())))
             else:
                 ids = self.tokenizer.encode(word, add_special_tokens=False).ids
@@ -97,26 +100,25 @@ def room_for(total: int, capacity: int) -> list[int]:
     return rooms + [1 << k for k in reversed(range(rest.bit_length())) if rest >> k & 1]
 
 
-def assign(lengths: list[int], capacity: int, linear: float = 1.0, quadratic: float = 1 / 512):
-    """``(item, start, length, sequence, offset)`` of pieces that fill ``room_for(sum(lengths))``."""
+def assign(lengths: list[int], capacity: int, linear: float = 1.0, quadratic: float = 1 / 512, most: int | None = None):
+    """``(item, start, length, sequence, offset)`` of pieces that fill ``room_for(sum(lengths))``.
+
+    ``most``: length of a piece, by default half of ``capacity``.
+    """
     import numpy as np
 
-    full, rests = [], []
-    for item, n in enumerate(lengths):
-        whole = n // capacity
-        full += [(item, k * capacity) for k in range(whole)]
-        if n % capacity:
-            rests.append((n % capacity, item, whole * capacity))
-    out = [(item, start, capacity, s, 0) for s, (item, start) in enumerate(full)]
-    rooms = np.array(room_for(sum(r[0] for r in rests), capacity), np.int64)
+    most = most or max(1, capacity // 2)
+    cuts = [(min(most, n - start), item, start) for item, n in enumerate(lengths) for start in range(0, n, most)]
+    rooms = np.array(room_for(sum(lengths), capacity), np.int64)
     left, cost = rooms.copy(), np.zeros(len(rooms))
-    for n, item, start in sorted(rests, key=lambda r: (-r[0], r[1])):
+    out = []
+    for n, item, start in sorted(cuts, key=lambda c: (-c[0], c[1:])):
         while n:
             fits = left >= n
             some = fits if fits.any() else left > 0
             s = int(np.where(some, cost, np.inf).argmin())
             take = min(n, int(left[s]))
-            out.append((item, start, take, len(full) + s, int(rooms[s] - left[s])))
+            out.append((item, start, take, s, int(rooms[s] - left[s])))
             left[s] -= take
             cost[s] += linear * take + quadratic * take * take
             start, n = start + take, n - take

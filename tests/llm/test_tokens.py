@@ -2,16 +2,15 @@ import random
 import zlib
 from collections import defaultdict
 from hashlib import sha256
-from pathlib import Path
 
 import numpy as np
 import pytest
 
 from colophon.llm import bpe, packing
-from colophon.llm.queries import BYTE_PATTERN, TOKENIZERS
 
-RANKS, WORDS = f"{TOKENIZERS}/byte_bpe_50k.tiktoken", f"{TOKENIZERS}/word_bpe_49k.json"
-pytestmark = pytest.mark.skipif(not Path(RANKS).exists(), reason="no vocabulary files")
+public_tokenizers = pytest.importorskip("public_tokenizers")
+BYTE_PATTERN = public_tokenizers.PATTERN
+RANKS, WORDS = map(public_tokenizers.path, ("byte_bpe_50k.tiktoken", "word_bpe_49k.json"))
 TEXTS = ["", None, "Hello world, it's 12345!", "  spaces \n\n\tand tabs ", "naïve Äpfel 中文 🙂 é", "a" * 3000, "<|endoftext|>x", "the the the", "ΑΣ ας İ", " "]
 
 
@@ -93,6 +92,39 @@ def test_assignment_balances_cost_and_fills():
         filled[s] += n
         cost[s] += n * n
     assert sum(filled.values()) == sum(lengths)
+    full = [cost[s] for s in filled if filled[s] == 2048]
+    assert max(full) <= 2 * 1024**2 and min(full) >= 0.5 * max(full)  # uncut pieces of 2048 would cost 4 * 1024**2
     assert all(v & (v - 1) == 0 for v in filled.values())
     assert packing.room_for(5000, 2048) == [2048, 2048, 512, 256, 128, 8]
     assert packing.assign([], 2048) == []
+
+
+def strange_texts(n, seed=3):
+    rng = random.Random(seed)
+    letters = [chr(c) for c in range(0x250)] + list("αΩσς\u0301\u0308中あ🙂\u2028\u3000\ud7a3\u0130ﬁ<|>'")
+    plain = list("abcde fgh   's 'll <|endoftext|>\n\t.,")
+    return ["".join(rng.choice(letters if rng.random() < 0.4 else plain) for _ in range(rng.randint(0, 24))) for _ in range(n)]
+
+
+def test_word_ids_equal_the_library_on_all_characters():
+    from tokenizers import Tokenizer
+
+    tokenizer, words = Tokenizer.from_file(WORDS), packing.WordIds(WORDS)
+    texts = [f"x{chr(c)}y {chr(c)}" for c in range(0x250)] + ["\x1b[31mred\x1b[0m x\x7fy", *strange_texts(20_000)]
+    for text in texts:
+        got = np.frombuffer(words.encode(text), "<i4").tolist()
+        assert got == tokenizer.encode(text, add_special_tokens=False).ids, repr(text)
+
+
+def test_byte_ids_equal_the_library_on_all_characters():
+    _, memo, split = bpe._loaded(RANKS, BYTE_PATTERN)
+    enc = reference()
+    for text in strange_texts(20_000, 5):
+        got = np.frombuffer(b"".join(map(memo.__getitem__, split(text))), "<u4").tolist()
+        assert got == enc.encode_ordinary(text), repr(text)
+
+
+def test_clashing_columns(spark):
+    docs = spark.createDataFrame([(1, "a b", 5, "z")], "doc_id long, text string, length int, key string")
+    assert sum(r["length"] for r in packing.pack(docs, WORDS).collect()) == 3
+    assert bpe.encode(docs, RANKS, BYTE_PATTERN).first()["doc_id"] == 1
