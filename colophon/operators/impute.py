@@ -132,7 +132,13 @@ def stage_1(contributions: DataFrame, institutions: DataFrame, predicted: DataFr
     a predicted name be matched to a known institution; else a synthetic one stands for it.
     """
     rows = missing_institution(contributions).select("row_id", "paper_id", "raw_affiliation_string")
-    found = rows.join(clean_predictions(predicted), "row_id")
+    found, made = resolved(rows.join(clean_predictions(predicted), "row_id"), names, threshold)
+    out = fill_nulls(contributions, found, "row_id", ["institution_id", "country_code"])
+    return out, insert_absent(institutions, made, ["id"]), audit(found, "1", "llm")
+
+
+def resolved(found: DataFrame, names: DataFrame | None = None, threshold: float = 0.78) -> tuple[DataFrame, DataFrame]:
+    """``found`` (row_id, institution_name, country_code) with ``institution_id``, and the institutions to be made."""
     if names is not None:
         asked = names.filter("kind = 'prediction'").select(F.col("id").cast("long").alias("id"), "vector")
         known = names.filter("kind = 'institution'").select("id", "vector")
@@ -144,9 +150,7 @@ def stage_1(contributions: DataFrame, institutions: DataFrame, predicted: DataFr
     made = found.filter("matched_id is null and institution_name is not null").groupBy("institution_id").agg(
         F.min("institution_name").alias("display_name"), F.min("country_code").alias("country_code")
     )
-    made = made.select(F.col("institution_id").alias("id"), "display_name", "country_code", F.lit(True).alias("is_synthetic"))
-    out = fill_nulls(contributions, found, "row_id", ["institution_id", "country_code"])
-    return out, insert_absent(institutions, made, ["id"]), audit(found, "1", "llm")
+    return found, made.select(F.col("institution_id").alias("id"), "display_name", "country_code", F.lit(True).alias("is_synthetic"))
 
 
 def cascade_countries(contributions: DataFrame, institutions: DataFrame, found: DataFrame):
@@ -157,14 +161,21 @@ def cascade_countries(contributions: DataFrame, institutions: DataFrame, found:
 
 
 def stage_2(contributions: DataFrame, institutions: DataFrame, predicted: DataFrame | None = None):
-    """Countries of institutions by rule, then by prediction: ``(contributions, institutions, found)``."""
+    """Countries of institutions by rule, then by prediction: ``(contributions, institutions, audit)``.
+
+    The audit has a row for each contribution that got its institution's country.
+    """
     rows = institutions_missing_country(institutions, contributions)
     ruled = rule_countries(rows.withColumn("text", context_text(F.col("display_name"), F.col("sample_affiliation"))), "text")
     found = ruled.filter("status = 'unambiguous'").select("id", "country_code", F.lit("rule").alias("source"))
     if predicted is not None:
         rest = clean_predictions(predicted, "id").join(found.select("id"), "id", "left_anti")
         found = found.unionByName(rest.join(rows.select("id"), "id", "left_semi").select("id", "country_code", F.lit("llm").alias("source")))
-    return *cascade_countries(contributions, institutions, found), found
+    codes = found.select(F.col("id").alias("institution_id"), F.col("country_code").alias("code"), F.col("source").alias("said_by"))
+    filled = contributions.filter("country_code is null").join(codes, "institution_id").drop("country_code", "source")
+    filled = filled.withColumnsRenamed({"code": "country_code", "said_by": "source"}).withColumn("confidence", F.lit(1.0))
+    logs = [audit(filled.filter(F.col("source") == s), "2", s) for s in ("rule", "llm")]
+    return *cascade_countries(contributions, institutions, found), logs[0].unionByName(logs[1])
 
 
 def stage_3(contributions: DataFrame, predicted: DataFrame | None = None):

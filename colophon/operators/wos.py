@@ -9,6 +9,10 @@ from colophon.functions.normalize import blank_to_null, doi_key, strip_space, st
 from colophon.operators.ingest import first_of, insert_absent, merge_flags
 from colophon.operators.matching import cascade_match, fuzzy_match
 
+COLUMNS = (
+    "Accession Number", "DOI", "Article Title", "Authors", "Source", "Document Type", "Publication Date", "Times Cited",
+    "Top 1%", "Top 10%", "Percentile in Subject Area",
+)
 NULL_TOKENS = ["n/a", "N/A", "na", "null", ""]
 
 

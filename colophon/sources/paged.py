@@ -10,6 +10,7 @@ from __future__ import annotations
 import json
 from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
+from hashlib import sha1
 
 from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
 
@@ -21,15 +22,24 @@ def batches(topics: list[str], size: int = TOPICS_PER_BATCH) -> list[list[str]]:
     return [topics[k : k + size] for k in range(0, len(topics), size)] or [[]]
 
 
-def pages(fetch: Fetch, filter_text: str, per_page: int = 200) -> Iterator[dict]:
-    """All records, from the first cursor to the first empty page."""
+# Fields that a sample of works asks for, and those of a whole work.
+SAMPLE_FIELDS = ("id", "doi", "title", "publication_year", "type", "primary_topic", "abstract_inverted_index", "cited_by_count", "fwci", "institutions_distinct_count", "countries_distinct_count")
+WORK_FIELDS = (
+    "id", "doi", "title", "publication_year", "publication_date", "type", "primary_location", "open_access", "cited_by_count",
+    "citation_normalized_percentile", "fwci", "primary_topic", "authorships", "institutions_distinct_count", "countries_distinct_count",
+    "updated_date", "topics", "abstract_inverted_index", "referenced_works",
+)
+
+
+def pages(fetch: Fetch, filter_text: str, per_page: int = 200, fields: tuple[str, ...] = (), key: str = "results") -> Iterator[dict]:
+    """All records, with ``fields`` alone if given, from the first cursor to the first empty page."""
     cursor = "*"
     while cursor:
         page = fetch(filter_text, cursor, per_page)
-        results = page.get("results") or []
+        results = page.get(key) or []
         if not results:
             return
-        yield from results
+        yield from ({f: r.get(f) for f in fields} for r in results) if fields else results
         cursor = (page.get("meta") or {}).get("next_cursor")
 
 
@@ -38,6 +48,53 @@ def count(fetch: Fetch, filters: list[str]) -> int:
     return sum(int((fetch(f, "*", 1).get("meta") or {}).get("count") or 0) for f in filters)
 
 
+def count_topics(fetch: Fetch, filter_of: Callable[[list[str]], str], topics: list[str]) -> int:
+    """Records of all topics, asked for in parts that a request can hold; a work has one primary topic."""
+    return count(fetch, [filter_of(part) for part in batches(topics, TOPICS_PER_COUNT)])
+
+
+def grouped(fetch: Fetch, filter_text: str, per_page: int = 200) -> list[dict]:
+    """A service's groups, ``key``, ``key_display_name`` and ``count``, commonest first."""
+    return sorted(pages(fetch, filter_text, per_page, key="group_by"), key=lambda g: -int(g.get("count") or 0))
+
+
+def topic_details(get: Callable[[str], dict], topics: list[str]) -> dict[str, dict]:
+    """What is known of each topic; those that can't be had are left out."""
+    out = {}
+    for topic in topics:
+        try:
+            out[topic] = get(topic)
+        except (OSError, RuntimeError, ValueError):
+            continue
+    return out
+
+
+def download(spark, fetch: Fetch, filters: list[str], folder: str, wave: int = 8) -> int:
+    """Records of all filters as JSON lines in ``folder/records``, a file set for each filter; how many filters were left to do.
+
+    Filters that are done are noted in ``folder/done`` after their records are there. What a
+    broken run left half done is written over by the next.
+    """
+    from pyspark.sql import functions as F
+
+    try:
+        done = {r["filter"] for r in spark.read.parquet(f"{folder}/done").collect()}
+    except Exception as error:  # no run yet
+        if "PATH_NOT_FOUND" not in str(error):
+            raise
+        done = set()
+    left = [f for f in dict.fromkeys(filters) if f not in done]
+    for k in range(0, len(left), wave):
+        part = left[k : k + wave]
+        spark.dataSource.register(paged_source(fetch, part, marked=True))
+        marks = spark.createDataFrame([(f,) for f in part], "filter string").withColumn("batch", F.sha1("filter"))
+        records = spark.read.format("paged_works").load().select(F.get_json_object("value", "$._batch").alias("batch"), F.get_json_object("value", "$.record").alias("value"))
+        with_mode = records.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("batch")
+        with_mode.text(f"{folder}/records")
+        marks.write.mode("append").parquet(f"{folder}/done")
+    return len(left)
+
+
 @dataclass
 class KeyPool:
     """Keys in turn; rejected ones are out for good, exhausted ones until reset."""
@@ -87,15 +144,16 @@ class _Batch(InputPartition):
 
 
 class _Reader(DataSourceReader):
-    def __init__(self, fetch: Fetch, filters: list[str], per_page: int):
-        self.fetch, self.filters, self.per_page = fetch, filters, per_page
+    def __init__(self, fetch: Fetch, filters: list[str], per_page: int, marked: bool):
+        self.fetch, self.filters, self.per_page, self.marked = fetch, filters, per_page, marked
 
     def partitions(self):
         return [_Batch(f) for f in self.filters]
 
     def read(self, partition):
+        batch = sha1(partition.filter_text.encode()).hexdigest()
         for record in pages(self.fetch, partition.filter_text, self.per_page):
-            yield (json.dumps(record),)
+            yield (json.dumps({"_batch": batch, "record": record} if self.marked else record),)
 
 
 class _Stream(SimpleDataSourceStreamReader):
@@ -119,8 +177,11 @@ class _Stream(SimpleDataSourceStreamReader):
         return iter(self._page(start["cursor"])[0])
 
 
-def paged_source(fetch: Fetch, filters: list[str], per_page: int = 200) -> type[DataSource]:
-    """A data source class to register: ``spark.dataSource.register(...)``, format ``paged_works``."""
+def paged_source(fetch: Fetch, filters: list[str], per_page: int = 200, marked: bool = False) -> type[DataSource]:
+    """A data source class to register: ``spark.dataSource.register(...)``, format ``paged_works``.
+
+    ``marked`` records have the filter's digest beside them.
+    """
 
     class PagedWorks(DataSource):
         @classmethod
@@ -131,7 +192,7 @@ def paged_source(fetch: Fetch, filters: list[str], per_page: int = 200) -> type[
             return "value string"
 
         def reader(self, schema):
-            return _Reader(fetch, filters, per_page)
+            return _Reader(fetch, filters, per_page, marked)
 
         def simpleStreamReader(self, schema):
             return _Stream(fetch, filters[0], per_page)

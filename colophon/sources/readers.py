@@ -11,6 +11,7 @@ from pyspark.sql import functions as F
 
 from colophon.operators.wos import NULL_TOKENS, null_tokens
 from colophon.schemas import WORK
+from colophon.sources.sheets import workbook
 
 ENCODINGS = ("utf-8", "utf-8-sig", "windows-1252", "iso8859-1")
 ZIP_MAGIC, OLE_MAGIC = b"PK\x03\x04", b"\xd0\xcf\x11\xe0\xa1\xb1\x1a\xe1"
@@ -127,11 +128,11 @@ def largest_table(html: str) -> list[list[str]]:
 
 
 def sniffed(spark: SparkSession, path: str) -> DataFrame:
-    """A table from a delimited or HTML file, by its content. Spreadsheets have no reader here."""
+    """A table from a delimited or HTML file or a spreadsheet, by its content."""
     sample = head(spark, path)
     kind = kind_of(sample)
     if kind == "excel":
-        raise ValueError(f"{path} is a spreadsheet; save it as CSV")
+        return workbook(spark, path)
     encoding = encoding_of(sample)
     if kind == "text":
         first = sample.decode(encoding, "replace").lstrip("﻿")

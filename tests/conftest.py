@@ -11,7 +11,8 @@ sys.path.insert(0, str(Path(__file__).resolve().parents[1]))
 def spark():
     from pyspark.sql import SparkSession
 
-    os.environ.setdefault("PYTHONPATH", str(Path(__file__).resolve().parents[1]))
+    here = Path(__file__).resolve().parent
+    os.environ["PYTHONPATH"] = os.pathsep.join(filter(None, [str(here.parent), str(here), os.environ.get("PYTHONPATH")]))
     session = (
         SparkSession.builder.master("local[4]")
         .config("spark.driver.memory", "4g")

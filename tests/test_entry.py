@@ -31,8 +31,6 @@ def test_query_equals_sql(spark, name):
 
 
 def test_command_line(spark, tmp_path, capsys):
-    (tmp_path / "k.txt").write_text('# note\n"a b" AND or')
-    assert cli.main(["validate", str(tmp_path / "k.txt")]) == 1
     (tmp_path / "w.jsonl").write_text(json.dumps({"id": "https://x/W1", "title": "Quantum sensing", "authorships": []}))
     assert cli.main(["convert-to-db", "--db", str(tmp_path / "db"), "--input", str(tmp_path / "w.jsonl")]) == 0
     assert cli.main(["check-db", "--db", str(tmp_path / "db")]) == 0 and "papers" in capsys.readouterr().out
