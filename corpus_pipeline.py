@@ -1,4 +1,11 @@
-"""Corpus preparation: documents to packed training sequences, in five stages."""
+"""Corpus preparation: documents to packed training sequences, in five stages.
+
+Defined results: a null or empty text has no words and goes in the first stage; of repeated rows
+and of near copies one stays; a document without an id goes through all stages with a null id, and
+counts as smaller than all others where passages are compared; a document whose passages all go
+stays, with an empty text; very long texts are treated whole; columns beside those of documents are
+left behind; an empty table gives no pieces.
+"""
 
 from __future__ import annotations
 
@@ -6,9 +13,10 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colophon.llm import cascade, minhash, packing, pii, suffix
+from colophon.llm.queries import vocabulary
 
-#: Tokenizer of the packing stage, at this path on every machine.
-TOKENIZER = "/opt/tokenizers/word_bpe_49k.json"
+#: Tokenizer of the packing stage.
+TOKENIZER = "word_bpe_49k.json"
 COLUMNS = ("doc_id", "text", "lang", "source", "n_chars")
 
 
@@ -35,12 +43,12 @@ def passage_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFram
 
 def pseudonyms(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Every document with personal data replaced."""
-    return _documents(pii.pseudonymize(docs, counts=False))
+    return _documents(pii.pseudonymize(docs, pii.session_key(spark), counts=False))
 
 
 def packed(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Pieces of documents in sequences of 2048 tokens."""
-    return packing.pack(docs, TOKENIZER)
+    return packing.pack(docs, vocabulary(TOKENIZER))
 
 
 STAGES = [
