@@ -25,10 +25,12 @@ def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
 
 
 def ensure_checkpoint_dir(spark: SparkSession) -> str:
-    """The shared folder of the cluster, or one of our own where the session names none (tests)."""
+    """The shared folder of the cluster, or one of our own where a local session names none (tests)."""
     context = spark.sparkContext
     found = context.getCheckpointDir() or spark.conf.get("spark.checkpoint.dir", None)
     if not found:
+        if not context.master.startswith("local") or context.master.startswith("local-cluster"):
+            raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
         import tempfile
 
         found = tempfile.mkdtemp(prefix="colophon-checkpoint-")

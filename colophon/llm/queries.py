@@ -10,10 +10,11 @@ from pyspark.sql import functions as F
 from colophon.llm import bpe, cascade, chat, minhash, packing, pii, pivots, rulefit, secrets, suffix
 from colophon.llm.common import table
 
-#: Folder of the public vocabularies on every machine.
-TOKENIZERS = "/opt/tokenizers"
-#: Splits text before byte-level merges; a fixed value of the vocabulary.
-BYTE_PATTERN = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+def vocabulary(name: str) -> str:
+    """Path of a public vocabulary file, the same on every machine."""
+    import public_tokenizers
+
+    return public_tokenizers.path(name)
 
 
 def op1_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -29,13 +30,15 @@ def op2_pivot_index(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op3_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
+    import public_tokenizers
+
     wanted = ("n_tokens", "ids_sha256", "decoded_sha256")
-    return bpe.encode(docs, f"{TOKENIZERS}/byte_bpe_50k.tiktoken", BYTE_PATTERN, wanted)
+    return bpe.encode(docs, vocabulary("byte_bpe_50k.tiktoken"), public_tokenizers.PATTERN, wanted)
 
 
 def op4_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    return packing.pack(docs, f"{TOKENIZERS}/word_bpe_49k.json")
+    return packing.pack(docs, vocabulary("word_bpe_49k.json"))
 
 
 def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -57,7 +60,7 @@ def op6_chat_formatting(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def op7_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return pii.pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"))
+    return pii.pseudonymize(table(spark, sf_dir, "documents").select("doc_id", "text"), pii.session_key(spark))
 
 
 def op8_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -83,7 +86,7 @@ def op9_secret_scan(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = table(spark, sf_dir, "documents").select("doc_id", "text")
-    judged = cascade.measured_verdicts(docs)
+    judged = cascade.judge(docs, measures=True)
     have = {k: F.col(k) for k in cascade.MEASURES}
     failed = [r.rejects(have) for r in cascade.base_rules()]
     base_failed = failed[0] | failed[1]
@@ -95,7 +98,7 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
         "n_dup_lines",
         "n_repeat_words",
         base_failed.alias("base_failed"),
-        (~base_failed & F.col("rejected_by").isNull()).alias("kept"),
+        F.col("rejected_by").isNull().alias("kept"),
     )
 
 
@@ -144,6 +147,32 @@ SELECT conv_id, count(*) AS n_turns, sha256(string_agg(r || chr(10) || t || chr(
  length(coalesce(string_agg(t, '' ORDER BY turn, r, t) FILTER (WHERE r = 'assistant'), '')) AS loss_chars,
  sha256(coalesce(string_agg(t, '' ORDER BY turn, r, t) FILTER (WHERE r = 'assistant'), '')) AS loss_sha256,
  CAST(sum(n) AS BIGINT) AS formatted_chars FROM f GROUP BY conv_id""",
+    "op8_suffix_dedup": r"""
+WITH d AS (SELECT doc_id, hex(encode(coalesce(text, ''))) AS h, octet_length(encode(coalesce(text, ''))) AS n FROM documents),
+c AS (SELECT doc_id, k, substring(h, 1000 * k + 1, 1098) AS p, least(500, n - 49 - 500 * k) AS m FROM (SELECT doc_id, h, n, unnest(range((n - 49 + 499) // 500)) AS k FROM d WHERE n >= 50)),
+s AS (SELECT doc_id, 500 * k + i AS i, substring(p, 2 * i + 1, 100) AS s FROM (SELECT doc_id, k, p, unnest(range(m)) AS i FROM c)),
+f AS (SELECT s, min(doc_id) AS f FROM s GROUP BY s HAVING count(*) > 1),
+g AS (SELECT doc_id, i, i - lag(i, 1, -100) OVER (PARTITION BY doc_id ORDER BY i) > 50 AS new FROM s JOIN f USING (s) WHERE doc_id > f),
+r AS (SELECT doc_id, min(i) AS a, max(i) + 50 AS e FROM (SELECT *, sum(new::INT) OVER (PARTITION BY doc_id ORDER BY i) AS k FROM g) GROUP BY doc_id, k),
+x AS (SELECT doc_id, a, e, lag(e, 1, 0) OVER (PARTITION BY doc_id ORDER BY a) AS b FROM r),
+t AS (SELECT doc_id, string_agg(substring(h, 2 * b + 1, 2 * (a - b)), '' ORDER BY a) || substring(any_value(h), 2 * max(e) + 1) AS h, sum(e - a) AS gone, count(*) AS spans FROM x JOIN d USING (doc_id) GROUP BY doc_id)
+SELECT d.doc_id, n AS n_bytes, CAST(coalesce(gone, 0) AS BIGINT) AS n_removed, coalesce(spans, 0) AS n_spans, sha256(unhex(coalesce(t.h, d.h))) AS kept_sha256 FROM d LEFT JOIN t USING (doc_id)""",
+    "op9_secret_scan": r"""
+WITH d AS (SELECT doc_id, translate(coalesce(text, ''), chr(1) || chr(2), chr(3) || chr(3)) AS t FROM documents),
+k AS (SELECT * FROM (VALUES (0, 'assign', '(?i:(password|passwd|secret|token|api_?key))["'']?\x20*[:=]\x20*["'']?([A-Za-z0-9+/_.=-]+)'),
+  (1, 'access', 'AKIA[A-Z0-9]{16,}'), (2, 'hex', '[0-9a-f]{24,}'), (3, 'entropy', '[A-Za-z0-9+/_=-]{20,}')) v(rank, kind, pattern)),
+p AS (SELECT doc_id, rank, kind, pattern, string_split_regex(regexp_replace(t, '(?:' || pattern || ')', chr(1) || '\0' || chr(2), 'g'), '[\x01\x02]') AS p FROM d, k WHERE regexp_matches(t, pattern)),
+u AS (SELECT doc_id, rank, kind, pattern, unnest(p) AS v, unnest(range(len(p))) AS i FROM p),
+s AS (SELECT *, sum(length(v)) OVER (PARTITION BY doc_id, rank ORDER BY i) AS e FROM u),
+m AS (SELECT doc_id, rank, kind, v, e - length(v) AS b, e FROM s WHERE i % 2 = 1 AND (rank <> 0 OR length(regexp_extract(v, pattern, 2)) >= 6)),
+c AS (SELECT DISTINCT v, array_to_string(list_transform(regexp_extract_all(v, '[^-_/=+]*[-_/=+]|[^-_/=+]+'), lambda x: CASE WHEN regexp_matches(x, '(?i)example|placeholder|changeme|dummy|sample') THEN ' ' ELSE x END), '') AS r
+  FROM m WHERE rank = 3 AND NOT regexp_full_match(v, '(?i)[0-9a-f]{8}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{4}-[0-9a-f]{12}|(0123456789abcdef)+|[-_/=+]*([a-z]+[-_/=+]*)+([0-9]{1,4}[-_/=+]*)?|[-_/=+0-9]+')),
+w AS (SELECT v, unnest(list_transform(range(1, length(r) - 18), lambda i: substring(r, i, 20))) AS w FROM c),
+h AS (SELECT DISTINCT v FROM w WHERE NOT contains(w, ' ') AND list_aggregate(string_split(w, ''), 'entropy') >= CASE WHEN regexp_full_match(w, '[0-9a-fA-F]+') THEN 3.0 ELSE 3.9 END - 1e-9),
+f AS (SELECT m.* FROM m LEFT JOIN h ON m.v = h.v WHERE rank < 3 OR h.v IS NOT NULL),
+j AS (SELECT doc_id, count(*) FILTER (WHERE rank = 0) AS a, count(*) FILTER (WHERE rank = 1) AS k, count(*) FILTER (WHERE rank = 2) AS x,
+  string_agg(kind || ':' || b || ':' || e, ',' ORDER BY b, rank) FILTER (WHERE rank < 3) AS base, string_agg(kind || ':' || b || ':' || e, ',' ORDER BY b, rank) AS spans FROM f GROUP BY doc_id)
+SELECT d.doc_id, coalesce(a, 0) AS n_assign, coalesce(k, 0) AS n_access, coalesce(x, 0) AS n_hex, sha256(coalesce(base, '')) AS base_sha256, coalesce(spans, '') AS spans FROM d LEFT JOIN j ON j.doc_id = d.doc_id""",
     "op10_quality_rules": r"""
 WITH w AS (SELECT doc_id, coalesce(text, '') AS t, regexp_extract_all(coalesce(text, ''), '[^\x20\x09-\x0D]+') AS w FROM documents),
 g AS (SELECT doc_id, i, w[i] || ' ' || w[i + 1] || ' ' || w[i + 2] AS g FROM (SELECT doc_id, w, unnest(range(1, len(w) - 1)) AS i FROM w)),
