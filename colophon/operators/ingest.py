@@ -71,10 +71,10 @@ def merge_flags(existing: DataFrame, seen: DataFrame, key: str, flags: list[str]
     return out.withColumns({c: F.coalesce(c, f"_{c}") for c in keep_first}).select(*existing.columns)
 
 
-def papers(works: DataFrame) -> DataFrame:
-    """One row for each work, in the columns of ``papers``."""
+def paper_columns() -> list[Column]:
+    """The columns of ``papers``, from a work record."""
     source, topic, percentile = "primary_location.source", "primary_topic", "citation_normalized_percentile"
-    return works.select(
+    named = (
         last_segment(F.col("id")).alias("id"),
         "doi",
         F.when(F.coalesce("title", F.lit("")) == "", "Untitled").otherwise(F.col("title")).alias("title"),
@@ -105,11 +105,12 @@ def papers(works: DataFrame) -> DataFrame:
         abstract_last(F.col("abstract_inverted_index")).alias("abstract_text"),
         "updated_date",
     )
+    return [F.col(c) if isinstance(c, str) else c for c in named]
 
 
 def affiliations(works: DataFrame) -> DataFrame:
     """A row for each institution with an id of each authorship, or one for an authorship without any listed."""
-    authored = works.select(last_segment(F.col("id")).alias("paper_id"), "_file", "_line", F.posexplode("authorships").alias("author_no", "a"))
+    authored = works.select(F.col("_key").alias("paper_id"), "_file", "_line", F.posexplode("authorships").alias("author_no", "a"))
     listed = F.coalesce(F.col("a.institutions"), F.array())
     rows = authored.select("*", F.posexplode_outer("a.institutions").alias("inst_no", "inst"))
     rows = rows.filter((F.size(listed) == 0) | F.col("inst.id").isNotNull())
@@ -145,11 +146,12 @@ def load(works: DataFrame, present: dict[str, DataFrame] | None = None) -> dict[
     """
     order = ["_file", "_line"]
     new = works.filter(F.col("id").isNotNull() & F.col("_corrupt_record").isNull())
-    new = first_of(new.withColumn("_key", last_segment(F.col("id"))), ["_key"], order)
+    # records are parsed once, to what the tables need
+    new = new.select(last_segment(F.col("id")).alias("_key"), *order, "authorships", F.struct(*paper_columns()).alias("_paper"))
     if present:
         known = present["papers"].select(F.col("id").alias("_key"))
         new = new.join(known, "_key", "left_anti")
-    new = new.drop("_key")
+    new = fixed(first_of(new, ["_key"], order))
     rows = fixed(affiliations(new))
     place = [*order, "author_no", "inst_no"]
     authors = first_of(rows.filter("author_id is not null"), ["author_id"], place)
@@ -186,7 +188,7 @@ def load(works: DataFrame, present: dict[str, DataFrame] | None = None) -> dict[
         "raw_affiliation_string",
     )
     made = {
-        "papers": papers(new),
+        "papers": new.select("_paper.*"),
         "authors": authors,
         "institutions": institutions,
         "countries": countries,

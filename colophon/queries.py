@@ -9,8 +9,9 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colophon.functions import country, normalize
-from colophon.operators import coverage, enrich, impute, ingest, keywords, matching, overlap, sampling, topics, wos
+from colophon.operators import coverage, enrich, impute, ingest, keywords, matching, overlap, report, sampling, topics, wos
 from colophon.plans import boolean
+from colophon.schemas import LATER_COLUMNS, evolve
 from colophon.sources import readers
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -691,3 +692,204 @@ def stream_ingest(spark, sf_dir):
     stream = spark.readStream.schema(source.schema).json(f"{place}/in")
     ingest_stream(stream, f"{place}/out", f"{place}/checkpoint", "event_id", "user_id").awaitTermination()
     return spark.read.parquet(f"{place}/out")
+
+
+@query(r"""
+WITH p AS (SELECT page_id, CASE page_id % 3 WHEN 0 THEN ' DOI:10.48550/ArXiv.' || page_id WHEN 1 THEN 'https://doi.org/10.1/A' || page_id END AS doi,
+  CASE page_id % 6 WHEN 0 THEN '1' WHEN 1 THEN '1e12' WHEN 2 THEN ' yes' WHEN 3 THEN '2020.7' WHEN 4 THEN '' END AS cell FROM pages)
+SELECT page_id, coalesce(regexp_replace(trim(doi), '^(https?://doi\.org/|doi:)', '', 'i'), '') AS bare, nullif(string_split(url, '/')[-1], '') AS segment,
+ CASE page_id % 6 WHEN 0 THEN 1 WHEN 3 THEN 2020 END AS number, page_id % 6 IN (0, 2) AS flag,
+ 'IMP_' || substr(sha1('the institute ' || page_id), 1, 10) AS institution,
+ CASE WHEN page_id % 2 = 0 THEN 'WOS_' || page_id ELSE 'WOS_T' || substr(sha1('a title ' || page_id), 1, 12) END AS stub,
+ CASE WHEN page_id % 3 = 0 THEN 'https://arxiv.org/pdf/' || page_id || '.pdf' END AS pdf, sha1(url) || '.pdf' AS cache_name, length(html) AS chars, length(html) - length(replace(html, chr(10), '')) + 1 AS lines,
+ ['FR', 'CN', 'GB', NULL][page_id % 4 + 1] AS country FROM (SELECT p.*, url, html FROM p JOIN pages USING (page_id))""")
+def scalar_forms(spark, sf_dir):
+    k, key = F.col("page_id"), F.col("page_id").cast("string")
+    doi = F.when(k % 3 == 0, F.concat(F.lit(" DOI:10.48550/ArXiv."), key)).when(k % 3 == 1, F.concat(F.lit("https://doi.org/10.1/A"), key))
+    cell = F.get(F.array(F.lit("1"), F.lit("1e12"), F.lit(" yes"), F.lit("2020.7"), F.lit(""), F.lit(None).cast("string")), (k % 6).cast("int"))
+    file = F.get(F.array(*map(F.lit, ("France.xlsx", "Hong Kong.xlsx", "Scotland.xlsx", "Atlantis.xlsx"))), (k % 4).cast("int"))
+    metrics = normalize.text_metrics(F.col("html"))
+    return table(spark, sf_dir, "pages").select(
+        "page_id",
+        normalize.doi_bare(doi).alias("bare"),
+        normalize.last_segment(F.col("url")).alias("segment"),
+        normalize.whole_number(cell).alias("number"),
+        normalize.top_flag(cell).alias("flag"),
+        normalize.synthetic_institution_id(F.concat(F.lit(" The  INSTITUTE "), key)).alias("institution"),
+        normalize.stub_id(F.when(k % 2 == 0, F.concat(F.lit("WOS:"), key)), F.concat(F.lit(" A Title "), key)).alias("stub"),
+        normalize.arxiv_pdf_url(doi).alias("pdf"),
+        normalize.pdf_cache_name(F.col("url")).alias("cache_name"),
+        metrics["chars"].alias("chars"),
+        metrics["lines"].alias("lines"),
+        country.country_of_file(F.concat(F.lit("/data/"), file)).alias("country"),
+    )
+
+
+@query(r"""
+SELECT doc_id, trim(regexp_replace(replace(lower(coalesce(text, '')), 'ß', 'ss'), '[\s!-/:-@\[-`{-~]+', ' ', 'g')) AS title FROM documents""")
+def title_loose(spark, sf_dir):
+    return table(spark, sf_dir, "documents").select("doc_id", normalize.title_loose(F.col("text")).alias("title"))
+
+
+@query("""
+WITH t AS (SELECT p_partkey, CASE p_partkey % 3 WHEN 0 THEN 'T' || lpad(CAST(p_partkey AS VARCHAR), 5, '0') WHEN 1 THEN 't' || p_partkey ELSE 'T' || p_partkey END AS topic_id FROM part)
+SELECT topic_id, regexp_full_match(topic_id, 'T[0-9]{5}') AS well_formed, topic_id IN (SELECT 'T' || lpad(CAST(o_orderkey AS VARCHAR), 5, '0') FROM orders WHERE o_orderkey % 2 = 0) AS "exists" FROM t""")
+def topic_checks(spark, sf_dir):
+    k, key = F.col("p_partkey") % 3, F.col("p_partkey").cast("string")
+    padded = F.concat(F.lit("T"), F.lpad(key, 5, "0"))
+    ids = table(spark, sf_dir, "part").select(F.when(k == 0, padded).when(k == 1, F.concat(F.lit("t"), key)).otherwise(F.concat(F.lit("T"), key)).alias("topic_id"))
+    known = table(spark, sf_dir, "orders").filter("o_orderkey % 2 = 0").select(F.concat(F.lit("T"), F.lpad(F.col("o_orderkey").cast("string"), 5, "0")).alias("topic_id"))
+    found = boolean.topics_exist(ids, known)
+    return found.select("topic_id", boolean.topic_id_ok(F.col("topic_id")).alias("well_formed"), "exists")
+
+
+def gaps_of(spark: SparkSession, sf_dir: str) -> tuple[DataFrame, DataFrame]:
+    """Orders as papers, and their lines as contributions with gaps."""
+    key = F.col("o_orderkey")
+    papers = table(spark, sf_dir, "orders").select(
+        key.alias("id"), F.when(key % 3 == 0, "10.1/x").when(key % 3 == 1, "  ").alias("doi"), F.when(key % 5 == 0, "Untitled").otherwise("A title").alias("title")
+    )
+    line = F.col("l_linenumber")
+    contributions = table(spark, sf_dir, "lineitem").select(
+        (F.col("l_orderkey") * 10 + line).alias("row_id"),
+        F.col("l_orderkey").alias("paper_id"),
+        F.when(F.col("l_returnflag") == "R", "I").alias("institution_id"),
+        F.when(F.col("l_linestatus") == "F", "DE").alias("country_code"),
+        F.when(line % 3 == 0, "Dept").when(line % 3 == 1, " ").alias("raw_affiliation_string"),
+    )
+    return papers, contributions
+
+
+_GAPS = """
+p AS (SELECT o_orderkey AS id, o_orderkey % 3 = 0 AS doi, o_orderkey % 5 <> 0 AS title FROM orders),
+c AS (SELECT l_orderkey AS paper_id, l_returnflag = 'R' AS inst, l_linestatus = 'F' AS cc, l_linenumber % 3 = 0 AS raw FROM lineitem)"""
+
+
+@query("WITH" + _GAPS + """
+SELECT 'institution' AS kind, count(*) AS n FROM c WHERE NOT inst AND raw UNION ALL SELECT 'country', count(*) FROM c WHERE NOT cc AND raw
+UNION ALL SELECT 'restore', count(*) FROM p WHERE doi AND id IN (SELECT paper_id FROM c WHERE NOT inst AND NOT raw)
+UNION ALL SELECT 'page', count(*) FROM p WHERE doi AND id IN (SELECT paper_id FROM c WHERE NOT inst)
+UNION ALL SELECT 'ask', count(*) FROM p WHERE (doi OR title) AND id IN (SELECT paper_id FROM c WHERE NOT inst)""")
+def eligible_rows(spark, sf_dir):
+    papers, contributions = gaps_of(spark, sf_dir)
+    found = {
+        "institution": impute.missing_institution(contributions),
+        "country": impute.missing_country(contributions),
+        "restore": impute.papers_lacking(papers, contributions, raw_too=True),
+        "page": impute.papers_lacking(papers, contributions),
+        "ask": impute.papers_lacking(papers, contributions, title_ok=True),
+    }
+    counts = [df.agg(F.lit(kind).alias("kind"), F.count(F.lit(1)).alias("n")) for kind, df in found.items()]
+    out = counts[0]
+    for df in counts[1:]:
+        out = out.unionByName(df)
+    return out
+
+
+@query("""
+WITH li AS (SELECT l_orderkey AS p, l_linenumber AS n, max(l_returnflag) AS f, min(l_linestatus) AS s, min(l_partkey) AS k FROM lineitem GROUP BY ALL),
+t AS (SELECT p, p * 10 + n AS row_id, f = 'R' AS inst, CASE WHEN n % 2 = 0 THEN 'Known' END AS raw FROM li),
+g AS (SELECT p, row_id, row_number() OVER (PARTITION BY p ORDER BY row_id) AS k, count(*) OVER (PARTITION BY p) AS m FROM t WHERE NOT inst AND raw IS NULL),
+o AS (SELECT p, k, row_number() OVER (PARTITION BY p ORDER BY n) AS pos, count(*) OVER (PARTITION BY p) AS m FROM li WHERE s = 'F')
+SELECT t.p AS paper_id, t.row_id, coalesce(raw, CASE WHEN o.k % 3 = 0 THEN 'Lab ' || o.k || ' | Town' WHEN o.k % 3 = 1 THEN 'Town' END) AS raw_affiliation_string
+FROM t LEFT JOIN g ON g.p = t.p AND g.row_id = t.row_id LEFT JOIN o ON o.p = g.p AND o.pos = g.k AND o.m = g.m""")
+def scholar_restore(spark, sf_dir):
+    """Affiliations by place, where a paper has as many authors there as rows with gaps."""
+    lines = table(spark, sf_dir, "lineitem").groupBy(F.col("l_orderkey").alias("paper_id"), F.col("l_linenumber").alias("n"))
+    lines = lines.agg(F.max("l_returnflag").alias("f"), F.min("l_linestatus").alias("s"), F.min("l_partkey").alias("k"))
+    contributions = lines.select(
+        "paper_id", (F.col("paper_id") * 10 + F.col("n")).alias("row_id"), F.when(F.col("f") == "R", "I").alias("institution_id"), F.when(F.col("n") % 2 == 0, "Known").alias("raw_affiliation_string")
+    )
+    named = F.when(F.col("k") % 3 == 0, F.array(F.concat(F.lit("Lab "), F.col("k").cast("string")), F.lit(" "), F.lit("Town")))
+    named = named.when(F.col("k") % 3 == 1, F.array(F.lit("Town"))).otherwise(F.array(F.lit("")))
+    authors = F.array_sort(F.collect_list(F.struct("n", F.struct(F.lit("x").alias("name"), named.alias("affiliations")).alias("a"))))
+    said = lines.filter("s = 'F'").groupBy("paper_id").agg(authors.alias("authors"))
+    payloads = said.select("paper_id", F.to_json(F.struct(F.transform("authors", lambda x: x["a"]).alias("authors"))).alias("payload"))
+    out, _ = enrich.from_scholar(contributions, payloads)
+    return out.select("paper_id", "row_id", "raw_affiliation_string")
+
+
+@query("""
+WITH a AS (SELECT c_custkey AS k, n_name, 'Dept. ' || c_custkey || ', ' || CASE c_custkey % 4 WHEN 0 THEN n_name
+  WHEN 1 THEN n_name || ' and Hong Kong' WHEN 2 THEN 'x' || n_name || '9' ELSE n_name || ', U.K.' END AS raw FROM customer JOIN nation ON c_nationkey = n_nationkey),
+f AS (""" + _country_sql(country.COUNTRY_TERMS, "k", "SELECT k, lower(raw) AS t FROM a WHERE k % 2 = 1") + """)
+SELECT f.k AS row_id, 'P' || f.k AS paper_id, country_code AS inferred_country_code, raw AS raw_affiliation_string, 'rule' AS source, 1.0::DOUBLE AS confidence, '3' AS stage
+FROM f JOIN a ON a.k = f.k WHERE status = 'unambiguous'""")
+def audit_rows(spark, sf_dir):
+    k = F.col("c_custkey")
+    contributions = affiliations_of(spark, sf_dir).select(
+        k.alias("row_id"), F.concat(F.lit("P"), k.cast("string")).alias("paper_id"), F.when(k % 2 == 0, "DE").alias("country_code"), F.col("text").alias("raw_affiliation_string")
+    )
+    _, log = impute.stage_3(contributions)
+    return log.drop("run_at", "matched_terms")
+
+
+@query("""
+SELECT n_nationkey AS id, n_name AS display_name, CASE WHEN n_regionkey = 1 THEN 'CN' WHEN n_regionkey = 2 THEN 'DE' END AS country_code, 'institutions' AS kind FROM nation
+UNION ALL SELECT 1, NULL, 'DE', 'countries' UNION ALL SELECT 4, NULL, 'CN', 'countries'""")
+def hong_kong(spark, sf_dir):
+    nation = table(spark, sf_dir, "nation").select(
+        F.col("n_nationkey").alias("id"), F.col("n_name").alias("display_name"), F.when(F.col("n_regionkey") == 1, " hk").when(F.col("n_regionkey") == 2, "DE").alias("country_code")
+    )
+    countries = rows(spark, "id int, country_name string, country_code string, status int", [(1, "[DE]", "DE", 1), (3, "[HK]", "HK", 1)])
+    made = impute.hong_kong_repair({"contributions": nation, "institutions": nation, "countries": countries})
+    kept = made["countries"].select("id", F.lit(None).cast("string").alias("display_name"), "country_code", F.lit("countries").alias("kind"))
+    return made["institutions"].withColumn("kind", F.lit("institutions")).unionByName(kept)
+
+
+@query("""
+SELECT o_orderkey AS row_id, CASE o_orderkey % 3 WHEN 0 THEN 'CN' WHEN 1 THEN 'DE' END AS country_code, CASE WHEN o_orderkey % 2 = 0 THEN 'Inst ' || o_orderkey END AS institution_name,
+ o_totalprice / 500000 AS confidence FROM orders WHERE o_totalprice / 500000 >= 0.5""")
+def clean_predictions(spark, sf_dir):
+    key = F.col("o_orderkey")
+    said = table(spark, sf_dir, "orders").select(
+        key.alias("row_id"),
+        F.when(key % 3 == 0, " hk ").when(key % 3 == 1, "de").otherwise(" ").alias("country_code"),
+        F.when(key % 2 == 0, F.concat(F.lit(" Inst "), key.cast("string"), F.lit(" "))).otherwise("  ").alias("institution_name"),
+        (F.col("o_totalprice") / 500000).alias("confidence"),
+        F.lit(1).alias("ordinal"),
+    )
+    later = said.withColumns({"ordinal": F.lit(2), "confidence": F.lit(1.0), "country_code": F.lit("FR")}).filter("confidence < 0")
+    keyless = said.withColumn("row_id", F.lit(None).cast("long"))
+    return impute.clean_predictions(said.unionByName(later).unionByName(keyless), least=0.5).drop("ordinal")
+
+
+@query("""
+SELECT g.topic_id, coalesce(n_name, g.topic_id) AS display_name, coalesce(n_name || ' text', '') AS description, coalesce(lower(n_name) || '; k', '') AS keywords,
+ coalesce(r_name, '') AS domain, '' AS field, coalesce(n_name, '') AS subfield, paper_count, percentage FROM (
+ SELECT CAST(c_nationkey AS VARCHAR) AS topic_id, count(*) AS paper_count, round_even(100.0 * count(*) / sum(count(*)) OVER (), 2)::DOUBLE AS percentage FROM customer GROUP BY c_nationkey) g
+LEFT JOIN (SELECT * FROM nation JOIN region ON n_regionkey = r_regionkey WHERE n_nationkey % 2 = 0) ON CAST(n_nationkey AS VARCHAR) = g.topic_id""")
+def topic_table(spark, sf_dir):
+    customers = table(spark, sf_dir, "customer").select(F.col("c_nationkey").cast("string").alias("topic_id"))
+    groups = topics.distribution(customers, "topic_id").withColumn("percentage", F.col("percentage").cast("double"))
+    nations = table(spark, sf_dir, "nation").filter("n_nationkey % 2 = 0").join(table(spark, sf_dir, "region"), F.col("n_regionkey") == F.col("r_regionkey"))
+    name = F.col("n_name")
+    details = nations.select(
+        F.col("n_nationkey").cast("string").alias("topic_id"), name.alias("display_name"), F.concat(name, F.lit(" text")).alias("description"),
+        F.array(F.lower(name), F.lit("k")).alias("keywords"), F.col("r_name").alias("domain"), F.lit(None).cast("string").alias("field"), name.alias("subfield"),
+    )
+    return report.topic_table(groups, details)
+
+
+@query("""
+SELECT doc_id AS id, trim(coalesce(lang, '') || '. ' || coalesce(source, ''), '. ') AS text FROM documents
+WHERE length(trim(coalesce(lang, '') || '. ' || coalesce(source, ''), '. ')) >= 8""")
+def keyword_documents(spark, sf_dir):
+    return keywords.documents(table(spark, sf_dir, "documents"), "doc_id", "lang", "source", least=8)
+
+
+@query("""
+SELECT 'author' AS kind, 'A' || l_partkey AS id, 'Author ' || l_partkey AS display_name, NULL AS country_code FROM lineitem WHERE l_orderkey IN (SELECT o_orderkey FROM orders) GROUP BY l_partkey
+UNION ALL SELECT 'institution', 'I' || l_suppkey, 'Supplier ' || l_suppkey, 'HK' FROM lineitem WHERE l_returnflag <> 'R' AND l_orderkey IN (SELECT o_orderkey FROM orders) GROUP BY l_suppkey
+UNION ALL SELECT 'institution', 'J' || l_suppkey, 'J', NULL FROM lineitem WHERE l_returnflag <> 'R' AND l_tax > 0.04 AND l_orderkey IN (SELECT o_orderkey FROM orders) GROUP BY l_suppkey""")
+def load_dimensions(spark, sf_dir):
+    made = ingest.load(works_of(spark, sf_dir))
+    null = F.lit(None).cast("string").alias("country_code")
+    authors = made["authors"].select(F.lit("author").alias("kind"), "id", "display_name", null)
+    return authors.unionByName(made["institutions"].select(F.lit("institution").alias("kind"), "id", "display_name", "country_code"))
+
+
+@query("SELECT o_orderkey, coalesce(o_orderstatus = 'F', false) AS from_wos, NULL AS wos_accession_number, coalesce(CASE WHEN o_orderkey % 2 = 0 THEN 'sheet' END, 'catalog') AS source FROM orders")
+def schema_evolve(spark, sf_dir):
+    old = table(spark, sf_dir, "orders").select("o_orderkey", F.when(F.col("o_orderstatus") == "F", True).alias("from_wos"), F.when(F.col("o_orderkey") % 2 == 0, "sheet").alias("source"))
+    return evolve(old, LATER_COLUMNS["papers"])
