@@ -5,13 +5,14 @@ conjunction of thresholds on statistics. A logistic regression with an L1 penalt
 and leaves few. The rest becomes one Spark column expression, so scoring runs in the JVM over all
 rows. Statistics are DataFrame expressions on the whole text; nothing else is an input.
 
-Fitting uses at most ``max_rows`` labelled rows, taken in order of a hash of the id, so the driver's
-memory is bounded whatever the corpus holds.
+Fitting uses at most ``max_rows`` labelled ids, taken in order of a hash of the id, and one row of
+statistics for each, so the driver's memory is bounded whatever the corpus holds.
 
 Defined results: a null or empty text is scored by its statistics (all zero); labels that are null
-or neither 0 nor 1 and rows without a document are not learned from; without both classes the score
-is the share of label 1 (0.5 without labels); repeated rows are scored alike; columns of the input
-are kept, and ``score`` replaces one of that name.
+or neither 0 nor 1, ids with both labels and ids without a document are not learned from; of an id
+with several texts the one of least statistics is; without both classes the score is the share of
+label 1 (0.5 without labels); repeated rows are scored alike, very long texts whole; columns of the
+input are kept, and ``score`` replaces one of that name; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -52,11 +53,12 @@ NAMES = ("words", "word_length", "symbols", "upper", "digits", "marks", "stops",
 
 
 def with_statistics(docs: DataFrame, text: str = "text") -> DataFrame:
-    """``docs`` with the statistics in a struct ``_stats``."""
-    measured = cascade.with_measures(docs.withColumn("_scored", F.coalesce(F.col(f"`{text}`"), F.lit(""))), "_scored")
+    """``_all``, a struct of the columns of ``docs``, and ``_stats``, a struct of the statistics."""
+    whole = F.struct(*[F.col(f"`{c}`") for c in docs.columns]).alias("_all")
+    packed = docs.select(whole, F.coalesce(F.col(f"`{text}`"), F.lit("")).alias("_scored"))
     found = statistics()
     stats = F.struct(*[found[k].cast("double").alias(k) for k in NAMES])
-    return measured.withColumn("_stats", stats).drop("_scored", *(set(cascade.MEASURES) - set(docs.columns)))
+    return cascade.with_measures(packed, "_scored").select("_all", stats.alias("_stats"))
 
 
 Condition = tuple[int, bool, float]  # statistic, whether it is over the threshold, threshold
@@ -172,13 +174,17 @@ def fit(
     """An ensemble from the labelled documents, at most ``max_rows`` of them."""
     known = labels.select(F.col(f"`{id_column}`").alias("_id"), F.col(f"`{label}`").cast("double").alias("_y"))
     known = known.filter(F.col("_y").isin(0.0, 1.0) & F.col("_id").isNotNull())
-    chosen = known.orderBy(F.xxhash64("_id"), "_id", "_y").limit(max_rows)
+    sure = known.groupBy("_id").agg(F.min("_y").alias("_y"), F.max("_y").alias("_other")).filter("_y = _other").drop("_other")
+    chosen = sure.orderBy(F.xxhash64("_id"), "_id").limit(max_rows)
     texts = docs.select(F.col(f"`{id_column}`").alias("_id"), F.col(f"`{text}`").alias("_body"))
-    rows = with_statistics(texts.join(F.broadcast(chosen), "_id"), "_body").select("_y", "_stats.*").toPandas()
+    found = with_statistics(texts.join(F.broadcast(chosen), "_id"), "_body")
+    once = found.groupBy(F.col("_all._id").alias("_id"), F.col("_all._y").alias("_y")).agg(F.min("_stats").alias("_stats"))
+    rows = once.select("_y", "_stats.*").toPandas()
     rows = rows.sort_values(["_y", *NAMES])  # the order of tasks doesn't matter
     return fit_rules(rows[list(NAMES)].to_numpy(float), rows["_y"].to_numpy(float))
 
 
 def score(docs: DataFrame, ensemble: RuleEnsemble, text: str = "text") -> DataFrame:
     """``docs`` with ``score``, 0 to 1."""
-    return with_statistics(docs, text).withColumn("score", ensemble.column()).drop("_stats")
+    kept = [F.col(f"_all.`{c}`") for c in docs.columns if c != "score"]
+    return with_statistics(docs, text).select(*kept, ensemble.column().alias("score"))
