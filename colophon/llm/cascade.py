@@ -1,21 +1,25 @@
 """Quality rules as a short-circuit cascade.
 
 Every rule is a Spark column that is true where a document breaks it. A rule's cost and the share
-of documents it rejects are estimated on a bounded sample, and the cascade tries the rules in
-order of rejection per cost: the first that rejects names the verdict, and what follows it is not
-computed for that document (``CASE`` branches are lazy in Spark). The order decides speed alone:
-a document is kept if and only if no rule rejects it. All of it is DataFrame expressions.
+of documents it rejects are estimated on a sample, and the cascade tries the rules in order of
+rejection per cost: the first that rejects names the verdict, and what follows it is not computed
+for that document (``CASE`` branches are lazy in Spark). The order decides speed alone: a document
+is kept if and only if no rule rejects it. All of it is DataFrame expressions.
+
+The sample is drawn by a hash and summed up where it lies, so no text reaches the driver. Its cost
+is counted in characters, words and lines times a fixed cost of each measure, not in seconds, so
+the same table gives the same order each time.
 
 Defined results: a null text counts as empty; an empty text has no words and fails ``min_words``;
-rows are treated one by one, so repeated rows and ties change nothing; columns of the input are
-kept, and measures replace input columns of the same name.
+rows are treated one by one, so repeated rows and ties change nothing; very long texts are measured
+whole; columns of the input are kept, but measures and ``rejected_by`` replace input columns of the
+same name; an empty table gives an empty result.
 """
 
 from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
-from time import perf_counter
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -108,6 +112,16 @@ MEASURES: dict[str, Callable[[Column, Column, Column], Column]] = {
     "n_repeat_words": lambda t, w, l: repeated_window_words(w),
 }
 LINE_MEASURES = ("n_lines", "n_dup_lines")
+#: Cost of each measure for a character, a word and a line, in nanoseconds of one core, by timing each alone.
+COSTS = {
+    "n_words": (0, 1, 0),
+    "word_chars": (0, 50, 0),
+    "n_symbols": (10, 0, 0),
+    "n_lines": (4, 0, 1000),
+    "n_dup_lines": (4, 0, 4000),
+    "n_repeat_words": (0, 640, 0),
+}
+UNKNOWN_COST = (10, 100, 100)
 
 
 @dataclass(frozen=True)
@@ -160,52 +174,104 @@ def default_rules(
 
 def with_measures(docs: DataFrame, text: str = "text") -> DataFrame:
     """``docs`` with every measure as a column."""
-    parts = docs.withColumn("_text", F.coalesce(F.col(text), F.lit("")))
+    parts = docs.withColumn("_text", F.coalesce(F.col(f"`{text}`"), F.lit("")))
     parts = parts.withColumns({"_words": word_list(F.col("_text")), "_lines": line_list(F.col("_text"))})
     found = {k: f(F.col("_text"), F.col("_words"), F.col("_lines")) for k, f in MEASURES.items()}
     return parts.withColumns(found).drop("_text", "_words", "_lines")
 
 
-def verdict(text: Column, rules: list[Rule]) -> Column:
-    """Name of the first of ``rules`` that rejects, or null; later measures wait for earlier rules."""
+def measure(name: str, t: Column, w: Column) -> Column:
+    """A measure of the text ``t`` with words ``w``."""
+    of = MEASURES[name]
+    return let(line_list(t), lambda l: of(t, w, l)) if name in LINE_MEASURES else of(t, w, w)
 
-    def step(rest: list[Rule], have: Measures, t: Column, w: Column) -> Column:
+
+def _cascade(rules: list[Rule], t: Column, w: Column, leaf: Callable[[str | None, Measures], Column]) -> Column:
+    """``leaf`` of the first rule that rejects (or none) and of the measures computed until then."""
+
+    def step(rest: list[Rule], have: Measures) -> Column:
         if not rest:
-            return F.lit(None).cast("string")
+            return leaf(None, have)
         missing = [k for k in rest[0].needs if k not in have]
         if missing:
-            of = MEASURES[missing[0]]
-            value = let(line_list(t), lambda l: of(t, w, l)) if missing[0] in LINE_MEASURES else of(t, w, w)
-            return let(value, lambda x: step(rest, have | {missing[0]: x}, t, w))
-        return F.when(rest[0].rejects(have), F.lit(rest[0].name)).otherwise(step(rest[1:], have, t, w))
+            return let(measure(missing[0], t, w), lambda x: step(rest, have | {missing[0]: x}))
+        return F.when(rest[0].rejects(have), leaf(rest[0].name, have)).otherwise(step(rest[1:], have))
+
+    return step(rules, {})
+
+
+def verdict(text: Column, rules: list[Rule]) -> Column:
+    """Name of the first of ``rules`` that rejects, or null; later measures wait for earlier rules."""
+
+    def named(name: str | None, have: Measures) -> Column:
+        return F.lit(name).cast("string")
+
+    return let(F.coalesce(text, F.lit("")), lambda t: let(word_list(t), lambda w: _cascade(rules, t, w, named)))
 
-    return let(F.coalesce(text, F.lit("")), lambda t: let(word_list(t), lambda w: step(rules, {}, t, w)))
+
+def verdict_with_measures(text: Column, rules: list[Rule]) -> Column:
+    """A struct of ``rejected_by`` and all measures; those that the cascade skipped are computed after it."""
+
+    def found(name: str | None, have: Measures) -> Column:
+        none = F.lit(None).cast("long")
+        return F.struct(F.lit(name).cast("string").alias("rejected_by"), *[have.get(k, none).alias(k) for k in MEASURES])
+
+    def filled(t: Column, w: Column) -> Column:
+        def rest(s: Column) -> Column:
+            return F.struct(s["rejected_by"].alias("rejected_by"), *[F.coalesce(s[k], measure(k, t, w)).alias(k) for k in MEASURES])
+
+        return let(_cascade(rules, t, w, found), rest)
+
+    return let(F.coalesce(text, F.lit("")), lambda t: let(word_list(t), lambda w: filled(t, w)))
 
 
 def rule_order(docs: DataFrame, rules: list[Rule], text: str = "text", sample_rows: int = 512) -> list[Rule]:
-    """``rules`` by rejection per cost, both estimated on at most ``sample_rows`` documents.
+    """``rules`` by rejection per cost, both estimated on about ``sample_rows`` documents.
 
-    Cost: seconds that computing what the rule reads takes on the sample; selectivity: the share of
-    the sample that it rejects. Ties go by name. The sample only sets the order, never a verdict.
+    Each next rule is judged on what the ones before it leave, and doesn't pay again for measures
+    that they computed. Ties go by name. The sample only sets the order, never a verdict.
+    """
+    plain = [F.col(f"`{f.name}`") for f in docs.schema if not any(k in f.dataType.simpleString() for k in ("map<", "variant"))]
+    share = min(1.0, sample_rows / max(1, docs.count()))
+    sample = docs.filter(F.pmod(F.xxhash64(*plain), F.lit(1 << 30)) < int(share * (1 << 30))).select(F.col(f"`{text}`").alias("_sample"))
+    measured = with_measures(sample, "_sample")
+    have = {k: F.col(k) for k in MEASURES}
+    broken = F.array(*[F.coalesce(r.rejects(have), F.lit(False)) for r in rules]).alias("broken")
+    size = F.char_length(F.coalesce("_sample", F.lit("")))
+    sums = [F.count(F.lit(1)), *(F.sum(x) for x in (size, F.col("n_words"), F.col("n_lines")))]
+    groups = [(r[0], r[1:]) for r in measured.groupBy(broken).agg(*sums).collect()] if rules else []
+    ordered: list[Rule] = []
+    done: set[str] = set()
+    left = list(range(len(rules)))
+    while left:
+        totals = [sum(g[1][k] for g in groups) for k in range(4)]
+
+        def key(i: int) -> tuple[float, str]:
+            units = [COSTS.get(m, UNKNOWN_COST) for m in rules[i].needs if m not in done]
+            cost = totals[0] + sum(c * n for u in units for c, n in zip(u, totals[1:])) + 1
+            rejected = sum(g[1][0] for g in groups if g[0][i])
+            return -(rejected + 1) / cost, rules[i].name
+
+        best = min(left, key=key)
+        left.remove(best)
+        ordered.append(rules[best])
+        done |= {*rules[best].needs}
+        groups = [g for g in groups if not g[0][best]]
+    return ordered
+
+
+def judge(docs: DataFrame, rules: list[Rule] | None = None, text: str = "text", sample_rows: int = 512, measures: bool = False) -> DataFrame:
+    """``docs`` with ``rejected_by``: the first rule of the ordered cascade that rejects, or null.
+
+    ``measures`` adds all measures, also those that a document's cascade had no need of.
     """
-    sample = docs.select(F.col(text).alias("_text")).limit(sample_rows)
-    rows = docs.sparkSession.createDataFrame(sample.collect(), sample.schema).coalesce(1)
-    found = []
-    for rule in rules:
-        bad = F.count(verdict(F.col("_text"), [rule])).alias("bad")
-        judged = rows.agg(bad, F.count(F.lit(1)).alias("n"))
-        judged.collect()  # compiles the code
-        began = perf_counter()
-        got = judged.first()
-        cost = max(perf_counter() - began, 1e-4)
-        found.append((-(got["bad"] + 1) / (got["n"] + 2) / cost, rule.name, rule))
-    return [x[2] for x in sorted(found, key=lambda x: x[:2])]
-
-
-def judge(docs: DataFrame, rules: list[Rule] | None = None, text: str = "text", sample_rows: int = 512) -> DataFrame:
-    """``docs`` with ``rejected_by``: the first rule of the ordered cascade that rejects, or null."""
     ordered = rule_order(docs, default_rules() if rules is None else rules, text, sample_rows)
-    return docs.withColumn("rejected_by", verdict(F.col(f"`{text}`"), ordered))
+    if not measures:
+        return docs.withColumn("rejected_by", verdict(F.col(f"`{text}`"), ordered))
+    names = ("rejected_by", *MEASURES)
+    kept = [F.col(f"`{c}`") for c in docs.columns if c not in names]
+    found = docs.select(*kept, verdict_with_measures(F.col(f"`{text}`"), ordered).alias("_judged"))
+    return found.select(*kept, "_judged.*")
 
 
 def quality_filter(
@@ -214,14 +280,3 @@ def quality_filter(
     """Documents that no rule rejects, with the columns of ``docs``."""
     ordered = rule_order(docs, default_rules() if rules is None else rules, text, sample_rows)
     return docs.filter(verdict(F.col(f"`{text}`"), ordered).isNull())
-
-
-def measured_verdicts(
-    docs: DataFrame, rules: list[Rule] | None = None, text: str = "text", sample_rows: int = 512
-) -> DataFrame:
-    """``docs`` with every measure and ``rejected_by``, where all measures are wanted anyway."""
-    ordered = rule_order(docs, default_rules() if rules is None else rules, text, sample_rows)
-    out = with_measures(docs, text)
-    have = {k: F.col(k) for k in MEASURES}
-    branches = [F.when(r.rejects(have), F.lit(r.name)) for r in ordered]
-    return out.withColumn("rejected_by", F.coalesce(*branches) if branches else F.lit(None).cast("string"))
