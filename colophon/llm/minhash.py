@@ -315,11 +315,13 @@ def family_labels(members: DataFrame, data: DataFrame, alike: Callable, most: in
     def every(count: str) -> Column:
         return F.explode(F.sequence(F.lit(0), F.col(count) - 1))
 
-    weighed = members.join(data.select("rep", "weight"), "rep")
+    # counts of groups are fixed before they are joined, so that a join can split the rows of one
+    weighed = members.join(data.select("rep", "weight"), "rep").checkpoint()
     heads = F.array(*[F.min_by("rep", F.xxhash64("rep", F.lit(k))) for k in range(LEADERS)])
-    placed = weighed.join(blocks(weighed, "all", heads.alias("heads")), "group").checkpoint()
+    sizes = blocks(weighed, "all", heads.alias("heads")).checkpoint()
+    placed = weighed.join(sizes, "group").checkpoint()
     split = placed.filter("all > 1")
-    led = split.dropDuplicates(["group"]).select("group", F.explode("heads").alias("rep"), "all")
+    led = sizes.filter("all > 1").select("group", F.explode("heads").alias("rep"), "all")
     led = led.select("rep", "group", every("all").alias("at"))
     first = placed.select("rep", "group", block("all").alias("at")).unionByName(led)
     first = first.select("rep", F.xxhash64("group", "at").alias("unit"))
@@ -330,12 +332,12 @@ def family_labels(members: DataFrame, data: DataFrame, alike: Callable, most: in
     named = split.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.withColumn("label", F.coalesce("component", "rep")).select("group", "rep", "weight", "all", "label").checkpoint()
     parts = named.groupBy("group", "label").agg(F.count(F.lit(1)).alias("part"))
-    largest = parts.groupBy("group").agg(F.max_by("label", F.struct("part", "label")).alias("largest"))
-    outside = named.join(largest, "group").filter("label <> largest").drop("largest")
-    outside = outside.join(blocks(outside, "out"), "group").checkpoint()
+    largest = parts.groupBy("group").agg(F.max_by("label", F.struct("part", "label")).alias("largest")).checkpoint()
+    outside = named.join(largest, "group").filter("label <> largest").drop("largest").checkpoint()
     if outside.isEmpty():
         return labels
-    against = named.join(outside.select("group", "out").distinct(), "group")
+    counts = blocks(outside, "out").checkpoint()
+    outside, against = outside.join(counts, "group"), named.join(counts, "group")
     left = outside.select("rep", "group", block("out").alias("o"), every("all").alias("a"))
     right = against.select("rep", "group", every("out").alias("o"), block("all").alias("a"))
     second = left.unionByName(right).select("rep", F.xxhash64("group", "o", "a").alias("unit"))
