@@ -2,6 +2,8 @@
 
 from __future__ import annotations
 
+from collections.abc import Callable
+
 import pandas as pd
 from pyspark.sql import Column
 from pyspark.sql import functions as F
@@ -12,6 +14,11 @@ DOI_PREFIX_ANY = r"(?i)^(https?://(dx\.)?doi\.org/|doi:)"
 DOI_FORM = r"^10\.\d{4,9}/\S+$"
 
 
+def once(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body(value)`` with ``value`` computed once: inside a lambda a column is computed anew for every element."""
+    return F.element_at(F.transform(F.array(value), body), 1)
+
+
 def strip_space(x: Column) -> Column:
     """Without white space at either end (``trim`` knows the space alone)."""
     return F.regexp_replace(x, r"^\s+|\s+$", "")
@@ -115,11 +122,12 @@ def abstract_last(index: Column) -> Column:
     places = F.transform(
         F.map_entries(index), lambda e, i: F.transform(e["value"], lambda p: F.struct(p.alias("p"), i.alias("i"), e["key"].alias("w")))
     )
-    ordered = F.array_sort(F.flatten(places))
-    last = F.filter(
-        ordered, lambda s, i: (i == F.size(ordered) - 1) | (F.get(ordered, i + 1)["p"] != s["p"])
-    )
-    return F.when(F.size(index) > 0, F.array_join(F.transform(last, lambda s: s["w"]), " "))
+
+    def words(ordered: Column) -> Column:
+        last = F.filter(ordered, lambda s, i: (i == F.size(ordered) - 1) | (F.get(ordered, i + 1)["p"] != s["p"]))
+        return F.array_join(F.transform(last, lambda s: s["w"]), " ")
+
+    return F.when(F.size(index) > 0, once(F.array_sort(F.flatten(places)), words))
 
 
 def first_not_blank(values: Column) -> Column:
