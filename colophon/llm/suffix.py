@@ -22,7 +22,8 @@ rolling hashes inside a string the least one is its anchor, so equal strings hav
 A string reaches stage 3 once for each block however often the block holds it, so frequent
 passages don't pile up in one task. What goes between blocks and shares are plain rows, one for an
 anchor, a run of strings or a span, so their number follows the input however many blocks there
-are. There are no checkpoints; a lost executor's work is redone from the input or from shuffle files.
+are. Only the digests of repeated texts are checkpointed; a lost executor's work is redone from the
+input or from shuffle files.
 
 Defined results: a null text counts as empty and returns as it was; texts shorter than ``length``
 are kept; rows with equal ids don't remove each other's bytes; a null id comes before all
@@ -38,15 +39,16 @@ import numpy as np
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from colophon.llm.common import text_bytes
+from colophon.llm.common import ensure_checkpoint_dir, text_bytes
 
-GRAM = 24
+GRAM = 20
 _RANDOM = np.random.default_rng(19820609)
 _BYTE = _RANDOM.integers(1 << 63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0xD6E8FEB86659FD93
 _POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
-BLOCK_BYTES = 4 << 20
-LEAST_BLOCKS = 64
+#: A block's bytes: the least, and the most beyond ``FEW_BLOCKS``, so that a passage that all blocks have stays small.
+BLOCK_BYTES, MOST_BLOCK_BYTES = 4 << 20, 32 << 20
+LEAST_BLOCKS, FEW_BLOCKS = 64, 1 << 13
 NULL_ID = -(1 << 63)
 
 
@@ -395,6 +397,11 @@ OUTPUTS = {
 }
 
 
+def blocks_for(size: int) -> int:
+    """Number of blocks for so many bytes of text."""
+    return max(LEAST_BLOCKS, size // min(MOST_BLOCK_BYTES, max(BLOCK_BYTES, size // FEW_BLOCKS)) + 1)
+
+
 def repeated_passages(
     docs: DataFrame,
     length: int = 50,
@@ -407,9 +414,10 @@ def repeated_passages(
 
     ``kept_text`` leaves out characters of which only some bytes stay, and is null for a null text.
 
-    ``length`` is at least 24. Blocks hold about ``BLOCK_BYTES``, so their number follows the input.
+    ``length`` is at least 20. The number of blocks follows the input.
     """
-    blocks = max(LEAST_BLOCKS, text_bytes(docs, f"`{text}`") // BLOCK_BYTES + 1)
+    ensure_checkpoint_dir(docs.sparkSession)
+    blocks = blocks_for(text_bytes(docs, f"`{text}`"))
     renamed = {f"x{k}": F.col(f"`{c}`") for k, c in enumerate(carry)}
     placed = docs.select(
         F.col(f"`{id_column}`").cast("long").alias("id"),
@@ -422,6 +430,7 @@ def repeated_passages(
 
     marked = placed.filter(F.octet_length("data") >= length).select("block", "id", F.sha2("data", 256).alias("digest"))
     firsts = marked.groupBy("digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    firsts = firsts.checkpoint()  # so that the join can split the copies of one text
     copies = marked.join(firsts, "digest").filter("id > first")
     copies = copies.select(F.col("block").alias("block"), F.lit(None).cast("long").alias("code"), F.col("id").alias("id"), "digest")
 

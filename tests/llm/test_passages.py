@@ -117,6 +117,12 @@ def test_very_long_text_and_repeated_rows(spark):
     assert found == [("1", 100, 0), ("2", 6_000_000, 100), ("2", 6_000_000, 100), ("3", 1_000_000, 1_000_000), ("4", 70, 70), ("None", 60, 0), ("None", 60, 0)]
 
 
+def test_blocks_follow_the_input():
+    sizes = [0, 1 << 20, 1 << 30, 1 << 35, 1 << 40, 1 << 47]
+    found = [suffix.blocks_for(n) for n in sizes]
+    assert found == [64, 64, 257, 8193, (1 << 15) + 1, (1 << 22) + 1]
+
+
 def test_rows_between_stages_follow_the_input():
     import pyarrow as pa
 

@@ -140,6 +140,15 @@ def test_chat_round_trip_and_mask(spark):
     assert chat.format_conversations(docs.limit(0)).count() == 0
 
 
+def test_long_conversations_and_clashing_columns(spark):
+    rows = [(1, t, "user" if t % 2 == 0 else "assistant", "x\\<|" * 50 + str(t), "a", 3) for t in range(4000)]
+    rows += [(2, 0, "assistant", "<|im_end|>" * 100_000, "b", 4)]
+    docs = spark.createDataFrame(rows, "conv_id long, turn long, role string, text string, formatted string, loss_spans int").repartition(5)
+    made = {r["conv_id"]: r for r in chat.format_conversations(docs).collect()}
+    assert chat.read_back(made[1]["formatted"]) == [(r[2], r[3]) for r in rows[:-1]] and len(made[1]["loss_spans"]) == 2000
+    assert chat.read_back(made[2]["formatted"]) == [("assistant", rows[-1][3])]
+
+
 def test_template_language():
     render = chat.compile_template("{% for m in messages %}{% if m.role == 'a' and not (m.n == 1 or false) %}A{% elif m['n'] == 1 %}{{ 'x' + 'y' }}{% else %}{{ m.role|upper }}{% endif %}{% endfor %}")
     assert render([{"role": "a", "n": 2}, {"role": "a", "n": 1}, {"role": "b", "n": 3}])[0] == "AxyB"
