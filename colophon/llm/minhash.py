@@ -192,7 +192,7 @@ def sets_of(docs: DataFrame, words: int) -> DataFrame:
 #: Up to so many ids (eight bytes each) are broadcast; more are joined by shuffling the texts.
 BROADCAST_IDS = 1 << 20
 #: Members of a block and shingles that a block's members have together.
-BLOCK_ROWS, BLOCK_SHINGLES = 1024, 1 << 21
+BLOCK_ROWS, BLOCK_SHINGLES = 512, 1 << 20
 LEADERS = 4
 #: Columns of shingles that at most so many sets hold are counted pair by pair, others by products.
 SPARSE = 8
@@ -270,8 +270,8 @@ def linked_pairs(rows, percent: int) -> np.ndarray:
 def connected(units: DataFrame, alike: Callable, most: int) -> DataFrame:
     """``(rep, least)``: the least member of its unit that each is connected to, if it is another one.
 
-    ``units`` has ``unit``, ``rep``, ``weight`` and what ``alike`` reads. Tasks get whole units of
-    together about ``most`` of weight.
+    ``units`` has ``unit``, ``rep``, ``weight`` and what ``alike`` reads. Groups get whole units of
+    together about ``most`` of weight, or less where there would be fewer groups than partitions.
     """
 
     def run(table):
@@ -295,7 +295,8 @@ def connected(units: DataFrame, alike: Callable, most: int) -> DataFrame:
 
     units = units.checkpoint()
     total = units.agg(F.sum("weight").alias("n")).first()["n"] or 0
-    parts = units.withColumn("part", F.pmod(F.xxhash64("unit"), F.lit(total // most + 1)))
+    count = max(total // most + 1, int(units.sparkSession.conf.get("spark.sql.shuffle.partitions")))
+    parts = units.withColumn("part", F.pmod(F.xxhash64("unit"), F.lit(count)))
     return parts.groupBy("part").applyInArrow(run, "rep long, least long").checkpoint()
 
 
