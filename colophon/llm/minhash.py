@@ -28,7 +28,7 @@ with nothing; equal texts are copies of each other, and so are repeated rows; ev
 id is a document of its own, numbered after the largest id in the order of the texts, and is
 compared like any other; so is every row whose id already names another text (the text of the
 least hash keeps the id); the smallest number stands for a component, so one with an id goes before
-those without; very long texts are hashed a mebibyte at a time; an empty table gives an empty result.
+those without; very long texts are hashed whole; an empty table gives an empty result.
 """
 
 from __future__ import annotations
@@ -53,7 +53,7 @@ _BYTE = _RANDOM.integers(1 << 63, size=256, dtype=np.uint64) * np.uint64(2) + np
 _BYTE[65:91] = _BYTE[97:123]  # A-Z as a-z
 _BASE = 0x9E3779B97F4A7C15
 _BASE_INVERSE = pow(_BASE, -1, 1 << 64)
-_CHUNK = 1 << 20
+_CHUNK = 1 << 18
 
 
 def mixed(x: np.ndarray) -> np.ndarray:

@@ -48,7 +48,7 @@ class WordIds(dict):
     any other word (control characters too) to the whole tokenizer. Memory is bounded: when full, it becomes the older half, whose entries come back on use.
     """
 
-    def __init__(self, path: str, most: int = 1 << 18):
+    def __init__(self, path: str, most: int = 1 << 17):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"

@@ -45,9 +45,11 @@ GRAM = 20
 _RANDOM = np.random.default_rng(19820609)
 _BYTE = _RANDOM.integers(1 << 63, size=256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
 _BASE = 0xD6E8FEB86659FD93
-_POWERS: dict[int, tuple[np.ndarray, np.ndarray]] = {}
+_POWERS: list[np.ndarray] = []
 #: A block's bytes: the least, and the most beyond ``FEW_BLOCKS``, so that a passage that all blocks have stays small.
 BLOCK_BYTES, MOST_BLOCK_BYTES = 4 << 20, 32 << 20
+#: Bytes that are hashed at once.
+CHUNK = 1 << 19
 LEAST_BLOCKS, FEW_BLOCKS = 64, 1 << 13
 NULL_ID = -(1 << 63)
 
@@ -61,16 +63,13 @@ def _mixed(x: np.ndarray) -> np.ndarray:
 def rolling(data: np.ndarray, width: int) -> np.ndarray:
     """Hash of the ``width`` bytes from each place on."""
     n = len(data)
-    size = 1 << max(16, n.bit_length())
-    if size not in _POWERS:
-        made = []
+    if not _POWERS or len(_POWERS[0]) <= n:
+        _POWERS.clear()
         for base in (_BASE, pow(_BASE, -1, 1 << 64)):
-            out = np.full(size, base, np.uint64)
+            out = np.full(max(n, CHUNK + 64) + 1, base, np.uint64)
             out[0] = 1
-            made.append(np.multiply.accumulate(out))
-        _POWERS.clear()
-        _POWERS[size] = (made[0], made[1])
-    up, down = _POWERS[size]
+            _POWERS.append(np.multiply.accumulate(out))
+    up, down = _POWERS
     sums = np.zeros(n + 1, np.uint64)
     np.cumsum(_BYTE[data] * up[:n], out=sums[1:])
     return _mixed((sums[width:] - sums[:-width]) * down[: n + 1 - width])
@@ -122,7 +121,9 @@ def corpus_ranks(data: np.ndarray, begins: np.ndarray, counts: np.ndarray, lengt
         return np.zeros(0, np.uint64)
     width = min(16, length)
     trigger = np.zeros(len(data) + 1, bool)
-    trigger[: len(data) - width + 1] = rolling(data, width) % np.uint64(period) == 0
+    for a in range(0, len(data) - width + 1, CHUNK):  # tables of powers stay with a worker, so they are kept small
+        part = rolling(data[a : a + CHUNK + width - 1], width)
+        trigger[a : a + len(part)] = part % np.uint64(period) == 0
     trigger[begins] = True
     owned = np.zeros(len(data) + 1, bool)  # where a string starts
     owned[_ranges(begins, counts)] = True
@@ -175,7 +176,7 @@ class Block:
         """``(places, counts, anchors, rows)``: runs of strings with one anchor, a part at a time."""
         k = 0
         while k < len(self.texts):
-            to = max(k + 1, int(np.searchsorted(self.ends, self.starts[k] + (1 << 20), side="right")))
+            to = max(k + 1, int(np.searchsorted(self.ends, self.starts[k] + CHUNK, side="right")))
             base = self.starts[k]
             data = np.frombuffer(b"".join(self.texts[k:to]), np.uint8)
             if len(data) >= self.length:
