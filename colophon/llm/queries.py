@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colophon.llm import bpe, cascade, chat, minhash, packing, pii, pivots, rulefit, secrets, suffix
+from colophon.llm import bpe, cascade, chat, copair, minhash, packing, pii, pivots, rulefit, secrets, suffix
 from colophon.llm.common import table
 
 def vocabulary(name: str) -> str:
@@ -102,6 +102,21 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op13_co_bucketed_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
+    buckets, key = 150, "sale_id"
+    tables = {name: table(spark, sf_dir, name) for name in ("sales", "sale_lines")}
+    bucket = F.coalesce(copair.crc_bucket(F.col(key), buckets, "pair"), F.lit(buckets + 1))
+    numbers = {
+        "sales": F.when(bucket % 5 == 1, bucket - 1).otherwise(bucket),
+        "sale_lines": F.coalesce(copair.crc_bucket(F.col("item_id"), buckets), F.lit(0)),
+    }
+    root = copair.new_folder(spark, "pair")
+    folders = {name: f"{root}/{name}" for name in tables}
+    for name, df in tables.items():
+        copair.write_numbered(df.withColumn("_number", numbers[name]), "_number", buckets + 2, key, folders[name])
+    return copair.rewrite(spark, folders, {name: df.schema for name, df in tables.items()}, key, buckets)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_minhash": op1_minhash,
     "op2_pivot_index": op2_pivot_index,
@@ -113,6 +128,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,
+    "op13_co_bucketed_pair": op13_co_bucketed_pair,
 }
 
 _REACH = """
