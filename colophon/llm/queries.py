@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colophon.llm import bpe, cascade, chat, copair, minhash, packing, pii, pivots, rulefit, secrets, suffix
+from colophon.llm import bpe, cascade, chat, copair, merkle, minhash, packing, pii, pivots, rulefit, secrets, suffix
 from colophon.llm.common import table
 
 def vocabulary(name: str) -> str:
@@ -102,6 +102,17 @@ def op10_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    fields = [F.col(c) for c in ("doc_id", "source", "lang", "n_chars")]
+    lowered = F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
+    leaves = docs.select(F.col("lang").alias("group"), F.col("doc_id").alias("place"), merkle.digest_of(*fields, F.col("text")).alias("leaf"), *fields, "text")
+    changed = F.crc32(F.col("doc_id").cast("string").cast("binary")) % 3 == 0
+    seen = F.when(changed, merkle.digest_of(*fields, lowered)).otherwise(F.col("leaf"))
+    found = merkle.manifest(leaves.select("group", "place", "leaf", seen.alias("seen")))
+    return found.withColumnsRenamed({"place": "doc_id", "group": "lang"})
+
+
 def op13_co_bucketed_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     buckets, key = 150, "sale_id"
     tables = {name: table(spark, sf_dir, name) for name in ("sales", "sale_lines")}
@@ -128,6 +139,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_suffix_dedup": op8_suffix_dedup,
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,
+    "op11_merkle_manifest": op11_merkle_manifest,
     "op13_co_bucketed_pair": op13_co_bucketed_pair,
 }
 
@@ -202,4 +214,29 @@ b AS (SELECT *, len(l) - len(list_distinct(l)) AS n_dup_lines, n_words < 50 OR 1
 SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed,
  NOT base_failed AND NOT 100 * n_symbols > 10 * word_chars AND NOT 100 * n_dup_lines > 50 * len(l)
  AND word_chars >= 2 * n_words AND word_chars <= 25 * n_words AS kept FROM b""",
+    "op11_merkle_manifest": r"""
+WITH RECURSIVE d AS (SELECT *, row_number() OVER () AS rid, CAST(doc_id AS VARCHAR) AS s FROM documents),
+c AS (SELECT *, CASE WHEN s IS NULL THEN 1 ELSE xor(list_reduce(list_prepend(4294967295::BIGINT, flatten(list_transform(string_split(s, ''), lambda x: [ascii(x)::BIGINT, -1, -1, -1, -1, -1, -1, -1, -1]))),
+  lambda a, b: CASE WHEN b >= 0 THEN xor(a, b) WHEN a & 1 = 1 THEN xor(a >> 1, 3988292384) ELSE a >> 1 END), 4294967295) END AS crc FROM d),
+p AS (SELECT *, coalesce(length(s) || ':' || s, '-') || coalesce(octet_length(encode(source)) || ':' || source, '-') || coalesce(octet_length(encode(lang)) || ':' || lang, '-')
+  || coalesce(length(CAST(n_chars AS VARCHAR)) || ':' || n_chars, '-') AS a FROM c),
+l AS (SELECT rid, doc_id, lang, sha256(a || coalesce(octet_length(encode(text)) || ':' || text, '-')) AS leaf,
+  sha256(a || coalesce(octet_length(encode(text)) || ':' || CASE WHEN crc % 3 = 0 THEN translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') ELSE text END, '-')) AS seen FROM p),
+g AS (SELECT lang, row_number() OVER (ORDER BY lang NULLS FIRST) - 1 AS t, count(*) OVER () AS trees FROM (SELECT DISTINCT lang FROM documents)),
+f AS (SELECT l.*, t, trees, row_number() OVER (PARTITION BY t ORDER BY doc_id NULLS FIRST, leaf) - 1 AS i, count(*) OVER (PARTITION BY t) AS n FROM l JOIN g ON l.lang IS NOT DISTINCT FROM g.lang),
+n AS (SELECT t, 0 AS lvl, i, leaf AS h, n FROM f UNION ALL
+  SELECT t, lvl + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), any_value((n + 7) // 8) FROM n WHERE n > 1 GROUP BY t, lvl, i // 8),
+u AS (SELECT -1 AS t, 0 AS lvl, t AS i, h, (SELECT count(*) FROM g) AS n FROM n WHERE n = 1 UNION ALL
+  SELECT t, lvl + 1, i // 8, sha256(string_agg(h, '' ORDER BY i)), any_value((n + 7) // 8) FROM u WHERE n > 1 GROUP BY t, lvl, i // 8),
+x AS (SELECT * FROM n UNION ALL SELECT * FROM u),
+w AS (SELECT rid, t AS tree, t, 0 AS lvl, i, n, seen AS h, '' AS proof FROM f UNION ALL
+  SELECT rid, tree, CASE WHEN n > 1 THEN t ELSE -1 END, CASE WHEN n > 1 THEN lvl + 1 ELSE 0 END, CASE WHEN n > 1 THEN i // 8 ELSE tree END,
+    CASE WHEN n > 1 THEN (n + 7) // 8 ELSE (SELECT count(*) FROM g) END, CASE WHEN n > 1 THEN sha256(run) ELSE h END, CASE WHEN n > 1 THEN proof || others ELSE proof END
+  FROM (SELECT w.rid, any_value(w.tree) AS tree, any_value(w.t) AS t, any_value(w.lvl) AS lvl, any_value(w.i) AS i, any_value(w.n) AS n, any_value(w.h) AS h, any_value(w.proof) AS proof,
+      string_agg(CASE WHEN x.i = w.i THEN w.h ELSE x.h END, '' ORDER BY x.i) AS run, coalesce(string_agg(x.h, '' ORDER BY x.i) FILTER (WHERE x.i <> w.i), '') AS others
+    FROM w JOIN x ON x.t = w.t AND x.lvl = w.lvl AND x.i // 8 = w.i // 8 WHERE w.n > 1 OR w.t >= 0 GROUP BY w.rid)),
+z AS (SELECT rid, h, proof FROM w WHERE t = -1 AND n = 1),
+r AS (SELECT h AS root FROM u WHERE n = 1)
+SELECT f.doc_id, f.lang, f.leaf, s.h AS subroot, root, sha256(proof) AS proof_sha256, z.h AS folded_root, z.h = root AS verified
+FROM f JOIN z USING (rid) JOIN n s ON s.t = f.t AND s.n = 1, r""",
 }
