@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from colophon.llm import bpe, cascade, chat, copair, merkle, minhash, packing, pii, pivots, rulefit, secrets, suffix
+from colophon.llm import bpe, cascade, chat, copair, merkle, minhash, mixing, packing, pii, pivots, rulefit, secrets, suffix
 from colophon.llm.common import table
 
 def vocabulary(name: str) -> str:
@@ -113,6 +113,17 @@ def op11_merkle_manifest(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.withColumnsRenamed({"place": "doc_id", "group": "lang"})
 
 
+def op12_source_mixing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = mixing.mix_sources(table(spark, sf_dir, "documents").select(F.col("doc_id").alias("id"), "text", "source"))
+    return found.select(
+        F.col("id").alias("doc_id"),
+        "size",
+        F.col("size_source").alias("source_size"),
+        F.col("target_source").alias("target"),
+        (F.col("copies") * F.col("size")).alias("taken"),
+    )
+
+
 def op13_co_bucketed_pair(spark: SparkSession, sf_dir: str) -> DataFrame:
     buckets, key = 150, "sale_id"
     tables = {name: table(spark, sf_dir, name) for name in ("sales", "sale_lines")}
@@ -140,6 +151,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op9_secret_scan": op9_secret_scan,
     "op10_quality_rules": op10_quality_rules,
     "op11_merkle_manifest": op11_merkle_manifest,
+    "op12_source_mixing": op12_source_mixing,
     "op13_co_bucketed_pair": op13_co_bucketed_pair,
 }
 
@@ -239,4 +251,20 @@ z AS (SELECT rid, h, proof FROM w WHERE t = -1 AND n = 1),
 r AS (SELECT h AS root FROM u WHERE n = 1)
 SELECT f.doc_id, f.lang, f.leaf, s.h AS subroot, root, sha256(proof) AS proof_sha256, z.h AS folded_root, z.h = root AS verified
 FROM f JOIN z USING (rid) JOIN n s ON s.t = f.t AND s.n = 1, r""",
+    "op12_source_mixing": r"""
+WITH RECURSIVE d AS (SELECT doc_id, source, coalesce(len(regexp_extract_all(text, '[^\x20\x09-\x0D]+')), 0) AS size FROM documents),
+s AS (SELECT source, CAST(sum(size) AS BIGINT) AS size, (row_number() OVER (ORDER BY encode(source) NULLS LAST) - 1) % 3 + 1 AS w FROM d GROUP BY source),
+o AS (SELECT *, 3.0::DOUBLE * size AS most, row_number() OVER (ORDER BY 3.0::DOUBLE * size / w, encode(source) NULLS LAST) AS p FROM s),
+r AS (SELECT *, (sum(size) OVER ())::DOUBLE - coalesce(sum(most) OVER b, 0) AS rest, (sum(w) OVER ())::DOUBLE - coalesce((sum(w) OVER b)::DOUBLE, 0) AS heavy FROM o
+  WINDOW b AS (ORDER BY p ROWS BETWEEN UNBOUNDED PRECEDING AND 1 PRECEDING)),
+f AS (SELECT *, min(p) FILTER (WHERE rest * w <= most * heavy) OVER () AS first FROM r),
+t AS (SELECT source, size AS source_size, CASE WHEN p >= first THEN w * (SELECT rest / heavy FROM f WHERE p = first) ELSE most END AS target FROM f),
+c AS (SELECT d.source, d.size, count(*) AS n, any_value(CASE WHEN source_size > 0 THEN round(target / source_size, 11) ELSE 0 END) AS rate,
+  row_number() OVER (PARTITION BY d.source ORDER BY d.size DESC) AS k FROM d JOIN t ON d.source IS NOT DISTINCT FROM t.source GROUP BY d.source, d.size),
+q AS (SELECT source, 0::BIGINT AS k, 0::BIGINT AS size, 0::BIGINT AS n, 0::BIGINT AS copies, 0::DOUBLE AS carry FROM t UNION ALL
+  SELECT source, k, size, n, y, owed - y * size FROM (SELECT *, CAST(least(greatest(floor(owed / greatest(size, 1) + 0.5), 0), n * 3) AS BIGINT) * (size > 0)::BIGINT AS y
+    FROM (SELECT c.source, c.k, c.size, c.n, q.carry + c.n * c.rate * c.size AS owed FROM q JOIN c ON c.source IS NOT DISTINCT FROM q.source AND c.k = q.k + 1))),
+h AS (SELECT *, row_number() OVER (PARTITION BY source, size ORDER BY md5(coalesce(CAST(doc_id AS VARCHAR), ''))) AS rank FROM d)
+SELECT h.doc_id, CAST(h.size AS BIGINT) AS size, source_size, target, CAST(h.size * (q.copies // q.n + (rank <= q.copies % q.n)::BIGINT) AS BIGINT) AS taken
+FROM h JOIN q ON q.source IS NOT DISTINCT FROM h.source AND q.size = h.size AND q.k > 0 JOIN t ON t.source IS NOT DISTINCT FROM h.source""",
 }
