@@ -100,6 +100,33 @@ def test_fuzzy_candidates_at_the_threshold(spark):
     assert [tuple(r) for r in matching.fuzzy_texts(q, b, 0.9).collect()] == [(1, 2, 90.0)]
 
 
+@pytest.mark.parametrize("threshold", [0.95, 0.8, 0.6])
+def test_fuzzy_candidates_of_repeated_and_short_titles(spark, threshold):
+    """Equal titles of many rows, white space, null, titles of a few characters, other scripts."""
+    import random
+
+    rng = random.Random(3)
+    rows = [(k, "the same title that a third of all rows have in common", None) for k in range(40)]
+    rows += [(100, None, 1), (101, "   ", 1), (102, "a", 1), (103, "a b", 1), (104, "b  a", 1), (105, "", 1)]
+    for k in range(30):
+        words = ["".join(rng.choice("abcé中😀") for _ in range(rng.randint(1, 6))) for _ in range(rng.randint(1, 9))]
+        rows.append((200 + 2 * k, " ".join(words), k))
+        words[rng.randrange(len(words))] += rng.choice("xy")
+        rng.shuffle(words)
+        rows.append((201 + 2 * k, "  ".join(words), k))
+    frame = spark.createDataFrame(rows, "id long, title string, year int")
+    found = matching.fuzzy_candidates(frame.filter("id % 2 = 0"), frame, threshold, least_length=1)
+    got = {(r["query_id"], r["base_id"]): round(r["score"], 9) for r in found.collect()}
+    want = {}
+    for i, a, _ in rows:
+        for j, b, _ in rows:
+            if i % 2 == 0 and a and b and a.strip() and b.strip() and min(len(a), len(b)) >= 0.6 * max(len(a), len(b)):
+                score = matching.token_sort_ratio(a, b)
+                if score >= 100 * threshold - 1e-9:
+                    want[i, j] = round(score, 9)
+    assert got == want
+
+
 def test_fuzzy_texts_equal_brute_force(spark):
     import random
 
