@@ -119,7 +119,7 @@ def rule_countries(rows: DataFrame, text: str = "raw_affiliation_string") -> Dat
         {
             "status": F.col("_found.status"),
             "country_code": F.col("_found.country_code"),
-            "matched_terms": F.array_join("_found.matched_terms", "; "),
+            "matched_terms": F.array_join("_found.matched_terms", ", "),
             "confidence": F.when(F.col("_found.status") == "unambiguous", 1.0).otherwise(0.0),
         }
     ).drop("_found")
@@ -129,27 +129,43 @@ def stage_1(contributions: DataFrame, institutions: DataFrame, predicted: DataFr
     """Institutions and countries from predictions: ``(contributions, institutions, audit)``.
 
     ``names``, (id, vector) of institutions and (row_id, vector) of predictions under ``kind``, lets
-    a predicted name be matched to a known institution; else a synthetic one stands for it.
+    a predicted name be matched to a known institution; else a synthetic one stands for it. A
+    prediction of neither name nor country changes nothing and isn't in the audit.
     """
     rows = missing_institution(contributions).select("row_id", "paper_id", "raw_affiliation_string")
-    found, made = resolved(rows.join(clean_predictions(predicted), "row_id"), names, threshold)
+    found, made = resolved(rows.join(clean_predictions(predicted), "row_id"), institutions, names, threshold)
+    found = found.filter("institution_id is not null or country_code is not null")
     out = fill_nulls(contributions, found, "row_id", ["institution_id", "country_code"])
     return out, insert_absent(institutions, made, ["id"]), audit(found, "1", "llm")
 
 
-def resolved(found: DataFrame, names: DataFrame | None = None, threshold: float = 0.78) -> tuple[DataFrame, DataFrame]:
-    """``found`` (row_id, institution_name, country_code) with ``institution_id``, and the institutions to be made."""
+def resolved(found: DataFrame, institutions: DataFrame, names: DataFrame | None = None, threshold: float = 0.78) -> tuple[DataFrame, DataFrame]:
+    """``found`` (row_id, institution_name, country_code) with ``institution_id``, and the institutions to be made.
+
+    A matched institution's country goes before the predicted one. ``matched_terms`` says what was
+    done: ``matched: NAME (score=0.85)``, ``synthetic: NAME`` or that only a country was found.
+    """
     if names is not None:
         asked = names.filter("kind = 'prediction'").select(F.col("id").cast("long").alias("id"), "vector")
         known = names.filter("kind = 'institution'").select("id", "vector")
-        near = nearest_vectors(asked, known, 1, threshold)
-        found = found.join(near.select(F.col("query_id").alias("row_id"), F.col("base_id").alias("matched_id")), "row_id", "left")
+        near = nearest_vectors(asked, known, 1, threshold).withColumnsRenamed({"query_id": "_asked", "base_id": "_known", "score": "_score"})
+        have = institutions.select(F.col("id").alias("_id"), F.col("display_name").alias("_name"), country_code(F.col("country_code")).alias("_country"))
+        near = near.join(have, near["_known"] == have["_id"], "left").drop("_id")
+        found = found.join(near, (found["row_id"] == near["_asked"]) & F.col("institution_name").isNotNull(), "left").drop("_asked")
     else:
-        found = found.withColumn("matched_id", F.lit(None).cast("string"))
-    found = found.withColumn("institution_id", F.coalesce("matched_id", synthetic_institution_id(F.col("institution_name"))))
+        null = F.lit(None).cast("string")
+        found = found.withColumns({"_known": null, "_name": null, "_country": null, "_score": F.lit(None).cast("double")})
+    term = (
+        F.when(F.col("_known").isNotNull(), F.format_string("matched: %s (score=%.2f)", F.coalesce("_name", "_known"), "_score"))
+        .when(F.col("institution_name").isNotNull(), F.concat(F.lit("synthetic: "), "institution_name"))
+        .when(F.col("country_code").isNotNull(), "country-only (no institution extracted)")
+    )
+    own = synthetic_institution_id(F.col("institution_name"))
+    found = found.withColumn("matched_terms", term).withColumns({"matched_id": F.col("_known"), "institution_id": F.coalesce("_known", own)})
     made = found.filter("matched_id is null and institution_name is not null").groupBy("institution_id").agg(
         F.min("institution_name").alias("display_name"), F.min("country_code").alias("country_code")
     )
+    found = found.withColumn("country_code", F.coalesce("_country", "country_code")).drop("_known", "_name", "_country", "_score")
     return found, made.select(F.col("institution_id").alias("id"), "display_name", "country_code", F.lit(True).alias("is_synthetic"))
 
 
@@ -160,21 +176,29 @@ def cascade_countries(contributions: DataFrame, institutions: DataFrame, found:
     return fill_nulls(contributions, codes, "institution_id", ["country_code"]), new
 
 
+def inferred(predicted: DataFrame) -> DataFrame:
+    """Predictions of countries with the terms that the audit shows for them; those without a country go."""
+    status = F.col("status") if "status" in predicted.columns else F.lit(None)
+    said = F.concat(F.lit("llm-inferred (status="), F.coalesce(status.cast("string"), F.lit("none")), F.lit(")"))
+    return predicted.filter(F.col("country_code").isNotNull()).withColumn("matched_terms", said)
+
+
 def stage_2(contributions: DataFrame, institutions: DataFrame, predicted: DataFrame | None = None):
     """Countries of institutions by rule, then by prediction: ``(contributions, institutions, audit)``.
 
-    The audit has a row for each contribution that got its institution's country.
+    The audit has a row for each institution that got a country, with its sample affiliation, no
+    contribution and no paper.
     """
-    rows = institutions_missing_country(institutions, contributions)
-    ruled = rule_countries(rows.withColumn("text", context_text(F.col("display_name"), F.col("sample_affiliation"))), "text")
-    found = ruled.filter("status = 'unambiguous'").select("id", "country_code", F.lit("rule").alias("source"))
+    rows = institutions_missing_country(institutions, contributions).withColumnRenamed("sample_affiliation", "raw_affiliation_string")
+    ruled = rule_countries(rows.withColumn("text", context_text(F.col("display_name"), F.col("raw_affiliation_string"))), "text")
+    columns = ["id", "country_code", "raw_affiliation_string", "matched_terms", "confidence"]
+    found = ruled.filter("status = 'unambiguous'").select(*columns, F.lit("rule").alias("source"))
     if predicted is not None:
-        rest = clean_predictions(predicted, "id").join(found.select("id"), "id", "left_anti")
-        found = found.unionByName(rest.join(rows.select("id"), "id", "left_semi").select("id", "country_code", F.lit("llm").alias("source")))
-    codes = found.select(F.col("id").alias("institution_id"), F.col("country_code").alias("code"), F.col("source").alias("said_by"))
-    filled = contributions.filter("country_code is null").join(codes, "institution_id").drop("country_code", "source")
-    filled = filled.withColumnsRenamed({"code": "country_code", "said_by": "source"}).withColumn("confidence", F.lit(1.0))
-    logs = [audit(filled.filter(F.col("source") == s), "2", s) for s in ("rule", "llm")]
+        rest = inferred(clean_predictions(predicted, "id")).join(found.select("id"), "id", "left_anti")
+        rest = rest.join(rows.select("id", "raw_affiliation_string"), "id")
+        found = found.unionByName(rest.select(*columns, F.lit("llm").alias("source")))
+    logged = found.withColumn("row_id", F.lit(None).cast(contributions.schema["row_id"].dataType))
+    logs = [audit(logged.filter(F.col("source") == s), "2", s) for s in ("rule", "llm")]
     return *cascade_countries(contributions, institutions, found), logs[0].unionByName(logs[1])
 
 
@@ -186,7 +210,7 @@ def stage_3(contributions: DataFrame, predicted: DataFrame | None = None):
     log = audit(found, "3", "rule")
     updates = found.select("row_id", "country_code")
     if predicted is not None:
-        rest = clean_predictions(predicted).join(updates.select("row_id"), "row_id", "left_anti").join(rows, "row_id")
+        rest = inferred(clean_predictions(predicted)).join(updates.select("row_id"), "row_id", "left_anti").join(rows, "row_id")
         log = log.unionByName(audit(rest, "3", "llm"))
         updates = updates.unionByName(rest.select("row_id", "country_code"))
     return fill_nulls(contributions, updates, "row_id", ["country_code"]), log

@@ -182,7 +182,7 @@ def from_pdf(tables: dict[str, DataFrame], said: DataFrame, least: float = 0.0,
     aligned = align_authors(targets, others.select("paper_id", "pos", "orcid")).filter("other_pos is not null")
     pairs = aligned.join(others.drop("orcid").withColumnRenamed("pos", "other_pos"), ["paper_id", "other_pos"])
     sure = clean_predictions(pairs, "row_id", least).filter("institution_name is not null or country_code is not null")
-    found, made = resolved(sure, names, threshold)
+    found, made = resolved(sure, tables["institutions"], names, threshold)
     log = audit(found.withColumn("matched_terms", F.concat_ws(" | ", "method", "institution_name")), "pdf", "pdf")
     out = fill_nulls(contributions, found, "row_id", ["institution_id", "country_code"])
     return tables | {"contributions": out, "institutions": insert_absent(tables["institutions"], made, ["id"])}, log

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from colophon.functions.normalize import blank_to_null, doi_key, strip_space, stub_id, title_key, top_flag, whole_number
 from colophon.operators.ingest import first_of, insert_absent, merge_flags
-from colophon.operators.matching import cascade_match, fuzzy_match
+from colophon.operators.matching import cascade_match, fuzzy_match, lookup
 
 COLUMNS = (
     "Accession Number", "DOI", "Article Title", "Authors", "Source", "Document Type", "Publication Date", "Times Cited",
@@ -59,10 +59,11 @@ def match(rows: DataFrame, papers: DataFrame, threshold: float = 0.95, fuzzy: bo
         return out
     left = out.filter("match_id is null and title_key is not null")
     queries = left.select(F.col("ordinal").alias("id"), F.col("title_key").alias("title"), "year")
-    titles = base.select("id", F.col("title_key").alias("title"), F.col("publication_year").alias("year"))
+    # a title stands for its first paper, whose year decides
+    titles = lookup(base, "title_key", "ordinal").select("id", F.col("title_key").alias("title"), F.col("publication_year").alias("year"))
     found = fuzzy_match(queries, titles, threshold)
     out = out.join(found, out["ordinal"] == found["query_id"], "left")
-    label = F.concat(F.lit("title_fuzzy:"), F.bround("score", 0).cast("int").cast("string"))
+    label = F.concat(F.lit("title_fuzzy:"), F.floor("score").cast("int").cast("string"))
     return out.withColumns(
         {"match_id": F.coalesce("match_id", "base_id"), "match_method": F.coalesce(label, "match_method")}
     ).drop("query_id", "base_id", "score")
@@ -86,6 +87,7 @@ def stubs(named: DataFrame) -> DataFrame:
         "doi",
         F.coalesce("title", F.lit("Untitled")).alias("title"),
         F.col("year").alias("publication_year"),
+        F.col("document_type").alias("type"),
         F.col("source").alias("journal_name"),
         F.col("times_cited").alias("cited_by_count"),
         F.col("percentile").alias("citation_percentile"),
