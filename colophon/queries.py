@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colophon.functions import country, normalize
-from colophon.operators import coverage, enrich, impute, ingest, keywords, matching, overlap, report, sampling, topics, wos
+from colophon.operators import cells, coverage, enrich, impute, ingest, keywords, matching, overlap, report, sampling, topics, wos
 from colophon.plans import boolean
 from colophon.schemas import LATER_COLUMNS, evolve
 from colophon.sources import readers
@@ -270,7 +270,7 @@ def abstract_rebuild(spark, sf_dir):
 WORD_COUNTRIES = {"GB": ["the", "that"], "DE": ["und", "ein"], "FR": ["les", "la"], "HK": ["los", "ento"]}
 
 
-def _country_sql(terms: dict[str, list[str]], key: str, rows: str) -> str:
+def _country_sql(terms: dict[str, list[str]], key: str, rows: str, with_terms: bool = False) -> str:
     def pattern(name: str) -> str:
         return re.escape(name).replace("'", "''")
 
@@ -280,6 +280,11 @@ def _country_sql(terms: dict[str, list[str]], key: str, rows: str) -> str:
     }
     count = " + ".join(f"CAST(({h}) AS INTEGER)" for h in hit.values())
     code = " ".join(f"WHEN {h} THEN '{'CN' if c == 'HK' else c}'" for c, h in hit.items())
+    if with_terms:
+        one = [f"CASE WHEN regexp_matches(t, '(^|[^A-Za-z0-9]){pattern(w)}($|[^A-Za-z0-9])') THEN {sql_values([(w,)])[1:-1]} END" for words in terms.values() for w in words]
+        key += f", array_to_string([{', '.join(one)}], ', ') AS terms"
+        return f"""SELECT * EXCLUDE (n, c), CASE WHEN n = 1 THEN 'unambiguous' WHEN n > 1 THEN 'ambiguous' ELSE 'none' END AS status,
+    CASE WHEN n = 1 THEN c END AS country_code FROM (SELECT {key}, {count} AS n, CASE {code} END AS c FROM ({rows}))"""
     return f"""SELECT {key}, CASE WHEN n = 1 THEN 'unambiguous' WHEN n > 1 THEN 'ambiguous' ELSE 'none' END AS status,
     CASE WHEN n = 1 THEN c END AS country_code FROM (SELECT {key}, {count} AS n, CASE {code} END AS c FROM ({rows}))"""
 
@@ -840,19 +845,111 @@ def scholar_restore(spark, sf_dir):
     return out.select("paper_id", "row_id", "raw_affiliation_string")
 
 
-@query("""
-WITH a AS (SELECT c_custkey AS k, n_name, 'Dept. ' || c_custkey || ', ' || CASE c_custkey % 4 WHEN 0 THEN n_name
+@query(f"""
+WITH a AS (SELECT c_custkey AS k, c_nationkey AS nk, 'Dept. ' || c_custkey || ', ' || CASE c_custkey % 4 WHEN 0 THEN n_name
   WHEN 1 THEN n_name || ' and Hong Kong' WHEN 2 THEN 'x' || n_name || '9' ELSE n_name || ', U.K.' END AS raw FROM customer JOIN nation ON c_nationkey = n_nationkey),
-f AS (""" + _country_sql(country.COUNTRY_TERMS, "k", "SELECT k, lower(raw) AS t FROM a WHERE k % 2 = 1") + """)
-SELECT f.k AS row_id, 'P' || f.k AS paper_id, country_code AS inferred_country_code, raw AS raw_affiliation_string, 'rule' AS source, 1.0::DOUBLE AS confidence, '3' AS stage
-FROM f JOIN a ON a.k = f.k WHERE status = 'unambiguous'""")
+c1 AS (SELECT *, CASE WHEN k % 3 = 0 THEN 'I' || nk WHEN k % 12 = 1 THEN 'IMP' END AS inst, CASE WHEN k % 10 = 0 THEN 'XX' WHEN k % 6 = 1 THEN 'CN' END AS cc FROM a),
+s AS (SELECT inst, min(raw) AS raw FROM c1 GROUP BY inst),
+i AS (SELECT 'I' || n_nationkey AS id, n_nationkey AS num, s.raw, lower(concat_ws(' | ', n_name, s.raw)) AS t FROM nation LEFT JOIN s ON s.inst = 'I' || n_nationkey WHERE n_regionkey <> 2),
+i2 AS ({_country_sql(country.COUNTRY_TERMS, "id, num, raw", "SELECT * FROM i", True)}),
+u2 AS (SELECT id, raw, 'rule' AS source, 1.0::DOUBLE AS confidence, country_code, terms FROM i2 WHERE status = 'unambiguous' UNION ALL
+  SELECT id, raw, 'llm', 0.85, 'DE', 'llm-inferred (status=' || CASE WHEN num % 4 = 0 THEN 'ok' ELSE 'none' END || ')' FROM i2 WHERE status <> 'unambiguous' AND num % 2 = 0),
+c2 AS (SELECT k, c1.raw, lower(c1.raw) AS t FROM c1 LEFT JOIN u2 ON u2.id = inst WHERE cc IS NULL AND u2.id IS NULL),
+r3 AS ({_country_sql(country.COUNTRY_TERMS, "k, raw", "SELECT * FROM c2", True)})
+SELECT k AS row_id, 'P' || k AS paper_id, 'CN' AS inferred_country_code, CASE WHEN k % 12 = 1 THEN 'synthetic: Inst  ' || nk ELSE 'country-only (no institution extracted)' END AS matched_terms,
+  raw AS raw_affiliation_string, 'llm' AS source, 0.9::DOUBLE AS confidence, '1' AS stage FROM a WHERE k % 6 = 1
+UNION ALL SELECT NULL, NULL, country_code, terms, raw, source, confidence, '2' FROM u2
+UNION ALL SELECT k, 'P' || k, country_code, terms, raw, 'rule', 1.0, '3' FROM r3 WHERE status = 'unambiguous'
+UNION ALL SELECT k, 'P' || k, 'FR', 'llm-inferred (status=ambiguous)', raw, 'llm', 0.95, '3' FROM r3 WHERE status <> 'unambiguous' AND k % 5 = 0""")
 def audit_rows(spark, sf_dir):
-    k = F.col("c_custkey")
-    contributions = affiliations_of(spark, sf_dir).select(
-        k.alias("row_id"), F.concat(F.lit("P"), k.cast("string")).alias("paper_id"), F.when(k % 2 == 0, "DE").alias("country_code"), F.col("text").alias("raw_affiliation_string")
+    """The audit of all three stages, by rule and by prediction."""
+    k, null = F.col("c_custkey"), F.lit(None).cast("string")
+    named = affiliations_of(spark, sf_dir)
+    contributions = named.select(
+        k.alias("row_id"),
+        F.concat(F.lit("P"), k.cast("string")).alias("paper_id"),
+        F.when(k % 3 == 0, F.concat(F.lit("I"), F.col("c_nationkey").cast("string"))).alias("institution_id"),
+        F.when(k % 10 == 0, "XX").alias("country_code"),
+        F.col("text").alias("raw_affiliation_string"),
+    )
+    n = F.col("n_nationkey")
+    institutions = table(spark, sf_dir, "nation").select(
+        F.concat(F.lit("I"), n.cast("string")).alias("id"), F.col("n_name").alias("display_name"), F.when(F.col("n_regionkey") == 2, "ZZ").alias("country_code"), F.lit(False).alias("is_synthetic")
+    )
+    said = named.filter(k % 3 != 0).select(
+        k.alias("row_id"),
+        F.when(k % 12 == 1, F.concat(F.lit(" Inst  "), F.col("c_nationkey").cast("string"))).alias("institution_name"),
+        F.when(k % 6 != 4, "hk").alias("country_code"),
+        F.when(k % 6 == 2, 0.5).otherwise(0.9).alias("confidence"),
+    ).filter("row_id % 6 <> 5")
+    contributions, institutions, first = impute.stage_1(contributions, institutions, said)
+    said = table(spark, sf_dir, "nation").filter(n % 2 == 0).select(
+        F.concat(F.lit("I"), n.cast("string")).alias("id"), F.lit("de").alias("country_code"), F.when(n % 4 == 0, "ok").alias("status"), F.lit(0.85).alias("confidence")
+    )
+    contributions, institutions, second = impute.stage_2(contributions, institutions, said)
+    said = named.filter(k % 5 == 0).select(k.alias("row_id"), F.lit("fr").alias("country_code"), F.lit("ambiguous").alias("status"), F.lit(0.95).alias("confidence"))
+    _, third = impute.stage_3(contributions, said)
+    return first.unionByName(second).unionByName(third).drop("run_at")
+
+
+_VECTOR_SQL = "list_transform(range(1, len({a}) + 1), lambda i: {a}[i]::DOUBLE + {w} * {b}[i]::DOUBLE)"
+
+
+def added(a: Column, b: Column, weight: Column | float) -> Column:
+    """The first vector plus the second times a weight."""
+    weight = weight if isinstance(weight, Column) else F.lit(float(weight))
+    return F.zip_with(a, b, lambda x, y: x.cast("double") + weight * y.cast("double"))
+
+
+@query(f"""
+WITH v AS (SELECT e.vec_id AS id, {_VECTOR_SQL.format(a="c.embedding", w="0.25::DOUBLE", b="e.embedding")} AS v FROM embeddings e JOIN embeddings c ON c.vec_id = e.vec_id % 32),
+p AS (SELECT a.id AS query_id, b.id AS base_id, list_cosine_similarity(a.v, b.v) AS score FROM v a JOIN v b ON a.id % 50 = 0 AND a.id <> b.id),
+r AS (SELECT *, row_number() OVER (PARTITION BY query_id ORDER BY round(score, 12) DESC, base_id) AS rank FROM p)
+SELECT query_id, base_id, round(score, 6) AS score FROM r WHERE rank <= 5""")
+def vector_index_nn(spark, sf_dir):
+    """The five nearest of all vectors by the metric index; vectors lie in groups around 32 of them."""
+    rows_ = table(spark, sf_dir, "embeddings").filter("embedding is not null")
+    centres = rows_.filter("vec_id < 32 and vec_id >= 0").select(F.col("vec_id").alias("c"), F.col("embedding").alias("centre"))
+    near = rows_.join(F.broadcast(centres), F.col("vec_id") % 32 == F.col("c"))
+    vectors = near.select(F.col("vec_id").alias("id"), added(F.col("centre"), F.col("embedding"), 0.25).alias("vector"))
+    found, _ = cells.nearest(vectors.filter("id % 50 = 0"), vectors, 5, None, same=False)
+    return found.select("query_id", "base_id", F.round("score", 6).alias("score"))
+
+
+@query(f"""
+WITH e AS (SELECT vec_id, embedding AS v FROM embeddings),
+c AS (SELECT c_custkey AS k, {_VECTOR_SQL.format(a="x.v", w="(0.3::DOUBLE * (c_custkey % 5))", b="y.v")} AS v
+  FROM customer JOIN e x ON x.vec_id = c_custkey % 25 JOIN e y ON y.vec_id = 25 + c_custkey % 100 WHERE c_custkey % 7 <> 0),
+p AS (SELECT k, 'I' || n_nationkey AS id, n_name, n_regionkey, list_cosine_similarity(c.v, e.v::DOUBLE[]) AS score FROM c, nation JOIN e ON e.vec_id = n_nationkey),
+b AS (SELECT *, row_number() OVER (PARTITION BY k ORDER BY round(score, 12) DESC, id) AS rank FROM p),
+m AS (SELECT * FROM b WHERE rank = 1 AND score >= 0.78)
+SELECT c_custkey AS row_id, CASE WHEN c_custkey % 7 = 0 THEN NULL WHEN m.k IS NOT NULL THEN m.id ELSE 'IMP_' || substr(sha1('name ' || c_custkey % 25), 1, 10) END AS institution_id,
+  CASE WHEN c_custkey % 7 = 0 THEN CASE WHEN c_custkey % 2 = 0 THEN 'FR' END ELSE coalesce(CASE WHEN n_regionkey = 1 THEN 'JP' WHEN n_regionkey = 2 THEN 'CN' END, CASE WHEN c_custkey % 2 = 0 THEN 'FR' END) END AS country_code,
+  CASE WHEN c_custkey % 7 = 0 THEN CASE WHEN c_custkey % 2 = 0 THEN 'country-only (no institution extracted)' END WHEN m.k IS NOT NULL THEN 'matched: ' || n_name || ' (score=' || printf('%.2f', score) || ')' ELSE 'synthetic: Name  ' || c_custkey % 25 END AS matched_terms,
+  CASE WHEN c_custkey % 7 <> 0 OR c_custkey % 2 = 0 THEN 0.9::DOUBLE END AS confidence
+FROM customer LEFT JOIN m ON m.k = c_custkey""")
+def stage_1_matched(spark, sf_dir):
+    """Predicted names matched to known institutions by their vectors, whose countries come first; names too far off are new ones."""
+    e = table(spark, sf_dir, "embeddings").select("vec_id", "embedding")
+    customers, k = table(spark, sf_dir, "customer"), F.col("c_custkey")
+    null = F.lit(None).cast("string")
+    contributions = customers.select(
+        k.alias("row_id"), F.concat(F.lit("P"), k.cast("string")).alias("paper_id"), null.alias("institution_id"), null.alias("country_code"), F.concat(F.lit("Dept. "), k.cast("string")).alias("raw_affiliation_string")
+    )
+    nation = table(spark, sf_dir, "nation")
+    institutions = nation.select(
+        F.concat(F.lit("I"), F.col("n_nationkey").cast("string")).alias("id"), F.col("n_name").alias("display_name"), F.when(F.col("n_regionkey") == 1, "jp").when(F.col("n_regionkey") == 2, " HK").alias("country_code"), F.lit(False).alias("is_synthetic")
+    )
+    predicted = customers.select(
+        k.alias("row_id"), F.when(k % 7 != 0, F.concat(F.lit(" Name  "), (k % 25).cast("string"))).alias("institution_name"), F.when(k % 2 == 0, "fr").alias("country_code"), F.lit(0.9).alias("confidence")
     )
-    _, log = impute.stage_3(contributions)
-    return log.drop("run_at", "matched_terms")
+    x, y = (e.select(F.col("vec_id").alias(f"{n}_id"), F.col("embedding").alias(n)) for n in "xy")
+    asked = customers.filter(k % 7 != 0).join(x, k % 25 == F.col("x_id")).join(y, 25 + k % 100 == F.col("y_id"))
+    asked = asked.select(k.cast("string").alias("id"), added(F.col("x"), F.col("y"), 0.3 * (k % 5)).alias("vector"), F.lit("prediction").alias("kind"))
+    known = nation.join(e, F.col("n_nationkey") == F.col("vec_id"))
+    known = known.select(F.concat(F.lit("I"), F.col("n_nationkey").cast("string")).alias("id"), F.col("embedding").cast("array<double>").alias("vector"), F.lit("institution").alias("kind"))
+    out, _, log = impute.stage_1(contributions, institutions, predicted, asked.unionByName(known))
+    return out.select("row_id", "institution_id", "country_code").join(log.select("row_id", "matched_terms", "confidence"), "row_id", "left")
 
 
 @query("""
