@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colophon.functions import country, normalize
-from colophon.operators import cells, coverage, enrich, impute, ingest, keywords, matching, overlap, report, sampling, topics, wos
+from colophon.operators import cells, coverage, enrich, impute, ingest, keywords, matching, overlap, postings, report, sampling, topics, wos
 from colophon.plans import boolean
 from colophon.schemas import LATER_COLUMNS, evolve
 from colophon.sources import readers
@@ -305,6 +305,60 @@ def boolean_search(spark, sf_dir):
     return boolean.filter_works(works, '# comment\n( "of the" OR und )\nAND NOT was', types=["en", "de"], date_to=None, text=("text",)).select("doc_id")
 
 
+def _holds(*words: str) -> str:
+    """SQL for a text ``t`` in lower case that holds the words in a row."""
+    return "regexp_matches(t, '(^|[^a-z0-9])' || " + r" || '\s+' || ".join(words) + " || '($|[^a-z0-9])')"
+
+
+_ASCII_LOWER = "translate({}, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz')"
+
+
+@query(f"""
+WITH b AS (SELECT item_id, regexp_extract_all({_ASCII_LOWER.format("text")}, '[a-z]+') AS w FROM benchmark),
+q AS (SELECT item_id, k, w FROM b, range(0, 3) x(k) WHERE len(w) >= 16),
+d AS (SELECT doc_id, {_ASCII_LOWER.format("coalesce(text, '')")} AS t FROM documents)
+SELECT item_id * 10 + k AS query_id, doc_id FROM q, d WHERE CASE k
+  WHEN 0 THEN {_holds("w[1]", "w[2]", "w[3]")}
+  WHEN 1 THEN {_holds("w[4]")} AND {_holds("w[9]")} AND NOT {_holds("w[12]")}
+  ELSE {_holds("w[5]", "w[6]")} OR {_holds("w[10]")} AND NOT {_holds("w[7]", "w[8]")} AND {_holds("w[14]")} END""")
+def phrase_search(spark, sf_dir):
+    """Phrases and words of the benchmark's passages, searched in all documents by the positional index."""
+    words = F.regexp_extract_all(F.translate("text", "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"), F.lit("([a-z]+)"), F.lit(1))
+    items = table(spark, sf_dir, "benchmark").select("item_id", words.alias("w")).filter("size(w) >= 16")
+
+    def at(*places: int) -> list[Column]:
+        return [F.element_at("w", k) for k in places]
+
+    forms = [
+        F.format_string('"%s %s %s"', *at(1, 2, 3)),
+        F.format_string("%s AND %s NOT %s", *at(4, 9, 12)),
+        F.format_string('"%s %s" OR (%s AND NOT "%s %s" AND %s)', *at(5, 6, 10, 7, 8, 14)),
+    ]
+    asked = items.select("item_id", F.posexplode(F.array(*forms)).alias("k", "query"))
+    queries_ = asked.select((F.col("item_id") * 10 + F.col("k")).alias("query_id"), "query")
+    return postings.search(queries_, table(spark, sf_dir, "documents").select("doc_id", "text"))
+
+
+@query(f"""
+WITH q AS (SELECT min(p_partkey) AS query_id, string_split(lower(p_name), ' ') AS w, min(lower(p_type)) AS p, p_size % 4 AS k FROM part WHERE p_name LIKE '_% _%' GROUP BY ALL),
+d AS (SELECT item_id, lower(concat_ws(', ', name, brand, kind)) AS t FROM items)
+SELECT query_id, item_id FROM q, d WHERE CASE k
+  WHEN 0 THEN {_holds("w[1]", "w[2]")}
+  WHEN 1 THEN {_holds("w[1]")} AND NOT {_holds("w[2]")}
+  WHEN 2 THEN ({_holds("w[2]")} OR {_holds("p")}) AND NOT {_holds("w[1]", "w[2]")}
+  ELSE {_holds("w[1]")} AND ({_holds("'b1'")} OR {_holds("'b2'")}) END""")
+def stored_queries(spark, sf_dir):
+    """Queries made of parts' names and types, kept and met by the items that come in."""
+    word = F.split(F.lower("p_name"), " ")
+    parts = table(spark, sf_dir, "part").filter("p_name like '_% _%'")
+    parts = parts.groupBy(F.get(word, F.lit(0)).alias("a"), F.get(word, F.lit(1)).alias("b"), F.size(word).alias("n"), (F.col("p_size") % 4).alias("k"))
+    parts = parts.agg(F.min("p_partkey").alias("query_id"), F.min(F.lower("p_type")).alias("p"))
+    forms = [F.format_string('"%s %s"', "a", "b"), F.format_string("%s NOT %s", "a", "b"), F.format_string('(%s OR %s) AND NOT "%s %s"', "b", "p", "a", "b"), F.format_string("%s AND (B1 OR B2)", "a")]
+    kept = parts.select("query_id", F.element_at(F.array(*forms), F.col("k") + 1).alias("query"))
+    items = table(spark, sf_dir, "items").select(F.col("item_id").alias("doc_id"), F.concat_ws(", ", "name", "brand", "kind").alias("text"))
+    return postings.search(kept, items).withColumnRenamed("doc_id", "item_id")
+
+
 #: Affiliations of customers: the country's name, another one at times, and words that only look like one.
 _AFFILIATION_SQL = """SELECT c_custkey, lower('Dept. ' || c_custkey || ', ' || CASE c_custkey % 4 WHEN 0 THEN n_name WHEN 1 THEN n_name || ' and Hong Kong' WHEN 2 THEN 'x' || n_name || '9' ELSE n_name || ', U.K.' END) AS t
  FROM customer JOIN nation ON c_nationkey = n_nationkey"""
