@@ -12,7 +12,7 @@ from colophon.functions import country, normalize
 from colophon.operators import cells, coverage, enrich, impute, ingest, keywords, matching, overlap, postings, report, sampling, topics, wos
 from colophon.plans import boolean
 from colophon.schemas import LATER_COLUMNS, evolve
-from colophon.sources import readers
+from colophon.sources import paged, readers, record_sets
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -769,18 +769,90 @@ def crossref_parse(spark, sf_dir):
     return found.select("paper_id", "pos", "orcid", F.array_join("affiliations", " | ").alias("affiliations"))
 
 
-@query("SELECT event_id, user_id, event_type FROM events")
-def stream_ingest(spark, sf_dir):
+def shared_folder(spark: SparkSession, name: str) -> str:
+    """A new folder's path in the shared folder."""
     import uuid
 
     from colophon.storage import checkpoint_dir
-    from colophon.streaming.ingest import ingest_stream
 
-    place = f"{checkpoint_dir(spark).rstrip('/')}/stream-{uuid.uuid4()}"
-    source = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type")
-    source.unionByName(source).write.json(f"{place}/in")  # every record twice
-    stream = spark.readStream.schema(source.schema).json(f"{place}/in")
-    ingest_stream(stream, f"{place}/out", f"{place}/checkpoint", "event_id", "user_id").awaitTermination()
+    return f"{checkpoint_dir(spark).rstrip('/')}/{name}-{uuid.uuid4()}"
+
+
+def folder_service(folder: str, topics: list[str]):
+    """A paged service over works in JSON lines, a folder for each topic; it knows topics, types and dates."""
+
+    def fetch(filter_text: str, cursor: str, per_page: int) -> dict:
+        import json
+
+        from pyarrow import fs
+
+        from colophon.sources.record_sets import opened
+
+        asked = dict(p.split(":", 1) for p in filter_text.split(",") if p)
+        wanted = [t for t in topics if t in asked.get("primary_topic.id", t).split("|")]
+        at, skip = (0, 0) if cursor == "*" else map(int, cursor.split(":"))
+        found: list[dict] = []
+        while at < len(wanted) and len(found) < per_page:
+            system, path = opened(f"{folder}/topic={wanted[at]}")
+            there = system.get_file_info(path).type != fs.FileType.NotFound
+            names = sorted(f.path for f in system.get_file_info(fs.FileSelector(path)) if f.path.endswith(".json")) if there else []
+            lines = [json.loads(x) for n in names for x in system.open_input_stream(n).read().decode().splitlines()]
+            kept = [
+                r for r in lines
+                if r["type"] in asked.get("type", r["type"]).split("|") and asked.get("from_publication_date", "") <= r["publication_date"] <= asked.get("to_publication_date", "9")
+            ]
+            part = kept[skip : skip + per_page - len(found)]
+            found += part
+            at, skip = (at, skip + len(part)) if skip + len(part) < len(kept) else (at + 1, 0)
+        return {"results": found, "meta": {"next_cursor": f"{at}:{skip}"}}
+
+    return fetch
+
+
+@query("""
+SELECT 'W' || o_orderkey AS id, strftime(o_orderdate, '%Y-%m-%d') AS publication_date, o_orderstatus AS type, 'T' || (10000 + o_custkey % 40) AS topic_id FROM orders
+WHERE o_custkey % 40 < 25 AND o_orderstatus IN ('O', 'F') AND o_orderdate >= '1993-06-01' AND strftime(o_orderdate, '%Y-%m-%d') <= '1997-03-01' AND o_orderkey % 3 <> 1""")
+def works_pushdown(spark, sf_dir):
+    """Orders behind a paged service; topics, types and dates are asked of it, the rest is done here."""
+    folder = shared_folder(spark, "service")
+    topic = F.concat(F.lit("T"), (F.col("o_custkey") % 40 + 10000).cast("string"))
+    works = table(spark, sf_dir, "orders").select(
+        F.concat(F.lit("W"), "o_orderkey").alias("id"),
+        F.concat(F.lit("Order "), "o_orderkey").alias("title"),
+        F.date_format("o_orderdate", "yyyy-MM-dd").alias("publication_date"),
+        F.col("o_orderstatus").alias("type"),
+        F.struct(F.concat(F.lit("https://x/"), topic).alias("id")).alias("primary_topic"),
+        topic.alias("topic"),
+    )
+    works.repartition("topic").write.partitionBy("topic").json(folder)
+    topics = [f"T{10000 + k}" for k in range(40)]
+    served = paged.read_works(spark, folder_service(folder, topics), per_page=2000)
+    picked = served.filter(F.col("topic_id").isin(topics[:25]) & F.col("type").isin("O", "F") & F.col("publication_date").between("1993-06-01", "1997-03-01"))
+    return picked.filter("cast(substr(id, 2) as long) % 3 <> 1").select("id", "publication_date", "type", "topic_id")
+
+
+@query("SELECT event_id, user_id, event_type, value, props FROM events")
+def event_sets(spark, sf_dir):
+    """Events in two sets of JSON lines that became visible one after the other, read back."""
+    folder = shared_folder(spark, "sets")
+    events = table(spark, sf_dir, "events").select("event_id", "user_id", "event_type", "value", "props")
+    record_sets.write_set(events.filter("event_id % 2 = 0"), folder)
+    record_sets.write_set(events.filter("event_id % 2 <> 0"), folder)
+    return record_sets.read_sets(spark, folder, "event_id long, user_id long, event_type string, value double, props string")
+
+
+@query("SELECT event_id, user_id + event_id % 3 AS user_id, event_type FROM events")
+def stream_ingest(spark, sf_dir):
+    """Events in three deliveries, each with all of the earlier ones again under another user; the stream stops in between."""
+    from colophon.streaming.ingest import ingest_stream, read_json_stream
+
+    place = shared_folder(spark, "stream")
+    for k in range(3):
+        source = table(spark, sf_dir, "events").filter(f"event_id % 3 <= {k}")
+        source = source.select("event_id", (F.col("user_id") + k).alias("user_id"), "event_type")
+        source.write.mode("append").json(f"{place}/in")
+        stream = read_json_stream(spark, f"{place}/in", source.schema.simpleString()[7:-1].replace(":", " "))
+        ingest_stream(stream, f"{place}/out", f"{place}/checkpoint", "event_id", "user_id").awaitTermination()
     return spark.read.parquet(f"{place}/out")
 
 

@@ -12,7 +12,7 @@ from collections.abc import Callable, Iterator
 from dataclasses import dataclass, field
 from hashlib import sha1
 
-from pyspark.sql.datasource import DataSource, DataSourceReader, InputPartition, SimpleDataSourceStreamReader
+from pyspark.sql.datasource import DataSource, DataSourceReader, EqualTo, Filter, GreaterThanOrEqual, In, InputPartition, LessThanOrEqual, SimpleDataSourceStreamReader
 
 TOPICS_PER_BATCH, TOPICS_PER_COUNT = 10, 40
 Fetch = Callable[[str, str, int], dict]
@@ -198,3 +198,90 @@ def paged_source(fetch: Fetch, filters: list[str], per_page: int = 200, marked:
             return _Stream(fetch, filters[0], per_page)
 
     return PagedWorks
+
+
+#: Columns of ``works`` beside the whole record, and which of them a service can filter by.
+WORK_COLUMNS = "id string, doi string, title string, publication_date string, type string, topic_id string, value string"
+LISTED, BOUNDED = {"topic_id": "primary_topic.id", "type": "type"}, {"publication_date": ("from_publication_date", "to_publication_date")}
+PUSHDOWN = "spark.sql.python.filterPushdown.enabled"
+
+
+def work_row(record: dict) -> tuple:
+    topic = (record.get("primary_topic") or {}).get("id")
+    names = ("id", "doi", "title", "publication_date", "type")
+    return (*(record.get(n) for n in names), topic and topic.rsplit("/", 1)[-1], json.dumps(record))
+
+
+class _Works(DataSourceReader):
+    """Works of a search; conditions on topics, types and dates go to the service, the rest stays with Spark."""
+
+    def __init__(self, fetch: Fetch, search: str, form: str, per_page: int):
+        self.fetch, self.search, self.form, self.per_page = fetch, search, form, per_page
+        self.listed: dict[str, list[str]] = {}
+        self.bounds: dict[str, str] = {}
+
+    def pushFilters(self, filters: list[Filter]):
+        for f in filters:
+            column = f.attribute[0] if len(getattr(f, "attribute", ())) == 1 else None
+            values = list(f.value) if isinstance(f, In) else [f.value] if isinstance(f, EqualTo) else []
+            texts = values and all(isinstance(v, str) and v and not set(v) & set(",|:") for v in values)
+            if texts and column in LISTED and column not in self.listed:
+                self.listed[column] = sorted(set(values))
+            elif column in BOUNDED and isinstance(f, GreaterThanOrEqual | LessThanOrEqual) and isinstance(f.value, str):
+                name = BOUNDED[column][isinstance(f, LessThanOrEqual)]
+                if name in self.bounds:
+                    yield f
+                self.bounds.setdefault(name, f.value)
+            else:
+                yield f
+
+    def partitions(self):
+        """A partition for each batch of topics; counts ask for as many topics at once as a request holds."""
+        size = TOPICS_PER_BATCH if self.form == "records" else TOPICS_PER_COUNT
+        parts = [f"title_and_abstract.search:{self.search}"] if self.search else []
+        parts += [f"{name}:{value}" for name, value in sorted(self.bounds.items())]
+        parts += [f"{LISTED['type']}:{'|'.join(self.listed['type'])}"] if "type" in self.listed else []
+        topics = [[f"{LISTED['topic_id']}:{'|'.join(t)}"] if t else [] for t in batches(self.listed.get("topic_id", []), size)]
+        return [_Batch(",".join(parts + t)) for t in topics]
+
+    def read(self, partition):
+        if self.form == "count":
+            yield (partition.filter_text, count(self.fetch, [partition.filter_text]))
+        elif self.form == "groups":
+            for group in grouped(self.fetch, partition.filter_text, self.per_page):
+                yield (group.get("key"), group.get("key_display_name"), int(group.get("count") or 0))
+        else:
+            for record in pages(self.fetch, partition.filter_text, self.per_page):
+                yield work_row(record)
+
+
+def works_source(fetch: Fetch) -> type[DataSource]:
+    """A data source class, format ``works``, options ``search``, ``form`` and ``per_page``.
+
+    The form ``records`` (``WORK_COLUMNS``) follows cursors; ``count`` (filter, n) and ``groups``
+    (key, name, n; of one partition's filter) read what the service counts. With the setting ``PUSHDOWN`` Spark
+    hands conditions over: lists of topics and types, and inclusive bounds of dates, are asked of the service;
+    values that a service's filter can't hold, other conditions and second ones on a column stay with Spark.
+    """
+    schemas = {"records": WORK_COLUMNS, "count": "filter string, n long", "groups": "key string, name string, n long"}
+
+    class Works(DataSource):
+        @classmethod
+        def name(cls):
+            return "works"
+
+        def schema(self):
+            return schemas[self.options.get("form", "records")]
+
+        def reader(self, schema):
+            given = self.options
+            return _Works(fetch, given.get("search", ""), given.get("form", "records"), int(given.get("per_page", 200)))
+
+    return Works
+
+
+def read_works(spark, fetch: Fetch, **options):
+    """A table of the service's works; conditions put on it reach the service."""
+    spark.conf.set(PUSHDOWN, "true")
+    spark.dataSource.register(works_source(fetch))
+    return spark.read.format("works").options(**options).load()

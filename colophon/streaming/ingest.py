@@ -2,30 +2,63 @@
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from collections.abc import Iterator
+from contextlib import contextmanager
+
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.streaming.stateful_processor import StatefulProcessor, StatefulProcessorHandle
+from pyspark.sql.types import BooleanType, StructField, StructType
+
+PROVIDER = "spark.sql.streaming.stateStore.providerClass"
+ROCKS = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+class FirstWriter(StatefulProcessor):
+    """Of all rows of a key over all batches the first; in a batch the least by ``order``, null last."""
+
+    def __init__(self, order: str):
+        self.order = order
+
+    def init(self, handle: StatefulProcessorHandle) -> None:
+        self.seen = handle.getValueState("seen", StructType([StructField("seen", BooleanType())]))
+
+    def handleInputRows(self, key, rows: Iterator[Row], timerValues) -> Iterator[Row]:
+        if not self.seen.exists():
+            self.seen.update((True,))
+            yield min(rows, key=lambda r: (r[self.order] is None, r[self.order] if r[self.order] is not None else 0))
+
+    def close(self) -> None:
+        pass
+
+
+def first_rows(stream: DataFrame, key: str, order: str) -> DataFrame:
+    """The stream's first row of each key, null keys left out.
 
-from colophon.operators.ingest import first_of
+    A key's state is one flag in the state store, beside the rows of the same key: a batch reads
+    and writes the state of its own keys, never the table that is there. Repeats within a batch meet
+    before the state is asked.
+    """
+    rows = stream.filter(F.col(key).isNotNull())
+    return rows.groupBy(key).transformWithState(FirstWriter(order), stream.schema, "Append", "None")
 
 
-def append_new(batch: DataFrame, path: str, key: str, order: str) -> None:
-    """Append the batch's first row of each key that the table at ``path`` lacks."""
-    spark = batch.sparkSession
-    new = first_of(batch.filter(F.col(key).isNotNull()), [key], [order])
+@contextmanager
+def stateful(spark: SparkSession):
+    """The session with the state store that keyed state needs."""
+    before = spark.conf.get(PROVIDER, None)
+    spark.conf.set(PROVIDER, ROCKS)
     try:
-        known = spark.read.parquet(path).select(key)
-    except Exception as error:  # no table yet
-        if "PATH_NOT_FOUND" not in str(error) and "UNABLE_TO_INFER_SCHEMA" not in str(error):
-            raise
-    else:
-        new = new.join(known, key, "left_anti")
-    new.write.mode("append").parquet(path)
+        yield
+    finally:
+        spark.conf.set(PROVIDER, before) if before else spark.conf.unset(PROVIDER)
 
 
 def ingest_stream(stream: DataFrame, path: str, checkpoint: str, key: str, order: str):
-    """A query that takes in all there is: first writer wins over all batches."""
-    writer = stream.writeStream.option("checkpointLocation", checkpoint).trigger(availableNow=True)
-    return writer.foreachBatch(lambda batch, _: append_new(batch, path, key, order)).start()
+    """A query that takes in all there is: first writer wins over all batches and starts on one checkpoint."""
+    with stateful(stream.sparkSession):
+        writer = first_rows(stream, key, order).writeStream.option("checkpointLocation", checkpoint)
+        return writer.outputMode("append").trigger(availableNow=True).format("parquet").start(path)
 
 
 def read_json_stream(spark: SparkSession, path: str, schema: str) -> DataFrame:
