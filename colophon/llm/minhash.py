@@ -15,10 +15,13 @@ probability under one in a million. What is connected by likely pairs is a famil
 is compared on the full sets.
 
 A large bucket or family is split into blocks, each with the same few leaders. Blocks are compared
-by themselves first, so what is alike is connected at a cost in proportion to its size. Only the
-members outside the largest component then meet all the others, in pairs of blocks. Every pair that
-shares a band thus is compared, or connected already. That last step costs the number of such
-members times the size of their family: documents that are alike, but not quite enough.
+by themselves first, so what is alike is connected at a cost in proportion to its size. What is left
+are members outside the largest component: documents that are alike, but not quite enough. A bucket with such
+members is one family whole. In a family they are held against all others by a prefix filter on
+the full sets: shingles are ordered from the rarest on, and two sets at the threshold share
+one among the first ninth of the smaller and the first fifth of the larger (at 80), at places that leave enough to share. What
+many documents have in common is last in that order, so a family's size doesn't multiply the
+work. Every pair that shares a band thus is compared, or connected already.
 
 A full set is a set of 64-bit hashes of shingles of 64-bit hashes of words: of a corpus with ``n``
 distinct shingles a share of ``n / 2 ** 64`` has the hash of another one.
@@ -300,10 +303,99 @@ def connected(units: DataFrame, alike: Callable, most: int) -> DataFrame:
     return parts.groupBy("part").applyInArrow(run, "rep long, least long").checkpoint()
 
 
-def family_labels(members: DataFrame, data: DataFrame, alike: Callable, most: int, block_rows: int) -> DataFrame:
+#: Cells in which shingles are counted to order them; the driver holds a number for each.
+CELLS = 1 << 16
+
+
+def tokens_of(group: int, shingles: np.ndarray) -> np.ndarray:
+    """The shingles of one group; the same in another group are others."""
+    own = mixed(np.full(1, group, np.int64).view(np.uint64))
+    return mixed(shingles.view(np.uint64) ^ own)
+
+
+def token_counts(rows: DataFrame) -> np.ndarray:
+    """How many of the sets (group, shingles) hold the shingles of each cell."""
+
+    def count(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        cells = np.zeros(CELLS, np.int64)
+        for batch in batches:
+            for group, shingles in zip(batch.column("group").to_pylist(), batch.column("shingles").to_numpy(zero_copy_only=False)):
+                cells += np.bincount((tokens_of(group, shingles) % np.uint64(CELLS)).astype(np.int64), minlength=CELLS)
+        at = np.flatnonzero(cells)
+        yield pa.RecordBatch.from_arrays([pa.array(at, pa.int32()), pa.array(cells[at], pa.int64())], ["cell", "n"])
+
+    out = np.zeros(CELLS, np.int64)
+    for r in rows.select("group", "shingles").mapInArrow(count, "cell int, n long").groupBy("cell").agg(F.sum("n").alias("n")).collect():
+        out[r["cell"]] = r["n"]
+    return out
+
+
+def prefixes(rows: DataFrame, percent: int) -> DataFrame:
+    """``(token, rep, n, at, outside, first)``: the rarest shingles of each set (group, rep, outside, shingles).
+
+    Of ``n`` shingles a set shares at least ``percent / 100`` with any set at the threshold, and at least
+    ``2 percent / (100 + percent)`` with one as large or larger; ``first`` marks the prefix for these.
+    """
+    counts = rows.sparkSession.sparkContext.broadcast(token_counts(rows))
+
+    def run(batches: Iterator) -> Iterator:
+        import pyarrow as pa
+
+        for batch in batches:
+            found = []
+            for group, rep, outside, shingles in zip(
+                *(batch.column(c).to_pylist() for c in ("group", "rep", "outside")), batch.column("shingles").to_numpy(zero_copy_only=False)
+            ):
+                own, n = tokens_of(group, shingles), len(shingles)
+                if not n:
+                    continue
+                most = n + percent * n // -100 + 1
+                narrow = n + 2 * percent * n // -(100 + percent) + 1
+                own = own[np.lexsort((own, counts.value[(own % np.uint64(CELLS)).astype(np.int64)]))][:most]
+                at = np.arange(len(own))
+                found.append((own.view(np.int64), np.full(len(own), rep), np.full(len(own), n), at, np.full(len(own), outside), at < narrow))
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.bool_(), pa.bool_())
+            columns = [pa.array(np.concatenate(c), k) if c else pa.array([], k) for c, k in zip(list(zip(*found)) or [()] * 6, kinds)]
+            yield pa.RecordBatch.from_arrays(columns, ["token", "rep", "n", "at", "outside", "first"])
+
+    return rows.select("group", "rep", "outside", "shingles").mapInArrow(run, "token long, rep long, n int, at int, outside boolean, first boolean")
+
+
+def rare_pairs(entries: DataFrame, percent: int) -> DataFrame:
+    """``(rep, least)``: pairs that can reach the threshold, one of them outside, by their prefixes."""
+    large = entries.select("token", *[F.col(c).alias(f"{c}_l") for c in ("rep", "n", "at", "outside")])
+    small = entries.filter("first").select("token", *[F.col(c).alias(f"{c}_s") for c in ("rep", "n", "at", "outside")])
+    sizes = (F.col("n_s") <= F.col("n_l")) & (100 * F.col("n_s") >= percent * F.col("n_l"))
+    # a pair's first common shingle has nothing common before it and at most the rest of both after it
+    most = F.least("at_s", "at_l") + F.least(F.col("n_s") - F.col("at_s"), F.col("n_l") - F.col("at_l"))
+    enough = (100 + percent) * most >= percent * (F.col("n_s") + F.col("n_l"))
+    met = large.join(small, "token").filter(sizes & enough & (F.col("rep_l") != F.col("rep_s")) & (F.col("outside_l") | F.col("outside_s")))
+    return met.select(F.greatest("rep_l", "rep_s").alias("rep"), F.least("rep_l", "rep_s").alias("least")).distinct()
+
+
+def rare_links(named: DataFrame, data: DataFrame, percent: int) -> DataFrame:
+    """``(rep, least)`` of linked pairs with a member outside; ``named`` has group, rep and outside."""
+    sets = data.select("rep", "shingles")
+    pairs = rare_pairs(prefixes(named.join(sets, "rep"), percent).checkpoint(), percent)
+    both = pairs.join(sets, "rep").join(sets.select(F.col("rep").alias("least"), F.col("shingles").alias("others")), "least")
+    common = F.size(F.array_intersect("shingles", "others"))
+    linked = 100 * common >= percent * (F.size("shingles") + F.size("others") - common)
+    return both.filter(linked).select("rep", "least").checkpoint()
+
+
+def whole_groups(named: DataFrame) -> DataFrame:
+    """``(rep, least)``: every member with the least of its group."""
+    least = named.groupBy("group").agg(F.min("rep").alias("least")).checkpoint()
+    return named.join(least, "group").filter("rep <> least").select("rep", "least")
+
+
+def family_labels(members: DataFrame, data: DataFrame, alike: Callable, most: int, block_rows: int, rest: Callable) -> DataFrame:
     """``(node, component)`` of all members that ``alike`` pairs of a group connect.
 
-    ``members`` has ``group`` and ``rep``; ``data`` a row for each ``rep``, with its ``weight``.
+    ``members`` has ``group`` and ``rep``; ``data`` a row for each ``rep``, with its ``weight``. ``rest(named)``
+    gives the links of members outside the largest component of a group of several blocks.
     """
 
     def blocks(rows: DataFrame, name: str, *more: Column) -> DataFrame:
@@ -331,19 +423,14 @@ def family_labels(members: DataFrame, data: DataFrame, alike: Callable, most: in
     if split.isEmpty():
         return labels
     named = split.join(labels.withColumnRenamed("node", "rep"), "rep", "left")
-    named = named.withColumn("label", F.coalesce("component", "rep")).select("group", "rep", "weight", "all", "label").checkpoint()
+    named = named.withColumn("label", F.coalesce("component", "rep")).select("group", "rep", "label").checkpoint()
     parts = named.groupBy("group", "label").agg(F.count(F.lit(1)).alias("part"))
-    largest = parts.groupBy("group").agg(F.max_by("label", F.struct("part", "label")).alias("largest")).checkpoint()
-    outside = named.join(largest, "group").filter("label <> largest").drop("largest").checkpoint()
-    if outside.isEmpty():
+    largest = parts.groupBy("group").agg(F.max_by("label", F.struct("part", "label")).alias("largest"), F.count(F.lit(1)).alias("parts"))
+    largest = largest.filter("parts > 1").select("group", "largest").checkpoint()
+    if largest.isEmpty():
         return labels
-    counts = blocks(outside, "out").checkpoint()
-    outside, against = outside.join(counts, "group"), named.join(counts, "group")
-    left = outside.select("rep", "group", block("out").alias("o"), every("all").alias("a"))
-    right = against.select("rep", "group", every("out").alias("o"), block("all").alias("a"))
-    second = left.unionByName(right).select("rep", F.xxhash64("group", "o", "a").alias("unit"))
-    found = found.unionByName(connected(second.join(data, "rep"), alike, most))
-    return components(found, "rep", "least")
+    named = named.join(largest, "group").select("group", "rep", (F.col("label") != F.col("largest")).alias("outside"))
+    return components(found.unionByName(rest(named.checkpoint())), "rep", "least")
 
 
 def numbered(docs: DataFrame, id_column: str, text: str) -> tuple[DataFrame, int | None]:
@@ -419,12 +506,12 @@ def near_rows(
     members = shared_buckets(classes.select("rep", F.explode("keys").alias("key"))).checkpoint()
     nodes = classes.select("rep", "n", "bins", F.lit(1).alias("weight"))
     nodes = nodes.join(members.select("rep").distinct(), "rep", "left_semi").checkpoint()
-    families = family_labels(members, nodes, lambda rows: likely_pairs(rows, percent), 8 * block_rows, block_rows)
+    families = family_labels(members, nodes, lambda rows: likely_pairs(rows, percent), 8 * block_rows, block_rows, whole_groups)
     families = families.select(F.col("component").alias("group"), F.col("node").alias("rep")).checkpoint()
     ids = families.select(F.col("rep").alias("id"))
     sets = sets_of(only_ids(texts, ids), words).dropDuplicates(["id"])
     sets = sets.select(F.col("id").alias("rep"), "shingles", F.size("shingles").alias("weight")).checkpoint()
-    labels = family_labels(families, sets, lambda rows: linked_pairs(rows, percent), BLOCK_SHINGLES, block_rows)
+    labels = family_labels(families, sets, lambda rows: linked_pairs(rows, percent), BLOCK_SHINGLES, block_rows, lambda named: rare_links(named, sets, percent))
     named = classes.select("class", "rep").join(labels.withColumnRenamed("node", "rep"), "rep", "left")
     named = named.select("class", F.coalesce("component", "rep").alias("component_id"))
     out = known.select("id", "n", "class").join(named, "class", "left")

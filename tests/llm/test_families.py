@@ -1,0 +1,94 @@
+"""Families of documents that share most of a page but not enough: links and growth."""
+
+import random
+
+import numpy as np
+import pytest
+from pyspark.sql import functions as F
+
+from colophon.llm import minhash
+
+
+def pages(seed, n, common, own):
+    """Texts of ``common`` words that all have and ``own`` words of each one's; every fifth is a near copy of another."""
+    rng = random.Random(seed)
+    shared = [f"c{k}" for k in range(common)]
+    rows = []
+    for k in range(n):
+        words = shared + [f"w{rng.randrange(1 << 40)}" for _ in range(own)]
+        if k % 5 == 4:
+            words = rows[-1][1].split()[:-2] + [f"x{k}"]
+        rows.append((k, " ".join(words)))
+    return rows
+
+
+def plain(rows, words, percent):
+    sets = [{tuple(t.split()[i : i + words]) for i in range(len(t.split()) - words + 1)} for _, t in rows]
+    least = list(range(len(rows)))
+
+    def root(x):
+        while least[x] != x:
+            x = least[x]
+        return x
+
+    for i in range(len(rows)):
+        for j in range(i):
+            common = len(sets[i] & sets[j])
+            if common and 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
+                a, b = sorted((root(i), root(j)))
+                least[b] = a
+    return {rows[k][0]: rows[root(k)][0] for k in range(len(rows))}
+
+
+@pytest.mark.parametrize("common,own", [(70, 30), (85, 15), (90, 10), (40, 60)])
+def test_links_within_large_families(spark, common, own):
+    rows = pages(common, 300, common, own)
+    frame = spark.createDataFrame(rows, "doc_id long, text string")
+    found = minhash.near_duplicates(frame, words=5, percent=80, block_rows=16)
+    assert {r["doc_id"]: r["component_id"] for r in found.collect()} == plain(rows, 5, 80)
+
+
+def test_work_grows_with_the_input(spark, monkeypatch):
+    """Rows that are compared, and pairs that are checked, for N and 4 N pages of one boilerplate."""
+    compared, pairs = [], []
+    connected, rare = minhash.connected, minhash.rare_pairs
+
+    def counted(units, *rest):
+        compared.append(units.count())
+        return connected(units, *rest)
+
+    def checked(entries, percent):
+        found = rare(entries, percent)
+        pairs.append(found.count())
+        return found
+
+    monkeypatch.setattr(minhash, "connected", counted)
+    monkeypatch.setattr(minhash, "rare_pairs", checked)
+    totals = []
+    for n in (300, 1200):
+        compared.clear()
+        pairs.clear()
+        frame = spark.createDataFrame(pages(1, n, 70, 30), "doc_id long, text string")
+        assert minhash.near_duplicates(frame, words=5, percent=80, block_rows=64).filter("not kept").count() == n // 5
+        totals.append((sum(compared), sum(pairs)))
+    assert totals[1][0] <= 6 * totals[0][0] and totals[1][1] <= 6 * max(totals[0][1], 60)
+
+
+def test_prefixes_lose_no_pair(spark):
+    """Random sets of all sizes against all pairs."""
+    rng = np.random.default_rng(5)
+    base = [rng.integers(0, 400, size=rng.integers(1, 60)) for _ in range(40)]
+    sets = [np.unique(np.r_[b[: int(len(b) * f)], rng.integers(0, 10**6, size=rng.integers(0, 4))]) for b in base for f in (1.0, 0.95, 0.9, 0.8)]
+    sets += [np.zeros(0, np.int64)]
+    rows = [(7, k, bool(k % 2), s.tolist()) for k, s in enumerate(sets)]
+    frame = spark.createDataFrame(rows, "group long, rep long, outside boolean, shingles array<long>")
+    for percent in (50, 80, 95):
+        found = {tuple(r) for r in minhash.rare_links(frame.select("group", "rep", "outside"), frame.select("rep", "shingles"), percent).collect()}
+        want = set()
+        for i in range(len(sets)):
+            for j in range(i):
+                common = len(np.intersect1d(sets[i], sets[j]))
+                if (i % 2 or j % 2) and common and 100 * common >= percent * (len(sets[i]) + len(sets[j]) - common):
+                    want.add((i, j))
+        assert found == want and len(want) > 3
+    assert frame.filter(F.size("shingles") == 0).count() == 1
