@@ -475,6 +475,43 @@ def wos_overlay(spark, sf_dir):
     return merged.select("id", "title", "is_top_1_percent", "from_wos", "wos_accession_number")
 
 
+@query(r"""
+WITH p AS (SELECT 'W' || p_partkey AS id, 'on the long term behaviour of ' || p_name || ' under load ' || p_partkey % 300 AS t, 1990 + p_partkey % 12 AS y FROM part WHERE p_size > 25),
+b AS (SELECT t, min(id) AS id, arg_min(y, id) AS y, array_to_string(list_sort(string_split(t, ' ')), ' ') AS s FROM p GROUP BY t),
+r AS (SELECT p_partkey AS n, 'on the long term behaviours of ' || p_name || ' under load ' || p_partkey % 300 AS t, CASE WHEN p_partkey % 5 > 0 THEN 1990 + p_partkey % 7 END AS y, p_type AS kind FROM part WHERE p_size <= 3),
+q AS (SELECT *, array_to_string(list_sort(string_split(t, ' ')), ' ') AS s FROM r),
+c AS (SELECT n, substring(s, i::INT + 1, 1) AS c, sum((1::HUGEINT << i::INT)) AS bits FROM (SELECT n, s, unnest(range(length(s))) AS i FROM q) GROUP BY ALL),
+m AS (SELECT n, map_from_entries(list((c, bits::HUGEINT))) AS at FROM c GROUP BY n),
+x AS (SELECT q.n, b.id, b.y AS b_y, q.y AS q_y, length(q.s) AS ql, length(b.s) AS bl, (1::HUGEINT << length(q.s)::INT) - 1 AS whole, list_transform(string_split(b.s, ''), lambda x: coalesce(m.at[x], 0::HUGEINT)) AS hits
+  FROM q JOIN m ON m.n = q.n JOIN b ON abs(length(b.s) - length(q.s)) * 20 <= length(b.s) + length(q.s)),
+v AS (SELECT n, id, b_y, q_y, 200.0::DOUBLE * (ql - bit_count(list_reduce(list_prepend(whole, hits), lambda v, h: ((v + (v & h)) | (v - (v & h))) & whole))) / (ql + bl) AS score FROM x),
+k AS (SELECT *, row_number() OVER (PARTITION BY n ORDER BY score DESC, id) AS rank FROM v WHERE score >= 95),
+h AS (SELECT n, arg_min(id, rank) AS id, arg_min(score, rank) AS score FROM k WHERE rank <= 5 AND coalesce(abs(b_y - q_y) <= 2, true) GROUP BY n),
+f AS (SELECT min(n) AS first, arg_min(kind, n) AS kind, t FROM r WHERE n NOT IN (SELECT n FROM h) GROUP BY t)
+SELECT r.n AS ordinal, coalesce(h.id, 'WOS_' || first) AS paper_id, CASE WHEN h.n IS NULL THEN 'new' ELSE 'title_fuzzy:' || CAST(floor(score) AS INTEGER) END AS match_method, CASE WHEN h.n IS NULL THEN f.kind END AS type
+FROM r LEFT JOIN h ON h.n = r.n LEFT JOIN f ON f.t = r.t""")
+def wos_fuzzy(spark, sf_dir):
+    """Records whose titles are nearly those of papers: by the best of five titles, if the first paper's year is near; others are stubs with a type."""
+    part, key = table(spark, sf_dir, "part"), F.col("p_partkey")
+    load = (key % 300).cast("string")
+    papers = part.filter("p_size > 25").select(
+        F.concat(F.lit("W"), key.cast("string")).alias("id"),
+        F.concat(F.lit("10.9/"), key.cast("string")).alias("doi"),
+        F.concat(F.lit("On the Long-Term Behaviour of "), "p_name", F.lit(" under Load "), load).alias("title"),
+        (key % 12 + 1990).cast("int").alias("publication_year"),
+    )
+    sheet = part.filter("p_size <= 3").select(
+        F.concat(F.lit("WOS:"), key.cast("string")).alias("Accession Number"),
+        F.concat(F.lit("On the long term behaviours of "), "p_name", F.lit(" under load: "), load).alias("Article Title"),
+        F.when(key % 5 > 0, (key % 7 + 1990).cast("string")).alias("Publication Date"),
+        F.col("p_type").alias("Document Type"),
+        key.alias("ordinal"),
+    )
+    named = wos.with_paper(wos.match(wos.records(sheet), papers))
+    made = wos.stubs(named).select(F.col("id").alias("stub"), "type")
+    return named.join(made, named["paper_id"] == made["stub"], "left").select("ordinal", "paper_id", "match_method", "type")
+
+
 _STAGES_SQL = f"""
 WITH a AS (SELECT c_custkey AS k, c_nationkey AS nk, n_name, n_regionkey AS region, 'Dept. ' || c_custkey || ', ' || CASE c_custkey % 4 WHEN 0 THEN n_name
   WHEN 1 THEN n_name || ' and Hong Kong' WHEN 2 THEN 'x' || n_name || '9' ELSE n_name || ', U.K.' END AS raw FROM customer JOIN nation ON c_nationkey = n_nationkey),
