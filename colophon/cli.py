@@ -17,6 +17,7 @@ from colophon.operators import chain, coverage, extract, gate, imports, impute,
 from colophon.operators.ingest import load
 from colophon.plans import boolean
 from colophon.schemas import TABLES
+from colophon.operators.runstats import RunStats, without_sink
 from colophon.sources import paged, readers
 from colophon.sources.sheets import country_sheets
 
@@ -31,13 +32,16 @@ def tables(spark: SparkSession, db: str) -> dict[str, DataFrame]:
     return {n: spark.read.parquet(f"{db}/{n}") for n in NAMES}
 
 
-def save(made: dict[str, DataFrame], db: str, dry_run: bool = False) -> None:
-    """A new version of each table; ``dry_run`` counts only."""
+def save(made: dict[str, DataFrame], db: str, dry_run: bool = False, stats: RunStats | None = None) -> None:
+    """A new version of each table, with the rows of each and what ``stats`` counted; ``dry_run`` writes none."""
+    stats = stats or RunStats()
     for name, df in made.items():
+        df = stats.watch(f"table {name}", df)
         if dry_run:
-            print(f"{name}: {df.count()} rows")
+            without_sink(df)
         else:
             df.write.mode("errorifexists").parquet(f"{db}/{name}")
+    print("\n".join(stats.lines()))
 
 
 def service(name: str | None):
@@ -77,7 +81,8 @@ def validate(a) -> int:
 
 
 def convert(a) -> int:
-    save(load(readers.works(session(), a.input)), a.db, a.dry_run)
+    stats = RunStats()
+    save(load(readers.works(session(), a.input), stats=stats), a.db, a.dry_run, stats)
     return 0
 
 
@@ -174,10 +179,11 @@ def import_wos(a) -> int:
     spark = session()
     made = imports.evolved(tables(spark, a.db))
     sheet = country_sheets(spark, a.dir, list(wos.COLUMNS), a.only, a.limit_files, a.limit_rows_per_file)
+    stats = RunStats()
     made["papers"], made["contributions"] = wos.overlay(
-        made["papers"], made["contributions"], wos.records(sheet), threshold=a.fuzzy_threshold, fuzzy=not a.no_fuzzy
+        made["papers"], made["contributions"], wos.records(sheet), stats, threshold=a.fuzzy_threshold, fuzzy=not a.no_fuzzy
     )
-    save(made, a.output, a.dry_run)
+    save(made, a.output, a.dry_run, stats)
     return 0
 
 
@@ -196,7 +202,7 @@ def import_csv(a) -> int:
     counts = counts.first()
     print(counts)
     if a.stages and not a.no_impute and not counts["aborted"] and counts["catalog_records"]:
-        made, made["country_imputation_audit"] = chain.by_stages(made, impute.stages(a.stages), predictors(a))
+        made, made["country_imputation_audit"] = chain.by_stages(made, impute.stages(a.stages), predictors(a), asking=asking(a))
     save(made, a.output)
     return int(counts["aborted"])
 
@@ -214,6 +220,11 @@ def services_of(a, names: tuple[str, ...]) -> chain.Services:
     return chain.Services(**asked, predict=predictors(a))
 
 
+def asking(a) -> chain.Asking:
+    """How predictions are asked for and which count, of the options a command has."""
+    return chain.Asking(a.min_confidence, a.batch_size, a.match_threshold, service(a.embed), a.vector_cache)
+
+
 def impute_some(*names: str):
     """A command that fills gaps from the services named, then by ``--stages`` where it has them."""
 
@@ -221,9 +232,10 @@ def impute_some(*names: str):
         made = imports.evolved(tables(session(), a.db))
         before = made["contributions"].filter("country_code is not null").count()
         stages = impute.stages(a.stages) if getattr(a, "stages", None) else []
-        made, log = chain.impute_all(made, services_of(a, names), stages, a.limit)
+        stats = RunStats()
+        made, log = chain.impute_all(made, services_of(a, names), stages, a.limit, asking(a), stats)
         print(f"rows with country: {before} before, {made['contributions'].filter('country_code is not null').count()} after")
-        save(made | {"country_imputation_audit": log}, a.output, a.dry_run)
+        save(made | {"country_imputation_audit": log}, a.output, a.dry_run, stats)
         return 0
 
     return run
@@ -302,9 +314,7 @@ def parser() -> argparse.ArgumentParser:
     add("compare-dois", compare_dois, ("--csv", {"required": True}), ("--export", {}))
     add("import-wos", import_wos, ("--dir", {"default": "data/QSM"}), ("--only", {}), ("--limit-files", number), ("--limit-rows-per-file", number),
         ("--fuzzy-threshold", {"type": float, "default": 0.95}), ("--no-fuzzy", flag), output, dry)
-    sheet = ("csv", {}), ("--client", {}), ("--model", {}), ("--no-impute", flag), output, limit, dry
-    add("import-wos-csv", import_csv, *sheet, ("--stages", {"default": ""}))
-    add("wos-import-impute", import_csv, *sheet, ("--stages", {"default": "1,2,3"}))
+    sheet = ("csv", {}), ("--client", {}), ("--no-impute", flag), output, limit, dry
     add("extract-keywords", extract_keywords, ("file", {}), ("--title", {"default": "Article Title"}), ("--abstract", {"default": "Abstract"}),
         ("--top-n", {"type": int, "default": 50}), ("--ngram-min", {"type": int, "default": 2}), ("--ngram-max", {"type": int, "default": 3}),
         ("--min-df", {"type": int, "default": 2}), ("--max-df", {"type": float, "default": 0.85}), ("--embed", {}), ("--candidate-pool", {"type": int, "default": 200}),
@@ -312,7 +322,11 @@ def parser() -> argparse.ArgumentParser:
         ("--no-write", flag), ("--force", flag), db=False)
     add("build-categorized-query", build_query, ("json", {}), ("--output", {}), ("--no-write", flag), ("--force", flag), db=False)
     add("export-format", export_format, db=False)
-    common = output, limit, dry, ("--model", {})
+    model = ("--model", {}), ("--min-confidence", {"type": float, "default": 0.8}), ("--batch-size", {"type": int, "default": 20})
+    model += ("--match-threshold", {"type": float, "default": 0.78}), ("--embed", {}), ("--vector-cache", {"default": ""})
+    common = output, limit, dry, *model
+    add("import-wos-csv", import_csv, *sheet, *model, ("--stages", {"default": ""}))
+    add("wos-import-impute", import_csv, *sheet, *model, ("--stages", {"default": "1,2,3"}))
     stages, pdf = ("--stages", {"default": "1,2,3"}), (("--pdf-get", {}), ("--pdf-urls", {}), ("--cache-dir", {"default": "data/pdf"}))
     catalog, crossref, scholar = (("--" + n, {}) for n in ("catalog", "crossref", "scholar"))
     add("impute-all", impute_some("catalog", "crossref", "scholar", "pdf_get"), *common, stages, catalog, crossref, scholar, *pdf)

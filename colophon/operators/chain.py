@@ -9,7 +9,8 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from colophon.functions.normalize import doi_key
-from colophon.operators import enrich, impute, imports, pdf
+from colophon.operators import enrich, extract, impute, imports, pdf
+from colophon.operators.runstats import RunStats
 from colophon.schemas import empty_table
 from colophon.sources.lookup import payloads
 from colophon.storage import fixed
@@ -38,6 +39,37 @@ class Services:
     pdf_cache: str = ""
 
 
+@dataclass(frozen=True)
+class Asking:
+    """Which predictions count, how many rows a request has, and how names find known institutions.
+
+    With ``embed`` predicted names are matched by their vectors at ``threshold``; ``cache`` names a folder that keeps
+    the vectors of institutions from run to run.
+    """
+
+    least: float = 0.8
+    batch: int = 20
+    threshold: float = 0.78
+    embed: Callable | None = None
+    cache: str = ""
+
+
+def name_vectors(institutions: DataFrame, said: DataFrame, asking: Asking) -> DataFrame | None:
+    """``(id, vector, kind)`` of known institutions and of the names that predictions give."""
+    if not asking.embed:
+        return None
+    known = institutions.select("id", F.coalesce("display_name", F.lit("")).alias("display_name"), "country_code").filter("display_name <> ''")
+    if asking.cache:
+        known = extract.cached_vectors(known, asking.embed, asking.cache)
+    else:
+        known = extract.embedded(known.select("id", "display_name"), "display_name", asking.embed).select("id", "vector")
+    # one vector for each name, however many rows have it
+    asked = impute.clean_predictions(said, least=asking.least).filter("institution_name is not null").select(F.col("row_id").cast("string").alias("id"), "institution_name")
+    made = extract.embedded(asked.select("institution_name").distinct(), "institution_name", asking.embed)
+    asked = asked.join(made, "institution_name").select("id", "vector", F.lit("prediction").alias("kind"))
+    return fixed(known.withColumn("kind", F.lit("institution")).unionByName(asked))
+
+
 def restored(tables: Tables, get: Callable, by_name: bool, limit: int | None = None) -> Tables:
     """Affiliations from a service's payloads, with authors' ids (``by_name``: places alone)."""
     gaps = impute.papers_lacking(tables["papers"], tables["contributions"], raw_too=True).select(F.col("id").alias("paper_id"), "doi")
@@ -50,33 +82,38 @@ def restored(tables: Tables, get: Callable, by_name: bool, limit: int | None = N
     return tables | {"contributions": fixed(out)}
 
 
-def by_stages(tables: Tables, stages: list[int], predict: dict[str, Callable], limit: int | None = None) -> tuple[Tables, DataFrame]:
+def by_stages(
+    tables: Tables, stages: list[int], predict: dict[str, Callable], limit: int | None = None, asking: Asking = Asking(), stats: RunStats | None = None
+) -> tuple[Tables, DataFrame]:
     """Stages 1 to 3, by rule first where there is one, then by prediction: the tables and their audit."""
     tables, log = dict(tables), empty_table(tables["papers"].sparkSession, "country_imputation_audit")
     contributions, institutions = tables["contributions"], tables["institutions"]
     if 1 in stages and "1" in predict:
         asked = impute.missing_institution(contributions, limit).select("row_id", "raw_affiliation_string")
-        said = fixed(impute.predict(asked, predict["1"], ANSWERS["1"]))
-        contributions, institutions, made = impute.stage_1(contributions, institutions, said)
+        said = fixed(impute.predict(asked, predict["1"], ANSWERS["1"], asking.batch))
+        names = name_vectors(institutions, said, asking)
+        contributions, institutions, made = impute.stage_1(contributions, institutions, said, names, asking.threshold, asking.least, stats)
         contributions, institutions, log = fixed(contributions), fixed(institutions), log.unionByName(made)
     if 2 in stages:
         said = None
         if "2" in predict:
             asked = impute.institutions_missing_country(institutions, contributions).withColumnRenamed("id", "row_id")
-            said = fixed(impute.predict(asked, predict["2"], ANSWERS["2"])).withColumnRenamed("row_id", "id")
-        contributions, institutions, made = impute.stage_2(contributions, institutions, said)
+            said = fixed(impute.predict(asked, predict["2"], ANSWERS["2"], asking.batch)).withColumnRenamed("row_id", "id")
+        contributions, institutions, made = impute.stage_2(contributions, institutions, said, asking.least, stats)
         contributions, institutions, log = fixed(contributions), fixed(institutions), log.unionByName(made)
     if 3 in stages:
         said = None
         if "3" in predict:
             asked = impute.missing_country(contributions, limit).select("row_id", "raw_affiliation_string")
-            said = fixed(impute.predict(asked, predict["3"], ANSWERS["3"]))
-        contributions, made = impute.stage_3(contributions, said)
+            said = fixed(impute.predict(asked, predict["3"], ANSWERS["3"], asking.batch))
+        contributions, made = impute.stage_3(contributions, said, asking.least, stats)
         contributions, log = fixed(contributions), log.unionByName(made)
     return impute.hong_kong_repair(tables | {"contributions": contributions, "institutions": institutions}), fixed(log)
 
 
-def impute_all(tables: Tables, services: Services, stages: list[int] = impute.STAGES, limit: int | None = None) -> tuple[Tables, DataFrame]:
+def impute_all(
+    tables: Tables, services: Services, stages: list[int] = impute.STAGES, limit: int | None = None, asking: Asking = Asking(), stats: RunStats | None = None
+) -> tuple[Tables, DataFrame]:
     """Catalog, affiliations by ORCID, affiliations by place, stages, first pages: the tables and the audit."""
     tables = imports.evolved(tables)
     if services.catalog:
@@ -86,7 +123,7 @@ def impute_all(tables: Tables, services: Services, stages: list[int] = impute.ST
     if services.scholar:
         tables = restored(tables, services.scholar, True, limit)
     predict = services.predict or {}
-    tables, log = by_stages(tables, list(stages), predict, limit)
+    tables, log = by_stages(tables, list(stages), predict, limit, asking, stats)
     if services.pdf_get and services.pdf_urls is not None and "pdf" in predict:
         tables, made = by_pages(tables, services, limit)
         log = log.unionByName(made)

@@ -4,13 +4,14 @@ from __future__ import annotations
 
 from collections.abc import Callable, Iterator
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colophon.functions.country import infer_country
 from colophon.functions.normalize import blank_to_null, context_text, country_code, not_blank, strip_space, synthetic_institution_id
 from colophon.operators.ingest import fill_nulls, first_of, insert_absent
 from colophon.operators.matching import nearest_vectors
+from colophon.operators.runstats import RunStats, watched
 
 STAGES = (1, 2, 3)
 
@@ -125,15 +126,17 @@ def rule_countries(rows: DataFrame, text: str = "raw_affiliation_string") -> Dat
     ).drop("_found")
 
 
-def stage_1(contributions: DataFrame, institutions: DataFrame, predicted: DataFrame, names: DataFrame | None = None, threshold: float = 0.78):
+def stage_1(contributions: DataFrame, institutions: DataFrame, predicted: DataFrame, names: DataFrame | None = None, threshold: float = 0.78, least: float = 0.8, stats: RunStats | None = None):
     """Institutions and countries from predictions: ``(contributions, institutions, audit)``.
 
-    ``names``, (id, vector) of institutions and (row_id, vector) of predictions under ``kind``, lets
+    ``stats`` get how many of the surest predictions matched, made an institution, gave a country alone or nothing. ``names``, (id, vector) of institutions and (row_id, vector) of predictions under ``kind``, lets
     a predicted name be matched to a known institution; else a synthetic one stands for it. A
     prediction of neither name nor country changes nothing and isn't in the audit.
     """
     rows = missing_institution(contributions).select("row_id", "paper_id", "raw_affiliation_string")
-    found, made = resolved(rows.join(clean_predictions(predicted), "row_id"), institutions, names, threshold)
+    found, made = resolved(rows.join(clean_predictions(predicted, least=least), "row_id"), institutions, names, threshold)
+    kinds = {n: F.count_if(F.col("matched_terms").startswith(t)) for n, t in (("matched", "matched:"), ("synthetic", "synthetic:"), ("country_only", "country-only"))}
+    found = watched(stats, "stage 1", found, **kinds, skipped=F.count_if(F.col("matched_terms").isNull()))
     found = found.filter("institution_id is not null or country_code is not null")
     out = fill_nulls(contributions, found, "row_id", ["institution_id", "country_code"])
     return out, insert_absent(institutions, made, ["id"]), audit(found, "1", "llm")
@@ -183,7 +186,11 @@ def inferred(predicted: DataFrame) -> DataFrame:
     return predicted.filter(F.col("country_code").isNotNull()).withColumn("matched_terms", said)
 
 
-def stage_2(contributions: DataFrame, institutions: DataFrame, predicted: DataFrame | None = None):
+def by_source() -> dict[str, Column]:
+    return {s: F.count_if(F.col("source") == s) for s in ("rule", "llm")}
+
+
+def stage_2(contributions: DataFrame, institutions: DataFrame, predicted: DataFrame | None = None, least: float = 0.8, stats: RunStats | None = None):
     """Countries of institutions by rule, then by prediction: ``(contributions, institutions, audit)``.
 
     The audit has a row for each institution that got a country, with its sample affiliation, no
@@ -194,15 +201,16 @@ def stage_2(contributions: DataFrame, institutions: DataFrame, predicted: DataFr
     columns = ["id", "country_code", "raw_affiliation_string", "matched_terms", "confidence"]
     found = ruled.filter("status = 'unambiguous'").select(*columns, F.lit("rule").alias("source"))
     if predicted is not None:
-        rest = inferred(clean_predictions(predicted, "id")).join(found.select("id"), "id", "left_anti")
+        rest = inferred(clean_predictions(predicted, "id", least)).join(found.select("id"), "id", "left_anti")
         rest = rest.join(rows.select("id", "raw_affiliation_string"), "id")
         found = found.unionByName(rest.select(*columns, F.lit("llm").alias("source")))
+    found = watched(stats, "stage 2", found, **by_source())
     logged = found.withColumn("row_id", F.lit(None).cast(contributions.schema["row_id"].dataType))
     logs = [audit(logged.filter(F.col("source") == s), "2", s) for s in ("rule", "llm")]
     return *cascade_countries(contributions, institutions, found), logs[0].unionByName(logs[1])
 
 
-def stage_3(contributions: DataFrame, predicted: DataFrame | None = None):
+def stage_3(contributions: DataFrame, predicted: DataFrame | None = None, least: float = 0.8, stats: RunStats | None = None):
     """Countries of rows by rule, then by prediction: ``(contributions, audit)``."""
     rows = missing_country(contributions).select("row_id", "paper_id", "raw_affiliation_string")
     ruled = rule_countries(rows)
@@ -210,10 +218,10 @@ def stage_3(contributions: DataFrame, predicted: DataFrame | None = None):
     log = audit(found, "3", "rule")
     updates = found.select("row_id", "country_code")
     if predicted is not None:
-        rest = inferred(clean_predictions(predicted)).join(updates.select("row_id"), "row_id", "left_anti").join(rows, "row_id")
+        rest = inferred(clean_predictions(predicted, least=least)).join(updates.select("row_id"), "row_id", "left_anti").join(rows, "row_id")
         log = log.unionByName(audit(rest, "3", "llm"))
         updates = updates.unionByName(rest.select("row_id", "country_code"))
-    return fill_nulls(contributions, updates, "row_id", ["country_code"]), log
+    return fill_nulls(contributions, updates, "row_id", ["country_code"]), watched(stats, "stage 3", log, **by_source())
 
 
 def hong_kong_as_china(df: DataFrame, column: str = "country_code") -> DataFrame:

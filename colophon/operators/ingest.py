@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from colophon.functions.normalize import abstract_last, first_not_blank, is_international, last_segment
+from colophon.operators.runstats import RunStats
 from colophon.storage import fixed
 
 
@@ -138,21 +139,29 @@ def affiliations(works: DataFrame) -> DataFrame:
     )
 
 
-def load(works: DataFrame, present: dict[str, DataFrame] | None = None) -> dict[str, DataFrame]:
+def load(works: DataFrame, present: dict[str, DataFrame] | None = None, stats: RunStats | None = None) -> dict[str, DataFrame]:
     """The five tables from work records with ``_file`` and ``_line``, added to those ``present``.
 
+    ``stats`` get the records read (and bad ones, without id or not to be parsed), the papers taken in and
+    their contributions; records that are neither bad nor taken in are repeated or known.
+
     A paper that is there already is skipped with all its contributions; of repeated works the
     first in order of file and line counts; so it is for authors and institutions.
     """
     order = ["_file", "_line"]
-    new = works.filter(F.col("id").isNotNull() & F.col("_corrupt_record").isNull())
+    good = F.col("id").isNotNull() & F.col("_corrupt_record").isNull()
+    if stats:
+        works = stats.watch("records", works, bad=F.count_if(~good))
+    new = works.filter(good)
     # records are parsed once, to what the tables need
     new = new.select(last_segment(F.col("id")).alias("_key"), *order, "authorships", F.struct(*paper_columns()).alias("_paper"))
     if present:
         known = present["papers"].select(F.col("id").alias("_key"))
         new = new.join(known, "_key", "left_anti")
-    new = fixed(first_of(new, ["_key"], order))
-    rows = fixed(affiliations(new))
+    new = first_of(new, ["_key"], order)
+    new = fixed(stats.watch("papers", new) if stats else new)
+    rows = affiliations(new)
+    rows = fixed(stats.watch("contributions", rows) if stats else rows)
     place = [*order, "author_no", "inst_no"]
     authors = first_of(rows.filter("author_id is not null"), ["author_id"], place)
     authors = authors.select(F.col("author_id").alias("id"), F.col("_author").alias("display_name"), F.col("_orcid").alias("orcid"))

@@ -1,9 +1,9 @@
 """Boolean queries by a positional index: many queries over many texts in one pass.
 
-Texts are taken apart once into postings: runs of ASCII letters and digits, their places, and what lies
+Texts are taken apart into postings: runs of ASCII letters and digits, their places, and what lies
 between them. A term of the Boolean language (``plans.boolean``) is such runs with what lies
-between them; it is looked up by its rarest run, and a phrase's other runs are joined by place. Terms that several
-queries share are looked up once.
+between them; it is looked up by its rarest run, and a phrase's other runs by place, in those texts alone. Terms that several
+queries share are looked up once. Postings are never kept or shuffled whole: those of the runs looked up go on.
 
 A query is filed under the terms of which a text must hold at least one, chosen so that the fewest texts hold one;
 ``NOT`` requires nothing. The texts that hold one are its candidates, and for those alone the other terms are
@@ -12,8 +12,8 @@ terms meets is judged by what its negation finds (an anti join); there may be
 ``MOST_NEGATIVE`` of these, as each returns nearly all texts.
 
 Equal to ``boolean.predicate`` on every text and query. Defined results: null and empty texts hold no terms; queries
-without a tree match nothing; repeated rows count once, and two texts of one id are read as one
-whose places both fill; of two queries of one id one is taken; a term without a letter or digit raises ``ValueError``.
+without a tree match nothing; repeated rows count once, and of two texts of one id one must hold a term, not
+both; of two queries of one id one is taken; a term without a letter or digit raises ``ValueError``.
 """
 
 from __future__ import annotations
@@ -28,6 +28,8 @@ from colophon.plans import boolean
 from colophon.storage import fixed
 
 MOST_NEGATIVE = 64
+#: Rows of a table of terms or ids that are broadcast; larger ones are shuffled.
+MOST_BROADCAST = 50_000
 RUN = r"[A-Za-z0-9]+"
 SPACE = r"[ \t\n\x0b\f\r]+"
 
@@ -120,41 +122,63 @@ def compiled(queries: DataFrame) -> DataFrame:
     return queries.select("query_id", "query").dropDuplicates(["query_id"]).mapInPandas(run, kinds)
 
 
-def postings(docs: DataFrame) -> DataFrame:
-    """``(doc_id, place, run, before, after, last)`` of texts (doc_id, text); white space is one blank."""
+def taken_apart(docs: DataFrame) -> DataFrame:
+    """``docs`` with the ``words`` of their texts, in lower case, and the ``between`` around them; white space is one blank."""
     text = F.regexp_replace(F.coalesce("text", F.lit("")), SPACE, " ")
-    runs = F.regexp_extract_all(text, F.lit(f"({RUN})"), F.lit(1))
-    split = docs.select("doc_id", runs.alias("runs"), F.split(text, RUN, -1).alias("gaps")).filter(F.size("runs") > 0)
-    n = F.size("runs")
-    zipped = F.arrays_zip(F.col("runs").alias("run"), F.slice("gaps", 1, n).alias("before"), F.slice("gaps", F.lit(2), n).alias("after"))
-    rows = split.select("doc_id", n.alias("n"), F.posexplode(zipped).alias("place", "x"))
-    return rows.select("doc_id", "place", F.lower("x.run").alias("run"), F.col("x.before").alias("before"), F.col("x.after").alias("after"), (F.col("place") == F.col("n") - 1).alias("last"))
+    words = F.transform(F.regexp_extract_all(text, F.lit(f"({RUN})"), F.lit(1)), F.lower)
+    return docs.withColumns({"words": words, "between": F.split(text, RUN, -1)}).drop("text").filter(F.size("words") > 0)
+
+
+def postings(docs: DataFrame) -> DataFrame:
+    """``(doc_id, place, run, before, after, last)`` of texts (doc_id, text)."""
+    n = F.size("words")
+    zipped = F.arrays_zip(F.col("words").alias("run"), F.slice("between", 1, n).alias("before"), F.slice("between", F.lit(2), n).alias("after"))
+    rows = taken_apart(docs.select("doc_id", "text")).select("doc_id", n.alias("n"), F.posexplode(zipped).alias("place", "x"))
+    return rows.select("doc_id", "place", "x.run", "x.before", "x.after", (F.col("place") == F.col("n") - 1).alias("last"))
+
+
+def bounded(df: DataFrame) -> DataFrame:
+    """``df``, to be broadcast if it has few rows; else joins shuffle."""
+    return F.broadcast(df) if df.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else df
+
+
+def edges(before: Column, after: Column, first: Column, last: Column) -> tuple[Column, Column]:
+    """Whether a term may begin after ``before`` (``first``: with the text) and may end before ``after``."""
+    lead, trail = F.col("lead"), F.col("trail")
+    opens = (lead == "") | (before.endswith(lead) & ((F.length(before) > F.length(lead)) | first))
+    return opens, (trail == "") | (after.startswith(trail) & ((F.length(after) > F.length(trail)) | last))
+
 
+def hits(terms: DataFrame, docs: DataFrame) -> DataFrame:
+    """``(term, doc_id)``: which texts hold which terms (term, lead, runs, gaps, trail).
 
-def fits(at: Column) -> Column:
-    """Whether the posting is right for the run ``at`` of its term: what is before and after it, to the next run or the term's end."""
+    A first pass counts the runs of all texts, a second one looks up each term's rarest run, where what is
+    before and after it must fit already. What is left of phrases is held against the texts, place by place.
+    """
     size = F.size("runs")
-    gap, lead, trail = F.get("gaps", at), F.col("lead"), F.col("trail")
-    opens = (lead == "") | (F.col("before").endswith(lead) & ((F.length("before") > F.length(lead)) | (F.col("place") == 0)))
-    ends = (trail == "") | (F.col("after").startswith(trail) & ((F.length("after") > F.length(trail)) | F.col("last")))
-    return F.when(at == 0, opens).otherwise(True) & F.when(at == size - 1, ends).otherwise(F.col("after") == gap)
-
-
-def hits(terms: DataFrame, index: DataFrame) -> DataFrame:
-    """``(term, doc_id)``: which texts hold which terms (term, lead, runs, gaps, trail); ``index`` are postings."""
-    runs = terms.select("term", "lead", "gaps", "trail", "runs", F.posexplode("runs").alias("k", "run"))
-    counts = index.groupBy("run").agg(F.count(F.lit(1)).alias("n"))
-    ranked = runs.select("term", "k", "run").join(counts, "run", "left")
-    rarest = ranked.groupBy("term").agg(F.min(F.struct(F.coalesce("n", F.lit(0)).alias("n"), "k")).alias("x"))
-    rarest = rarest.select("term", F.col("x.k").alias("k"))
-    first = runs.join(rarest, ["term", "k"]).join(index, "run").filter(fits(F.col("k")))
-    first = first.withColumn("start", F.col("place") - F.col("k")).filter("start >= 0")
-    single = first.filter(F.size("runs") == 1).select("term", "doc_id")
-    phrases = first.filter(F.size("runs") > 1).select("term", "lead", "gaps", "trail", "runs", "doc_id", "start", F.col("k").alias("found"))
-    others = phrases.select("*", F.posexplode("runs").alias("k", "run")).filter("k <> found").withColumn("place", F.col("start") + F.col("k"))
-    met = others.join(index, ["doc_id", "place", "run"]).filter(fits(F.col("k")))
-    whole = met.groupBy("term", "doc_id", "start").agg(F.count(F.lit(1)).alias("n"), F.first(F.size("runs")).alias("size"))
-    return single.unionByName(whole.filter("n = size - 1").select("term", "doc_id")).distinct()
+    runs = terms.select("term", F.posexplode("runs").alias("k", "run"))
+    counts = postings(docs).groupBy("run").agg(F.count(F.lit(1)).alias("n"))
+    rarest = runs.join(counts, "run").groupBy("term").agg(F.min(F.struct("n", "k")).alias("x"), F.count(F.lit(1)).alias("known"))
+    rarest = rarest.select("term", "known", F.col("x.k").alias("k")).join(terms, "term").filter(F.col("known") == size)  # others are in no text
+    rarest = fixed(rarest.select("term", "k", "lead", "runs", "gaps", "trail", F.get("runs", F.col("k")).alias("run")))
+    opens, ends = edges(F.col("before"), F.col("after"), F.col("place") == 0, F.col("last"))
+    k = F.col("k")
+    before = F.when(k == 0, opens).otherwise(F.col("before") == F.get("gaps", k - 1))
+    after = F.when(k == size - 1, ends).otherwise(F.col("after") == F.get("gaps", k))
+    found = postings(docs).join(bounded(rarest), "run").filter(before & after & (F.col("place") >= k))
+    # the places of phrases stay, for other terms the text is enough
+    found = fixed(found.select("term", "doc_id", F.when(size > 1, F.col("place") - k).alias("start")).distinct())
+    phrases = found.filter("start is not null").join(bounded(rarest.select("term", "lead", "runs", "gaps", "trail")), "term")
+    asked = phrases.groupBy("doc_id").agg(F.collect_list(F.struct("term", "lead", "runs", "gaps", "trail", "start")).alias("asked"))
+    asked = fixed(asked)
+    texts = docs.select("doc_id", "text").join(bounded(asked.select("doc_id")), "doc_id", "left_semi").join(asked, "doc_id")
+    placed = taken_apart(texts).select("doc_id", "words", "between", F.explode("asked").alias("x")).select("doc_id", "words", "between", "x.*")
+    start, n = F.col("start"), size
+    same = F.slice("words", start + 1, n) == F.col("runs")
+    gaps = F.slice("between", start + 2, n - 1) == F.col("gaps")
+    opens, ends = edges(F.get("between", start), F.get("between", start + n), start == 0, start + n == F.size("words"))
+    whole = placed.filter(same & gaps & opens & ends).select("term", "doc_id")
+    return found.filter("start is null").select("term", "doc_id").unionByName(whole).distinct()
 
 
 def judged(steps: Column, have: Column) -> Column:
@@ -195,9 +219,7 @@ def search(queries: DataFrame, docs: DataFrame) -> DataFrame:
     programs = fixed(compiled(queries))
     leaves = programs.select("query_id", F.explode("leaves").alias("x")).select("query_id", "x.*")
     terms = leaves.select("term", "lead", "runs", "gaps", "trail").distinct()
-    wanted = fixed(terms.select(F.explode("runs").alias("run")).distinct())
-    index = fixed(postings(docs.select("doc_id", "text")).join(wanted, "run", "left_semi").distinct())
-    found = fixed(hits(terms, index))
+    found = fixed(hits(fixed(terms), docs))
     under = filed(programs, queries, found.groupBy("term").agg(F.count(F.lit(1)).alias("n")))
     candidates = under.join(found, "term").select("query_id", "doc_id").distinct()
     held = candidates.join(leaves.select("query_id", "leaf", "term"), "query_id").join(found, ["term", "doc_id"])

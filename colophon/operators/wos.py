@@ -8,6 +8,7 @@ from pyspark.sql import functions as F
 from colophon.functions.normalize import blank_to_null, doi_key, strip_space, stub_id, title_key, top_flag, whole_number
 from colophon.operators.ingest import first_of, insert_absent, merge_flags
 from colophon.operators.matching import cascade_match, fuzzy_match, lookup
+from colophon.operators.runstats import RunStats, watched
 
 COLUMNS = (
     "Accession Number", "DOI", "Article Title", "Authors", "Source", "Document Type", "Publication Date", "Times Cited",
@@ -98,9 +99,14 @@ def stubs(named: DataFrame) -> DataFrame:
     )
 
 
-def overlay(papers: DataFrame, contributions: DataFrame, rows: DataFrame, **options) -> tuple[DataFrame, DataFrame]:
-    """Papers and contributions with a sheet's records: flags, stubs, and a marker for each country."""
-    found = with_paper(match(rows, papers, **options))
+def overlay(papers: DataFrame, contributions: DataFrame, rows: DataFrame, stats: RunStats | None = None, **options) -> tuple[DataFrame, DataFrame]:
+    """Papers and contributions with a sheet's records: flags, stubs, and a marker for each country.
+
+    ``stats`` get the records by how they were matched, and how many of them named no paper.
+    """
+    method = F.split("match_method", ":")[0]
+    outcomes = {n: F.count_if(method == m) for n, m in (("by_doi", "doi"), ("by_title", "title_exact"), ("by_similar_title", "title_fuzzy"), ("new", "new"))}
+    found = watched(stats, "records", with_paper(match(rows, papers, **options)), **outcomes, unnamed=F.count_if(F.col("paper_id").isNull()))
     hits = found.filter("match_id is not null").select(
         F.col("match_id").alias("id"),
         F.col("top_1").alias("is_top_1_percent"),
@@ -115,4 +121,5 @@ def overlay(papers: DataFrame, contributions: DataFrame, rows: DataFrame, **opti
     wanted = found.filter("country_code is not null and paper_id is not null").select("paper_id", "country_code").distinct()
     there = contributions.filter("source = 'wos'").select("paper_id", "country_code")
     new = wanted.join(there, ["paper_id", "country_code"], "left_anti").withColumn("source", F.lit("wos"))
+    new = watched(stats, "markers", new)
     return out, contributions.unionByName(new, allowMissingColumns=True)

@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colophon.functions import country, normalize
-from colophon.operators import cells, coverage, enrich, impute, ingest, keywords, matching, overlap, postings, report, sampling, topics, wos
+from colophon.operators import cells, coverage, enrich, impute, ingest, keywords, matching, overlap, postings, report, runstats, sampling, topics, wos
 from colophon.plans import boolean
 from colophon.schemas import LATER_COLUMNS, evolve
 from colophon.sources import paged, readers, record_sets
@@ -151,6 +151,23 @@ def load_works(spark, sf_dir):
     return ingest.load(works_of(spark, sf_dir))["contributions"].drop("author_position", "is_corresponding")
 
 
+@query("WITH" + _CONTRIBUTIONS + """,
+o AS (SELECT count(*) AS n, count(*) FILTER (WHERE o_orderkey % 4 = 0) AS again, count(*) FILTER (WHERE o_orderkey % 9 = 0) AS bad FROM orders)
+SELECT n + again + bad AS "read", bad, n AS papers, again AS skipped, (SELECT count(*) FROM c WHERE l_orderkey IN (SELECT o_orderkey FROM orders)) AS contributions FROM o""")
+def load_statistics(spark, sf_dir):
+    """What the loader counts on its way: every fourth order comes twice, every ninth has a record that can't be read."""
+    works = works_of(spark, sf_dir)
+    again = works.filter("cast(substr(id, instr(id, 'W') + 1) as long) % 4 = 0").withColumn("_file", F.lit("~again"))
+    bad = table(spark, sf_dir, "orders").filter("o_orderkey % 9 = 0")
+    bad = bad.select(F.concat(F.lit("{broken "), F.col("o_orderkey").cast("string")).alias("value"), F.lit("~bad").alias("_file"), F.col("o_orderkey").alias("_line"))
+    stats = runstats.RunStats()
+    ingest.load(works.unionByName(again).unionByName(readers.parsed_works(bad)), stats=stats)
+    found = stats.counts()
+    counts = (found["records"]["rows"], found["records"]["bad"], found["papers"]["rows"], found["contributions"]["rows"])
+    made = rows(spark, "read long, bad long, papers long, contributions long", [counts])
+    return made.withColumn("skipped", F.col("read") - F.col("bad") - F.col("papers"))
+
+
 @query("""
 SELECT 'W' || o_orderkey AS id, CASE WHEN o_orderkey % 3 <> 0 THEN '10.1/' || o_orderkey END AS doi,
  CASE WHEN o_orderkey % 7 <> 0 THEN 'Order ' || o_orderkey ELSE 'Untitled' END AS title, CAST(year(o_orderdate) AS INTEGER) AS publication_year,

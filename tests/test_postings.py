@@ -40,7 +40,10 @@ def test_odd_texts_and_terms(spark):
     assert {tuple(r) for r in postings.search(asked, held).collect()} == scan(queries, held)
 
 
-def test_random_queries(spark):
+@pytest.mark.parametrize("most", [0, 50_000])
+def test_random_queries(spark, monkeypatch, most):
+    """With tables that are broadcast, and with joins that shuffle."""
+    monkeypatch.setattr(postings, "MOST_BROADCAST", most)
     rng = random.Random(4)
     words = ["red", "Fox", "dog", "sun", "moon", "the", "of", "x1"]
 

@@ -231,6 +231,13 @@ def test_commands(spark, tmp_path, capsys, monkeypatch):
     assert cli.main(["import-wos-csv", at("s.csv"), "--db", at("db"), "--output", at("db2"), "--client", "services:fetch"]) == 0
     assert cli.main(["impute-all", "--db", at("db"), "--output", at("db3"), "--catalog", "services:fetch", "--crossref", "services:crossref", "--model", "services:complete"]) == 0
     assert spark.read.parquet(str(tmp_path / "db3/country_imputation_audit")).count() > 0
+    capsys.readouterr()
+    named = ["impute-llm", "--db", at("db"), "--model", "services:complete", "--embed", "services:embed", "--vector-cache", at("vectors"), "--batch-size", "3"]
+    assert cli.main([*named, "--output", at("none"), "--dry-run"]) == 0 and not (tmp_path / "none").exists()
+    said = capsys.readouterr().out
+    assert "stage 1: rows" in said and "table contributions: rows 7" in said
+    assert cli.main([*named, "--output", at("none"), "--dry-run", "--min-confidence", "0.99"]) == 0
+    assert "stage 1: rows 0" in capsys.readouterr().out
     (tmp_path / "x").mkdir()
     (tmp_path / "x/Japan.xlsx").write_bytes(book([HEADER, ["WOS:3", "10.1/3", "Known 3", 2020, 1]]))
     assert cli.main(["import-wos", "--db", at("db"), "--dir", at("x"), "--output", at("db4")]) == 0

@@ -341,3 +341,39 @@ def test_stream_state_over_restarts(spark, tmp_path):
     found = sorted(tuple(r) for k in range(3) for r in spark.read.parquet(str(tmp_path / f"out{k}")).collect())
     assert found == [(1, 0), (2, 2), (3, 12), (4, 22)]  # each in the delivery that had it first, the least value but null
     shutil.rmtree(tmp_path / "out0")
+
+
+def test_matched_institutions_and_statistics(spark):
+    """The match's country goes before the prediction's; terms, outcomes and the surest predictions."""
+    from colophon.operators.runstats import RunStats
+
+    lines = spark.createDataFrame([(k, "p", None, None, "Univ") for k in range(1, 6)], "row_id long, paper_id string, institution_id string, country_code string, raw_affiliation_string string")
+    places = spark.createDataFrame([("I1", "Tokyo", "jp", False)], "id string, display_name string, country_code string, is_synthetic boolean")
+    said = spark.createDataFrame(
+        [(1, "Tokio", None, 0.9), (2, "Far", "fr", 0.85), (3, None, "de", 0.9), (4, None, None, 0.9), (5, "Unsure", "us", 0.5)],
+        "row_id long, institution_name string, country_code string, confidence double",
+    )
+    names = spark.createDataFrame([("I1", [1.0, 0.0], "institution"), ("1", [1.0, 0.5], "prediction"), ("2", [0.0, 1.0], "prediction")], "id string, vector array<double>, kind string")
+    stats = RunStats()
+    out, made, log = impute.stage_1(lines, places, said, names, stats=stats)
+    got = {r["row_id"]: (r["institution_id"], r["country_code"]) for r in out.collect()}
+    assert got[1] == ("I1", "JP") and got[2][0].startswith("IMP_") and got[2][1] == "FR" and got[3] == (None, "DE") and got[4] == got[5] == (None, None)
+    terms = {r["row_id"]: (r["matched_terms"], r["confidence"]) for r in log.collect()}
+    assert terms == {1: ("matched: Tokyo (score=0.89)", 0.9), 2: ("synthetic: Far", 0.85), 3: ("country-only (no institution extracted)", 0.9)}
+    assert stats.counts()["stage 1"] == {"rows": 4, "matched": 1, "synthetic": 1, "country_only": 1, "skipped": 1}
+    assert made.count() == 2
+    second = spark.createDataFrame([("I2", "Nowhere", None, False)], "id string, display_name string, country_code string, is_synthetic boolean")
+    rows = spark.createDataFrame([(1, "p", "I2", None, "b"), (2, "q", "I2", None, "a")], lines.schema)
+    told = spark.createDataFrame([("I2", "it", "unambiguous", 0.85)], "id string, country_code string, status string, confidence double")
+    _, _, log = impute.stage_2(rows, second, told)
+    assert [tuple(r)[1:] for r in log.collect()] == [(None, None, "IT", "llm-inferred (status=unambiguous)", "a", "llm", 0.85, "2")]
+
+
+def test_first_paper_of_a_title_decides(spark):
+    """A similar title whose first paper is of another year is refused, though a later paper's year fits."""
+    title = "a survey of quantum sensing with diamond defects"
+    papers = spark.createDataFrame([("W1", None, title, 1990), ("W2", None, title, 2020)], "id string, doi string, title string, publication_year int")
+    sheet = spark.createDataFrame([("WOS:1", title + "s", "2020", "Review", 1), ("WOS:2", title + "s", None, "Article", 2)], "`Accession Number` string, `Article Title` string, `Publication Date` string, `Document Type` string, ordinal int")
+    named = wos.with_paper(wos.match(wos.records(sheet), papers))
+    assert {r["ordinal"]: (r["paper_id"], r["match_method"]) for r in named.collect()} == {1: ("WOS_1", "new"), 2: ("W1", "title_fuzzy:98")}
+    assert [(r["id"], r["type"]) for r in wos.stubs(named).collect()] == [("WOS_1", "Review")]
