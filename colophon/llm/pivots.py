@@ -18,7 +18,7 @@ What leaves a task is a row for each member: its links and the least member it i
 
 Defined results: vectors that are null, empty, zero or hold a null or non-finite component link with
 nothing; vectors of different lengths don't link, and each length has an index of its own; repeated
-ids are copies of each other; ids must not be null; the smallest id stands for a component; an
+ids are copies of each other; a row without an id links like others, and has the number after the largest id where none of its component has one; the smallest id stands for a component; an
 empty table gives an empty result; only the columns named return, so other columns can't clash.
 """
 
@@ -36,6 +36,7 @@ from pyspark.sql.types import ArrayType, FloatType
 
 from colophon.llm.common import ensure_checkpoint_dir
 from colophon.llm.graph import components, least_reached
+from colophon.operators.ingest import number_rows
 
 #: Pivots for each vector's square root, and the bytes of doubles that the pivots may have at most.
 PIVOTS_PER_ROOT, PIVOT_BYTES = 8, 64 << 20
@@ -206,6 +207,11 @@ def near_duplicates(
     plain = "array<float>" if isinstance(kind, ArrayType) and isinstance(kind.elementType, FloatType) else "array<double>"
     rows = vectors.select(F.col(f"`{id_column}`").cast("long").alias("id"), F.col(f"`{vector}`").cast(plain).alias("vector"))
     rows = rows.withColumn("vector", F.when(usable("vector"), F.col("vector")))
+    ids = rows.agg(F.max("id").alias("top"), F.count_if(F.col("id").isNull()).alias("lacking")).first()
+    first = 0 if ids["top"] is None else ids["top"] + 1
+    if ids["lacking"]:  # rows without an id go by a number above all ids
+        numbered = number_rows(rows.filter("id is null").drop("id"), [F.xxhash64("vector")], first, "id")
+        rows = rows.filter("id is not null").unionByName(numbered)
     found = indexes(rows.filter("vector is not null"), threshold, shared, recall)
     described = describe(rows, found).checkpoint()
     classes = (
@@ -241,8 +247,9 @@ def near_duplicates(
         F.coalesce("component", "rep").alias("component_id"),
     )
     out = described.select("id", "class").join(named, "class", "left")
+    own = F.when(F.col("id") < first, F.col("id")) if ids["lacking"] else F.col("id")
     return out.select(
-        F.col("id").alias(id_column),
+        own.alias(id_column),
         F.coalesce("n_links", F.lit(0)).cast("long").alias("n_links"),
         F.coalesce("component_id", "id").alias("component_id"),
     )

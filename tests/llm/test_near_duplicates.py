@@ -219,3 +219,12 @@ def test_bucket_sets_once(spark):
     entries = spark.createDataFrame([(1, 10), (2, 10), (1, 11), (2, 11), (3, 12), (1, 13), (3, 13)], "rep long, key long")
     found = minhash.shared_buckets(entries).groupBy("group").agg(F.sort_array(F.collect_list("rep")).alias("m")).collect()
     assert Counter(tuple(r["m"]) for r in found) == {(1, 2): 1, (1, 3): 1}
+
+
+def test_vectors_without_ids_link(spark):
+    rows = [(None, [1.0, 0.01]), (3, [1.0, 0.0]), (None, [0.0, 1.0]), (None, [0.001, 1.0]), (None, None), (9, [-1.0, 0.0])]
+    vectors = spark.createDataFrame(rows, "vec_id long, embedding array<double>")
+    found = sorted(map(tuple, pivots.near_duplicates(vectors).collect()), key=str)
+    linked = [r for r in found if r[1]]
+    assert sorted(map(str, linked)) == sorted(map(str, [(None, 1, 3), (3, 1, 3), *[(None, 1, linked[0][2] if linked[0][2] > 9 else linked[1][2])] * 2]))
+    assert {r[2] for r in linked if r[2] > 9} and len(found) == 6 and (9, 0, 9) in found
