@@ -21,7 +21,7 @@ from colophon.operators.coverage import health_report
 from colophon.operators.ingest import load
 from colophon.sources.readers import works
 
-HEADLINE = ("coverage_buckets", "coverage_zero", "imputable_rows", "tfidf_keywords", "doi_overlap", "vector_nn", "author_align")
+HEADLINE = ("coverage_buckets", "coverage_zero", "imputable_rows", "tfidf_keywords_all", "doi_overlap", "vector_nn", "author_align")
 
 
 def write_works(spark: SparkSession, sf_dir: str, path: str) -> None:
