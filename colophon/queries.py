@@ -13,6 +13,7 @@ from colophon.operators import cells, coverage, enrich, impute, ingest, keywords
 from colophon.plans import boolean
 from colophon.schemas import LATER_COLUMNS, evolve
 from colophon.sources import paged, readers, record_sets
+from colophon.storage import fixed
 
 Query = Callable[[SparkSession, str], DataFrame]
 QUERIES: dict[str, Query] = {}
@@ -885,6 +886,29 @@ def works_pushdown(spark, sf_dir):
     return picked.filter("cast(substr(id, 2) as long) % 3 <> 1").select("id", "publication_date", "type", "topic_id")
 
 
+@query("""
+WITH t AS (SELECT p_size AS page, 0 AS tbl, row_number() OVER (PARTITION BY p_size ORDER BY p_partkey) AS r, [CAST(p_partkey AS VARCHAR), p_name || ' & "' || p_brand || '" <' || p_type || '>'] AS x FROM part
+ UNION ALL SELECT s, 1, row_number() OVER (PARTITION BY s ORDER BY n_nationkey), [CAST(n_nationkey AS VARCHAR), n_name, CAST(n_regionkey AS VARCHAR)] FROM nation JOIN (SELECT DISTINCT p_size AS s FROM part) ON n_nationkey % 5 = s % 5
+ UNION ALL SELECT DISTINCT p_size, 0, 0, ['key', 'name'] FROM part)
+SELECT page, tbl, CAST(r - tbl AS INTEGER) AS "row", CAST(i - 1 AS INTEGER) AS col, x[i] AS text FROM t, range(1, 4) k(i) WHERE i <= len(x) """)
+def html_cells(spark, sf_dir):
+    """Parts of one size and some nations as pages of two tables, and the cells of all of them by a table function."""
+    part = table(spark, sf_dir, "part")
+
+    def cells_of(tag: str, *values: Column) -> Column:
+        shown = [F.replace(F.replace(F.replace(v.cast("string"), F.lit("&"), F.lit("&amp;")), F.lit("<"), F.lit("&lt;")), F.lit('"'), F.lit("&quot;")) for v in values]
+        return F.concat(F.lit("<tr>"), *[x for v in shown for x in (F.lit(f"<{tag} class=c>\n "), v, F.lit(f" </{tag}>"))], F.lit("</tr>"))
+
+    name = F.concat("p_name", F.lit(' & "'), "p_brand", F.lit('" <'), "p_type", F.lit(">"))
+    parts = part.groupBy(F.col("p_size").alias("page")).agg(F.array_sort(F.collect_list(F.struct("p_partkey", cells_of("td", F.col("p_partkey"), name).alias("tr")))).alias("trs"))
+    nations = table(spark, sf_dir, "nation").groupBy((F.col("n_nationkey") % 5).alias("fifth"))
+    nations = nations.agg(F.array_sort(F.collect_list(F.struct("n_nationkey", cells_of("td", F.col("n_nationkey"), F.col("n_name"), F.col("n_regionkey")).alias("tr")))).alias("more"))
+    pages = parts.join(nations, F.col("page") % 5 == F.col("fifth"))
+    head = cells_of("th", F.lit("key"), F.lit("name"))
+    html = F.concat(F.lit("<html><p>x</p><TABLE>"), head, F.array_join("trs.tr", "\n"), F.lit("</TABLE><table border=1>"), F.array_join("more.tr", ""), F.lit("</table>"))
+    return readers.html_cells(pages.select("page", html.alias("html")))
+
+
 @query("SELECT event_id, user_id, event_type, value, props FROM events")
 def event_sets(spark, sf_dir):
     """Events in two sets of JSON lines that became visible one after the other, read back."""
@@ -1062,11 +1086,11 @@ def audit_rows(spark, sf_dir):
         F.when(k % 6 != 4, "hk").alias("country_code"),
         F.when(k % 6 == 2, 0.5).otherwise(0.9).alias("confidence"),
     ).filter("row_id % 6 <> 5")
-    contributions, institutions, first = impute.stage_1(contributions, institutions, said)
+    contributions, institutions, first = map(fixed, impute.stage_1(contributions, institutions, said))
     said = table(spark, sf_dir, "nation").filter(n % 2 == 0).select(
         F.concat(F.lit("I"), n.cast("string")).alias("id"), F.lit("de").alias("country_code"), F.when(n % 4 == 0, "ok").alias("status"), F.lit(0.85).alias("confidence")
     )
-    contributions, institutions, second = impute.stage_2(contributions, institutions, said)
+    contributions, institutions, second = map(fixed, impute.stage_2(contributions, institutions, said))
     said = named.filter(k % 5 == 0).select(k.alias("row_id"), F.lit("fr").alias("country_code"), F.lit("ambiguous").alias("status"), F.lit(0.95).alias("confidence"))
     _, third = impute.stage_3(contributions, said)
     return first.unionByName(second).unionByName(third).drop("run_at")

@@ -92,39 +92,81 @@ def kind_of(sample: bytes) -> str:
 
 
 class _Tables(HTMLParser):
+    """Cells of all tables, in the order in which tables open; what isn't closed ends with what is around it."""
+
     def __init__(self):
         super().__init__()
         self.tables: list[list[list[str]]] = []
         self.open: list[list[list[str]]] = []
-        self.cell: list[str] | None = None
+        self.cells: list[list[str] | None] = []
+
+    def _close_cell(self) -> None:
+        if self.open and self.cells[-1] is not None:
+            self.open[-1][-1].append(" ".join("".join(self.cells[-1]).split()))
+            self.cells[-1] = None
 
     def handle_starttag(self, tag, attrs):
         if tag == "table":
-            self.open.append([])
+            self.tables.append([])
+            self.open.append(self.tables[-1])
+            self.cells.append(None)
         elif tag == "tr" and self.open:
+            self._close_cell()
             self.open[-1].append([])
         elif tag in ("td", "th") and self.open:
+            self._close_cell()
             if not self.open[-1]:
                 self.open[-1].append([])
-            self.cell = []
+            self.cells[-1] = []
 
     def handle_endtag(self, tag):
-        if tag in ("td", "th") and self.cell is not None and self.open:
-            self.open[-1][-1].append(" ".join("".join(self.cell).split()))
-            self.cell = None
+        if tag in ("td", "th", "tr") and self.open:
+            self._close_cell()
         elif tag == "table" and self.open:
-            self.tables.append(self.open.pop())
+            self._close_cell()
+            self.open.pop()
+            self.cells.pop()
 
     def handle_data(self, data):
-        if self.cell is not None:
-            self.cell.append(data)
+        if self.cells and self.cells[-1] is not None:
+            self.cells[-1].append(data)
+
+    def close(self):
+        super().close()
+        while self.open:
+            self.handle_endtag("table")
+
+
+def html_tables(html: str | None) -> list[list[list[str]]]:
+    """The cells of each table of a page, row by row; tables within tables are tables of their own."""
+    parser = _Tables()
+    parser.feed(html or "")
+    parser.close()
+    return parser.tables
+
+
+class HtmlCells:
+    """A table function: ``(tbl, row, col, text)`` of every cell of a page, counted from 0; rows without cells count."""
+
+    def eval(self, html: str):
+        for t, rows in enumerate(html_tables(html)):
+            for r, cells in enumerate(rows):
+                for c, text in enumerate(cells):
+                    yield t, r, c, text
+
+
+def html_cells(pages: DataFrame, html: str = "html") -> DataFrame:
+    """``pages`` with a row for each cell of their tables; pages without cells go, and so do columns named as the cell's."""
+    spark = pages.sparkSession
+    spark.udtf.register("html_cells", F.udtf(HtmlCells, returnType="tbl int, row int, col int, text string"))
+    kept = [c for c in pages.columns if c.lower() not in ("tbl", "row", "col", "text")]
+    chosen = ", ".join([*(f"p.`{c}`" for c in kept if c != html), "c.tbl", "c.row", "c.col", "c.text"])
+    return spark.sql(f"SELECT {chosen} FROM {{p}} AS p, LATERAL html_cells(p.`{html}`) AS c", p=pages)
 
 
 def largest_table(html: str) -> list[list[str]]:
     """Cells of the table with most cells; the first of equals."""
-    parser = _Tables()
-    parser.feed(html)
-    return max(parser.tables, key=lambda t: sum(map(len, t)), default=[])
+    return max(html_tables(html), key=lambda t: sum(map(len, t)), default=[])
 
 
 def sniffed(spark: SparkSession, path: str) -> DataFrame:

@@ -127,3 +127,22 @@ def test_stream_of_sets_with_restart(spark, tmp_path):
     again = record_sets._Stream(str(tmp_path / "out"), "jsonl", ["id"])
     again.commit([again.write(iter([{"id": 99}]))], 0)  # committed before
     assert found.count() == 12 and len(os.listdir(tmp_path / "out")) == 3
+
+
+def test_cells_of_pages(spark):
+    from colophon.sources import readers
+
+    pages = [
+        (1, "<table><tr><td>a<td>b<tr><th>c</table><table><tr></tr><tr><td> x\n y </td></tr>"),
+        (2, "<table><tr><td>out<table><tr><td>in</td></tr></table>er</td><td>z</td></tr></table>"),
+        (3, "no table"), (4, ""), (5, None), (6, "<table>" + "<tr><td>r</td></tr>" * 5000 + "</table>"), (1, "<td>stray</td>"),
+    ]
+    frame = spark.createDataFrame(pages, "page int, html string").withColumn("text", F.lit("clash"))
+    found = readers.html_cells(frame)
+    assert found.columns == ["page", "tbl", "row", "col", "text"]
+    got = sorted(tuple(r) for r in found.filter("page < 6").collect())
+    assert got == [
+        (1, 0, 0, 0, "a"), (1, 0, 0, 1, "b"), (1, 0, 1, 0, "c"), (1, 1, 1, 0, "x y"),
+        (2, 0, 0, 0, "outer"), (2, 0, 0, 1, "z"), (2, 1, 0, 0, "in"),
+    ]
+    assert found.filter("page = 6").count() == 5000
