@@ -130,11 +130,17 @@ def taken_apart(docs: DataFrame) -> DataFrame:
 
 
 def postings(docs: DataFrame) -> DataFrame:
-    """``(doc_id, place, run, before, after, last)`` of texts (doc_id, text)."""
-    n = F.size("words")
-    zipped = F.arrays_zip(F.col("words").alias("run"), F.slice("between", 1, n).alias("before"), F.slice("between", F.lit(2), n).alias("after"))
+    """``(doc_id, place, run, before, after, previous, next, last)`` of texts (doc_id, text)."""
+    n, none = F.size("words"), F.array(F.lit(None).cast("string"))
+    zipped = F.arrays_zip(
+        F.col("words").alias("run"),
+        F.slice("between", 1, n).alias("before"),
+        F.slice("between", F.lit(2), n).alias("after"),
+        F.concat(none, F.slice("words", F.lit(1), n - 1)).alias("previous"),
+        F.concat(F.slice("words", F.lit(2), n - 1), none).alias("next"),
+    )
     rows = taken_apart(docs.select("doc_id", "text")).select("doc_id", n.alias("n"), F.posexplode(zipped).alias("place", "x"))
-    return rows.select("doc_id", "place", "x.run", "x.before", "x.after", (F.col("place") == F.col("n") - 1).alias("last"))
+    return rows.select("doc_id", "place", "x.*", (F.col("place") == F.col("n") - 1).alias("last"))
 
 
 def bounded(df: DataFrame) -> DataFrame:
@@ -150,35 +156,39 @@ def edges(before: Column, after: Column, first: Column, last: Column) -> tuple[C
 
 
 def hits(terms: DataFrame, docs: DataFrame) -> DataFrame:
-    """``(term, doc_id)``: which texts hold which terms (term, lead, runs, gaps, trail).
+    """``(no, doc_id)``: which texts hold which terms (no, lead, runs, gaps, trail).
 
     A first pass counts the runs of all texts, a second one looks up each term's rarest run, where what is
-    before and after it must fit already. What is left of phrases is held against the texts, place by place.
+    before and after it, the next runs included, must fit already. What is left of longer phrases is held against the
+    texts, place by place.
     """
-    size = F.size("runs")
-    runs = terms.select("term", F.posexplode("runs").alias("k", "run"))
+    size, k = F.size("runs"), F.col("k")
+    runs = terms.select("no", F.posexplode("runs").alias("k", "run"))
     counts = postings(docs).groupBy("run").agg(F.count(F.lit(1)).alias("n"))
-    rarest = runs.join(counts, "run").groupBy("term").agg(F.min(F.struct("n", "k")).alias("x"), F.count(F.lit(1)).alias("known"))
-    rarest = rarest.select("term", "known", F.col("x.k").alias("k")).join(terms, "term").filter(F.col("known") == size)  # others are in no text
-    rarest = fixed(rarest.select("term", "k", "lead", "runs", "gaps", "trail", F.get("runs", F.col("k")).alias("run")))
+    rarest = runs.join(counts, "run").groupBy("no").agg(F.min(F.struct("n", "k")).alias("x"), F.count(F.lit(1)).alias("known"))
+    rarest = rarest.select("no", "known", F.col("x.k").alias("k")).join(terms, "no").filter(F.col("known") == size)  # others are in no text
+    rarest = fixed(rarest.select("no", "k", "lead", "runs", "gaps", "trail", F.get("runs", k).alias("run")))
     opens, ends = edges(F.col("before"), F.col("after"), F.col("place") == 0, F.col("last"))
-    k = F.col("k")
-    before = F.when(k == 0, opens).otherwise(F.col("before") == F.get("gaps", k - 1))
-    after = F.when(k == size - 1, ends).otherwise(F.col("after") == F.get("gaps", k))
-    found = postings(docs).join(bounded(rarest), "run").filter(before & after & (F.col("place") >= k))
-    # the places of phrases stay, for other terms the text is enough
-    found = fixed(found.select("term", "doc_id", F.when(size > 1, F.col("place") - k).alias("start")).distinct())
-    phrases = found.filter("start is not null").join(bounded(rarest.select("term", "lead", "runs", "gaps", "trail")), "term")
-    asked = phrases.groupBy("doc_id").agg(F.collect_list(F.struct("term", "lead", "runs", "gaps", "trail", "start")).alias("asked"))
-    asked = fixed(asked)
+    before = F.when(k == 0, opens).otherwise((F.col("before") == F.get("gaps", k - 1)) & (F.col("previous") == F.get("runs", k - 1)))
+    after = F.when(k == size - 1, ends).otherwise((F.col("after") == F.get("gaps", k)) & (F.col("next") == F.get("runs", k + 1)))
+    bare = (F.col("lead") == "") & (F.col("trail") == "")
+    seen = (size == 1) | bare & (k <= 1) & (size - k <= 2)  # nothing of the term lies further off
+    found = postings(docs).join(bounded(rarest), "run").filter(F.coalesce(before & after, F.lit(False)) & (F.col("place") >= k))
+    # where more is to be seen the place stays, else the text is enough
+    found = fixed(found.select("no", "doc_id", F.when(~seen, F.col("place") - k).alias("start")).distinct())
+    open_ = found.filter("start is not null")
+    if open_.isEmpty():
+        return found.select("no", "doc_id")
+    asked = fixed(open_.groupBy("doc_id").agg(F.collect_list(F.struct("no", "start")).alias("asked")))
     texts = docs.select("doc_id", "text").join(bounded(asked.select("doc_id")), "doc_id", "left_semi").join(asked, "doc_id")
     placed = taken_apart(texts).select("doc_id", "words", "between", F.explode("asked").alias("x")).select("doc_id", "words", "between", "x.*")
+    placed = placed.join(bounded(rarest.select("no", "lead", "runs", "gaps", "trail")), "no")
     start, n = F.col("start"), size
     same = F.slice("words", start + 1, n) == F.col("runs")
     gaps = F.slice("between", start + 2, n - 1) == F.col("gaps")
     opens, ends = edges(F.get("between", start), F.get("between", start + n), start == 0, start + n == F.size("words"))
-    whole = placed.filter(same & gaps & opens & ends).select("term", "doc_id")
-    return found.filter("start is null").select("term", "doc_id").unionByName(whole).distinct()
+    whole = placed.filter(same & gaps & opens & ends).select("no", "doc_id")
+    return found.filter("start is null").select("no", "doc_id").unionByName(whole).distinct()
 
 
 def judged(steps: Column, have: Column) -> Column:
@@ -219,10 +229,13 @@ def search(queries: DataFrame, docs: DataFrame) -> DataFrame:
     programs = fixed(compiled(queries))
     leaves = programs.select("query_id", F.explode("leaves").alias("x")).select("query_id", "x.*")
     terms = leaves.select("term", "lead", "runs", "gaps", "trail").distinct()
-    found = fixed(hits(fixed(terms), docs))
-    under = filed(programs, queries, found.groupBy("term").agg(F.count(F.lit(1)).alias("n")))
-    candidates = under.join(found, "term").select("query_id", "doc_id").distinct()
-    held = candidates.join(leaves.select("query_id", "leaf", "term"), "query_id").join(found, ["term", "doc_id"])
+    terms = fixed(fixed(terms).withColumn("no", F.monotonically_increasing_id()))
+    names = terms.select("term", "no")
+    found = fixed(hits(terms, docs))
+    costs = found.groupBy("no").agg(F.count(F.lit(1)).alias("n")).join(names, "no").select("term", "n")
+    under = filed(programs, queries, costs).join(names, "term")
+    candidates = under.join(found, "no").select("query_id", "doc_id").distinct()
+    held = candidates.join(leaves.join(names, "term").select("query_id", "leaf", "no"), "query_id").join(found, ["no", "doc_id"])
     held = held.groupBy("query_id", "doc_id").agg(F.collect_set("leaf").alias("have"))
     met = held.join(programs.select("query_id", "negated", "program"), "query_id").filter(judged(F.col("program"), F.col("have")))
     negative = [r["query_id"] for r in programs.filter("negated").select("query_id").limit(MOST_NEGATIVE + 1).collect()]

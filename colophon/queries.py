@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from colophon.functions import country, normalize
-from colophon.operators import cells, coverage, enrich, impute, ingest, keywords, matching, overlap, postings, report, runstats, sampling, topics, wos
+from colophon.operators import bucketed, cells, coverage, enrich, impute, ingest, keywords, matching, overlap, postings, report, runstats, sampling, topics, wos
 from colophon.plans import boolean
 from colophon.schemas import LATER_COLUMNS, evolve
 from colophon.sources import paged, readers, record_sets
@@ -909,6 +909,27 @@ def html_cells(spark, sf_dir):
     return readers.html_cells(pages.select("page", html.alias("html")))
 
 
+@query("""
+SELECT 'W' || o_orderkey AS id, CASE WHEN o_orderkey % 3 = 0 THEN 'new' ELSE o_orderstatus END AS status,
+ (o_orderkey % 3 <> 0 AND o_orderpriority LIKE '1%') OR o_orderkey % 5 = 0 AS marked, CASE WHEN o_orderkey % 3 <> 0 OR o_orderkey % 5 = 0 THEN o_totalprice END AS total
+FROM orders WHERE o_orderkey % 3 <> 0 OR o_orderkey % 5 = 0""")
+def bucketed_upsert(spark, sf_dir):
+    """Two thirds of the orders in buckets, and a fifth of all orders merged into them: marks are or-ed, totals kept, others added."""
+    folder = shared_folder(spark, "buckets")
+    key = F.col("o_orderkey")
+    orders = table(spark, sf_dir, "orders")
+    kept = orders.filter(key % 3 != 0).select(
+        F.concat(F.lit("W"), key.cast("string")).alias("id"), F.col("o_orderstatus").alias("status"), F.col("o_orderpriority").startswith("1").alias("marked"), F.col("o_totalprice").alias("total")
+    )
+    bucketed.create(kept, folder, "id")
+    delta = orders.filter(key % 5 == 0).select(
+        F.concat(F.lit("W"), key.cast("string")).alias("id"), F.lit("new").alias("status"), F.lit(True).alias("marked"), F.col("o_totalprice").alias("total"), F.lit(1).alias("ordinal")
+    )
+    again = delta.withColumns({"ordinal": F.lit(2), "total": F.lit(-1.0), "marked": F.lit(False)})
+    bucketed.upsert(folder, kept.schema, delta.unionByName(again), "id", "ordinal", {"marked": lambda old, new: old | new, "total": F.coalesce})
+    return bucketed.read(spark, folder, kept.schema)
+
+
 @query("SELECT event_id, user_id, event_type, value, props FROM events")
 def event_sets(spark, sf_dir):
     """Events in two sets of JSON lines that became visible one after the other, read back."""

@@ -17,11 +17,14 @@ def test_flagship(spark):
     assert {r["bucket"] for r in __spark_entry__.entry(spark).collect()} <= {1, 2, 3, 4, 5}
 
 
-@pytest.mark.parametrize("name", ["orphan_papers", "topic_distribution", "wos_cascade", "vector_nn", "seq_ids", "doi_validate"])
+@pytest.mark.parametrize("name", [
+    "orphan_papers", "topic_distribution", "wos_cascade", "vector_nn", "seq_ids", "doi_validate", "fuzzy_clients", "wos_fuzzy", "vector_index_nn", "phrase_search", "stored_queries",
+    "works_pushdown", "event_sets", "stream_ingest", "html_cells", "load_statistics", "stage_1_matched", "audit_rows", "bucketed_upsert",
+])
 def test_query_equals_sql(spark, name):
     duckdb = pytest.importorskip("duckdb")
     connection = duckdb.connect()
-    for t in "orders lineitem documents part embeddings pages".split():
+    for t in "orders lineitem documents part embeddings pages clients items events customer nation benchmark".split():
         connection.execute(f"create view {t} as select * from '{SMALL}/{t}.parquet'")
     found = connection.execute(queries.ORACLE_SQL[name])
     columns = [d[0] for d in found.description]

@@ -374,3 +374,28 @@ def test_first_paper_of_a_title_decides(spark):
     named = wos.with_paper(wos.match(wos.records(sheet), papers))
     assert {r["ordinal"]: (r["paper_id"], r["match_method"]) for r in named.collect()} == {1: ("WOS_1", "new"), 2: ("W1", "title_fuzzy:98")}
     assert [(r["id"], r["type"]) for r in wos.stubs(named).collect()] == [("WOS_1", "Review")]
+
+
+def test_buckets_that_a_delta_leaves_alone(spark, tmp_path):
+    """Files of buckets without a key of the delta stay; keys repeat, are null or new; an empty delta writes nothing."""
+    import os
+
+    from colophon.operators import bucketed
+
+    path = str(tmp_path / "t")
+    frame = spark.createDataFrame([(f"k{k}", k, None) for k in range(200)] + [(None, 7, "n")], "id string, n int, t string")
+    bucketed.create(frame, path, "id", 16)
+
+    def files():
+        return {os.path.join(d, f): os.stat(os.path.join(d, f)).st_mtime_ns for d, _, names in os.walk(path) for f in names if f.endswith(".parquet")}
+
+    before = files()
+    delta = spark.createDataFrame([("k3", 1, 50), ("k3", 0, 40), ("new", 0, 9), (None, 0, 8)], "id string, place int, n int")
+    written = bucketed.upsert(path, frame.schema, delta, "id", "place", {"n": lambda old, new: old + new}, 16)
+    after = files()
+    assert 2 <= len(written) <= 3 and 16 in written
+    kept = {f for f in before if int(f.split("_bucket=")[1].split("/")[0]) not in written}
+    assert kept and all(after.get(f) == before[f] for f in kept) and all(int(f.split("_bucket=")[1].split("/")[0]) in written for f in set(after) - kept)
+    found = {(r["id"], r["n"]) for r in bucketed.read(spark, path, frame.schema).collect()}
+    assert found == {(f"k{k}", k + 40 * (k == 3)) for k in range(200)} | {(None, 7), (None, 8), ("new", 9)}
+    assert bucketed.upsert(path, frame.schema, delta.limit(0), "id", "place", {}, 16) == [] and files() == after
