@@ -51,6 +51,7 @@ COUNTRY_TERMS = {
     "ZA": ["south africa"],
     "HK": ["hong kong", "hong kong sar"],
 }
+# Files are named so, and these hold several countries.
 FILE_COUNTRIES = {
     "Argentina": "AR",
     "Australia": "AU",
