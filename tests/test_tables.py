@@ -127,6 +127,24 @@ def test_fuzzy_candidates_of_repeated_and_short_titles(spark, threshold):
     assert got == want
 
 
+@pytest.mark.parametrize("common", [16, 1e-6])
+def test_fuzzy_candidates_of_titles_that_share_most(spark, monkeypatch, common):
+    """Titles of one form: common grams are no keys, so few rows meet, and no pair is lost; the same if nothing counts as common."""
+    monkeypatch.setattr(matching, "COMMON", common)
+    names = ["large ring", "hot bolt", "blue plate", "cold nut"]
+    rows = [(k, f"on the long term behaviour of {names[k % 4]} under load {k}", None) for k in range(120)]
+    rows += [(200 + k, f"something of its own {k * 7919} and {k * 104729} alone", None) for k in range(40)]
+    frame = spark.createDataFrame(rows, "id long, title string, year int")
+    found = {(r["query_id"], r["base_id"]): round(r["score"], 9) for r in matching.fuzzy_candidates(frame.filter("id % 3 = 0"), frame).collect()}
+    scores = {(i, j): matching.token_sort_ratio(a, b) for i, a, _ in rows for j, b, _ in rows if i % 3 == 0}
+    assert found == {pair: round(s, 9) for pair, s in scores.items() if s >= 95 - 1e-9}
+    texts = frame.select(F.col("id").alias("number"), matching.sorted_text(F.col("title")).alias("text"))
+    counts = matching.gram_counts(texts, 6)
+    filed = matching.rarest_grams(texts, 6, 0.95, counts, len(rows) / common)
+    met = filed.filter("token is not null").groupBy("token").count().agg(F.sum(F.col("count") ** 2)).first()[0]
+    assert (met < len(rows) ** 2) == (common == 16)
+
+
 def test_fuzzy_texts_equal_brute_force(spark):
     import random
 
