@@ -139,8 +139,16 @@ def affiliations(works: DataFrame) -> DataFrame:
     )
 
 
-def load(works: DataFrame, present: dict[str, DataFrame] | None = None, stats: RunStats | None = None) -> dict[str, DataFrame]:
-    """The five tables from work records with ``_file`` and ``_line``, added to those ``present``.
+CONTRIBUTION = (
+    "paper_id", "author_id", "institution_id", "country_code", "author_name", "author_position", "is_corresponding", "raw_affiliation_string",
+)
+TABLES = ("papers", "authors", "institutions", "countries", "contributions")
+
+
+def load(
+    works: DataFrame, present: dict[str, DataFrame] | None = None, stats: RunStats | None = None, only: tuple[str, ...] = TABLES
+) -> dict[str, DataFrame]:
+    """The five tables from work records with ``_file`` and ``_line``, added to those ``present``, or those named by ``only``.
 
     ``stats`` get the records read (and bad ones, without id or not to be parsed), the papers taken in and
     their contributions; records that are neither bad nor taken in are repeated or known.
@@ -160,49 +168,43 @@ def load(works: DataFrame, present: dict[str, DataFrame] | None = None, stats: R
         new = new.join(known, "_key", "left_anti")
     new = first_of(new, ["_key"], order)
     new = fixed(stats.watch("papers", new) if stats else new)
+    made = {"papers": new.select("_paper.*")} if "papers" in only else {}
+    if not stats and not set(only) - {"papers"}:
+        return joined_tables(made, present)
     rows = affiliations(new)
     rows = fixed(stats.watch("contributions", rows) if stats else rows)
     place = [*order, "author_no", "inst_no"]
-    authors = first_of(rows.filter("author_id is not null"), ["author_id"], place)
-    authors = authors.select(F.col("author_id").alias("id"), F.col("_author").alias("display_name"), F.col("_orcid").alias("orcid"))
-    institutions = first_of(rows.filter("institution_id is not null"), ["institution_id"], place).select(
-        F.col("institution_id").alias("id"),
-        F.col("_institution").alias("display_name"),
-        "country_code",
-        F.col("_type").alias("type"),
-        F.col("_ror").alias("ror_id"),
-        F.lit(False).alias("is_synthetic"),
-    )
-    codes = rows.filter("country_code is not null").select("country_code").distinct()
-    start, first_id = 1, 1
-    if present:
-        start += present["contributions"].agg(F.max("row_id")).first()[0] or 0
-        first_id += present["countries"].agg(F.max("id")).first()[0] or 0
-        codes = codes.join(present["countries"].select("country_code"), "country_code", "left_anti")
-    countries = number_rows(codes, ["country_code"], first_id, "id").select(
-        F.col("id").cast("int").alias("id"),
-        F.concat(F.lit("["), "country_code", F.lit("]")).alias("country_name"),
-        "country_code",
-        F.lit(1).alias("status"),
-    )
-    contributions = number_rows(rows, place, start).select(
-        "row_id",
-        "paper_id",
-        "author_id",
-        "institution_id",
-        "country_code",
-        "author_name",
-        "author_position",
-        "is_corresponding",
-        "raw_affiliation_string",
-    )
-    made = {
-        "papers": new.select("_paper.*"),
-        "authors": authors,
-        "institutions": institutions,
-        "countries": countries,
-        "contributions": contributions,
-    }
+    if "authors" in only:
+        authors = first_of(rows.filter("author_id is not null"), ["author_id"], place)
+        made["authors"] = authors.select(F.col("author_id").alias("id"), F.col("_author").alias("display_name"), F.col("_orcid").alias("orcid"))
+    if "institutions" in only:
+        made["institutions"] = first_of(rows.filter("institution_id is not null"), ["institution_id"], place).select(
+            F.col("institution_id").alias("id"),
+            F.col("_institution").alias("display_name"),
+            "country_code",
+            F.col("_type").alias("type"),
+            F.col("_ror").alias("ror_id"),
+            F.lit(False).alias("is_synthetic"),
+        )
+    if "countries" in only:
+        codes, first_id = rows.filter("country_code is not null").select("country_code").distinct(), 1
+        if present:
+            first_id += present["countries"].agg(F.max("id")).first()[0] or 0
+            codes = codes.join(present["countries"].select("country_code"), "country_code", "left_anti")
+        made["countries"] = number_rows(codes, ["country_code"], first_id, "id").select(
+            F.col("id").cast("int").alias("id"),
+            F.concat(F.lit("["), "country_code", F.lit("]")).alias("country_name"),
+            "country_code",
+            F.lit(1).alias("status"),
+        )
+    if "contributions" in only:
+        start = 1 + ((present["contributions"].agg(F.max("row_id")).first()[0] or 0) if present else 0)
+        made["contributions"] = number_rows(rows.select(*place, *CONTRIBUTION), place, start).select("row_id", *CONTRIBUTION)
+    return joined_tables(made, present)
+
+
+def joined_tables(made: dict[str, DataFrame], present: dict[str, DataFrame] | None) -> dict[str, DataFrame]:
+    """The tables made, after those that are there."""
     if not present:
         return made
     keys = {"authors": ["id"], "institutions": ["id"]}

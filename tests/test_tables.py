@@ -58,6 +58,22 @@ def test_partial_buckets(spark):
     assert sorted(map(tuple, found)) == [(1, 1), (5, 1)]
 
 
+def test_load_makes_the_tables_asked_for(spark, tmp_path, monkeypatch):
+    """Tables that are not asked for cost no rows: papers need no contributions, authors no numbers."""
+    (tmp_path / "works.json").write_text(json.dumps(work(1, [AUTHOR])) + "\n")
+    works = readers.works(spark, str(tmp_path / "works.json"))
+    whole = ingest.load(works)
+    assert tuple(whole) == ingest.TABLES
+    monkeypatch.setattr(ingest, "number_rows", None)
+    for only in (("papers",), ("authors", "institutions"), ()):
+        made = ingest.load(works, only=only)
+        assert tuple(made) == only
+        for name in only:
+            assert made[name].columns == whole[name].columns and made[name].collect() == whole[name].collect()
+    monkeypatch.setattr(ingest, "affiliations", None)
+    assert ingest.load(works, only=("papers",))["papers"].count() == 1
+
+
 def test_fuzzy_scores_and_guards(spark):
     assert matching.token_sort_ratio("b a", "a b") == 100.0
     assert matching.token_sort_ratio("abcd", "abxd") == pytest.approx(75.0)
