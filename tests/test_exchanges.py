@@ -1,6 +1,9 @@
 """What queries move: read from their plans."""
 
+from pyspark.sql import functions as F
+
 from colophon import queries
+from colophon.operators import keywords
 
 
 def exchanges(frame) -> int:
@@ -15,3 +18,12 @@ def test_abstract_rebuild_moves_texts_once(spark, tmp_path):
     found = queries.QUERIES["abstract_rebuild"](spark, str(tmp_path))
     assert exchanges(found) == 1
     assert dict(map(tuple, found.collect())) == {1: "a b a c a", 2: "", 3: "", 4: "x"}
+
+
+def test_terms_are_not_kept(spark, monkeypatch):
+    """Texts move by document, all terms once by term, those that stay by document and then, added up, by term; nothing is stored."""
+    docs = spark.createDataFrame([(1, "red fox red fox"), (2, "red fox runs"), (3, "")], "id long, text string")
+    monkeypatch.setattr(type(docs), "checkpoint", None)
+    found = keywords.mean_tfidf(docs, 2, 2)
+    assert exchanges(found) == 4
+    assert [tuple(r) for r in found.select("term", F.round("score", 6)).collect()] == [("red fox", 0.666667)]
