@@ -27,3 +27,19 @@ def test_terms_are_not_kept(spark, monkeypatch):
     found = keywords.mean_tfidf(docs, 2, 2)
     assert exchanges(found) == 4
     assert [tuple(r) for r in found.select("term", F.round("score", 6)).collect()] == [("red fox", 0.666667)]
+
+
+def test_vectors_are_compared_in_small_parts(spark, monkeypatch):
+    """However many rows a batch has, a part of them meets the queries at once, and the nearest are the same."""
+    from colophon.operators import matching
+
+    rows = [(k, [float(k % 7), float(k % 11), 1.0]) for k in range(60)]
+    base = spark.createDataFrame(rows, "id long, vector array<double>")
+
+    def found():
+        return sorted(map(tuple, matching.nearest_vectors(base.filter("id % 20 = 0"), base, 3, None, same=False).collect()))
+
+    whole = found()
+    assert len(whole) == 9 and matching.COMPARED <= 1024
+    monkeypatch.setattr(matching, "COMPARED", 4)
+    assert found() == whole
