@@ -58,3 +58,19 @@ def test_codes_files_and_ids(spark):
     assert values(spark, normalize.top_flag, ["1", "0", "", None, "yes", "2"]) == [True, False, False, False, True, False]
     metrics = values(spark, normalize.text_metrics, ["", "abc", "a\nb\nc"])
     assert [tuple(m) for m in metrics] == [(0, 0, True), (3, 1, False), (5, 3, False)]
+
+
+def test_folding_holds_few_texts_at_once(monkeypatch):
+    """A batch of long texts is never whole in Python strings; characters alone give what whole texts give."""
+    import unicodedata
+
+    import pyarrow as pa
+
+    monkeypatch.setattr(normalize, "TEXT_BYTES", 1000)
+    texts = ["Ἀρχή ﬁ " * 60, None, "", "a\u0323\u0307\u0301 한글 ½"] * 50
+    parts = list(normalize._in_parts(pa.array(texts), normalize._decomposed))
+    assert max(len(p) for p in parts) < 20 and max(sum(len(t or "") for t in p.to_pylist()) for p in parts) < 1000
+    whole = [None if t is None else "".join(c for c in unicodedata.normalize("NFKD", t) if not unicodedata.combining(c)) for t in texts]
+    assert [t for p in parts for t in p.to_pylist()] == whole
+    every = "".join(chr(c) for c in range(0x110000) if not 0xD800 <= c < 0xE000)
+    assert normalize._decomposed(every) == "".join(c for c in unicodedata.normalize("NFKD", every) if not unicodedata.combining(c))
