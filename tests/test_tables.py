@@ -374,6 +374,20 @@ def test_stream_state_over_restarts(spark, tmp_path):
     assert found == [(1, 0), (2, 2), (3, 12), (4, 22)]  # each in the delivery that had it first, the least value but null
 
 
+def test_stream_state_is_asked_without_python(spark, tmp_path):
+    """Many keys in a batch: no row goes through Python by itself, whatever the kinds of key and order."""
+    from colophon.streaming.ingest import first_rows
+
+    rows = spark.range(3000).selectExpr("concat('k', id % 1000) as id", "if(id < 1000, null, 3000.0 - id) as v", "id as n")
+    rows.write.json(str(tmp_path / "in"))
+    stream = spark.readStream.schema(rows.schema).json(str(tmp_path / "in"))
+    plan = first_rows(stream, "id", "v")._jdf.queryExecution().analyzed().toString()
+    assert "TransformWithState" not in plan and "Deduplicate" in plan
+    ingest_stream(stream, str(tmp_path / "out"), str(tmp_path / "cp"), "id", "v").awaitTermination()
+    found = spark.read.parquet(str(tmp_path / "out")).collect()
+    assert sorted((r["n"], r["v"]) for r in found) == [(n, 3000.0 - n) for n in range(2000, 3000)]
+
+
 def test_matched_institutions_and_statistics(spark):
     """The match's country goes before the prediction's; terms, outcomes and the surest predictions."""
     from colophon.operators.runstats import RunStats
