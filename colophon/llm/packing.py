@@ -17,9 +17,10 @@ task runs again on the same input.
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterator
 from functools import lru_cache
-from unicodedata import is_normalized
+from unicodedata import category, is_normalized
 from zlib import crc32
 
 from pyspark.sql import DataFrame
@@ -32,6 +33,13 @@ PIECE = "start long, length long, ids_crc32 long, doc_tokens long, sequence_id l
 PIECES = r"'s|'t|'re|'ve|'m|'ll|'d|[\p{L}]+|[\p{N}]|[^\s\p{L}\p{N}]+"
 
 
+def latin_pieces() -> str:
+    """``PIECES`` for lower-cased words of printable characters below U+0250, without a class that the standard ``re`` lacks."""
+    letters = sorted({c for k in range(0x250) for c in chr(k) + chr(k).lower()})  # two have a lower case far above
+    held = {k: "".join(re.escape(c) for c in letters if category(c)[0] == k) for k in "LN"}
+    return rf"'s|'t|'re|'ve|'m|'ll|'d|[{held['L']}]+|[{held['N']}]|[^ {held['L']}{held['N']}]+"
+
+
 def byte_letters() -> list[str]:
     """The letter that stands for each byte in byte-level vocabularies: printable bytes stand for
     themselves, the others for the letters from U+0100 on, in order."""
@@ -45,27 +53,28 @@ class WordIds(dict):
 
     The tokenizer drops white space and never merges across it, so words can be encoded apart.
     Words of printable ASCII characters and Latin letters in composed form go straight to the merges,
-    any other word (control characters too) to the whole tokenizer. Memory is bounded: when full, it becomes the older half, whose entries come back on use.
+    any other word (control characters too) to the whole tokenizer. Memory is bounded: when full, it becomes the older half,
+    whose entries come back on use; so do the pieces of words.
     """
 
-    def __init__(self, path: str, most: int = 1 << 17):
+    def __init__(self, path: str, most: int = 1 << 18):
         import os
 
         os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        import regex
         from tokenizers import Tokenizer
 
         super().__init__()
         self.tokenizer, self.most, self.older = Tokenizer.from_file(path), most, {}
         self.merged, self.letters = self.tokenizer.model.tokenize, byte_letters()
-        self.pieces, self.of_piece = regex.compile(PIECES).findall, {}
+        self.pieces, self.of_piece, self.older_pieces = re.compile(latin_pieces()).findall, {}, {}
 
     def piece(self, piece: str) -> bytes:
         if (found := self.of_piece.get(piece)) is None:
             if len(self.of_piece) >= self.most:
-                self.of_piece.clear()
-            text = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
-            found = b"".join([t.id.to_bytes(4, "little") for t in self.merged(text)])
+                self.older_pieces, self.of_piece = self.of_piece, {}
+            if (found := self.older_pieces.get(piece)) is None:
+                text = piece if piece.isascii() else "".join([self.letters[b] for b in piece.encode()])
+                found = b"".join([t.id.to_bytes(4, "little") for t in self.merged(text)])
             self.of_piece[piece] = found
         return found
 
@@ -76,7 +85,8 @@ class WordIds(dict):
         if (found := self.older.get(word)) is None:
             latin = word.isprintable() and (word.isascii() or (max(word) < "\u0250" and is_normalized("NFC", word)))
             if latin and "<|" not in word:
-                found = b"".join(map(self.piece, self.pieces(word.lower())))
+                low = word.lower()
+                found = self.piece(low) if low.isalpha() else b"".join(map(self.piece, self.pieces(low)))
             else:
                 ids = self.tokenizer.encode(word, add_special_tokens=False).ids
                 found = b"".join([i.to_bytes(4, "little") for i in ids])

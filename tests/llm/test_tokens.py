@@ -128,3 +128,23 @@ def test_clashing_columns(spark):
     docs = spark.createDataFrame([(1, "a b", 5, "z")], "doc_id long, text string, length int, key string")
     assert sum(r["length"] for r in packing.pack(docs, WORDS).collect()) == 3
     assert bpe.encode(docs, RANKS, BYTE_PATTERN).first()["doc_id"] == 1
+
+
+def test_words_of_latin_letters_and_few_memos():
+    """Pieces by the standard ``re`` are those of the pattern; a full memo of pieces becomes the older half."""
+    import re
+
+    import public_tokenizers
+    import regex
+
+    from colophon.llm import packing
+
+    words = [f"{a}{chr(c)}{b}" for c in range(33, 0x250) if chr(c).isprintable() for a, b in (("", ""), ("a", "b"), ("1", "'s"), ("-", "x2"))]
+    find, given = re.compile(packing.latin_pieces()).findall, regex.compile(packing.PIECES).findall
+    assert [find(w.lower()) for w in words] == [given(w.lower()) for w in words]
+    ids = packing.WordIds(public_tokenizers.path("word_bpe_49k.json"), most=64)
+    first = ids.encode(" ".join(words))
+    assert len(ids.older_pieces) == 64 and len(ids.of_piece) <= 64
+    assert first == ids.encode(" ".join(words))
+    whole = ids.tokenizer.encode(" ".join(words), add_special_tokens=False).ids
+    assert first == b"".join(i.to_bytes(4, "little") for i in whole)
