@@ -143,6 +143,12 @@ def postings(docs: DataFrame) -> DataFrame:
     return rows.select("doc_id", "place", "x.*", (F.col("place") == F.col("n") - 1).alias("last"))
 
 
+def every_run(docs: DataFrame) -> DataFrame:
+    """``(run)``: the runs of all texts, in lower case; repeats stay, places and what lies between are not made."""
+    runs = docs.select(F.explode(F.regexp_extract_all("text", F.lit(f"({RUN})"), F.lit(1))).alias("run"))
+    return runs.select(F.lower("run").alias("run"))
+
+
 def bounded(df: DataFrame) -> DataFrame:
     """``df``, to be broadcast if it has few rows; else joins shuffle."""
     return F.broadcast(df) if df.limit(MOST_BROADCAST + 1).count() <= MOST_BROADCAST else df
@@ -158,13 +164,14 @@ def edges(before: Column, after: Column, first: Column, last: Column) -> tuple[C
 def hits(terms: DataFrame, docs: DataFrame) -> DataFrame:
     """``(no, doc_id)``: which texts hold which terms (no, lead, runs, gaps, trail).
 
-    A first pass counts the runs of all texts, a second one looks up each term's rarest run, where what is
+    A first pass counts the terms' runs in all texts, a second one looks up each term's rarest run, where what is
     before and after it, the next runs included, must fit already. What is left of longer phrases is held against the
     texts, place by place.
     """
     size, k = F.size("runs"), F.col("k")
     runs = terms.select("no", F.posexplode("runs").alias("k", "run"))
-    counts = postings(docs).groupBy("run").agg(F.count(F.lit(1)).alias("n"))
+    asked = bounded(runs.select("run").distinct())
+    counts = every_run(docs).join(asked, "run", "left_semi").groupBy("run").agg(F.count(F.lit(1)).alias("n"))
     rarest = runs.join(counts, "run").groupBy("no").agg(F.min(F.struct("n", "k")).alias("x"), F.count(F.lit(1)).alias("known"))
     rarest = rarest.select("no", "known", F.col("x.k").alias("k")).join(terms, "no").filter(F.col("known") == size)  # others are in no text
     rarest = fixed(rarest.select("no", "k", "lead", "runs", "gaps", "trail", F.get("runs", k).alias("run")))

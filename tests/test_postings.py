@@ -76,3 +76,10 @@ def test_bounds_and_empty_sides(spark):
     assert postings.search(asked.limit(0), held).collect() == [] == postings.search(asked, held.limit(0)).collect()
     with pytest.raises(Exception, match="without letters"):
         postings.search(frames(spark, [(1, "++")], [])[0], held).collect()
+
+
+def test_counting_pass_makes_runs_alone(spark):
+    docs = spark.createDataFrame([(1, "The the, x1 Kelvin"), (2, None), (3, ""), (4, "THE é-b")], "doc_id long, text string")
+    counted = sorted(r["run"] for r in postings.every_run(docs).collect())
+    assert counted == sorted(r["run"] for r in postings.postings(docs).collect())
+    assert postings.every_run(docs).columns == ["run"]
