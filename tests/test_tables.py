@@ -161,6 +161,23 @@ def test_fuzzy_candidates_of_titles_that_share_most(spark, monkeypatch, common):
     assert (met < len(rows) ** 2) == (common == 16)
 
 
+def test_texts_of_fuzzy_joins_are_never_broadcast(spark, monkeypatch, tmp_path):
+    """Sizes guessed from files say that texts are small enough to go through the driver, whatever their number."""
+    plans = []
+
+    def planned(df):
+        plans.append(df._jdf.queryExecution().sparkPlan().toString())
+        return df
+
+    monkeypatch.setattr(matching, "fixed", lambda df, kept=matching.fixed: kept(planned(df)))
+    rows = [(k, f"a title of some length with number {k} in it", None) for k in range(60)]
+    spark.createDataFrame(rows, "id long, title string, year int").write.parquet(str(tmp_path / "titles"))
+    frame = spark.read.parquet(str(tmp_path / "titles"))
+    for find in (matching.fuzzy_candidates, matching.fuzzy_texts):
+        assert planned(find(frame.filter("id % 2 = 0"), frame, 0.95)).count() > 30
+    assert any("SortMergeJoin" in p for p in plans) and not any("Broadcast" in p for p in plans)
+
+
 def test_fuzzy_texts_equal_brute_force(spark):
     import random
 
