@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from colophon.functions.normalize import not_blank
+from colophon.storage import shuffled
 
 
 def without_rows(parents: DataFrame, children: DataFrame, key: str, child_key: str) -> DataFrame:
@@ -55,7 +56,7 @@ def health_report(tables: dict[str, DataFrame]) -> DataFrame:
         F.count_if(F.col("country_code").isNotNull()).alias("countries"),
     )
     joined = papers.select("id", "doi", "publication_year", "abstract_text").join(
-        by_paper, F.col("id") == F.col("paper_id"), "left"
+        shuffled(by_paper), F.col("id") == F.col("paper_id"), "left"
     )
     zero = F.coalesce("filled", F.lit(0)) == 0
     dead = F.col("rows").isNotNull() & zero

@@ -146,16 +146,24 @@ TABLES = ("papers", "authors", "institutions", "countries", "contributions")
 
 
 def load(
-    works: DataFrame, present: dict[str, DataFrame] | None = None, stats: RunStats | None = None, only: tuple[str, ...] = TABLES
+    works: DataFrame,
+    present: dict[str, DataFrame] | None = None,
+    stats: RunStats | None = None,
+    only: tuple[str, ...] = TABLES,
+    numbered: bool = True,
 ) -> dict[str, DataFrame]:
     """The five tables from work records with ``_file`` and ``_line``, added to those ``present``, or those named by ``only``.
 
     ``stats`` get the records read (and bad ones, without id or not to be parsed), the papers taken in and
     their contributions; records that are neither bad nor taken in are repeated or known.
 
+    ``numbered`` false leaves out the numbers of new contributions and countries, which cost a sort of all rows.
+
     A paper that is there already is skipped with all its contributions; of repeated works the
     first in order of file and line counts; so it is for authors and institutions.
     """
+    if present and not numbered:
+        raise ValueError("rows that are added to tables need numbers")
     order = ["_file", "_line"]
     good = F.col("id").isNotNull() & F.col("_corrupt_record").isNull()
     if stats:
@@ -191,15 +199,19 @@ def load(
         if present:
             first_id += present["countries"].agg(F.max("id")).first()[0] or 0
             codes = codes.join(present["countries"].select("country_code"), "country_code", "left_anti")
-        made["countries"] = number_rows(codes, ["country_code"], first_id, "id").select(
-            F.col("id").cast("int").alias("id"),
+        codes = number_rows(codes, ["country_code"], first_id, "id").withColumn("id", F.col("id").cast("int")) if numbered else codes
+        made["countries"] = codes.select(
+            *(["id"] if numbered else []),
             F.concat(F.lit("["), "country_code", F.lit("]")).alias("country_name"),
             "country_code",
             F.lit(1).alias("status"),
         )
     if "contributions" in only:
         start = 1 + ((present["contributions"].agg(F.max("row_id")).first()[0] or 0) if present else 0)
-        made["contributions"] = number_rows(rows.select(*place, *CONTRIBUTION), place, start).select("row_id", *CONTRIBUTION)
+        if numbered:
+            made["contributions"] = number_rows(rows.select(*place, *CONTRIBUTION), place, start).select("row_id", *CONTRIBUTION)
+        else:
+            made["contributions"] = rows.select(*CONTRIBUTION)
     return joined_tables(made, present)
 
 

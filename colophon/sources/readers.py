@@ -26,9 +26,12 @@ def works(spark: SparkSession, path: str) -> DataFrame:
 
 
 def parsed_works(lines: DataFrame) -> DataFrame:
-    """Work records from ``value, _file, _line``; blank lines go."""
+    """Work records from ``value, _file, _line``; blank lines go.
+
+    The record is exploded from an array of one: filters on columns are not moved below that, where each would parse it anew.
+    """
     options = {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": "_corrupt_record"}
-    parsed = lines.filter(F.trim("value") != "").select(F.from_json("value", WORK, options).alias("w"), "_file", "_line")
+    parsed = lines.filter(F.trim("value") != "").select(F.explode(F.array(F.from_json("value", WORK, options))).alias("w"), "_file", "_line")
     return parsed.select("w.*", "_file", "_line")
 
 

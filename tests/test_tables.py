@@ -74,6 +74,32 @@ def test_load_makes_the_tables_asked_for(spark, tmp_path, monkeypatch):
     assert ingest.load(works, only=("papers",))["papers"].count() == 1
 
 
+def test_records_are_parsed_once(spark, tmp_path):
+    """Conditions on columns of records stay above the parse; below it each would parse the record anew."""
+    (tmp_path / "works.json").write_text("\n".join([json.dumps(work(1, [AUTHOR])), " ", "{broken", json.dumps(work(2, []))]))
+    works = readers.works(spark, str(tmp_path / "works.json"))
+    found = works.filter("id is not null and _corrupt_record is null").select("id", "title", "authorships")
+    assert found._jdf.queryExecution().optimizedPlan().toString().count("from_json(") == 1
+    assert works.count() == 3 and sorted(r["id"].rsplit("/", 1)[-1] for r in found.collect()) == ["W1", "W2"]
+
+
+def test_report_needs_no_numbers(spark, tmp_path, monkeypatch):
+    (tmp_path / "works.json").write_text("\n".join(json.dumps(w) for w in (work(1, [AUTHOR, LISTED]), work(2, [NO_IDS]), work(3, []))))
+    works = readers.works(spark, str(tmp_path / "works.json"))
+    whole = ingest.load(works)
+    monkeypatch.setattr(ingest, "number_rows", None)
+    made = ingest.load(works, numbered=False)
+    assert tuple(made) == ingest.TABLES and made["contributions"].columns == whole["contributions"].columns[1:]
+    for name in ("contributions", "countries"):
+        columns = made[name].columns
+        assert sorted(map(str, made[name].collect())) == sorted(map(str, whole[name].select(*columns).collect()))
+    report = coverage.health_report(made)
+    assert report.collect() == coverage.health_report(whole).collect()
+    assert "HashedRelation" not in report._jdf.queryExecution().sparkPlan().toString() and "SortMergeJoin" in report._jdf.queryExecution().sparkPlan().toString()
+    with pytest.raises(ValueError):
+        ingest.load(works, whole, numbered=False)
+
+
 def test_fuzzy_scores_and_guards(spark):
     assert matching.token_sort_ratio("b a", "a b") == 100.0
     assert matching.token_sort_ratio("abcd", "abxd") == pytest.approx(75.0)
