@@ -187,6 +187,41 @@ def test_fuzzy_candidates_of_titles_that_share_most(spark, monkeypatch, common):
     assert (met < len(rows) ** 2) == (common == 16)
 
 
+def test_common_within_holds_the_places_that_edits_allow():
+    """Equal to the whole comparison on texts of unequal lengths, with steps shorter than them; a band as wide as the edits, not twice."""
+    import random
+
+    rng = random.Random(5)
+    for k in range(400):
+        a = "".join(rng.choice("abcdef") for _ in range(rng.randint(1, 90)))
+        b = "".join(c for c in a if rng.random() < 0.9) + "".join(rng.choice("abcx") for _ in range(rng.randint(0, 12)))
+        b = b[k % 7 :] + b[: k % 7]
+        want = matching.common_subsequence(a, b)
+        need = len(a) + len(b) - 2 * want
+        for edits in {need - 1, need, need + 1, need + 7}:
+            for step in (1, 5, 256):
+                got = matching.common_within(matching.letter_places(a), len(a), b, edits, step)
+                assert got == (want if edits >= need else None)
+
+    class Places(dict):
+        def get(self, c, default=0):
+            return Held(super().get(c, default))
+
+    widths = []
+
+    class Held(int):
+        def __rshift__(self, k):
+            return Held(int(self) >> k)
+
+        def __and__(self, full):
+            widths.append(full.bit_length())
+            return int(self) & full
+
+    text = "abcdefghij" * 40
+    assert matching.common_within(Places(matching.letter_places(text)), 400, text, 80, 10) == 400
+    assert max(widths) <= 80 + 2 * 10
+
+
 def test_texts_of_fuzzy_joins_are_never_broadcast(spark, monkeypatch, tmp_path):
     """Sizes guessed from files say that texts are small enough to go through the driver, whatever their number."""
     plans = []
