@@ -187,6 +187,43 @@ def test_fuzzy_candidates_of_titles_that_share_most(spark, monkeypatch, common):
     assert (met < len(rows) ** 2) == (common == 16)
 
 
+def test_letter_sketches_never_differ_by_more_than_the_edits():
+    import random
+
+    rng = random.Random(8)
+    for _ in range(300):
+        a = "".join(rng.choice("abcdefgé中😀 ") for _ in range(rng.randint(0, 80)))
+        b = "".join(c for c in a if rng.random() < 0.9) + "".join(rng.choice("abx") for _ in range(rng.randint(0, 9)))
+        differ = sum(((x ^ y) & (1 << 64) - 1).bit_count() for x, y in zip(matching.letter_sketch(a), matching.letter_sketch(b)))
+        assert differ <= len(a) + len(b) - 2 * matching.common_subsequence(a, b)
+    assert matching.letter_sketch("abc") == matching.letter_sketch("cab") != matching.letter_sketch("abd")
+
+
+@pytest.mark.parametrize("common", [16, 1e6])
+def test_fuzzy_candidates_among_themselves(spark, monkeypatch, common):
+    """Without a base every row is asked and answers; few pairs get as far as their score."""
+    monkeypatch.setattr(matching, "COMMON", common)
+    rows = [(k, f"on the long term behaviour of part {k * 37 % 90} under load {k}", k) for k in range(90)]
+    rows += [(100 + k, t, k) for k, t in enumerate([None, "", " " * 40, "short", rows[3][1], rows[3][1] + "  ", "of part  a b", "b a part of"])]
+    frame = spark.createDataFrame(rows, "id long, title string, year int")
+    found = matching.fuzzy_candidates(frame, None)
+    got = sorted((r["query_id"], r["base_id"], round(r["score"], 9)) for r in found.collect())
+    both = matching.fuzzy_candidates(frame, frame)
+    assert got == sorted((r["query_id"], r["base_id"], round(r["score"], 9)) for r in both.collect())
+    want = {(i, j) for i, a, _ in rows for j, b, _ in rows if a and b and len(a) >= 30 and b.strip() and a.strip() and matching.token_sort_ratio(a, b) >= 95 - 1e-9}
+    assert {(i, j) for i, j, _ in got} == want and len(got) == len(want) > 97 and {c for c in found.columns} == {c for c in both.columns}
+
+
+def test_fuzzy_clients_asks_every_client(spark, tmp_path):
+    """Clients whose number is no multiple of 50 are asked too."""
+    from colophon import queries
+
+    rows = [(k, f"name of client {n}", f"client{n}@mail.example.org", "harbour town") for k, n in ((1, "one"), (2, "ones"), (3, "seventeen"), (50, "one"))]
+    spark.createDataFrame(rows, "client_id long, name string, email string, city string").write.parquet(str(tmp_path / "clients.parquet"))
+    found = {(r["query_id"], r["base_id"]) for r in queries.QUERIES["fuzzy_clients"](spark, str(tmp_path)).collect()}
+    assert found == {(i, j) for i in (1, 2, 50) for j in (1, 2, 50) if i != j}
+
+
 def test_common_within_holds_the_places_that_edits_allow():
     """Equal to the whole comparison on texts of unequal lengths, with steps shorter than them; a band as wide as the edits, not twice."""
     import random
