@@ -6,25 +6,28 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from colophon.functions.normalize import abstract_last, first_not_blank, is_international, last_segment
-from colophon.operators.runstats import RunStats
-from colophon.storage import fixed
+from colophon.operators.runstats import RunStats, without_sink
+from colophon.storage import kept
 
 
-def number_rows(df: DataFrame, order: list, start: int = 1, name: str = "row_id") -> DataFrame:
+def number_rows(df: DataFrame, order: list, start: int = 1, name: str = "row_id", listed: str | None = None) -> DataFrame:
     """``df`` with consecutive numbers in ``order``, without one task that sees all rows.
 
     Rows are split by ranges of the order; each range's count gives the next one's offset. What the
-    driver gets is a count for each partition.
+    driver gets is a count for each partition. With ``listed``, an array of structs, what is numbered and kept are its
+    elements, row by row; only whole rows move.
     """
-    parts = df.repartitionByRange(*order).sortWithinPartitions(*order).withColumn("_part", F.spark_partition_id())
-    parts = fixed(parts.withColumn("_at", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)))
+    parts = df.repartitionByRange(*order).sortWithinPartitions(*order)
+    parts = parts.select(F.inline(listed)) if listed else parts
+    parts = parts.withColumn("_part", F.spark_partition_id())
+    parts = kept(parts.withColumn("_at", F.monotonically_increasing_id().bitwiseAND((1 << 33) - 1)))
     counts = {r["_part"]: r["n"] for r in parts.groupBy("_part").agg(F.count(F.lit(1)).alias("n")).collect()}
     offsets, total = [], start
     for part in sorted(counts):
         offsets.append((part, total))
         total += counts[part]
     if not offsets:
-        return df.withColumn(name, F.lit(None).cast("long"))
+        return parts.drop("_part", "_at").withColumn(name, F.lit(None).cast("long"))
     pairs = df.sparkSession.createDataFrame(offsets, "_part int, _offset long")
     out = parts.join(F.broadcast(pairs), "_part")
     return out.withColumn(name, F.col("_offset") + F.col("_at")).drop("_part", "_at", "_offset")
@@ -36,6 +39,12 @@ def first_of(df: DataFrame, keys: list[str], order: list[Column | str]) -> DataF
     return df.withColumn("_rank", rank).filter("_rank = 1").drop("_rank")
 
 
+def first_values(df: DataFrame, key: str, columns: list[str], order: list[str]) -> DataFrame:
+    """The ``columns`` of each key's first row, in ``order``; tasks send on a row for each key they have, not all rows."""
+    first = df.groupBy(key).agg(F.min_by(F.struct(*columns), F.struct(*order)).alias("_first"))
+    return first.select(key, "_first.*")
+
+
 def insert_absent(existing: DataFrame, new: DataFrame, keys: list[str]) -> DataFrame:
     """``existing`` and the rows of ``new`` whose keys it lacks; rows with a null key always come in."""
     return existing.unionByName(new.join(existing.select(*keys).distinct(), keys, "left_anti"), allowMissingColumns=True)
@@ -109,39 +118,46 @@ def paper_columns() -> list[Column]:
     return [F.col(c) if isinstance(c, str) else c for c in named]
 
 
-def affiliations(works: DataFrame) -> DataFrame:
-    """A row for each institution with an id of each authorship, or one for an authorship without any listed."""
-    authored = works.select(F.col("_key").alias("paper_id"), "_file", "_line", F.posexplode("authorships").alias("author_no", "a"))
-    listed = F.coalesce(F.col("a.institutions"), F.array())
-    rows = authored.select("*", F.posexplode_outer("a.institutions").alias("inst_no", "inst"))
-    rows = rows.filter((F.size(listed) == 0) | F.col("inst.id").isNotNull())
-    raw = F.col("a.raw_affiliation_strings")
-    paired = F.when(F.col("inst").isNull(), first_not_blank(raw)).otherwise(F.get(raw, F.col("inst_no")))
-    country = F.coalesce(F.col("inst.country_code"), F.when(F.col("inst").isNull(), F.get(F.col("a.countries"), F.lit(0))))
-    return rows.select(
-        "paper_id",
-        "_file",
-        "_line",
-        "author_no",
-        F.coalesce("inst_no", F.lit(0)).alias("inst_no"),
-        last_segment(F.col("a.author.id")).alias("author_id"),
-        last_segment(F.col("inst.id")).alias("institution_id"),
-        country.alias("country_code"),
-        F.coalesce("a.raw_author_name", "a.author.display_name").alias("author_name"),
-        F.col("a.author_position").alias("author_position"),
-        F.col("a.is_corresponding").alias("is_corresponding"),
-        paired.alias("raw_affiliation_string"),
-        F.col("a.author.display_name").alias("_author"),
-        F.col("a.author.orcid").alias("_orcid"),
-        F.col("inst.display_name").alias("_institution"),
-        F.col("inst.type").alias("_type"),
-        F.col("inst.ror").alias("_ror"),
-    )
+#: What a table needs of a row of ``affiliations``, besides its place.
+NEEDED = {
+    "authors": ("author_id", "_author", "_orcid"),
+    "institutions": ("institution_id", "_institution", "country_code", "_type", "_ror"),
+    "countries": ("country_code",),
+    "contributions": (
+        "author_id", "institution_id", "country_code", "author_name", "author_position", "is_corresponding", "raw_affiliation_string",
+    ),
+}
+
+
+def affiliations(authorships: Column, needed: set[str]) -> Column:
+    """An array of a struct for each institution with an id of each authorship, or one for an authorship without any listed."""
+
+    def row(a: Column, author_no: Column, inst: Column | None, inst_no: Column) -> Column:
+        null, raw = F.lit(None).cast("string"), a["raw_affiliation_strings"]
+        columns = {
+            "author_id": last_segment(a["author"]["id"]),
+            "institution_id": null if inst is None else last_segment(inst["id"]),
+            "country_code": F.get(a["countries"], F.lit(0)) if inst is None else inst["country_code"],
+            "author_name": F.coalesce(a["raw_author_name"], a["author"]["display_name"]),
+            "author_position": a["author_position"],
+            "is_corresponding": a["is_corresponding"],
+            "raw_affiliation_string": first_not_blank(raw) if inst is None else F.get(raw, inst_no),
+            "_author": a["author"]["display_name"],
+            "_orcid": a["author"]["orcid"],
+            "_institution": null if inst is None else inst["display_name"],
+            "_type": null if inst is None else inst["type"],
+            "_ror": null if inst is None else inst["ror"],
+        }
+        return F.struct(author_no.alias("author_no"), inst_no.alias("inst_no"), *(c.alias(n) for n, c in columns.items() if n in needed))
+
+    def rows(a: Column, author_no: Column) -> Column:
+        found = F.transform(a["institutions"], lambda inst, k: F.when(inst["id"].isNotNull(), row(a, author_no, inst, k)))
+        return F.when(F.size(a["institutions"]) > 0, F.filter(found, lambda r: r.isNotNull())).otherwise(F.array(row(a, author_no, None, F.lit(0))))
+
+    return F.flatten(F.transform(authorships, rows))
 
 
-CONTRIBUTION = (
-    "paper_id", "author_id", "institution_id", "country_code", "author_name", "author_position", "is_corresponding", "raw_affiliation_string",
-)
+CONTRIBUTION = ("paper_id", *NEEDED["contributions"])
 TABLES = ("papers", "authors", "institutions", "countries", "contributions")
 
 
@@ -169,24 +185,35 @@ def load(
     if stats:
         works = stats.watch("records", works, bad=F.count_if(~good))
     new = works.filter(good)
-    # records are parsed once, to what the tables need
-    new = new.select(last_segment(F.col("id")).alias("_key"), *order, "authorships", F.struct(*paper_columns()).alias("_paper"))
+    # records are parsed once, to what the tables need; only that moves
+    listed, needed = set(only) - {"papers"}, {c for name in only for c in NEEDED.get(name, ())}
+    columns = [last_segment(F.col("id")).alias("_key"), *order]
+    columns += [F.struct(*paper_columns()).alias("_paper")] if "papers" in only else []
+    columns += [affiliations(F.col("authorships"), needed).alias("_rows")] if listed or stats else []
+    new = new.select(*columns)
     if present:
         known = present["papers"].select(F.col("id").alias("_key"))
         new = new.join(known, "_key", "left_anti")
     new = first_of(new, ["_key"], order)
-    new = fixed(stats.watch("papers", new) if stats else new)
+    new = stats.watch("papers", new) if stats else new
+    if "papers" in only or stats and listed:
+        new = kept(new)
     made = {"papers": new.select("_paper.*")} if "papers" in only else {}
-    if not stats and not set(only) - {"papers"}:
+    if not stats and not listed:
         return joined_tables(made, present)
-    rows = affiliations(new)
-    rows = fixed(stats.watch("contributions", rows) if stats else rows)
+    rows = new.select(F.col("_key").alias("paper_id"), *order, F.inline("_rows"))
+    rows = stats.watch("contributions", rows) if stats else rows
+    if stats and not listed:
+        without_sink(rows)
+    elif stats or listed - ({"contributions"} if numbered else set()):
+        rows = kept(rows)
     place = [*order, "author_no", "inst_no"]
     if "authors" in only:
-        authors = first_of(rows.filter("author_id is not null"), ["author_id"], place)
+        authors = first_values(rows.filter("author_id is not null"), "author_id", ["_author", "_orcid"], place)
         made["authors"] = authors.select(F.col("author_id").alias("id"), F.col("_author").alias("display_name"), F.col("_orcid").alias("orcid"))
     if "institutions" in only:
-        made["institutions"] = first_of(rows.filter("institution_id is not null"), ["institution_id"], place).select(
+        known = first_values(rows.filter("institution_id is not null"), "institution_id", ["_institution", "country_code", "_type", "_ror"], place)
+        made["institutions"] = known.select(
             F.col("institution_id").alias("id"),
             F.col("_institution").alias("display_name"),
             "country_code",
@@ -209,7 +236,10 @@ def load(
     if "contributions" in only:
         start = 1 + ((present["contributions"].agg(F.max("row_id")).first()[0] or 0) if present else 0)
         if numbered:
-            made["contributions"] = number_rows(rows.select(*place, *CONTRIBUTION), place, start).select("row_id", *CONTRIBUTION)
+            # a paper's rows are numbered where the paper is
+            lines = F.transform("_rows", lambda r: F.struct(F.col("_key").alias("paper_id"), *(r[c].alias(c) for c in NEEDED["contributions"])))
+            lines = new.select(*order, lines.alias("_lines"))
+            made["contributions"] = number_rows(lines, order, start, listed="_lines").select("row_id", *CONTRIBUTION)
         else:
             made["contributions"] = rows.select(*CONTRIBUTION)
     return joined_tables(made, present)

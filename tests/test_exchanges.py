@@ -43,3 +43,60 @@ def test_vectors_are_compared_in_small_parts(spark, monkeypatch):
     assert len(whole) == 9 and matching.COMPARED <= 1024
     monkeypatch.setattr(matching, "COMPARED", 4)
     assert found() == whole
+
+
+def test_loader_keeps_what_its_tables_need(spark, monkeypatch):
+    """Records are never kept or moved whole; counts keep nothing; repeated papers, authors without institutions and broken records as before."""
+    import duckdb
+
+    from colophon.operators import ingest
+
+    held = []
+    frame = type(spark.range(1))
+    monkeypatch.setattr(ingest, "kept", lambda df, kept=ingest.kept: held.append(df.columns) or kept(df))
+    monkeypatch.setattr(frame, "checkpoint", None)
+    connection = duckdb.connect()
+    for t in ("orders", "lineitem"):
+        connection.execute(f"create view {t} as select * from '/root/testdata/sf0.001/{t}.parquet'")
+    for name, want in {
+        "load_statistics": [],
+        "load_works": [[*ingest.CONTRIBUTION, "_part", "_at"]],
+        "load_dimensions": [["paper_id", "_file", "_line", "author_no", "inst_no", "author_id", "institution_id", "country_code", "_author", "_orcid", "_institution", "_type", "_ror"]],
+        "load_papers": [["_key", "_file", "_line", "_paper"]],
+    }.items():
+        held.clear()
+        found = queries.QUERIES[name](spark, "/root/testdata/sf0.001")
+        assert held == want
+        rows = connection.execute(queries.ORACLE_SQL[name])
+        columns = [d[0] for d in rows.description]
+        assert sorted(map(str, map(tuple, found.select(*columns).collect()))) == sorted(map(str, rows.fetchall()))
+
+
+def test_first_values_send_a_row_for_each_key(spark):
+    from colophon.operators import ingest
+
+    rows = spark.createDataFrame([("a", 2, "x", None), ("a", 1, None, "y"), ("b", 3, "z", "z")], "k string, at int, v string, w string")
+    found = ingest.first_values(rows, "k", ["v", "w"], ["at"])
+    assert sorted(map(tuple, found.collect())) == [("a", None, "y"), ("b", "z", "z")]
+    plan = found._jdf.queryExecution().sparkPlan().toString()
+    assert "partial_min_by" in plan
+
+
+def test_affiliations_of_odd_records(spark):
+    """Null authorships, authors and institutions, ids that are null or end with a slash."""
+    from colophon.operators import ingest
+
+    inst = "struct<id: string, display_name: string, country_code: string, type: string, ror: string>"
+    author = f"struct<author: struct<id: string, display_name: string, orcid: string>, raw_author_name: string, author_position: string, is_corresponding: boolean, countries: array<string>, raw_affiliation_strings: array<string>, institutions: array<{inst}>>"
+    a = (("u/A1", "Ann", None), None, "first", True, ["FR"], [" ", "Lab"], None)
+    b = (None, "Bob", None, None, None, ["R0", "R1", "R2"], [("u/I1", "I", "DE", None, None), (None, "N", "DE", None, None), None, ("u/", "J", None, None, None)])
+    c = (None, None, None, None, [], [], [(None, "N", "DE", None, None)])
+    frame = spark.createDataFrame([(1, [a, None, b, c]), (2, []), (3, None)], f"k int, authorships array<{author}>")
+    rows = frame.select("k", F.inline(ingest.affiliations(F.col("authorships"), {"author_id", "institution_id", "country_code", "author_name", "raw_affiliation_string"})))
+    got = sorted(map(tuple, rows.collect()))
+    assert got == [
+        (1, 0, 0, "A1", None, "FR", "Ann", "Lab"),
+        (1, 1, 0, None, None, None, None, None),
+        (1, 2, 0, None, "I1", "DE", "Bob", "R0"),
+        (1, 2, 3, None, None, None, "Bob", None),
+    ]
