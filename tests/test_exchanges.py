@@ -100,3 +100,22 @@ def test_affiliations_of_odd_records(spark):
         (1, 2, 0, None, "I1", "DE", "Bob", "R0"),
         (1, 2, 3, None, None, None, "Bob", None),
     ]
+
+
+def test_terms_move_together(spark, monkeypatch):
+    """Terms of many documents move as one row for each part, with the counts of single terms; so do those that stay."""
+    texts = ["red fox red fox runs", "red fox", "", None, "one", "a1 b_c blue-ish hen the the the the"] * 3
+    docs = spark.createDataFrame(list(enumerate(texts)), "id int, text string").coalesce(1)
+    want = sorted(map(tuple, keywords.terms(docs, 2, 3).collect()))
+    for most in (1, 1 << 20):
+        monkeypatch.setattr(keywords, "MOVED", most)
+        dealt = keywords.dealt_terms(docs, 2, 3, [], 2)
+        lists = F.arrays_zip(F.col("ids").alias("id"), F.split("terms", "\n").alias("term"), F.col("tfs").alias("tf"))
+        rows = dealt.select("part", F.inline(lists)).collect()
+        assert sorted((r["id"], r["term"], r["tf"]) for r in rows) == want
+        heads = {(" ".join(r["term"].split()[:2]), r["part"]) for r in rows}
+        assert len(heads) == len(dict(heads))
+        assert dealt.count() <= 2 or most == 1
+    counts = spark.createDataFrame([(k // 5, k, f"t {k}", 1, k) for k in range(10)], "part int, id int, term string, tf int, df int").coalesce(1)
+    found = sorted(map(tuple, keywords.together(counts).collect()))
+    assert [(r[0], r[1], r[2].split("\n"), r[4]) for r in found] == [(p, [*range(a, a + 5)], [f"t {k}" for k in range(a, a + 5)], [*range(a, a + 5)]) for p, a in ((0, 0), (1, 5))]
